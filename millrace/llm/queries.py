@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe, media
-from millrace.llm.common import table
+from millrace.llm import bpe, langid, media, quality, toxicity
+from millrace.llm.common import remainder, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    net = langid.fit(docs.filter(~held_out))
+    return docs.select("doc_id", held_out.alias("held_out"), langid.language(net, F.col("text")).alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -21,9 +29,24 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = remainder("doc_id", 5) == 0
+    model = toxicity.fit(docs.filter(~held_out), labels.filter(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.toxicity(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language": op2_language,
     "op4_bpe": op4_bpe,
     "op7_media": op7_media,
+    "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
