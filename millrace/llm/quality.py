@@ -170,3 +170,31 @@ def quality_report(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
         return pd.DataFrame(rows, columns=names)
 
     return df.select(id_column, report(F.col(text).cast("string")).alias("r")).select(id_column, *(F.col(f"r.{n}") for n in names))
+
+
+REPORT_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), pos AS (
+  SELECT doc_id, u.i AS i, ws[u.i] AS a, ws[u.i + 1] AS b, ws[u.i + 2] AS c FROM w, unnest(range(1, len(ws) - 1)) AS u(i)
+), rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM pos) WHERE n > 1
+  ) GROUP BY doc_id
+), f AS (
+  SELECT w.doc_id, w.text, len(ws)::BIGINT AS n_words,
+    length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+    coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+    length(regexp_replace(text, '[^!]', '', 'g')) AS n_marks,
+    len(list_filter(ws, lambda x: x = upper(x) AND x <> lower(x))) AS n_shouted,
+    len(list_filter(ws, lambda x: regexp_matches(x, '\pL'))) AS n_lettered
+  FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id
+), g AS (
+  SELECT *, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 2 * n_marks > n_words OR 2 * n_shouted > n_words OR 10 * n_lettered < 7 * n_words OR 2 * n_dup_lines > len(ls)) AS kept
+FROM g
+"""

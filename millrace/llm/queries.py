@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, media, quality, toxicity
-from millrace.llm.common import remainder, table
+from millrace.llm import bpe, langid, linededup, media, mixing, quality, toxicity, warc
+from millrace.llm.common import remainder, scratch_dir, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder("doc_id", 4) == 2
@@ -25,6 +30,16 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path).filter("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(table(spark, sf_dir, "documents"))
 
@@ -42,11 +57,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_linededup": op1_linededup,
     "op2_language": op2_language,
     "op4_bpe": op4_bpe,
+    "op5_mixing": op5_mixing,
+    "op6_warc": op6_warc,
     "op7_media": op7_media,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_linededup": linededup.REPORT_SQL,
+    "op6_warc": warc.RECORDS_SQL,
+    "op9_quality": quality.REPORT_SQL,
+}

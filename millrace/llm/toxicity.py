@@ -9,8 +9,9 @@ from fitting unlabelled positives away.
 The prior is the share of toxic rows among all labelled training rows.  Traits
 of a text are its words (letter runs in lower case) and the words' beginnings
 of 4 to 8 letters.  A trait becomes a feature if its share of the positives
-differs from its share of the unlabelled texts by ``MIN_Z`` standard errors.  Both samples are bounded parameters; only they reach the driver, as
-sets of words.  Scoring maps rows one to one.
+differs from its share of the unlabelled texts by ``MIN_Z`` standard errors.  Both samples are bounded parameters; they are written to the shared
+folder, their traits are counted by Spark, and only rows of feature numbers
+reach the driver.  Scoring maps rows one to one.
 
 Defined cases: null and empty texts have no words and get the bias alone;
 labels for ids that are missing from the documents are ignored; without any
@@ -19,7 +20,6 @@ positive label all scores are 0.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import written
+
 MAX_POSITIVE = 2500
 MAX_UNLABELLED = 5000
 MAX_FEATURES = 1500
@@ -72,65 +74,52 @@ class WordModel:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -60, 60))))
 
 
-def select_traits(positive: list[set[str]], unlabelled: list[set[str]]) -> list[str]:
-    """Traits whose document shares differ clearly between the two samples, the clearest first.
+def select_traits(sample: DataFrame, n: int, m: int) -> list[str]:
+    """Traits whose shares of the ``n`` positives and ``m`` unlabelled texts differ clearly, the clearest first.
 
+    ``sample`` has (positive, words).  Counting is Spark's; only chosen traits come back.
     Of traits with the same counts that share a beginning only the longest is taken.
     """
-    p, u = Counter(t for s in positive for t in s), Counter(t for s in unlabelled for t in s)
-    n, m = max(len(positive), 1), max(len(unlabelled), 1)
-    found = []
-    for t, k in (p + u).items():
-        if k >= MIN_TEXTS:
-            share = k / (n + m)
-            z = abs(p[t] / n - u[t] / m) / np.sqrt(share * (1 - share) * (1 / n + 1 / m) + 1e-12)
-            if z >= MIN_Z:
-                found.append((-z, p[t], u[t], -len(t), t))
-    chosen, seen = [], set()
-    for z, a, b, _, t in sorted(found):
-        if (a, b, t[: STEMS[0]]) not in seen:
-            seen.add((a, b, t[: STEMS[0]]))
-            chosen.append(t)
-    return chosen[:MAX_FEATURES]
-
-
-def fit_nnpu(positive: list[set[str]], unlabelled: list[set[str]], prior: float, epochs: int = EPOCHS, rate: float = 0.1, decay: float = 1e-5) -> WordModel:
-    """Full-batch Adam on the non-negative risk with the logistic loss."""
-    words = select_traits(positive, unlabelled)
-    place = {w: i for i, w in enumerate(words)}
-
-    def matrix(sets):
-        x = np.zeros((len(sets), len(words) + 1), np.float32)
-        x[:, -1] = 1
-        for row, s in zip(x, sets):
-            row[[place[w] for w in s if w in place]] = 1
-        return x
-
-    xp, xu = matrix(positive), matrix(unlabelled)
-    w = np.zeros(len(words) + 1, np.float32)
+
+    @F.pandas_udf("array<string>")
+    def all_traits(words: pd.Series) -> pd.Series:
+        return words.map(lambda ws: sorted({t for w in ws for t in traits(w)}))
+
+    counts = sample.select("positive", F.explode(all_traits("words")).alias("trait")).groupBy("trait").agg(F.sum("positive").alias("p"), F.sum(1 - F.col("positive")).alias("u"))
+    share = (F.col("p") + F.col("u")) / (n + m)
+    error = F.sqrt(share * (1 - share) * (1 / n + 1 / max(m, 1)) + 1e-12)
+    clear = counts.filter(F.col("p") + F.col("u") >= MIN_TEXTS).withColumn("z", F.abs(F.col("p") / n - F.col("u") / max(m, 1)) / error).filter(F.col("z") >= MIN_Z)
+    family = F.substring("trait", 1, STEMS[0])
+    longest = clear.groupBy("p", "u", family).agg(F.max_by("trait", F.struct(F.length("trait"), "trait")).alias("trait"), F.max("z").alias("z"))
+    return [r.trait for r in longest.orderBy(F.desc("z"), "trait").limit(MAX_FEATURES).collect()]
+
+
+def fit_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, epochs: int = EPOCHS, rate: float = 0.1, decay: float = 1e-5) -> np.ndarray:
+    """Weights by full-batch Adam on the non-negative risk with the logistic loss; the last column is the bias."""
+    w = np.zeros(xp.shape[1], np.float32)
     w[-1] = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
     m, v = np.zeros_like(w), np.zeros_like(w)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
     for step in range(1, epochs + 1):
         zp, zu = xp @ w, xu @ w
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        gp = xp.T @ (-(1 - sigmoid(zp))) * (prior / max(len(xp), 1))
-        gn = xu.T @ sigmoid(zu) / max(len(xu), 1) - xp.T @ sigmoid(zp) * (prior / max(len(xp), 1))
+        gp = xp.T @ (-(1 - sigmoid(zp))) * (prior / len(xp))
+        gn = xu.T @ sigmoid(zu) / len(xu) - xp.T @ sigmoid(zp) * (prior / len(xp))
         # below zero the negative part is climbed back up instead
         g = gp + gn if negative >= 0 else -gn
         g[:-1] += decay * w[:-1]
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
-        w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return WordModel({word: float(x) for word, x in zip(words, w[:-1]) if abs(x) > 1e-4}, float(w[-1]))
+        w = (w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+    return w
 
 
-def _trait_sets(df: DataFrame, text: str, limit: int) -> list[set[str]]:
+def _words(df: DataFrame, text: str, positive: int, limit: int) -> DataFrame:
     @F.pandas_udf("array<string>")
     def distinct(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: sorted(words_of(t)))
 
-    return [{t for w in r[0] for t in traits(w)} for r in df.select(distinct(F.col(text).cast("string")).alias("words")).limit(limit).toLocalIterator()]
+    return df.select(F.lit(positive).alias("positive"), distinct(F.col(text).cast("string")).alias("words")).limit(limit)
 
 
 def fit(documents: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id", toxic: str = "toxic", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> WordModel | None:
@@ -143,11 +132,27 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", id_column:
     draw = lambda label: F.pmod(F.xxhash64(id_column, F.lit(label)), F.lit(1 << 30))
     some = lambda share: min(1.0, share) * (1 << 30)
     confirmed = known.filter("__toxic = 1").filter(draw("positive") < some(max_positive / counts[1])).select(id_column)
-    positive = _trait_sets(documents.select(id_column, text).join(confirmed, id_column, "left_semi"), text, 2 * max_positive)
-    unlabelled = _trait_sets(documents.filter(draw("unlabelled") < some(max_unlabelled / n_docs)).select(text), text, 2 * max_unlabelled)
-    if not positive:
+    positive = _words(documents.select(id_column, text).join(confirmed, id_column, "left_semi"), text, 1, 2 * max_positive)
+    unlabelled = _words(documents.filter(draw("unlabelled") < some(max_unlabelled / n_docs)).select(text), text, 0, 2 * max_unlabelled)
+    sample = written(positive.union(unlabelled), "toxicity-sample")
+    sizes = {r[0]: r[1] for r in sample.groupBy("positive").count().collect()}
+    if not sizes.get(1) or not sizes.get(0):
         return None
-    return fit_nnpu(positive, unlabelled, counts[1] / counts[0])
+    names = select_traits(sample, sizes[1], sizes[0])
+    place = {t: i for i, t in enumerate(names)}
+
+    @F.pandas_udf("array<int>")
+    def places(words: pd.Series) -> pd.Series:
+        return words.map(lambda ws: sorted({place[t] for w in ws for t in traits(w) if t in place}))
+
+    rows = sample.select("positive", places("words").alias("x")).collect()
+    x = {side: np.zeros((sizes[side], len(names) + 1), np.float32) for side in (0, 1)}
+    for side in x:
+        x[side][:, -1] = 1
+        for row, hit in zip(x[side], sorted(r.x for r in rows if r.positive == side)):
+            row[hit] = 1
+    w = fit_nnpu(x[1], x[0], counts[1] / counts[0])
+    return WordModel({t: float(v) for t, v in zip(names, w[:-1]) if abs(v) > 1e-4}, float(w[-1]))
 
 
 def toxicity(model: WordModel | None, text: Column) -> Column:
