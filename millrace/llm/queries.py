@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, linededup, media, mixing, quality, toxicity, warc
+from millrace.llm import bpe, langid, linededup, lm, media, mixing, quality, toxicity, warc
 from millrace.llm.common import remainder, scratch_dir, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -44,6 +44,13 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 7) == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (~held_out).alias("training"))
+    scores = lm.score_texts(docs, "training")
+    return scores.withColumn("held_out", held_out)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -63,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_warc": op6_warc,
     "op7_media": op7_media,
+    "op8_lm": op8_lm,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
