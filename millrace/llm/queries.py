@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, linededup, lm, media, mixing, quality, toxicity, warc
+from millrace.llm import bpe, langid, linededup, lm, media, mixing, neardup, quality, toxicity, warc
 from millrace.llm.common import remainder, scratch_dir, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +26,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out.alias("held_out"), langid.language(net, F.col("text")).alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -66,6 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_linededup": op1_linededup,
     "op2_language": op2_language,
+    "op3_jaccard": op3_jaccard,
     "op4_bpe": op4_bpe,
     "op5_mixing": op5_mixing,
     "op6_warc": op6_warc,
