@@ -12,8 +12,8 @@ When a source runs out its slots stay empty and the others go on in their
 proportions.  Every row gets exactly one place: none is dropped or repeated.
 
 Plan: a row's rank in its source is an offset by (source, bucket) plus a
-row number inside the bucket.  Buckets are slices of a hash of the id, with
-about ``BUCKET_ROWS`` rows each, so that a source with a third of all rows is
+row number inside the bucket.  Buckets are slices of a hash of the id, as many
+for each source as give about ``BUCKET_ROWS`` rows each, so that a source with a third of all rows is
 dealt over many tasks.  Only one row for each source reaches the driver.
 
 Defined cases: a null source is a source of its own; rows that are equal in
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import free_name
 
 BLOCK_ROWS = 32
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 PERIOD = 1024
 MAX_SOURCES = 100_000
 
@@ -92,14 +92,13 @@ def mix(df: DataFrame, target: Mapping[str, float] | None = None, temperature: f
         raise ValueError("no source has a target weight")
     shares = integer_shares([weights[s] for s in names], period) if names else []
     plan = [(i, shares[i], j, slot) for i, slots in enumerate(edf_slots(shares)) for j, slot in enumerate(slots)] if names else []
-    total = sum(counts.values())
-    key, bucket, rank, share = (free_name(df, f"__mix_{x}") for x in ("key", "bucket", "rank", "share"))
+    key, bucket, buckets, rank, share = (free_name(df, f"__mix_{x}") for x in ("key", "bucket", "buckets", "rank", "share"))
     spark = df.sparkSession
-    of_source = spark.createDataFrame([(s, i, shares[i]) for i, s in enumerate(names)], f"__s string, {key} int, {share} long")
+    of_source = spark.createDataFrame([(s, i, shares[i], -(-counts[s] // bucket_rows)) for i, s in enumerate(names)], f"__s string, {key} int, {share} long, {buckets} long")
     of_block = spark.createDataFrame([(i, j, slot) for i, _, j, slot in plan], f"{key} int, __j long, __slot long")
     # both tables have at most period rows
     own = df.join(F.broadcast(of_source), F.col(source).cast("string").eqNullSafe(F.col("__s"))).drop("__s")
-    own = own.withColumn(bucket, F.pmod(F.xxhash64(F.col(id_column), F.lit("mix")), F.lit(max(1, -(-total // bucket_rows)))))
+    own = own.withColumn(bucket, F.pmod(F.xxhash64(F.col(id_column), F.lit("mix")), F.col(buckets)))
     sizes = own.groupBy(key, bucket).agg(F.count("*").alias("__n"))
     before = Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(key, bucket, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
