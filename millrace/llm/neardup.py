@@ -40,7 +40,7 @@ THRESHOLD = 0.8
 RECALL = 0.9995
 MAX_HASHES = 128
 SMALL = 32
-CHUNK = 128
+CHUNK = 512
 _M = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(20).integers(1, 1 << 63, (2, MAX_HASHES), dtype=np.uint64)
 
