@@ -38,10 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORDS, written
+from millrace.llm.common import written
 
 ORDER = 2
 #: Weight of the seen n-gram against the shorter context, by order.
@@ -49,14 +50,14 @@ MIX = {2: 0.5, 3: 0.5}
 #: Bytes of text in a block, and of text for each range of n-grams.
 BLOCK_BYTES = 6 << 20
 RANGE_BYTES = 12 << 20
-_UPPER = {c: c + 32 for c in range(65, 91)}
 #: Keys of the end of a text and of its start; words hash to other values in all likelihood.
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 _MULTIPLIER = np.uint64(0x2545F4914F6CDD1D)
 
 
-def tokens(text: str | None) -> list[str]:
-    return WORDS.findall((text or "").translate(_UPPER))
+def tokens(text: bytes | None) -> list[bytes]:
+    """Words of UTF-8 text in ASCII lower case; bytes split at space and tab to carriage return only."""
+    return (text or b"").lower().split()
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -64,22 +65,28 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Block:
     """The tokens of some texts as one sequence of ids, and their n-grams."""
 
-    def __init__(self, texts: list[str | None]):
-        import xxhash
-
-        place: dict[str, int] = {}
+    def __init__(self, texts: list[bytes | None]):
+        place = _Numbers({b"": 0})  # no word is empty; it stands for the end
         ids, ends = [], []
         for t in texts:
-            ids += [place.setdefault(w, len(place) + 1) for w in tokens(t)]
+            ids += map(place.__getitem__, tokens(t))
             ids.append(0)
             ends.append(len(ids))
         self.ids = np.array(ids, np.int64)
         self.ends = np.array(ends, np.int64)
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
-        self.word_hash = np.array([END] + [xxhash.xxh64_intdigest(w) for w in place], np.uint64)
+        self.word_hash = np.array([END, *map(xxhash.xxh64_intdigest, list(place)[1:])], np.uint64)
 
     def grams(self, order: int) -> list[np.ndarray]:
         """For n = 1..order, the hash of the n-gram that ends at each token.
@@ -115,8 +122,10 @@ def _unpack(raw: bytes, kind: str) -> np.ndarray:
 def _counts(block: Block, training: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each order, sorted distinct hashes and their number in training texts."""
     use = np.repeat(training, block.ends - block.starts)
-    out = []
-    for h in block.grams(order):
+    of_word = np.bincount(block.ids, weights=use, minlength=len(block.word_hash)).astype(np.int64)
+    by_hash = np.argsort(block.word_hash)
+    out = [(block.word_hash[by_hash], of_word[by_hash])]
+    for h in block.grams(order)[1:]:
         keys, where = np.unique(h, return_inverse=True)
         out.append((keys, np.bincount(where, weights=use, minlength=len(keys)).astype(np.int64)))
     return out
@@ -175,35 +184,51 @@ def add_up(sent: DataFrame) -> DataFrame:
 
 
 class Automaton:
-    """States are contexts by number, 0 the root; word numbers are a block's own."""
-
-    def __init__(self):
-        self.arcs: dict[int, int] = {}  # state << 32 | word -> arc
-        self.weight: list[float] = []
-        self.target: list[int] = []
-        self.fail_state: list[int] = [0]
-        self.fail_weight: list[float] = [0.0]
-        self.root: list[float] = []  # by word
-        self.root_target: list[int] = []
-
-    def walk(self, words: list[int], state: int) -> float:
-        """The summed weight of a sequence from ``state`` on."""
-        arcs, weight, target, fail_state, fail_weight = self.arcs, self.weight, self.target, self.fail_state, self.fail_weight
+    """States are contexts by number, 0 the root; word numbers are a block's own.
+
+    Arcs are sorted by ``state << 32 | word``; the root has an arc for every word.
+    """
+
+    def __init__(self, codes, weight, target, fail_state, fail_weight, root, root_target):
+        self.codes, self.weight, self.target = codes, weight, target
+        self.fail_state, self.fail_weight = fail_state, fail_weight
+        self.root, self.root_target = root, root_target
+
+    def walk(self, words: np.ndarray, state: int) -> float:
+        """The summed weight of a sequence from ``state`` on, step by step."""
         total = 0.0
-        for w in words:
+        for w in words.tolist():
             while state:
-                arc = arcs.get(state << 32 | w)
-                if arc is not None:
-                    total += weight[arc]
-                    state = target[arc]
+                code = state << 32 | w
+                arc = int(np.searchsorted(self.codes, code))
+                if arc < len(self.codes) and self.codes[arc] == code:
+                    total += self.weight[arc]
+                    state = int(self.target[arc])
                     break
-                total += fail_weight[state]
-                state = fail_state[state]
+                total += self.fail_weight[state]
+                state = int(self.fail_state[state])
             else:
                 total += self.root[w]
-                state = self.root_target[w]
+                state = int(self.root_target[w])
         return total
 
+    def walk_pairs(self, words: np.ndarray, starts: np.ndarray, start: int) -> np.ndarray:
+        """The weight of each step of many sequences, for contexts of one word.
+
+        All arcs over a word lead to the same state there, so the carried
+        states are known at once, and each step takes its arc, or else the
+        failure arc and the root's.
+        """
+        state = np.empty(len(words), np.int64)
+        state[1:] = self.root_target[words[:-1]]
+        state[starts] = start
+        failed = self.fail_weight[state] + self.root[words]
+        if not len(self.codes):
+            return failed
+        code = state << 32 | words
+        arc = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return np.where(self.codes[arc] == code, self.weight[arc], failed)
+
 
 def build(block: Block, totals: list[np.ndarray], stats: list[int], n_training: int, order: int, mix: dict[int, float] = MIX) -> tuple[Automaton, int, np.ndarray]:
     """The automaton of a block's n-grams, its start state, and each token's training count.
@@ -212,70 +237,70 @@ def build(block: Block, totals: list[np.ndarray], stats: list[int], n_training:
     """
     n_tokens, n_known, once, twice = stats
     discount = once / (once + 2 * twice + 1) if once else 0.5
-    grams = block.grams(order)
-    count = []
-    for h, total in zip(grams, totals):
-        keys, where = np.unique(h, return_inverse=True)
+    ids, words, grams = block.ids, len(block.word_hash), block.grams(order)
+    of_word = np.empty(words, np.int64)
+    of_word[np.argsort(block.word_hash)] = totals[0]
+    count, firsts = [of_word[ids]], [None]
+    for h, total in zip(grams[1:], totals[1:]):
+        _, first, where = np.unique(h, return_index=True, return_inverse=True)
         count.append(total[where])
-    machine = Automaton()
-    uni = count[0]
-    p = np.where(uni > 0, (uni - discount) / max(n_tokens, 1), discount * n_known / n_tokens if n_tokens else 1.0)
-    words = len(block.word_hash)
-    root = np.zeros(words)
-    root[block.ids] = np.log10(np.maximum(p, 1e-300))
-    machine.root = root.tolist()
-    at = np.arange(len(uni)) - np.repeat(block.starts, block.ends - block.starts)
-    # the state after each token: the longest context that was seen in training, by its hash
-    states: dict[tuple[int, int], int] = {}
-    start = 0
-    if order > 1 and n_training:
-        start = 1
-        machine.fail_state.append(0)
-        machine.fail_weight.append(math.log10(1 - mix[2]))
-    state_of = [np.zeros(len(uni), np.int64)]  # by context length, of the context that ends at each token
+        firsts.append(first)
+    p_word = np.where(of_word > 0, (of_word - discount) / max(n_tokens, 1), discount * n_known / n_tokens if n_tokens else 1.0)
+    p = p_word[ids]
+    at = np.arange(len(ids)) - np.repeat(block.starts, block.ends - block.starts)
+
+    # states: the start, then the known contexts of each length
+    start = 1 if order > 1 and n_training else 0
+    fail_state, fail_weight = [np.zeros(1 + start, np.int64)], [np.zeros(1)]
+    if start:
+        fail_weight.append(np.full(1, math.log10(1 - mix[2])))
+    n_states = 1 + start
+    state_of = [np.zeros(len(ids), np.int64)]  # by length, the state of the context that ends at each token
     for n in range(1, order):
-        known = (count[n - 1] > 0) & (block.ids != 0) & (grams[n - 1] != 0)
-        keys, first, where = np.unique(np.where(known, grams[n - 1], np.uint64(0)), return_index=True, return_inverse=True)
-        number = len(machine.fail_state) + np.arange(len(keys)) - (1 if len(keys) and keys[0] == 0 else 0)
-        shorter = state_of[-1]
-        for k, f in zip(keys.tolist(), first.tolist()):
-            if k:
-                machine.fail_state.append(int(shorter[f]))
-                machine.fail_weight.append(math.log10(1 - mix[n + 1]))
-        state_of.append(np.where(known, number[where], 0))
-    longest = np.zeros(len(uni), np.int64)
+        if n == 1:
+            known = of_word > 0
+            known[0] = False  # nothing follows the end
+            number = np.where(known, n_states + np.cumsum(known) - 1, 0)
+            state_of.append(number[ids])
+            made = int(known.sum())
+            fail_state.append(np.zeros(made, np.int64))
+        else:
+            first = firsts[n - 1]
+            keys_known = (totals[n - 1] > 0) & (ids[first] != 0) & (grams[n - 1][first] != 0)
+            number = np.where(keys_known, n_states + np.cumsum(keys_known) - 1, 0)
+            fail_state.append(state_of[-1][first[keys_known]])
+            made = int(keys_known.sum())
+            where = np.unique(grams[n - 1], return_inverse=True)[1]
+            state_of.append(number[where])
+        n_states += made
+        fail_weight.append(np.full(made, math.log10(1 - mix[n + 1])))
+    longest = np.zeros(len(ids), np.int64)
     for s in state_of[1:]:
         longest = np.where(s > 0, s, longest)
-    targets = np.zeros(words, np.int64)
+    root_target = np.zeros(words, np.int64)
     if order > 1:
-        targets[block.ids] = state_of[1]
-    machine.root_target = targets.tolist()
+        root_target[ids] = state_of[1]
+
+    codes, weights, targets = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
     for n in range(2, order + 1):
-        # contexts of n - 1 words before each token; their counts
-        context = np.zeros(len(uni), np.int64)
-        context[1:] = state_of[n - 1][:-1]
-        c_context = np.zeros(len(uni), np.int64)
-        c_context[1:] = count[n - 2][:-1]
-        first_word = at == n - 2
+        # the context of n - 1 words before each token, and its count
+        context, c_context = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        context[1:], c_context[1:] = state_of[n - 1][:-1], count[n - 2][:-1]
         if n == 2:
-            context[first_word], c_context[first_word] = start, n_training
+            context[at == 0], c_context[at == 0] = start, n_training
         else:
-            # after the start mark contexts are shorter; see ``grams``
-            c_context[at < n - 2] = 0
-            context[at < n - 2] = 0
-        seen = context > 0
-        p = np.where(seen, mix[n] * count[n - 1] / np.maximum(c_context, 1) + (1 - mix[n]) * p, p)
-        arc = seen & (count[n - 1] > 0)
-        code = context[arc] << 32 | block.ids[arc]
-        codes, first = np.unique(code, return_index=True)
-        weights = np.log10(p[arc][first])
-        reach = state_of[min(n, order - 1)] if n < order else longest
-        reach = np.where(reach > 0, reach, longest)[arc][first]
-        base = len(machine.weight)
-        machine.arcs.update(zip(codes.tolist(), range(base, base + len(codes))))
-        machine.weight += weights.tolist()
-        machine.target += reach.tolist()
-    return machine, start, uni
+            context[at < n - 2] = 0  # the start mark stands for all that is before
+        p = np.where(context > 0, mix[n] * count[n - 1] / np.maximum(c_context, 1) + (1 - mix[n]) * p, p)
+        first = firsts[n - 1]
+        first = first[(context[first] > 0) & (count[n - 1][first] > 0)]
+        reach = longest if n == order else np.where(state_of[n] > 0, state_of[n], longest)
+        codes.append(context[first] << 32 | ids[first])
+        weights.append(np.log10(p[first]))
+        targets.append(reach[first])
+    code = np.concatenate(codes)
+    by_code = np.argsort(code)
+    machine = Automaton(code[by_code], np.concatenate(weights)[by_code], np.concatenate(targets)[by_code], np.concatenate(fail_state), np.concatenate(fail_weight), np.log10(np.maximum(p_word, 1e-300)), root_target)
+    return machine, start, count[0]
 
 
 SCORES = "row long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -295,8 +320,10 @@ def score_blocks(blocks: DataFrame, totals: DataFrame, stats: list[int], n_train
         base = np.log10((uni + 1) / (n_tokens + n_known + 1))
         sums = np.add.reduceat(base, block.starts)
         known = np.add.reduceat((uni > 0).astype(np.int64), block.starts)
-        ids = block.ids.tolist()
-        scores = [machine.walk(ids[a:b], start) for a, b in zip(block.starts.tolist(), block.ends.tolist())]
+        if order == 2:
+            scores = np.add.reduceat(machine.walk_pairs(block.ids, block.starts, start), block.starts)
+        else:
+            scores = np.array([machine.walk(block.ids[a:b], start) for a, b in zip(block.starts, block.ends)])
         rows = len(scores)
         return pa.table({"row": group.column("row"), "n_tokens": pa.array(block.ends - block.starts), "n_known": pa.array(known), "train_tokens": pa.array([n_tokens] * rows, pa.int64()), "base_score": pa.array(sums), "score": pa.array(scores, pa.float64())})
 
@@ -309,7 +336,7 @@ def score_texts(df: DataFrame, training: str, text: str = "text", id_column: str
     ``training`` is the name of a boolean column that marks the rows to learn
     from; nulls there count as false.
     """
-    own = df.select(F.col(id_column).cast("long").alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.coalesce(F.col(training), F.lit(False)).alias("training"))
+    own = df.select(F.col(id_column).cast("long").alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"), F.coalesce(F.col(training), F.lit(False)).alias("training"))
     size, n_training = own.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0)), F.coalesce(F.sum(F.col("training").cast("long")), F.lit(0))).first()
     n_blocks, ranges = max(1, -(-size // BLOCK_BYTES)), max(1, -(-size // RANGE_BYTES))
     # repeated ids spread by their texts

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def brute(rows, order):
-    seq = {k: [*lm.tokens(t), None] for k, t, _ in rows}
+    seq = {k: [*lm.tokens((t or '').encode()), None] for k, t, _ in rows}
     train = [k for k, _, use in rows if use]
     grams = [None, Counter(), Counter(), Counter()]
     contexts = Counter()
@@ -59,7 +59,7 @@ def test_equals_brute_force(spark, order, monkeypatch):
     for k in want:
         assert got[k][:3] == want[k][:3]
         assert got[k][3:] == pytest.approx(want[k][3:], rel=1e-9)
-    for h in [(), ("<s>",), ("w0",), ("nothing",), ("w0", "w1")][: (1, 4, 5)[order - 1]]:
+    for h in [(), ("<s>",), (b"w0",), (b"nothing",), (b"w0", b"w1")][: (1, 4, 5)[order - 1]]:
         known = sum(p(h, w) for (w,) in grams[1])
         assert known + p(h, "no such word") == pytest.approx(1)
 
