@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-CACHE_CHUNKS = 400_000
-CACHE_WORDS = 200_000
+CACHE_CHUNKS = 250_000
+CACHE_WORDS = 100_000
 #: Up to here all Unicode versions agree on classes and case; beyond it the library is asked.
 LAST_LATIN = "\u024f"
 
@@ -59,7 +59,7 @@ class _Cache(dict):
 
 
 class ForcedBoundaryBPE:
-    """Encoder and decoder for one tokenizers BPE file with word ends."""
+    """Encoder for one tokenizers BPE file with word ends."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -69,7 +69,6 @@ class ForcedBoundaryBPE:
         self.end = model["end_of_word_suffix"]
         self.ranks = {tuple(m) if isinstance(m, list) else tuple(m.split(" ")): i for i, m in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.special_split = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         library = Tokenizer.from_file(path)  # its Unicode tables decide what a letter, a digit and lower case is
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
@@ -79,7 +78,7 @@ class ForcedBoundaryBPE:
         self.letters = {b: letter for b, letter in enumerate(byte_letters())}
         self.words = _Cache(self.encode_word, CACHE_WORDS)
         self.chunks = _Cache(self.encode_chunk, CACHE_CHUNKS)
-        self.token_list = [self.tokens.get(i, "") for i in range(max(self.tokens) + 1)]
+        del spec, model
 
     def symbols(self, token: str) -> list[str]:
         """The base symbols of a token; the word end belongs to the last letter."""
@@ -140,9 +139,9 @@ class ForcedBoundaryBPE:
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<u4").tolist()
 
-    def decode(self, ids) -> str:
-        tokens = self.token_list
-        return " ".join([tokens[i] for i in ids])
+
+def decode(tokens: list[str], ids: list[int]) -> str:
+    return " ".join([tokens[i] for i in ids])
 
 
 #: split() also breaks at these, which the file's pattern takes for text.
@@ -156,6 +155,15 @@ def coder(path: str) -> ForcedBoundaryBPE:
     return ForcedBoundaryBPE(path)
 
 
+@lru_cache(maxsize=2)
+def token_table(path: str) -> list[str]:
+    """Tokens by id, which is all that decoding needs."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    tokens = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return [tokens.get(i, "") for i in range(max(tokens) + 1)]
+
+
 def bpe_encode(df: DataFrame, path: str, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(id, ids): token ids as little-endian 32-bit integers in one binary column."""
 
@@ -173,15 +181,15 @@ def bpe_encode(df: DataFrame, path: str, text: str = "text", id_column: str = "d
 def bpe_decode(df: DataFrame, path: str, ids: str = "ids", id_column: str = "doc_id") -> DataFrame:
     """(id, ids, decoded): the text of a column of packed ids; null ids decode to the empty string."""
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = token_table(path)
         for batch in batches:
-            texts = [own.decode(np.frombuffer(v.as_py() or b"", "<u4").tolist()) for v in batch.column(1)]
+            texts = [decode(tokens, np.frombuffer(v.as_py() or b"", "<u4").tolist()) for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
     source = df.select(F.col(id_column).alias("id"), F.col(ids).alias("ids"))
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(decode, f"id {kind}, ids binary, decoded string").withColumnRenamed("id", id_column)
+    return source.mapInArrow(run, f"id {kind}, ids binary, decoded string").withColumnRenamed("id", id_column)
 
 
 def bpe_digests(df: DataFrame, path: str, text: str = "text", id_column: str = "doc_id") -> DataFrame:
