@@ -31,8 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-CACHE_CHUNKS = 250_000
-CACHE_WORDS = 100_000
+CACHE_CHUNKS = 300_000
+CACHE_WORDS = 200_000
+ROUND_TRIP_ROWS = 500
 #: Up to here all Unicode versions agree on classes and case; beyond it the library is asked.
 LAST_LATIN = "\u024f"
 
@@ -105,6 +106,9 @@ class ForcedBoundaryBPE:
         """Ids of one pre-token in byte letters: cut it at pairs that no token has inside, encode the fragments, concatenate."""
         symbols = list(letters)
         symbols[-1] += self.end
+        if self.inside.issuperset(zip(symbols, symbols[1:])):
+            ids = self.merge(symbols)
+            return struct.pack(f"<{len(ids)}I", *ids)
         inside, start, ids = self.inside, 0, []
         for i, pair in enumerate(zip(symbols, symbols[1:]), 1):
             if pair not in inside:
@@ -192,9 +196,26 @@ def bpe_decode(df: DataFrame, path: str, ids: str = "ids", id_column: str = "doc
     return source.mapInArrow(run, f"id {kind}, ids binary, decoded string").withColumnRenamed("id", id_column)
 
 
+def bpe_round_trip(df: DataFrame, path: str, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """(id, ids, decoded): encode each text, then decode its packed ids, in one pass of one worker."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, tokens = coder(path), token_table(path)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROUND_TRIP_ROWS):
+                part = batch.slice(start, ROUND_TRIP_ROWS)
+                ids = [own.encode_bytes(v.as_py() or "") for v in part.column(1)]
+                texts = [decode(tokens, np.frombuffer(i, "<u4").tolist()) for i in ids]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.string())], ["id", "ids", "decoded"])
+
+    source = df.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text"))
+    kind = source.schema["id"].dataType.simpleString()
+    return source.mapInArrow(run, f"id {kind}, ids binary, decoded string").withColumnRenamed("id", id_column)
+
+
 def bpe_digests(df: DataFrame, path: str, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Encode, decode, and reduce both to digests; one row per document."""
-    coded = bpe_decode(bpe_encode(df, path, text, id_column), path, "ids", id_column)
+    coded = bpe_round_trip(df, path, text, id_column)
     return coded.select(
         id_column, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from millrace.llm.bpe import bpe_digests, coder, decode, token_table
+from millrace.llm.bpe import bpe_decode, bpe_digests, bpe_encode, coder, decode, token_table
 from tokenizers import Tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -40,3 +40,5 @@ def test_table(spark):
 
     assert got == sorted(want(i, t) for i, t in rows)
     assert bpe_digests(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+    apart = bpe_decode(bpe_encode(spark.createDataFrame(rows, "doc_id long, text string"), PATH), PATH)
+    assert sorted((r.doc_id, r.decoded) for r in apart.collect()) == sorted((i, LIB.decode(LIB.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False)) for i, t in rows)
