@@ -59,5 +59,5 @@ def load_all() -> None:
     """Import the modules that register queries."""
     import importlib
 
-    for module in ("q_functions", "q_records", "q_text", "q_analytics"):
+    for module in ("q_functions", "q_records", "q_text", "q_analytics", "q_sources", "q_more"):
         importlib.import_module(f"millrace.plans.{module}")
