@@ -172,7 +172,7 @@ def geohash(lon: Column, lat: Column, length: int = 12) -> Column:
     """Base-32 text of up to 12 characters."""
 
     def text(bits: Column) -> Column:
-        digit = lambda i: F.substring(F.lit(BASE32), F.floor(bits / F.pow(F.lit(2.0), 5 * (length - 1 - i))).cast("long").bitwiseAND(F.lit(31)).cast("int") + 1, F.lit(1))
+        digit = lambda i: F.substring(F.lit(BASE32), F.call_function("shiftright", bits, (5 * (length - 1 - i)).cast("int")).bitwiseAND(F.lit(31)).cast("int") + 1, F.lit(1))
         return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(length - 1)), digit), "")
 
     return F.when(lon.isNotNull() & lat.isNotNull(), _let(geohash_long(lon, lat, 5 * length), text))
