@@ -6,6 +6,7 @@ its size is known to be small, and shuffles it otherwise.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -92,7 +93,8 @@ def lookup_range(df: DataFrame, value: str, ranges: DataFrame, start: str, end:
     not copied to each: it is cut in aligned pieces, twice as wide at each
     level, at most two a level, and a value asks once for each level.
     """
-    levels = 40
+    span = ranges.agg(F.max(F.col(end) - F.col(start))).first()[0]
+    levels = max(1, math.ceil(math.log2(max(float(span or 0) / width, 1.0))) + 1)
     pieces = ranges.select(F.col(start).alias("__s"), F.col(end).alias("__e"), F.struct(*columns).alias("__r"))
     # at each level: the bucket of the start if it is a right half, that of the end if a left half
     low = lambda s: F.expr(f"CAST(ceil(__s / {width * 2**s}.0D) AS BIGINT)")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from millrace.scratch import written
 
 
-def query_record(df: DataFrame, sql: str, args: dict | None = None, name: str = "FLOWFILE") -> DataFrame:
+def query_record(df: DataFrame, sql: str, args: dict | None = None, name: str = "RECORDS") -> DataFrame:
     """SQL over one record table, named in the text as ``{name}`` in braces or by the view's name."""
     return df.sparkSession.sql(sql, args=args, **{name: df})
 

@@ -96,7 +96,7 @@ def time_formats(spark, sf_dir):
 
 @register("rec_01_query_record", "SELECT o_orderstatus, count(*) AS n, sum(o_custkey)::BIGINT AS keys FROM orders WHERE o_totalprice > 1000 GROUP BY o_orderstatus HAVING count(*) > 1")
 def query_record(spark, sf_dir):
-    return records.query_record(load(spark, sf_dir, "orders"), "SELECT o_orderstatus, count(*) AS n, sum(o_custkey) AS keys FROM {FLOWFILE} WHERE o_totalprice > :least GROUP BY o_orderstatus HAVING count(*) > 1", {"least": 1000})
+    return records.query_record(load(spark, sf_dir, "orders"), "SELECT o_orderstatus, count(*) AS n, sum(o_custkey) AS keys FROM {RECORDS} WHERE o_totalprice > :least GROUP BY o_orderstatus HAVING count(*) > 1", {"least": 1000})
 
 
 @register("rec_02_update_record", "SELECT o_orderkey, 'x' AS status, upper(o_orderpriority) AS priority, o_orderpriority AS old FROM orders")
