@@ -34,7 +34,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mixture of their sources."""
-    return mixing.in_mixed_order(mixing.mix(docs)).drop("mix_block", "mix_slot", "mix_place")
+    return mixing.in_mixed_order(mixing.mix(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

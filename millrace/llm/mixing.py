@@ -77,39 +77,42 @@ def source_weights(counts: Mapping[str | None, int], target: Mapping[str, float]
 
 
 def mix(df: DataFrame, target: Mapping[str, float] | None = None, temperature: float = 0.5, source: str = "source", id_column: str = "doc_id", block_rows: int = BLOCK_ROWS, period: int = PERIOD, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``df`` with ``mix_block``, ``mix_slot`` and ``mix_place`` (place in the block); order by slot, then place."""
-    for name in ("mix_block", "mix_slot", "mix_place"):
-        if name in df.columns:
-            raise ValueError(f"the input already has a column {name}")
-    counts = {r[0]: r[1] for r in df.groupBy(F.col(source).cast("string")).agg(F.count("*")).limit(MAX_SOURCES + 1).collect()}
+    """``df`` with three more columns, mix_block, mix_slot and mix_place (in the block); order by slot, then place.
+
+    If ``df`` has a column of such a name, the new one gets an underscore after it.
+    """
+    names = [f"c{i}" for i in range(len(df.columns))]
+    rows = df.toDF(*names)
+    s, i = (F.col(names[df.columns.index(c)]) for c in (source, id_column))
+    counts = {r[0]: r[1] for r in rows.groupBy(s.cast("string")).agg(F.count("*")).limit(MAX_SOURCES + 1).collect()}
     if len(counts) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    names = sorted(counts, key=lambda s: (s is None, s or ""))
-    while period < 8 * len(names):
+    sources = sorted(counts, key=lambda n: (n is None, n or ""))
+    while period < 8 * len(sources):
         period *= 2
     weights = source_weights(counts, target, temperature)
-    if names and not sum(weights.values()):
+    if sources and not sum(weights.values()):
         raise ValueError("no source has a target weight")
-    shares = integer_shares([weights[s] for s in names], period) if names else []
-    plan = [(i, shares[i], j, slot) for i, slots in enumerate(edf_slots(shares)) for j, slot in enumerate(slots)] if names else []
-    key, bucket, buckets, rank, share = (free_name(df, f"__mix_{x}") for x in ("key", "bucket", "buckets", "rank", "share"))
+    shares = integer_shares([weights[n] for n in sources], period) if sources else []
+    plan = [(k, j, slot) for k, slots in enumerate(edf_slots(shares)) for j, slot in enumerate(slots)] if sources else []
     spark = df.sparkSession
-    of_source = spark.createDataFrame([(s, i, shares[i], -(-counts[s] // bucket_rows)) for i, s in enumerate(names)], f"__s string, {key} int, {share} long, {buckets} long")
-    of_block = spark.createDataFrame([(i, j, slot) for i, _, j, slot in plan], f"{key} int, __j long, __slot long")
+    of_source = spark.createDataFrame([(n, k, shares[k], -(-counts[n] // bucket_rows)) for k, n in enumerate(sources)], "name string, key int, share long, buckets long")
+    of_block = spark.createDataFrame(plan, "key int, turn long, offset long")
     # both tables have at most period rows
-    own = df.join(F.broadcast(of_source), F.col(source).cast("string").eqNullSafe(F.col("__s"))).drop("__s")
-    own = own.withColumn(bucket, F.pmod(F.xxhash64(F.col(id_column), F.lit("mix")), F.col(buckets)))
-    sizes = own.groupBy(key, bucket).agg(F.count("*").alias("__n"))
-    before = Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(key, bucket, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy(key, bucket).orderBy(F.xxhash64(F.col(id_column), F.lit("order")), F.col(id_column), F.xxhash64(*df.columns))
-    ranked = own.join(offsets, [key, bucket]).withColumn(rank, F.col("__before") + F.row_number().over(inside) - 1)
-    dealt = ranked.withColumns({"mix_block": F.floor(F.col(rank) / block_rows).cast("long"), "mix_place": (F.col(rank) % block_rows).cast("long")})
-    placed = dealt.withColumn("__j", F.col("mix_block") % F.col(share)).join(F.broadcast(of_block), [key, "__j"])
-    slot = F.floor(F.col("mix_block") / F.col(share)).cast("long") * period + F.col("__slot")
-    return placed.select(*(F.col(c) for c in df.columns), "mix_block", slot.alias("mix_slot"), "mix_place")
+    own = rows.join(F.broadcast(of_source), s.cast("string").eqNullSafe(F.col("name")))
+    own = own.withColumn("bucket", F.pmod(F.xxhash64(i, F.lit("mix")), F.col("buckets")))
+    sizes = own.groupBy("key", "bucket").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("key", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("key", "bucket").orderBy(F.xxhash64(i, F.lit("order")), i, F.xxhash64(*names))
+    ranked = own.join(offsets, ["key", "bucket"]).withColumn("rank", F.col("before") + F.row_number().over(inside) - 1)
+    dealt = ranked.withColumns({"block": F.floor(F.col("rank") / block_rows).cast("long"), "place": (F.col("rank") % block_rows).cast("long")})
+    placed = dealt.withColumn("turn", F.col("block") % F.col("share")).join(F.broadcast(of_block), ["key", "turn"])
+    slot = F.floor(F.col("block") / F.col("share")).cast("long") * period + F.col("offset")
+    return placed.select(*names, "block", slot.alias("slot"), "place").toDF(*df.columns, *(free_name(df, n) for n in ("mix_block", "mix_slot", "mix_place")))
 
 
 def in_mixed_order(mixed: DataFrame) -> DataFrame:
-    """The rows over range partitions in the order of the mixture."""
-    return mixed.repartitionByRange("mix_slot", "mix_place").sortWithinPartitions("mix_slot", "mix_place")
+    """The rows of ``mix`` over range partitions in the order of the mixture, without the three columns."""
+    slot, place = mixed.columns[-2:]
+    return mixed.repartitionByRange(slot, place).sortWithinPartitions(slot, place).drop(*mixed.columns[-3:])
