@@ -174,15 +174,20 @@ def sample_reservoir(df: DataFrame, key: Sequence[str], size: int, seed: int = 0
 def record_stats(df: DataFrame, paths: dict[str, str], limit: int | None = None) -> DataFrame:
     """(name, value, n): the count of each non-null value of each path, of all of a path, and of all rows.
 
-    ``limit`` keeps the most frequent values of each path.
+    ``limit`` keeps the most frequent values of each path.  One pass counts
+    everything: rows are exploded to (name, value) and summed before the shuffle.
     """
-    total = df.agg(F.count("*").alias("n")).select(F.lit("record.count").alias("name"), F.lit(None).cast("string").alias("value"), "n")
-    out = total
-    for name, path in paths.items():
-        values = df.filter(F.col(path).isNotNull()).groupBy(F.col(path).cast("string").alias("value")).agg(F.count("*").alias("n"))
-        out = out.union(values.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(F.lit(name), F.lit(None).cast("string"), "n"))
-        top = values.orderBy(F.desc("n"), "value").limit(limit) if limit else values
-        out = out.union(top.select(F.lit(name), "value", "n"))
+    pair = lambda name, value: F.struct(F.lit(name).alias("name"), value.cast("string").alias("value"))
+    pairs = df.select(F.explode(F.array(pair("record.count", F.lit(None)), *(pair(n, F.col(p)) for n, p in paths.items()))).alias("p")).select("p.*")
+    counts = pairs.groupBy("name", "value").agg(F.count("*").alias("n"))
+    names = df.sparkSession.createDataFrame([(n, 0) for n in ("record.count", *paths)], "name string, n long")
+    of_path = counts.select("name", F.when(F.col("value").isNotNull() | (F.col("name") == "record.count"), F.col("n")).otherwise(0).alias("n"))
+    out = of_path.union(names).groupBy("name").agg(F.sum("n").alias("n")).select("name", F.lit(None).cast("string").alias("value"), "n")
+    values = counts.filter("value IS NOT NULL")
+    if limit is None:
+        return out.union(values)
+    for n in paths:
+        out = out.union(values.filter(F.col("name") == n).orderBy(F.desc("n"), "value").limit(limit))
     return out
 
 

@@ -258,3 +258,11 @@ def test_scripts(spark):
     sent = scripts.sink_source("millrace_test_sink", lambda part, rows: sum(1 for _ in rows))
     scripts.write_script(spark.range(5), sent)
     assert routing.distribute_load(spark.range(4000), ["id"], {"a": 3, "b": 1}).filter("output = 'a'").count() == pytest.approx(3000, rel=0.1)
+
+
+def test_record_stats(spark):
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", None)], "x string, y string")
+    stats = lambda d, limit=None: sorted((r.name, r.value or "", r.n) for r in records.record_stats(d, {"p": "x", "q": "y"}, limit).collect())
+    assert stats(df) == [("p", "", 3), ("p", "a", 2), ("p", "b", 1), ("q", "", 0), ("record.count", "", 3)]
+    assert stats(df, 1) == [("p", "", 3), ("p", "a", 2), ("q", "", 0), ("record.count", "", 3)]
+    assert stats(df.limit(0)) == [("p", "", 0), ("q", "", 0), ("record.count", "", 0)]
