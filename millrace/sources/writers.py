@@ -28,7 +28,7 @@ def write_json(df: DataFrame, path: str, grouping: str = "lines", nulls: str = "
     if grouping == "lines":
         df.write.mode(mode).options(**keep).json(path)
         return
-    # an array is written row by row, with commas between and brackets around each partition's file
+    # a line for each batch, with commas between and brackets around each partition's file
     from collections.abc import Iterator
 
     import pandas as pd
@@ -36,8 +36,8 @@ def write_json(df: DataFrame, path: str, grouping: str = "lines", nulls: str = "
     def bracketed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         before = "["
         for frame in frames:
-            for value in frame["value"]:
-                yield pd.DataFrame({"value": [before + value]})
+            if len(frame):
+                yield pd.DataFrame({"value": [before + ",\n".join(frame["value"])]})
                 before = ","
         if before == ",":
             yield pd.DataFrame({"value": ["]"]})
