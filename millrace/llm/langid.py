@@ -3,8 +3,9 @@
 Filters of widths 2, 3 and 4 over bytes, max pooling over a fixed-length
 window and a softmax.  Training takes one window from each of a bounded sample
 of labelled documents (``TRAIN_DOCS``, a parameter); prediction cuts every
-whole text into overlapping fixed-length windows, runs them in batches and
-averages the class probabilities, weighted by the bytes of each window.
+whole text into overlapping fixed-length windows, runs them in batches and averages
+the class probabilities, weighted by the bytes of each window and by how far its
+best class stands above chance.
 
 Prediction maps rows one to one; the model is a few hundred kilobytes.
 Defined cases: a null text, or one with no letter, is ``und`` with score 0;
@@ -164,8 +165,11 @@ def predict(net: ByteCNN, texts, tables=None) -> tuple[list[str], list[float]]:
             x, who, size = np.concatenate(waiting), np.concatenate(owners), np.concatenate(held)
             for i in range(0, len(x), BATCH_WINDOWS):
                 part = slice(i, i + BATCH_WINDOWS)
-                np.add.at(sums, who[part], net.probabilities(x[part], tables) * size[part, None])
-                np.add.at(weights, who[part], size[part])
+                p = net.probabilities(x[part], tables)
+                # a window that says little about the language counts little
+                weight = size[part] * (p.max(axis=1) - 1 / len(net.classes) + 1e-3) ** 2
+                np.add.at(sums, who[part], p * weight[:, None])
+                np.add.at(weights, who[part], weight)
             waiting.clear(), owners.clear(), held.clear()
             count = 0
 
