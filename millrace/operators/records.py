@@ -125,8 +125,9 @@ def defragment(df: DataFrame, id_: str, index: str, count: str, value: str, sepa
 
 def _merged(df: DataFrame, bin_: str, attributes: str, everywhere: bool) -> DataFrame:
     sizes = df.groupBy(bin_).agg(F.count("*").alias("__all"))
-    pairs = df.select(bin_, F.explode(attributes).alias("k", "v")).groupBy(bin_, "k").agg(F.count_distinct("v").alias("d"), F.count("*").alias("n"), F.first("v").alias("v"))
-    kept = pairs.join(sizes, bin_).filter((F.col("d") == 1) & ((F.col("n") == F.col("__all")) | F.lit(not everywhere)))
+    pairs = df.select(bin_, F.explode(attributes).alias("k", "v")).groupBy(bin_, "k").agg(F.min("v").alias("v"), F.max("v").alias("w"), F.count("*").alias("n"))
+    # one value if the least is the greatest; no distinct count, so one shuffle
+    kept = pairs.join(sizes, bin_).filter((F.col("v") == F.col("w")) & ((F.col("n") == F.col("__all")) | F.lit(not everywhere)))
     maps = kept.groupBy(bin_).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias(attributes))
     return sizes.select(bin_).join(maps, bin_, "left").select(bin_, F.coalesce(attributes, F.create_map().cast("map<string,string>")).alias(attributes))
 
