@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.scratch import scratch_dir, scratch_path, written
+
+__all__ = ["WORDS", "WORD_PATTERN", "free_name", "remainder", "scratch_dir", "scratch_path", "table", "written"]
+
 #: A word: a run of anything but space and the ASCII controls tab to carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 WORDS = re.compile(WORD_PATTERN)
@@ -18,29 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Only where the session names none (tests, one machine) a local one is made.
-    """
-    context = spark.sparkContext
-    known = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not known:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-        known = context.getCheckpointDir()
-    return known.rstrip("/")
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back.
-
-    This cuts the lineage: a lost executor costs a reread, not a recomputation.
-    """
-    path = f"{scratch_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def remainder(key: str, modulus: int) -> Column:
     """crc32 of the key as text, modulo ``modulus``; -1 for a null key."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % modulus, F.lit(-1))

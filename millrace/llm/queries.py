@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, langid, linededup, lm, media, mixing, neardup, quality, toxicity, warc
-from millrace.llm.common import remainder, scratch_dir, table
+from millrace.llm.common import remainder, scratch_path, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -39,7 +38,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{scratch_dir(spark)}/warc-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), path)
     return warc.read_warc(spark, path).filter("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
