@@ -17,8 +17,8 @@ FLOAT_MAX = 3.4028234663852886e38
 
 def temporal_code(c: Column, date: str = DATE_FORMAT, time: str = TIME_FORMAT, timestamp: str = TIMESTAMP_FORMAT) -> Column:
     """TIMESTAMP, DATE or TIME for a text that fits that format, tried in this order; else null."""
-    # a text without two digits in a row is none of them, and is not worth a parse
-    likely = c.rlike(r"\d\d")
+    # a text without a digit is none of them, and is not worth a parse
+    likely = c.rlike(r"\d")
     fits = lambda p: likely & F.coalesce(F.date_format(F.try_to_timestamp(c, F.lit(p)), p) == c, F.lit(False))
     return F.when(fits(timestamp), "TIMESTAMP").when(fits(date), "DATE").when(fits(time), "TIME")
 
