@@ -3,6 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``documents``.  ``run`` writes each stage's result
 as a Parquet table in the shared folder and reads it back for the next one.
+The order that mixing gives is that of the table's files and of the rows in
+them; the last stage returns it as a column.
 """
 
 from __future__ import annotations
@@ -38,8 +40,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token numbers and digests of each document's ids and decoded text."""
-    return bpe.bpe_digests(docs, TOKENIZER)
+    """Token numbers and digests of each document's ids and decoded text, and its position in the mixture."""
+    placed = mixing.with_position(docs)
+    key = F.struct(F.col("doc_id").alias("doc_id"), F.col(placed.columns[-1]).alias("mix_position"))
+    coded = bpe.bpe_digests(placed.select(key.alias("key"), "text"), TOKENIZER, id_column="key")
+    return coded.select("key.doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "key.mix_position")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

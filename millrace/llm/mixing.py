@@ -25,12 +25,13 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import free_name
+from millrace.llm.common import free_name, written
 
 BLOCK_ROWS = 32
 BUCKET_ROWS = 512
@@ -116,3 +117,25 @@ def in_mixed_order(mixed: DataFrame) -> DataFrame:
     """The rows of ``mix`` over range partitions in the order of the mixture, without the three columns."""
     slot, place = mixed.columns[-2:]
     return mixed.repartitionByRange(slot, place).sortWithinPartitions(slot, place).drop(*mixed.columns[-3:])
+
+
+def with_position(table: DataFrame) -> DataFrame:
+    """``table`` with one more column, mix_position: each row's place from 0 on in a table of ``in_mixed_order`` that was written and read again.
+
+    A scan gives the rows in no certain order, but Spark's writer numbers files
+    by partition and keeps the order in each.  What is not the plain scan of a
+    table is written first.
+    """
+    if table._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        table = written(table, "in-order")
+    names, position = [f"c{i}" for i in range(len(table.columns))], free_name(table, "mix_position")
+    at = table.metadataColumn("_metadata")
+    rows = table.select(*(F.col(f"`{c.replace('`', '``')}`").alias(n) for c, n in zip(table.columns, names)), at["file_name"].alias("file"), at["row_index"].alias("row"))
+    sizes = {r[0]: r[1] for r in rows.groupBy("file").agg(F.count("*")).collect()}
+    starts, n = [], 0
+    for file in sorted(sizes, key=lambda f: (int(re.match(r"part-(\d+)", f)[1]), f)):
+        starts.append((file, n))
+        n += sizes[file]
+    # one row for each file
+    of_file = table.sparkSession.createDataFrame(starts, "file string, start long")
+    return rows.join(F.broadcast(of_file), "file").select(*names, (F.col("start") + F.col("row")).alias(position)).toDF(*table.columns, position)

@@ -2,14 +2,18 @@
 
 import hashlib
 import sys
+from fractions import Fraction
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parents[2]))
 import corpus_pipeline
+from millrace.llm import mixing
 from tests.llm import test_linededup, test_neardup, test_quality
 
 DIR = "/root/testdata/sf0.001"
@@ -55,3 +59,45 @@ def test_stages_keep_extra_columns(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, DIR)
     assert docs.columns[-2:] == ["gone", "rank"] and tuple(docs.first())[-2:] == ("g", 2)
+
+
+def brute_mixture(rows, block_rows=32, period=1024):
+    """Ids in the order of the mixture, slot by slot; each source has at most one bucket of rows."""
+    own = {}
+    for i, s in rows:
+        own.setdefault(s, []).append(i)
+    # Spark's hash of (id, "order"): the hash of each value is the seed of the next
+    hashed = lambda i: np.int64(np.uint64(xxhash.xxh64_intdigest(b"order", xxhash.xxh64_intdigest(int(i).to_bytes(8, "little"), 42))).view(np.int64))
+    names = sorted(own)
+    shares = dict(zip(names, mixing.integer_shares([len(own[s]) ** 0.5 for s in names], period)))
+    blocks = {s: [ids[k : k + block_rows] for k in range(0, len(ids), block_rows)] for s, ids in ((s, sorted(own[s], key=hashed)) for s in names)}
+    done, out, slot = dict.fromkeys(names, 0), [], 0
+    while any(done[s] < len(blocks[s]) for s in names):
+        # Pfair windows: block k is released at floor(k / w) and due by ceil((k + 1) / w)
+        weight = {s: Fraction(shares[s], period) for s in names}
+        ready = [s for s in names if done[s] / weight[s] // 1 <= slot]
+        s = min(ready, key=lambda s: (-(-(done[s] + 1) // weight[s]), s))
+        out += blocks[s][done[s]] if done[s] < len(blocks[s]) else []
+        done[s] += 1
+        slot += 1
+    return out
+
+
+def test_run_keeps_the_order_of_the_mixture(spark):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # many files
+    try:
+        got = {r.mix_position: r.doc_id for r in corpus_pipeline.run(spark, DIR).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    source = {r.doc_id: r.source for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()}
+    want = brute_mixture([(i, source[i]) for i in got.values()])
+    assert len(set(source.values())) > 1
+    assert [got[k] for k in range(len(got))] == want
+
+
+def test_position_is_that_of_files_and_rows(spark, tmp_path):
+    spark.range(1000).repartitionByRange(13, F.desc("id")).sortWithinPartitions(F.desc("id")).write.parquet(f"{tmp_path}/t")
+    for table in (spark.read.parquet(f"{tmp_path}/t"), spark.range(999, -1, -1, 7)):
+        assert sorted(tuple(r) for r in mixing.with_position(table).collect()) == [(i, 999 - i) for i in range(1000)]
+    assert mixing.with_position(spark.read.parquet(f"{tmp_path}/t").limit(0)).count() == 0
