@@ -9,7 +9,9 @@ shorter context.  Weights are log10 probabilities of an interpolated model::
     P(w)     = (c(w) - D) / N,   P(any unknown word) = D * V / N
 
 where h' drops the first word of h, a = ``MIX[order]``, and D is the
-Good-Turing discount n1 / (n1 + 2 n2 + 1).  A failure arc costs log10(1 - a).  One
+Good-Turing discount n1 / (n1 + 2 n2 + 1).  So all unknown words are one class;
+with ``spread_unseen`` each is one of V + 1 unknown words, of probability
+D * V / (N * (V + 1)), and junk scores low.  A failure arc costs log10(1 - a).  One
 pass from left to right over a text carries the state and adds up weights.
 
 Counts cover all training texts and never meet in one place:
@@ -230,7 +232,7 @@ class Automaton:
         return np.where(self.codes[arc] == code, self.weight[arc], failed)
 
 
-def build(block: Block, totals: list[np.ndarray], stats: list[int], n_training: int, order: int, mix: dict[int, float] = MIX) -> tuple[Automaton, int, np.ndarray]:
+def build(block: Block, totals: list[np.ndarray], stats: list[int], n_training: int, order: int, mix: dict[int, float] = MIX, spread_unseen: bool = False) -> tuple[Automaton, int, np.ndarray]:
     """The automaton of a block's n-grams, its start state, and each token's training count.
 
     ``totals[n-1]`` belongs to the sorted distinct n-gram hashes of the block.
@@ -245,7 +247,8 @@ def build(block: Block, totals: list[np.ndarray], stats: list[int], n_training:
         _, first, where = np.unique(h, return_index=True, return_inverse=True)
         count.append(total[where])
         firsts.append(first)
-    p_word = np.where(of_word > 0, (of_word - discount) / max(n_tokens, 1), discount * n_known / n_tokens if n_tokens else 1.0)
+    unseen = discount * n_known / n_tokens / (n_known + 1 if spread_unseen else 1) if n_tokens else 1.0
+    p_word = np.where(of_word > 0, (of_word - discount) / max(n_tokens, 1), unseen)
     p = p_word[ids]
     at = np.arange(len(ids)) - np.repeat(block.starts, block.ends - block.starts)
 
@@ -306,7 +309,7 @@ def build(block: Block, totals: list[np.ndarray], stats: list[int], n_training:
 SCORES = "row long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score_blocks(blocks: DataFrame, totals: DataFrame, stats: list[int], n_training: int, order: int) -> DataFrame:
+def score_blocks(blocks: DataFrame, totals: DataFrame, stats: list[int], n_training: int, order: int, spread_unseen: bool = False) -> DataFrame:
     """Step 3: join each block with its totals and walk every text."""
     n_tokens, n_known = stats[:2]
 
@@ -316,7 +319,7 @@ def score_blocks(blocks: DataFrame, totals: DataFrame, stats: list[int], n_train
         for n, r, t in zip(own.column("order").to_pylist(), own.column("range").to_pylist(), own.column("totals").to_pylist()):
             parts[n].append((r, t))
         by_order = [np.concatenate([_unpack(t, "<u4").astype(np.int64) for _, t in sorted(parts[n])]) for n in range(1, order + 1)]
-        machine, start, uni = build(block, by_order, stats, n_training, order)
+        machine, start, uni = build(block, by_order, stats, n_training, order, spread_unseen=spread_unseen)
         base = np.log10((uni + 1) / (n_tokens + n_known + 1))
         sums = np.add.reduceat(base, block.starts)
         known = np.add.reduceat((uni > 0).astype(np.int64), block.starts)
@@ -330,11 +333,12 @@ def score_blocks(blocks: DataFrame, totals: DataFrame, stats: list[int], n_train
     return blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, SCORES)
 
 
-def score_texts(df: DataFrame, training: str, text: str = "text", id_column: str = "doc_id", order: int = ORDER) -> DataFrame:
+def score_texts(df: DataFrame, training: str, text: str = "text", id_column: str = "doc_id", order: int = ORDER, spread_unseen: bool = False) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) of every row of ``df``.
 
     ``training`` is the name of a boolean column that marks the rows to learn
-    from; nulls there count as false.
+    from; nulls there count as false.  ``spread_unseen`` shares the unseen mass out
+    over V + 1 unknown words; otherwise all unknown words are one class.
     """
     own = df.select(F.col(id_column).cast("long").alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"), F.coalesce(F.col(training), F.lit(False)).alias("training"))
     size, n_training = own.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0)), F.coalesce(F.sum(F.col("training").cast("long")), F.lit(0))).first()
@@ -345,5 +349,5 @@ def score_texts(df: DataFrame, training: str, text: str = "text", id_column: str
     totals = written(add_up(gather_counts(blocks, order, ranges)), "lm-totals")
     found = totals.filter("kind = 'stats' AND order = 1").select(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(4))).first()
     stats = [int(x or 0) for x in found]
-    out = score_blocks(blocks.select("block", "row", "text"), totals.filter("kind = 'totals'").select("block", "order", "range", "totals"), stats, int(n_training), order)
+    out = score_blocks(blocks.select("block", "row", "text"), totals.filter("kind = 'totals'").select("block", "order", "range", "totals"), stats, int(n_training), order, spread_unseen)
     return out.withColumnRenamed("row", id_column)

@@ -3,8 +3,9 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
-from millrace.llm import lm
+from millrace.llm import lm, queries
 from pyspark.sql import functions as F
 
 
@@ -71,3 +72,24 @@ def test_edges(spark):
     assert lm.score_texts(df.limit(0), "training").count() == 0
     same = df.withColumn("training", F.lit(True))
     assert lm.score_texts(same, "training").count() == 3
+
+
+def test_junk_scores_below_ordinary_text(spark, tmp_path):
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(4000)]
+    rows = [(i, " ".join(rng.choices(vocab, [1 / (k + 1) for k in range(4000)], k=60))) for i in range(300)]
+    held = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 7 == 2][:4]
+    rows += [(i, " ".join(f"q{rng.randrange(10**9)}z" for _ in range(60))) for i in held]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op8_lm(spark, str(tmp_path)).collect()}
+    ordinary = [r.score / r.n_tokens for i, r in got.items() if i < 300 and r.held_out]
+    junk = [got[i].score / got[i].n_tokens for i in held]
+    assert ordinary and all(got[i].held_out and got[i].n_known == 1 for i in held)
+    assert max(junk) < min(ordinary)
+    # over the known words and V + 1 unknown ones the root's probabilities sum to 1
+    words = [b"a b c c", b"x"]
+    block = lm.Block(words)
+    machine, _, _ = lm.build(block, [lm._counts(block, np.array([1.0, 0.0]), 1)[0][1]], [5, 4, 3, 1], 1, 1, spread_unseen=True)
+    p = 10**machine.root
+    unknown = p[block.ids[block.starts[1]]]
+    assert p.sum() - unknown + 5 * unknown == pytest.approx(1)
