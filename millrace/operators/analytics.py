@@ -123,15 +123,17 @@ def processor_status(groups: DataFrame, group_id: str, processors: str) -> DataF
 
 
 def group_status(groups: DataFrame, group_id: str, parent_id: str, flows: Sequence[str], most_depth: int = 50) -> DataFrame:
-    """Each group with totals over itself and all groups below it."""
+    """Each group with totals over itself and all groups below it; an error if these go deeper than ``most_depth``."""
     pairs = groups.select(F.col(group_id).alias("top"), F.col(group_id).alias("member"))
     every, level = pairs, pairs
     child = groups.select(F.col(group_id).alias("__c"), F.col(parent_id).alias("__p"))
-    for _ in range(most_depth):
+    for _ in range(most_depth + 1):
         level = written(level.join(child, F.col("member") == F.col("__p")).select("top", F.col("__c").alias("member")), "groups")
         if level.isEmpty():
             break
         every = every.union(level)
+    else:
+        raise RuntimeError(f"groups go deeper than {most_depth} levels")
     totals = every.join(groups.select(F.col(group_id).alias("member"), *flows), "member").groupBy("top").agg(*(F.sum(f).alias(f"total_{f}") for f in flows))
     return groups.select(group_id, parent_id).join(totals, F.col(group_id) == F.col("top")).drop("top")
 
@@ -187,15 +189,18 @@ def lineage(edges: DataFrame, start: DataFrame, parent: str = "parent", child: s
     """(item, depth) of all items reached from ``start`` through parents and children.
 
     Each step meets only the edges, and is written, so lineage and plans stay short.
+    Items further away than ``most_depth`` are an error.
     """
     both = edges.select(F.col(parent).alias("u"), F.col(child).alias("v")).union(edges.select(F.col(child), F.col(parent))).distinct()
     seen = front = start.toDF("item").distinct().withColumn("depth", F.lit(0))
-    for depth in range(1, most_depth + 1):
+    for depth in range(1, most_depth + 2):
         step = front.join(both, F.col("item") == F.col("u")).select(F.col("v").alias("item")).distinct().join(seen, "item", "left_anti")
         front = written(step.withColumn("depth", F.lit(depth)), "lineage")
         if front.isEmpty():
             break
         seen = seen.union(front)
+    else:
+        raise RuntimeError(f"items are further away than {most_depth} steps")
     return seen
 
 

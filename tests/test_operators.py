@@ -246,6 +246,17 @@ def test_limits_and_lineage(spark):
     assert sorted((r.item, r.depth) for r in analytics.lineage(edges, spark.createDataFrame([(3,)], "x int")).collect()) == [(1, 2), (2, 1), (3, 0)]
 
 
+def test_depth_limits_raise(spark):
+    chain = spark.createDataFrame([(1, None, 1), (2, 1, 1), (3, 2, 1), (4, 3, 1)], "g int, parent int, n int")
+    assert sorted((r.g, r.total_n) for r in analytics.group_status(chain, "g", "parent", ["n"], 3).collect()) == [(1, 4), (2, 3), (3, 2), (4, 1)]
+    with pytest.raises(RuntimeError):
+        analytics.group_status(chain, "g", "parent", ["n"], 2)
+    start = spark.createDataFrame([(1,)], "x int")
+    assert analytics.lineage(chain, start, "parent", "g", 3).agg({"depth": "max"}).first()[0] == 3
+    with pytest.raises(RuntimeError):
+        analytics.lineage(chain, start, "parent", "g", 2)
+
+
 def test_stream_order_and_overtake(spark, tmp_path):
     rows = [(1, 0, "a"), (1, 2, "c"), (1, 1, "b"), (1, 1, "again"), (2, 1, "x")]
     spark.createDataFrame(rows, "g int, n int, v string").write.parquet(str(tmp_path / "in"))
