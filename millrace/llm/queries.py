@@ -50,7 +50,7 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder("doc_id", 7) == 2
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (~held_out).alias("training"))
-    scores = lm.score_texts(docs, "training", spread_unseen=True)
+    scores = lm.score_texts(docs, "training", order=3, spread_unseen=True, min_context=2)
     return scores.withColumn("held_out", held_out)
 
 

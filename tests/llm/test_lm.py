@@ -9,10 +9,10 @@ from millrace.llm import lm, queries
 from pyspark.sql import functions as F
 
 
-def brute(rows, order):
+def brute(rows, order, min_context=1):
     seq = {k: [*lm.tokens((t or '').encode()), None] for k, t, _ in rows}
     train = [k for k, _, use in rows if use]
-    grams = [None, Counter(), Counter(), Counter()]
+    grams = [None, *(Counter() for _ in range(4))]
     contexts = Counter()
     for k in train:
         s = ["<s>", *seq[k]]
@@ -34,6 +34,8 @@ def brute(rows, order):
         lower = p(h[1:], w)
         c = contexts[h] if h == ("<s>",) else grams[len(h)][h]
         a = lm.MIX[len(h) + 1]
+        if len(h) > 1 and c < min_context:
+            return lower
         return a * grams[len(h) + 1][*h, w] / c + (1 - a) * lower if c else lower
 
     out = {}
@@ -45,22 +47,24 @@ def brute(rows, order):
     return out, p, grams
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_equals_brute_force(spark, order, monkeypatch):
+@pytest.mark.parametrize("order,min_context,fan", [(1, 1, 100), (2, 1, 3), (3, 1, 100), (3, 2, 3), (4, 1, 2), (4, 3, 100)])
+def test_equals_brute_force(spark, order, min_context, fan, monkeypatch):
     monkeypatch.setattr(lm, "BLOCK_BYTES", 4000)
     monkeypatch.setattr(lm, "RANGE_BYTES", 7000)
+    monkeypatch.setattr(lm, "FAN", fan)
+    monkeypatch.setattr(lm, "WALK_TOKENS", 100)
     rng = random.Random(order)
     vocab = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(rng.choices(vocab, [1 / (k + 1) for k in range(60)], k=rng.randrange(30))), zlib.crc32(str(i).encode()) % 7 != 2) for i in range(200)]
     rows += [(300, None, True), (301, "", False), (302, "W1 w1 x É\tnew words", False), (303, "w0 w1 " * 2000, True), (304, "\x1c", True)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, training boolean, row string")
-    got = {r.doc_id: tuple(r)[1:] for r in lm.score_texts(df, "training", order=order).collect()}
-    want, p, grams = brute(rows, order)
+    got = {r.doc_id: tuple(r)[1:] for r in lm.score_texts(df, "training", order=order, min_context=min_context).collect()}
+    want, p, grams = brute(rows, order, min_context)
     assert got.keys() == want.keys()
     for k in want:
         assert got[k][:3] == want[k][:3]
         assert got[k][3:] == pytest.approx(want[k][3:], rel=1e-9)
-    for h in [(), ("<s>",), (b"w0",), (b"nothing",), (b"w0", b"w1")][: (1, 4, 5)[order - 1]]:
+    for h in [(), ("<s>",), (b"w0",), (b"nothing",), (b"w0", b"w1")][: (1, 4, 5, 5)[order - 1]]:
         known = sum(p(h, w) for (w,) in grams[1])
         assert known + p(h, "no such word") == pytest.approx(1)
 
@@ -93,3 +97,40 @@ def test_junk_scores_below_ordinary_text(spark, tmp_path):
     p = 10**machine.root
     unknown = p[block.ids[block.starts[1]]]
     assert p.sum() - unknown + 5 * unknown == pytest.approx(1)
+
+
+def test_counts_beyond_32_bits(spark):
+    keys = np.array([3, 1 << 40, (1 << 63) + 5], np.uint64)
+    sent = [(1, r, b, k, c) for b, counts in ((7, [1 << 32, 3, 0]), (8, [5, 1 << 40, 255])) for r, k, c in lm._send(keys, np.array(counts, np.int64), 1)]
+    rows = lm.add_up(spark.createDataFrame(sent, lm.SENT), 1).collect()
+    assert {r.block: lm._unpack(r.totals).tolist() for r in rows if r.block >= 0} == dict.fromkeys((7, 8), [(1 << 32) + 5, (1 << 40) + 3, 255])
+    assert [r.stats for r in rows if r.block < 0] == [[(1 << 32) + (1 << 40) + 263, 3, 0, 0]]
+
+
+def test_ids_of_any_type_and_repeated_rows(spark):
+    rows = [("x", "a b", True, 1)] * 40 + [(None, "a b", True, 2)] * 40 + [("y", "b", False, 3)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, training boolean, block int")
+    out = lm.score_texts(df, "training", order=3, min_context=2).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(str(r[0]) for r in rows)
+    assert {r.train_tokens for r in out} == {240} and len({r.score for r in out}) == 2
+
+
+def test_walk_follows_failure_arcs():
+    texts = [b"a b c", b"a b d", b"x b c"]
+    block = lm.Block(texts)
+    counts = [c for _, c in lm._counts(block, np.array([1.0, 1.0, 1.0]), 3)]
+    machine, start, _ = lm.build(block, counts, [12, 6, 2, 0], 3, 3)
+    arcs = machine.load(0, len(block.ids))
+    for a, b in zip(block.starts, block.ends):
+        words, state, total = block.ids[a:b].tolist(), start, 0.0
+        for w in words:
+            while state and (state << 32 | w) not in arcs:
+                total += machine._fail_weight[state]
+                state = machine._fail_state[state]
+            step, state = arcs[state << 32 | w] if state else (machine.root[w], machine._root_target[w])
+            total += step
+        assert machine.walk(words, start, arcs) == pytest.approx(total)
+    # no arc from (x, b) over d: two words, one word, and, b having an arc, no further
+    ids = dict(zip([b"a", b"b", b"c", b"", b"d", b"x"], [1, 2, 3, 0, 4, 5]))
+    at_xb = machine.walk([ids[b"x"], ids[b"b"], ids[b"d"]], start, arcs) - machine.walk([ids[b"x"], ids[b"b"]], start, arcs)
+    assert at_xb == pytest.approx(math.log10(0.5 * (0.5 * 1 / 3 + 0.5 * 10 ** machine.root[4])))
