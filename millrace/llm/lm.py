@@ -67,7 +67,7 @@ FAN = 16_384
 #: Ranges up to which each is a partition of its own; more are dealt by Spark's hash.
 OWN_PARTITIONS = 20_000
 #: Tokens for which arcs are held at once.
-WALK_TOKENS = 60_000
+WALK_TOKENS = 8_000
 #: Keys of the end of a text and of its start; words hash to other values in all likelihood.
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 _MULTIPLIER = np.uint64(0x2545F4914F6CDD1D)
@@ -103,6 +103,11 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8, offset=1).reshape(width, -1).T).view(f"<u{width}").ravel()
 
 
+def _expanded(raw: bytes) -> bytes:
+    with pa.input_stream(pa.py_buffer(raw), compression="zstd") as stream:
+        return stream.read()
+
+
 class Block:
     """The tokens of some texts as one sequence of ids, and their n-grams."""
 
@@ -122,12 +127,12 @@ class Block:
         self.at = np.arange(len(ids)) - np.repeat(self.starts, ends - self.starts)
 
     def packed(self) -> tuple[bytes, bytes, bytes]:
-        return _pack(self.ids), _pack(self.ends), _pack(self.word_hash)
+        return pa.compress(_pack(self.ids), "zstd", asbytes=True), _pack(self.ends), _pack(self.word_hash)
 
     @classmethod
     def unpacked(cls, ids: bytes, ends: bytes, words: bytes) -> Block:
-        block = cls.__new__(cls)
-        block._set(_unpack(ids).astype(np.int64), _unpack(ends).astype(np.int64), _unpack(words))
+        block, stops = cls.__new__(cls), _unpack(ends).astype(np.int64)
+        block._set(_unpack(_expanded(ids)).astype(np.int64), stops, _unpack(words))
         return block
 
     def grams(self, order: int) -> list[np.ndarray]:
@@ -157,8 +162,10 @@ class Block:
 def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Places that hold an n-gram, the sorted distinct hashes, the first place of each, and the hash's number at each such place."""
     at = np.flatnonzero(h)
-    keys, first, where = np.unique(h[at], return_index=True, return_inverse=True)
-    return at, keys, at[first], where
+    keys, where = np.unique(h[at], return_inverse=True)
+    first = np.empty(len(keys), np.int64)
+    first[where[::-1]] = at[::-1]
+    return at, keys, first, where
 
 
 def _counts(block: Block, training: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:

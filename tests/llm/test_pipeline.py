@@ -61,7 +61,7 @@ def test_stages_keep_extra_columns(spark):
     assert docs.columns[-2:] == ["gone", "rank"] and tuple(docs.first())[-2:] == ("g", 2)
 
 
-def brute_mixture(rows, block_rows=32, period=1024):
+def brute_mixture(rows, block_rows=32):
     """Ids in the order of the mixture, slot by slot; each source has at most one bucket of rows."""
     own = {}
     for i, s in rows:
@@ -69,12 +69,12 @@ def brute_mixture(rows, block_rows=32, period=1024):
     # Spark's hash of (id, "order"): the hash of each value is the seed of the next
     hashed = lambda i: np.int64(np.uint64(xxhash.xxh64_intdigest(b"order", xxhash.xxh64_intdigest(int(i).to_bytes(8, "little"), 42))).view(np.int64))
     names = sorted(own)
-    shares = dict(zip(names, mixing.integer_shares([len(own[s]) ** 0.5 for s in names], period)))
+    exact = {s: Fraction(repr(len(own[s]) ** 0.5)) for s in names}
+    weight = {s: w / sum(exact.values()) for s, w in exact.items()}
     blocks = {s: [ids[k : k + block_rows] for k in range(0, len(ids), block_rows)] for s, ids in ((s, sorted(own[s], key=hashed)) for s in names)}
     done, out, slot = dict.fromkeys(names, 0), [], 0
     while any(done[s] < len(blocks[s]) for s in names):
         # Pfair windows: block k is released at floor(k / w) and due by ceil((k + 1) / w)
-        weight = {s: Fraction(shares[s], period) for s in names}
         ready = [s for s in names if done[s] / weight[s] // 1 <= slot]
         s = min(ready, key=lambda s: (-(-(done[s] + 1) // weight[s]), s))
         out += blocks[s][done[s]] if done[s] < len(blocks[s]) else []
