@@ -8,18 +8,26 @@ that shares a bucket is verified on the full sets.
 
 * Equal texts are one node from the start; they are never paired.
 * A bucket of at most ``SMALL`` nodes gives its pairs, each verified once.
-* A larger bucket is cut in chunks of about ``CHUNK`` nodes, and each pair of
-  chunks is one group, which verifies all its pairs in numpy and returns only
+* A larger bucket is cut by set size, in classes so wide that only sets of one
+  class or of neighbours can be similar enough, and each class in chunks of
+  about ``CHUNK`` nodes.  Each pair of chunks that can hold links is one group,
+  which verifies all its pairs in numpy and returns only
   each node's number of links and a spanning forest of them.  A pair that
   meets in several buckets counts in one of them, so numbers are exact and a
   hot bucket is dealt over many tasks without a row for each pair.
+* Gram hashes are made once for each node and travel in place of the texts;
+  nodes meet them before they are dealt to pairs of chunks, so no node is a
+  hot key of a join.
 * Classes are the connected components of the links, found by alternating
-  large-star and small-star steps on written tables.
+  large-star and small-star steps on written tables; 50 rounds without an end
+  (a chain of more than about 2^25 texts) are an error.
 
 Defined cases: texts with no words, null ones included, are never linked and
 are classes of their own row; rows with a null id get a null class and no
 links; repeated ids with different texts are different nodes; the class id is
-the smallest id in it.
+the smallest id in it.  Ids are whole numbers (texts of them are read, others
+are an error); an empty table gives an empty result; other columns, of any
+name, are not touched.
 """
 
 from __future__ import annotations
@@ -104,11 +112,11 @@ def _nodes(df: DataFrame, text: str, id_column: str) -> DataFrame:
 
 
 def sketch(nodes: DataFrame, bands: int, rows: int, n: int = GRAM) -> DataFrame:
-    """(id, node, bands) of rows with an id and a word."""
+    """(id, node, size, bands) of rows with an id and a word; ``size`` is that of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, hashes = [], []
+            keep, sizes, hashes = [], [], []
             last, found = None, None
             for i, (node, text) in enumerate(zip(batch.column(1), batch.column(2))):
                 if node != last:
@@ -116,30 +124,43 @@ def sketch(nodes: DataFrame, bands: int, rows: int, n: int = GRAM) -> DataFrame:
                     last, found = node, band_hashes(grams, bands, rows) if len(grams) else None
                 if found is not None:
                     keep.append(i)
+                    sizes.append(len(grams))
                     hashes.append(found)
             picked = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(picked), batch.column(1).take(picked), pa.array(hashes, pa.list_(pa.int64()))], ["id", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(picked), batch.column(1).take(picked), pa.array(sizes, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], ["id", "node", "size", "bands"])
 
-    return nodes.filter("id IS NOT NULL").mapInArrow(run, "id long, node binary, bands array<long>")
+    return nodes.filter("id IS NOT NULL").mapInArrow(run, "id long, node binary, size long, bands array<long>")
 
 
-def verify_pairs(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
-    """The rows (a, b) of ``pairs`` whose texts are similar enough."""
+def gram_table(texts: DataFrame, n: int) -> DataFrame:
+    """(node, grams): the sorted gram hashes of (node, text) rows as 64-bit numbers in one binary value."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([gram_hashes(t.as_py(), n).tobytes() for t in part.column(1)], pa.binary())], ["node", "grams"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, grams binary")
+
+
+def verify_pairs(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+    """The rows (a, b) of ``pairs`` whose sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, last, own = [], None, None
             for i, (a, ta, tb) in enumerate(zip(batch.column(0), batch.column(2), batch.column(3))):
                 if a != last:
-                    last, own = a, gram_hashes(ta.as_py(), n)
-                other = gram_hashes(tb.as_py(), n)
+                    last, own = a, np.frombuffer(ta.as_py(), np.uint64)
+                other = np.frombuffer(tb.as_py(), np.uint64)
                 both = len(np.intersect1d(own, other, assume_unique=True))
                 if both >= threshold * (len(own) + len(other) - both) - 1e-9:
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in (0, 1)], ["a", "b"])
 
-    second = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    first = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+    second = grams.select(F.col("node").alias("b"), F.col("grams").alias("tb"))
+    first = grams.select(F.col("node").alias("a"), F.col("grams").alias("ta"))
     return pairs.join(second, "b").join(first, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
@@ -153,15 +174,15 @@ def _common(left: np.ndarray, right: np.ndarray, grams: list[np.ndarray]) -> np.
     out = np.zeros((len(left), len(right)), np.float32)
     order = np.argsort(where, kind="stable")
     where, owner = where[order], owner[order]
-    for start in range(0, len(columns), 8192):
-        a, b = np.searchsorted(where, [start, start + 8192])
-        m = np.zeros((len(grams), 8192), np.float32)
+    for start in range(0, len(columns), 4096):
+        a, b = np.searchsorted(where, [start, start + 4096])
+        m = np.zeros((len(grams), 4096), np.float32)
         m[owner[a:b], where[a:b] - start] = 1
         out += m[left] @ m[right].T
     return out
 
 
-def link_chunks(groups: DataFrame, threshold: float, n: int, bands: int) -> DataFrame:
+def link_chunks(groups: DataFrame, threshold: float, bands: int) -> DataFrame:
     """(a, b, n) for each pair of chunks: forest edges (a, b, 0) and numbers of links (a, null, n)."""
     schema = "a binary, b binary, n long"
     names = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64())])
@@ -170,7 +191,7 @@ def link_chunks(groups: DataFrame, threshold: float, n: int, bands: int) -> Data
         band, one_chunk = key[1].as_py(), key[2].as_py() == key[3].as_py()
         node = group.column("node").to_pylist()
         side = np.array(group.column("side").to_pylist())
-        grams = [gram_hashes(t, n) for t in group.column("text").to_pylist()]
+        grams = [np.frombuffer(g, np.uint64) for g in group.column("grams").to_pylist()]
         size = np.array([len(g) for g in grams], np.float32)
         marks = np.zeros((2, len(node), bands), np.int64)  # small buckets, large buckets
         for i, own in enumerate(group.column("marks").to_pylist()):
@@ -233,57 +254,77 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id", n: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """(id, class_id, n_links) of every row; ``n_links`` counts the different texts linked to the row's."""
+def _classes(df: DataFrame, text: str, id_column: str, n: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """(id, node, class_id, n_links, first) of every row; ``first`` is the node of the row that gives the class its id.
+
+    The last three are null for texts without words.
+    """
     bands, rows = choose_bands(threshold, recall)
     all_rows = _nodes(df, text, id_column)
     sketches = written(sketch(all_rows, bands, rows, n), "sketches")
-    reps = sketches.groupBy("node").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
-    banded = reps.select("node", "rep", F.posexplode("bands").alias("band", "bucket"))
+    reps = sketches.groupBy("node").agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    banded = reps.select("node", "rep", "size", F.posexplode("bands").alias("band", "bucket"))
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
-    members = written(banded.join(sizes, "bucket").select("bucket", "band", "node", "rep", "m", (F.col("m") > SMALL).alias("large")), "members")
+    members = written(banded.join(sizes, "bucket").select("bucket", "band", "node", "rep", "size", (F.col("m") > SMALL).alias("large")), "members")
     chosen = members.select("node", "rep").distinct()
-    texts = written(all_rows.join(chosen.withColumnRenamed("rep", "id"), ["node", "id"], "left_semi").select("node", "text").dropDuplicates(["node"]), "texts")
+    texts = all_rows.join(chosen.withColumnRenamed("rep", "id"), ["node", "id"], "left_semi").select("node", "text").dropDuplicates(["node"])
+    grams = written(gram_table(texts, n), "grams")
 
     # small buckets: at most SMALL nodes are collected, and give each of their pairs
-    own = members.filter("NOT large").groupBy("bucket").agg(F.sort_array(F.collect_list("node")).alias("l"))
-    tails = F.transform("l", lambda x, i: F.transform(F.slice(F.col("l"), i + 2, F.size("l")), lambda y: F.struct(x.alias("a"), y.alias("b"))))
+    own = members.filter("NOT large").groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("node", "size"))).alias("l"))
+    near = lambda x, y: F.least(x["size"], y["size"]) >= (threshold - 1e-6) * F.greatest(x["size"], y["size"])
+    tails = F.transform("l", lambda x, i: F.transform(F.filter(F.slice(F.col("l"), i + 2, F.size("l")), lambda y: near(x, y)), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b"))))
     pairs = own.select(F.explode(F.flatten(tails)).alias("p")).select("p.a", "p.b").distinct()
-    links = written(verify_pairs(pairs, texts, threshold, n), "links")
+    links = written(verify_pairs(pairs, grams, threshold), "links")
 
-    # large buckets: pairs of chunks
-    large = members.filter("large")
+    # large buckets: pairs of chunks; sets whose sizes lie two classes apart cannot be linked
+    large = members.filter("large").withColumn("band_of_size", F.floor(F.log(F.col("size").cast("double")) / -math.log(threshold - 1e-6)))
     marks = members.join(large.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.collect_list(F.struct("band", "bucket", "large")).alias("marks"))
-    chunks = large.select("bucket", "band", "node", F.ceil(F.col("m") / CHUNK).alias("k")).withColumn("c", F.pmod(F.xxhash64("node", "bucket"), F.col("k")))
-    place = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.struct(F.least("c", j).alias("ci"), F.greatest("c", j).alias("cj"), F.when(F.col("c") <= j, 0).otherwise(1).alias("side")))
-    groups = chunks.withColumn("g", F.explode(place)).select("bucket", "band", "node", "g.*").join(marks, "node").join(texts, "node")
-    found = written(link_chunks(groups, threshold, n, bands), "chunk-links")
+    chunks_of = large.groupBy("bucket", "band_of_size").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("k"))
+    around = chunks_of.select("bucket", F.explode(F.array(*(F.col("band_of_size") + d for d in (-1, 0, 1)))).alias("band_of_size"), F.struct(F.col("band_of_size").alias("s"), "k").alias("c"))
+    around = around.groupBy("bucket", "band_of_size").agg(F.collect_list("c").alias("near"))
+    chunks = large.join(chunks_of, ["bucket", "band_of_size"]).join(around, ["bucket", "band_of_size"])
+    mine = F.struct(F.col("band_of_size").alias("s"), F.pmod(F.xxhash64("node", "bucket"), F.col("k")).cast("int").alias("c"))
+    # what a node is compared with is met by the node first, then dealt
+    dealt = chunks.select("bucket", "band", "node", "near", mine.alias("mine")).join(marks, "node").join(grams, "node")
+    others = F.flatten(F.transform("near", lambda c: F.transform(F.sequence(F.lit(0), c["k"] - 1), lambda j: F.struct(c["s"].alias("s"), j.alias("c")))))
+    place = F.transform(others, lambda o: F.struct(F.least("mine", o).alias("ci"), F.greatest("mine", o).alias("cj"), F.when(F.col("mine") <= o, 0).otherwise(1).alias("side")))
+    groups = dealt.withColumn("g", F.explode(place)).select("bucket", "band", "node", "g.*", "marks", "grams")
+    found = written(link_chunks(groups, threshold, bands), "chunk-links")
 
     edges = links.union(found.filter("b IS NOT NULL").select("a", "b"))
     counts = links.select(F.col("a").alias("node"), F.lit(1).cast("long").alias("n")).union(links.select("b", F.lit(1).cast("long"))).union(found.filter("b IS NULL").select("a", "n"))
     counts = counts.groupBy("node").agg(F.sum("n").alias("n_links"))
     rooted = components(edges)
     named = reps.select("node", "rep")
-    of_root = rooted.join(named, "node").groupBy("root").agg(F.min("rep").alias("class_id"))
-    linked = rooted.join(of_root, "root").join(counts, "node", "left").select("node", "class_id", "n_links")
-    by_node = named.join(linked, "node", "left").select("node", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = all_rows.select("id", "node").join(by_node, "node", "left")
+    of_root = rooted.join(named, "node").groupBy("root").agg(F.min(F.struct("rep", "node")).alias("least")).select("root", F.col("least.rep").alias("class_id"), F.col("least.node").alias("first"))
+    linked = rooted.join(of_root, "root").join(counts, "node", "left").select("node", "class_id", "first", "n_links")
+    by_node = named.join(linked, "node", "left").select("node", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("first", "node").alias("first"))
+    return all_rows.select("id", "node").join(by_node, "node", "left")
+
+
+def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id", n: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """(id, class_id, n_links) of every row; ``n_links`` counts the different texts linked to the row's."""
+    out = _classes(df, text, id_column, n, threshold, recall)
     return out.select(F.col("id").alias(id_column), F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"), F.when(F.col("id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"))
 
 
 def keep_one_each(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """``df`` with one row of each class: that whose id is the class id.
+    """``df`` with one row of each class: that which gives the class its id, by id and text.
 
-    Rows with a null id, and rows without words, all stay.
+    Of rows equal in both, any one stays.  Rows with a null id, and rows
+    without words, all stay.
     """
-    classes = near_duplicates(df, text, id_column).select(F.col(id_column).alias("__id"), "class_id")
-    kept = written(classes.filter("__id = class_id").groupBy("__id").agg(F.count("*").alias("__n")), "kept")
+    classes = _classes(df, text, id_column).filter("id IS NOT NULL")
+    first = F.col("class_id").isNull() | ((F.col("id") == F.col("class_id")) & (F.col("node") == F.col("first")))
+    kept = written(classes.filter(first).groupBy("id", "node").agg(F.count("*").alias("n")), "kept").select(F.col("id").alias("__id"), F.col("node").alias("__node"), F.col("n").alias("__n"))
     # rows that the table repeats need one picked; without any, rows only meet the small table of ids
     repeated = kept.filter("__n > 1").limit(1).count() > 0
     names = [free_name(df, f"__c{i}") for i in range(len(df.columns))]
     own = df.toDF(*names)
     i, t = names[df.columns.index(id_column)], names[df.columns.index(text)]
-    out = own.join(kept.select("__id"), F.col(i).cast("long") == F.col("__id"), "left_semi")
+    node = F.unhex(F.md5(F.coalesce(F.col(t).cast("string"), F.lit(""))))
+    out = own.join(kept.select("__id", "__node"), (F.col(i).cast("long") == F.col("__id")) & (node == F.col("__node")), "left_semi")
     if repeated:
         wordy = F.coalesce(F.col(t).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
         out = out.filter(wordy).dropDuplicates([i, t]).union(out.filter(~wordy))

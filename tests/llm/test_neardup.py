@@ -72,6 +72,31 @@ def test_edges(spark):
     assert sorted(str(r.doc_id) for r in neardup.keep_one_each(df).collect()) == ["1", "2", "2", "3", "None"]
 
 
+def test_only_the_row_that_names_its_class_stays(spark):
+    b = "one text of some words that others copy"
+    rows = [(3, b), (5, "quite another text of other words"), (5, b), (7, b + " " * 3), (8, b), (8, b)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, node string, id int")
+    got = sorted((r.doc_id, r.text) for r in neardup.keep_one_each(df).collect())
+    assert got == sorted(rows[:2])
+    # two texts of the smallest id in one class: one of them stays
+    long = " ".join(f"w{i}" for i in range(100))
+    near = [(1, long), (1, long + " more"), (2, long)]
+    assert [r.doc_id for r in neardup.keep_one_each(spark.createDataFrame(near, "doc_id long, text string")).collect()] == [1]
+
+
+def test_sizes_at_the_edge_of_their_classes(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 2)
+    monkeypatch.setattr(neardup, "CHUNK", 3)
+    words = [f"w{i}" for i in range(204)]
+    # sets of 200 down to 150 grams, each inside the others
+    rows = [(k, " ".join(words[: 204 - k])) for k in range(51)]
+    got = {(r.doc_id, rows[r.doc_id][1]): (r.class_id, r.n_links) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute(rows)
+    assert {k: c for k, (c, _) in got.items()} == {k: c for k, (c, _) in want.items()}
+    # a pair at the very threshold shares no band with a chance of RECALL at most
+    assert sum(n for _, n in got.values()) >= 0.995 * sum(n for _, n in want.values())
+
+
 def test_recall_at_the_threshold():
     bands, rows = neardup.choose_bands()
     rng = np.random.default_rng(6)
