@@ -9,14 +9,19 @@ white space runs to one space, lower case, and whose decoder is unset (tokens
 joined by one space).
 
 Rows map one to one with no shuffle.  Every Python worker reads the vocabulary
-once and keeps bounded caches of chunks and words; no text is cut short.
+once and keeps caches of chunks and words, bounded in entries and in the length
+of what they keep; no text is cut short.  A fragment of n symbols takes
+n log n steps, so a text of one endless word costs about as much as any other.
 
 Defined cases: a null text is empty; an empty text has no ids and decodes to
-the empty string; special tokens written in a text become their ids.
+the empty string; special tokens written in a text become their ids.  Repeated
+rows and null ids of any type give a row each; other columns, of any name, are
+not used.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import struct
@@ -33,6 +38,10 @@ from tokenizers import Tokenizer
 
 CACHE_CHUNKS = 300_000
 CACHE_WORDS = 200_000
+#: Longer chunks and words are not kept.
+CACHED_LETTERS = 64
+#: Fragments up to here are merged by scanning, longer ones by a heap.
+SHORT_FRAGMENT = 48
 ROUND_TRIP_ROWS = 500
 #: Up to here all Unicode versions agree on classes and case; beyond it the library is asked.
 LAST_LATIN = "\u024f"
@@ -46,13 +55,15 @@ def byte_letters() -> list[str]:
 
 
 class _Cache(dict):
-    """A dict that makes missing values and forgets all when full."""
+    """A dict that makes missing values, keeps those of short keys and forgets all when full."""
 
     def __init__(self, make, limit: int):
         super().__init__()
         self.make, self.limit = make, limit
 
     def __missing__(self, key):
+        if len(key) > CACHED_LETTERS:
+            return self.make(key)
         if len(self) >= self.limit:
             self.clear()
         self[key] = value = self.make(key)
@@ -90,6 +101,8 @@ class ForcedBoundaryBPE:
 
     def merge(self, parts: list[str]) -> list[int]:
         """Ids of one fragment: the pair of lowest rank is joined first, leftmost among equals."""
+        if len(parts) > SHORT_FRAGMENT:
+            return self.merge_long(parts)
         rank, none = self.ranks.get, len(self.ranks)
         scores = [rank(p, none) for p in zip(parts, parts[1:])]
         while scores and (best := min(scores)) < none:
@@ -102,6 +115,28 @@ class ForcedBoundaryBPE:
                 scores[i] = rank((parts[i], parts[i + 1]), none)
         return [self.vocab[p] for p in parts]
 
+    def merge_long(self, parts: list[str]) -> list[int]:
+        """The same in n log n steps: pairs wait in a heap by rank and place, symbols are linked to their neighbours."""
+        rank, n = self.ranks.get, len(parts)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        waiting = [(r, i, p) for i, p in enumerate(zip(parts, parts[1:])) if (r := rank(p)) is not None]
+        heapq.heapify(waiting)
+        while waiting:
+            _, i, pair = heapq.heappop(waiting)
+            j = after[i] if parts[i] else n
+            if j >= n or (parts[i], parts[j]) != pair:
+                continue  # one of the two has been joined to another since
+            parts[i], parts[j] = parts[i] + parts[j], ""
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (r := rank((parts[i], parts[k]))) is not None:
+                    heapq.heappush(waiting, (r, i, (parts[i], parts[k])))
+            h = before[i]
+            if h >= 0 and (r := rank((parts[h], parts[i]))) is not None:
+                heapq.heappush(waiting, (r, h, (parts[h], parts[i])))
+        return [self.vocab[p] for p in parts if p]
+
     def encode_word(self, letters: str) -> bytes:
         """Ids of one pre-token in byte letters: cut it at pairs that no token has inside, encode the fragments, concatenate."""
         symbols = list(letters)

@@ -1,4 +1,6 @@
 import hashlib
+import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -30,6 +32,37 @@ def test_equals_the_library_on_any_text(text):
     same(text)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text("abcdefghinorst-=_", min_size=50, max_size=400))
+def test_long_words_equal_the_library(text):
+    same(text)
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "acgt", "-", "=", "ab"])
+def test_long_words_take_little_more_than_linear_time(letters):
+    rng = random.Random(5)
+    word = "".join(rng.choice(letters) for _ in range(40_000))
+    same(word[:3000])
+    own, start = coder(PATH), time.perf_counter()
+    ids = own.encode(word)
+    assert time.perf_counter() - start < 2
+    assert "".join(token_table(PATH)[i] for i in ids).removesuffix(own.end) == word
+
+
+def test_caches_keep_no_long_words():
+    own = coder(PATH)
+    for i in range(50):
+        own.encode(f"{i}" + "xy" * 5000)
+    assert max(map(len, own.chunks)) <= 64 >= max(map(len, own.words))
+
+
+def test_odd_rows(spark):
+    rows = [(None, "a b", 1), (None, "a b", 2), ("x", "a b", 3), ("x", "c", 4)]
+    got = bpe_digests(spark.createDataFrame(rows, "doc_id string, text string, ids int"), PATH)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted((str(r.doc_id), r.n_tokens) for r in got.collect()) == [("None", 2), ("None", 2), ("x", 1), ("x", 2)]
+
+
 def test_table(spark):
     rows = [(1, "Hello, World"), (2, None), (2, ""), (3, "x " * 5000)]
     got = sorted(tuple(r) for r in bpe_digests(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect())
