@@ -40,7 +40,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), path)
-    return warc.read_warc(spark, path).filter("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    records, gaps = warc.read_records(spark, path)
+    lost = gaps.limit(1).collect()
+    if lost:
+        raise ValueError(f"archives just written have gaps, such as {lost[0]}")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,12 +8,19 @@ and ``revisit`` records without payload that refer to it.
 ``read_warc`` reads whole archives (plain, or gzip with one or many records in
 a member) and checks each record: version line, lengths, end mark, payload
 digest.  After a failed check it searches for the next valid gzip member or
-version line, goes on there, and reports the bytes between as a gap.
+version line, goes on there, and reports the bytes between as a gap.  Records
+that a broken gzip member holds before its break are kept if their payload
+digest agrees; they have length 0, as the member's bytes are the gap's.
+Members are inflated a piece at a time, so an archive takes linear time.
 
-Archives hold about ``TARGET_BYTES`` each, so that one fits a task.  Defined
+Archives hold about ``TARGET_BYTES`` each, so that one fits a task, and never
+more than ``MOST_BYTES`` however page sizes are spread.  Defined
 cases: a null payload is empty; a null url or page_id is left out of the
-header and read back as null; rows repeated with one page_id are responses
-both; an empty table gives no records.
+header and read back as null; a row with a null page_id refers to a response
+with one if its payload is not new, and is a response otherwise; rows repeated
+with one page_id are responses both; very long payloads are records of their
+own archive at worst; an empty table gives no records; other columns, of any
+name, are not written.
 """
 
 from __future__ import annotations
@@ -32,6 +39,9 @@ from pyspark.sql import functions as F
 from millrace.llm.common import written
 
 TARGET_BYTES = 32 << 20
+#: Below the 2 GB that a reader of whole files can take.
+MOST_BYTES = 1 << 30
+PIECE = 1 << 16
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -90,9 +100,38 @@ def _record(data: bytes, at: int) -> tuple[Found, int]:
     return Found("record", at, stop + 4 - at, headers, size, digest, payload), stop + 4
 
 
+class _BrokenMember(_Broken):
+    """A gzip member that ends early or fails; ``whole`` holds what it gave before."""
+
+    def __init__(self, reason: str, whole: bytes):
+        super().__init__(reason)
+        self.whole = whole
+
+
+def _inflated(data: memoryview, at: int) -> tuple[bytes, int]:
+    """The content of the gzip member at ``at`` and the place after it."""
+    inflate, out, pos = zlib.decompressobj(31), [], at
+    while pos < len(data):
+        piece, before = data[pos : pos + PIECE], inflate.copy()
+        try:
+            out.append(inflate.decompress(piece))
+        except zlib.error as e:
+            # byte by byte up to the error
+            try:
+                for i in range(len(piece)):
+                    out.append(before.decompress(piece[i : i + 1]))
+            except zlib.error:
+                pass
+            raise _BrokenMember(f"gzip member: {e}", b"".join(out)) from e
+        pos += len(piece)
+        if inflate.eof:
+            return b"".join(out), pos - len(inflate.unused_data)
+    raise _BrokenMember("gzip member without end", b"".join(out))
+
+
 def salvage(data: bytes) -> Iterator[Found]:
     """All records that can be read, and the gaps between them, in order."""
-    at, gap, reason = 0, None, ""
+    at, gap, reason, view = 0, None, "", memoryview(data)
 
     def closed(end: int) -> Iterator[Found]:
         if gap is not None:
@@ -101,14 +140,7 @@ def salvage(data: bytes) -> Iterator[Found]:
     while at < len(data):
         try:
             if data[at : at + 3] == b"\x1f\x8b\x08":
-                inflate = zlib.decompressobj(31)
-                try:
-                    inner = inflate.decompress(data[at:]) + inflate.flush()
-                except zlib.error as e:
-                    raise _Broken(f"gzip member: {e}") from e
-                if not inflate.eof:
-                    raise _Broken("gzip member without end")
-                stop = len(data) - len(inflate.unused_data)
+                inner, stop = _inflated(view, at)
                 yield from closed(at)
                 gap = None
                 for found in salvage(inner):  # places inside a member are reported as the member's
@@ -123,6 +155,11 @@ def salvage(data: bytes) -> Iterator[Found]:
                 raise _Broken("no version line or gzip member")
             at = stop
         except _Broken as e:
+            if isinstance(e, _BrokenMember):
+                for found in salvage(e.whole):
+                    if found.kind == "record" and "warc-payload-digest" in found.headers:
+                        found.offset, found.length = at, 0
+                        yield found
             if gap is None:
                 gap, reason = at, str(e)
             following = _NEXT.search(data, at + 1)
@@ -163,12 +200,14 @@ def write_warc(pages: DataFrame, path: str, payload: str = "html", url: str = "u
     own = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(payload).cast("string"), F.lit("")).alias("payload"))
     own = own.withColumn("digest", base32_sha1(F.col("payload").cast("binary")))
     repeated = own.filter(F.octet_length("payload") >= min_revisit_bytes).groupBy("digest").agg(F.count("*").alias("n"), F.max("page_id").alias("response")).filter("n > 1").select("digest", "response")
-    mean = own.agg(F.avg(F.octet_length("payload"))).first()[0] or 0.0
+    mean, most = own.agg(F.coalesce(F.avg(F.octet_length("payload")), F.lit(0.0)), F.coalesce(F.max(F.octet_length("payload") + F.coalesce(F.octet_length("url"), F.lit(0))), F.lit(0))).first()
     # written first, so that its true size decides how it is joined
     joined = own.join(written(repeated, "warc-repeated"), "digest", "left")
     refers = F.when((F.octet_length("payload") >= min_revisit_bytes) & ~F.col("page_id").eqNullSafe(F.col("response")), F.col("response"))
     records = joined.withColumn("refers_to", refers).select(record_column().alias("value"))
-    records.write.option("lineSep", "\n").option("maxRecordsPerFile", max(1, int(target_bytes / (mean + 400)))).text(path)
+    # as many as usually give the target, but never more than the longest payload allows
+    per_file = max(1, min(int(target_bytes / (mean + 400)), MOST_BYTES // (most + 1000)))
+    records.write.option("lineSep", "\n").option("maxRecordsPerFile", per_file).text(path)
 
 
 _NUMBER = re.compile(r"<urn:page:(-?\d+)>")
@@ -198,6 +237,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(read, schema)
 
 
+def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(records, gaps) of all archives under ``path``, read once and written to the shared folder."""
+    found = written(read_warc(spark, path), "warc-found")
+    return found.filter("kind = 'record'"), found.filter("kind = 'gap'").select("archive", "start", "length", "reason")
+
+
 RECORDS_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS response FROM p)

@@ -2,6 +2,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pytest
 from millrace.llm import media
 
 
@@ -33,3 +34,43 @@ def test_peaks_find_a_tone_in_time():
 
 def test_empty_table(spark):
     assert media.media_digests(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def brute_pairs(samples):
+    """Fingerprints frame by frame, with the Fourier sum written out."""
+    x = [b - 128.0 for b in samples]
+    n = max(1, -(-max(0, len(x) - 256) // 128) + 1)
+    x += [0.0] * ((n - 1) * 128 + 256 - len(x))
+    turn = np.exp(-2j * np.pi * np.outer(np.arange(129), np.arange(256)) / 256)
+    hann = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(256) / 255)
+    power = [np.abs(turn @ (hann * x[t * 128 : t * 128 + 256])) ** 2 for t in range(n)]
+    peaks = []
+    for low, high in ((2, 8), (8, 20), (20, 48), (48, 129)):
+        best = [max(range(low, high), key=lambda f: (p[f], -f)) for p in power]
+        level = [p[f] for p, f in zip(power, best)]
+        for t in range(n):
+            before, after = level[t - 1] if t else 0, level[t + 1] if t + 1 < n else 0
+            if level[t] > before and level[t] >= after and level[t] > 1e-3:
+                peaks.append((t, best[t]))
+    peaks.sort()
+    return sorted(t << 32 | f << 16 | g << 8 | u - t for i, (t, f) in enumerate(peaks) for u, g in peaks[i + 1 : i + 4] if u - t <= 31)
+
+
+@pytest.mark.parametrize("frames", [2048, 3, 1])
+def test_fingerprints_equal_brute_force(frames, monkeypatch):
+    monkeypatch.setattr(media, "FRAMES", frames)
+    rng = np.random.default_rng(8)
+    for n in (64, 256, 320, 5000):
+        samples = rng.integers(32, 127, n).astype(np.uint8).tobytes()
+        assert media.peak_pairs(samples).tolist() == brute_pairs(samples)
+
+
+def test_any_ids_and_names(spark):
+    rows = [(None, "a", 1, None), (None, "a", 2, b"x"), ("k", None, 3, b"y")]
+    df = spark.createDataFrame(rows, "payload_bytes string, text string, fingerprints int, media binary")
+    got = media.media_digests(df, id_column="payload_bytes")
+    assert got.count() == 3 and got.columns[0] == "payload_bytes"
+    stored = spark.createDataFrame([(1, media.wav_bytes(b"abcd" * 16), "p"), (2, None, "q")], "payload_bytes int, media binary, fingerprints string")
+    out = media.wav_features(stored)
+    assert out.columns[:4] == ["payload_bytes", "fingerprints", "payload_bytes_", "payload_sha256"] and out.columns[-1] == "fingerprints_"
+    assert sorted((r.payload_bytes, r.fingerprints, r.payload_bytes_) for r in out.collect()) == [(1, "p", 64), (2, "q", None)]

@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import random
+import time
 
 from millrace.llm import warc
 
@@ -44,6 +45,49 @@ def test_salvage_recovers_later_records():
         assert ids(noise) == [0, 1] and gaps(noise)[0] == (0, 4)
 
 
+def test_records_before_the_break_of_a_member():
+    parts = [record(n, random.Random(n).randbytes(3000)) for n in range(9)]
+    member = gzip.compress(b"".join(parts))
+    after = gzip.compress(record(9, b"later"))
+    for cut in (len(member) * 2 // 3, len(member) - 5):
+        assert ids(member[:cut])[:5] == [0, 1, 2, 3, 4] and gaps(member[:cut]) == [(0, cut)]
+        broken = bytearray(member)
+        broken[cut] ^= 0xFF
+        found = ids(bytes(broken) + after)
+        assert found[:5] == [0, 1, 2, 3, 4] and found[-1] == 9 and len(found) == len(set(found))
+        assert gaps(bytes(broken) + after) == [(0, len(member))]
+    # without a digest nothing in a broken member can be trusted
+    bare = b"".join(p.replace(b"WARC-Payload-Digest", b"X-Other") for p in parts)
+    assert ids(gzip.compress(bare)) == list(range(9)) and ids(gzip.compress(bare)[:-9]) == []
+
+
+def test_many_members_take_linear_time():
+    rng = random.Random(4)
+    members = [gzip.compress(record(n, rng.randbytes(8000)), 1) for n in range(4000)]
+    start = time.perf_counter()
+    assert len(ids(b"".join(members))) == 4000
+    assert time.perf_counter() - start < 4
+
+
+def test_gaps_are_a_table(spark, tmp_path):
+    parts = [record(n, b"x" * 50) for n in range(3)]
+    (tmp_path / "a.warc").write_bytes(parts[0] + b"noise" + parts[1])
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(parts[2])[:-3])
+    records, lost = warc.read_records(spark, str(tmp_path))
+    assert sorted(r.page_id for r in records.collect()) == [0, 1, 2]
+    assert sorted((r.start, r.length, r.reason) for r in lost.collect()) == [(0, len(gzip.compress(parts[2])) - 3, "gzip member without end"), (len(parts[0]), 5, "no version line or gzip member")]
+
+
+def test_null_ids_and_skewed_sizes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_BYTES", 60_000)
+    rows = [(None, "u", "same"), (4, "u", "same"), (None, "u", "alone"), (None, "u", "twice"), (None, None, "twice"), (7, "u", "z" * 30_000)] + [(100 + i, "u", f"p{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(df, str(tmp_path / "w"))
+    assert max(p.stat().st_size for p in (tmp_path / "w").glob("part-*")) < 60_000
+    got = [(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read_warc(spark, str(tmp_path / "w")).filter("page_id IS NULL OR page_id < 100").collect()]
+    assert sorted(got, key=str) == sorted([(None, 4, "revisit", 4), (4, 4, "response", None), (None, 5, "response", None), (None, 5, "response", None), (None, 5, "response", None), (7, 30_000, "response", None)], key=str)
+
+
 def test_every_byte_is_a_record_or_a_gap():
     rng = random.Random(1)
     whole = b"".join(record(n, bytes(rng.randrange(256) for _ in range(40))) for n in range(8))
