@@ -10,7 +10,11 @@ best class stands above chance.
 Prediction maps rows one to one; the model is a few hundred kilobytes.
 Defined cases: a null text, or one with no letter, is ``und`` with score 0;
 rows with null labels are not learned from; with no labelled row at all every
-text is ``und``.
+text is ``und``; of languages with equal probabilities the first in order of
+their codes is taken; repeated rows are learned from as often as they occur and
+predicted alike; very long texts have more windows, run in the same batches; an
+empty table gives an empty result.  The operator is a column, so columns of any
+name stand beside it.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ STRIDE = WINDOW - max(WIDTHS) + 1
 TRAIN_DOCS = 6000
 EPOCHS = 12
 BATCH_WINDOWS = 256
+#: How much less a window counts that says little about the language.
+WINDOW_POWER = 2
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 
@@ -167,7 +173,7 @@ def predict(net: ByteCNN, texts, tables=None) -> tuple[list[str], list[float]]:
                 part = slice(i, i + BATCH_WINDOWS)
                 p = net.probabilities(x[part], tables)
                 # a window that says little about the language counts little
-                weight = size[part] * (p.max(axis=1) - 1 / len(net.classes) + 1e-3) ** 2
+                weight = size[part] * (p.max(axis=1) - 1 / len(net.classes) + 1e-3) ** WINDOW_POWER
                 np.add.at(sums, who[part], p * weight[:, None])
                 np.add.at(weights, who[part], weight)
             waiting.clear(), owners.clear(), held.clear()

@@ -13,9 +13,16 @@ differs from its share of the unlabelled texts by ``MIN_Z`` standard errors.  Bo
 folder, their traits are counted by Spark, and only rows of feature numbers
 reach the driver.  Scoring maps rows one to one.
 
+Both bounds on the samples and that on features are parameters; what they cost
+against a fit on all texts is measured in the README.
+
 Defined cases: null and empty texts have no words and get the bias alone;
-labels for ids that are missing from the documents are ignored; without any
-positive label all scores are 0.
+labels for ids that are missing from the documents, and null ids, are ignored; an
+id with several labels counts once, as toxic if one of them says so; documents
+that repeat an id are all learned from; without any
+positive label all scores are 0; very long texts are scored whole; of traits
+that tie for the last place the first in order is taken; empty tables give
+no model.  Columns of any name may stand beside the named ones.
 """
 
 from __future__ import annotations
@@ -38,6 +45,7 @@ MIN_Z = 6.0
 MIN_TEXTS = 5
 EPOCHS = 500
 CACHED_WORDS = 500_000
+SAMPLE_PARTS = 32
 _LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -94,17 +102,24 @@ def select_traits(sample: DataFrame, n: int, m: int) -> list[str]:
     return [r.trait for r in longest.orderBy(F.desc("z"), "trait").limit(MAX_FEATURES).collect()]
 
 
+def nnpu_risk(w: np.ndarray, xp: np.ndarray, xu: np.ndarray, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """The positive and the negative part of the risk with the logistic loss, and their gradients."""
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+    zp, zu = xp @ w, xu @ w
+    positive = prior * np.logaddexp(0, -zp).mean()
+    negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    gp = xp.T @ (-(1 - sigmoid(zp))) * (prior / len(xp))
+    gn = xu.T @ sigmoid(zu) / len(xu) - xp.T @ sigmoid(zp) * (prior / len(xp))
+    return positive, negative, gp, gn
+
+
 def fit_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, epochs: int = EPOCHS, rate: float = 0.1, decay: float = 1e-5) -> np.ndarray:
-    """Weights by full-batch Adam on the non-negative risk with the logistic loss; the last column is the bias."""
+    """Weights by full-batch Adam on the non-negative risk; the last column is the bias."""
     w = np.zeros(xp.shape[1], np.float32)
     w[-1] = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
     m, v = np.zeros_like(w), np.zeros_like(w)
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
     for step in range(1, epochs + 1):
-        zp, zu = xp @ w, xu @ w
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        gp = xp.T @ (-(1 - sigmoid(zp))) * (prior / len(xp))
-        gn = xu.T @ sigmoid(zu) / len(xu) - xp.T @ sigmoid(zp) * (prior / len(xp))
+        _, negative, gp, gn = nnpu_risk(w, xp, xu, prior)
         # below zero the negative part is climbed back up instead
         g = gp + gn if negative >= 0 else -gn
         g[:-1] += decay * w[:-1]
@@ -124,7 +139,7 @@ def _words(df: DataFrame, text: str, positive: int, limit: int) -> DataFrame:
 
 def fit(documents: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id", toxic: str = "toxic", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> WordModel | None:
     """Learn from ``labels`` (id, toxic) and the texts of ``documents``; None without positives."""
-    known = labels.filter(F.col(toxic).isNotNull()).select(id_column, F.col(toxic).cast("int").alias("__toxic")).distinct()
+    known = labels.filter(F.col(toxic).isNotNull() & F.col(id_column).isNotNull()).groupBy(id_column).agg(F.max(F.col(toxic).cast("int")).alias("__toxic"))
     counts = known.agg(F.count("*"), F.sum(F.expr("if(__toxic = 1, 1L, 0L)"))).first()
     n_docs = documents.count()
     if not counts[1] or not n_docs:
@@ -134,7 +149,7 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", id_column:
     confirmed = known.filter("__toxic = 1").filter(draw("positive") < some(max_positive / counts[1])).select(id_column)
     positive = _words(documents.select(id_column, text).join(confirmed, id_column, "left_semi"), text, 1, 2 * max_positive)
     unlabelled = _words(documents.filter(draw("unlabelled") < some(max_unlabelled / n_docs)).select(text), text, 0, 2 * max_unlabelled)
-    sample = written(positive.union(unlabelled), "toxicity-sample")
+    sample = written(positive.union(unlabelled).repartition(SAMPLE_PARTS), "toxicity-sample")
     sizes = {r[0]: r[1] for r in sample.groupBy("positive").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return None
