@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 from millrace.scratch import written
 
 
+#: Rows up to which a page is the end of a sorted limit.
+TOP_ROWS = 100_000
+
+
 def _micros(c: Column) -> Column:
     """Microseconds of a time, with or without a zone."""
     return F.unix_micros(c.cast("timestamp"))
@@ -35,8 +40,13 @@ def pages(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
 
 
 def page(df: DataFrame, order: Sequence[str], size: int, number: int) -> DataFrame:
-    """One page, from 0."""
-    return df.orderBy(*order).offset(number * size).limit(size)
+    """One page, from 0.  Pages far from the start are found by row numbers, as a sorted limit meets in one task."""
+    from millrace.operators.records import numbered
+
+    if (number + 1) * size <= TOP_ROWS:
+        return df.orderBy(*order).offset(number * size).limit(size)
+    at = F.col("__place")
+    return numbered(df, order, "__place").filter((at >= number * size) & (at < (number + 1) * size)).drop("__place")
 
 
 def query_with_aggregations(df: DataFrame, predicate: Column, aggregations: dict[str, tuple[str, Column]], order: Sequence[str | Column], hits: int) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -76,10 +86,10 @@ def rolling_bins(df: DataFrame, key: str, ts: str, value: str, bin_seconds: int,
     return sums.withColumns({"rolling_total": F.sum("total").over(w), "rolling_n": F.sum("n").over(w)})
 
 
-def snapshot_history(df: DataFrame, key: str, ts: str, most: int, not_before: str | None = None) -> DataFrame:
-    """The newest ``most`` snapshots of each key, none before a date."""
+def snapshot_history(df: DataFrame, key: str, ts: str, most: int, not_before: str | None = None, tie: str | None = None) -> DataFrame:
+    """The newest ``most`` snapshots of each key, none before a date; of those at one time the largest ``tie``, or any fixed one."""
     kept = df.filter(F.col(ts) >= F.lit(not_before).cast("timestamp")) if not_before else df
-    return kept.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(ts)))).filter(F.col("__n") <= most).drop("__n")
+    return kept.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(ts), F.desc(tie) if tie else F.xxhash64(*df.columns)))).filter(F.col("__n") <= most).drop("__n")
 
 
 def linear_trend(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
@@ -122,18 +132,23 @@ def processor_status(groups: DataFrame, group_id: str, processors: str) -> DataF
     return groups.select(F.col(group_id).alias("group_id"), F.explode(processors).alias("__p")).select("group_id", "__p.*")
 
 
-def group_status(groups: DataFrame, group_id: str, parent_id: str, flows: Sequence[str], most_depth: int = 50) -> DataFrame:
-    """Each group with totals over itself and all groups below it; an error if these go deeper than ``most_depth``."""
+def group_status(groups: DataFrame, group_id: str, parent_id: str, flows: Sequence[str], most_depth: int | None = None) -> DataFrame:
+    """Each group with totals over itself and all groups below it, however deep.
+
+    A cycle is an error, as are groups deeper than ``most_depth`` if that is given.
+    """
     pairs = groups.select(F.col(group_id).alias("top"), F.col(group_id).alias("member"))
     every, level = pairs, pairs
     child = groups.select(F.col(group_id).alias("__c"), F.col(parent_id).alias("__p"))
-    for _ in range(most_depth + 1):
+    for depth in itertools.count(1):
         level = written(level.join(child, F.col("member") == F.col("__p")).select("top", F.col("__c").alias("member")), "groups")
         if level.isEmpty():
             break
+        if most_depth is not None and depth > most_depth:
+            raise RuntimeError(f"groups go deeper than {most_depth} levels")
+        if not level.filter("top = member").isEmpty():
+            raise ValueError("a group is inside itself")
         every = every.union(level)
-    else:
-        raise RuntimeError(f"groups go deeper than {most_depth} levels")
     totals = every.join(groups.select(F.col(group_id).alias("member"), *flows), "member").groupBy("top").agg(*(F.sum(f).alias(f"total_{f}") for f in flows))
     return groups.select(group_id, parent_id).join(totals, F.col(group_id) == F.col("top")).drop("top")
 
@@ -145,16 +160,18 @@ def bulletins(df: DataFrame, levels: Sequence[str], since: str | None = None, un
     return out.filter(F.col("ts") < F.lit(until).cast("timestamp")) if until else out
 
 
-def query_since_last_run(spark: SparkSession, sql: str, state: str, name: str, now: str) -> DataFrame:
+def query_since_last_run(spark: SparkSession, sql: str, state: str, name: str, now: str, path: str | None = None) -> DataFrame:
     """SQL with :start and :end bound to the end of the last run and to ``now``, which is then stored.
 
-    ``state`` is a table (name, at), a row for each run; no row means from the beginning.
+    ``state`` is a table (name, at), a row for each run; no row means from the
+    beginning.  ``path`` is where the table lies, else the warehouse.
     """
     last = "1970-01-01 00:00:00"
     if spark.catalog.tableExists(state):
         last = spark.table(state).filter(F.col("name") == name).agg(F.max("at")).first()[0] or last
     out = spark.sql(sql, args={"start": last, "end": now})
-    spark.createDataFrame([(name, now)], "name string, at string").write.mode("append").saveAsTable(state)
+    writer = spark.createDataFrame([(name, now)], "name string, at string").write.mode("append")
+    (writer.option("path", path) if path else writer).saveAsTable(state)
     return out
 
 
@@ -185,23 +202,27 @@ def filter_provenance(df: DataFrame, include: dict[str, object] | None = None, e
     return df
 
 
-def lineage(edges: DataFrame, start: DataFrame, parent: str = "parent", child: str = "child", most_depth: int = 100) -> DataFrame:
-    """(item, depth) of all items reached from ``start`` through parents and children.
+def lineage(edges: DataFrame, start: DataFrame, parent: str = "parent", child: str = "child", most_depth: int | None = None) -> DataFrame:
+    """(item, depth) of all items reached from ``start`` through parents and children, however far.
 
-    Each step meets only the edges, and is written, so lineage and plans stay short.
-    Items further away than ``most_depth`` are an error.
+    Each step meets only the edges, and is written, so lineage and plans stay
+    short.  Edges lead both ways, so what a step finds anew is what is in
+    neither of the two steps before.  With ``most_depth``, items further away
+    are an error.
     """
-    both = edges.select(F.col(parent).alias("u"), F.col(child).alias("v")).union(edges.select(F.col(child), F.col(parent))).distinct()
-    seen = front = start.toDF("item").distinct().withColumn("depth", F.lit(0))
-    for depth in range(1, most_depth + 2):
-        step = front.join(both, F.col("item") == F.col("u")).select(F.col("v").alias("item")).distinct().join(seen, "item", "left_anti")
-        front = written(step.withColumn("depth", F.lit(depth)), "lineage")
+    both = edges.select(F.col(parent).alias("u"), F.col(child).alias("v")).union(edges.select(F.col(child), F.col(parent))).filter("u <> v").distinct()
+    both = written(both, "lineage-edges")
+    seen = front = written(start.toDF("item").distinct().withColumn("depth", F.lit(0)), "lineage")
+    before = front
+    for depth in itertools.count(1):
+        step = front.join(both, F.col("item") == F.col("u")).select(F.col("v").alias("item")).distinct()
+        step = step.join(before.union(front).select("item"), "item", "left_anti")
+        before, front = front, written(step.withColumn("depth", F.lit(depth)), "lineage")
         if front.isEmpty():
-            break
+            return seen
+        if most_depth is not None and depth > most_depth:
+            raise RuntimeError(f"items are further away than {most_depth} steps")
         seen = seen.union(front)
-    else:
-        raise RuntimeError(f"items are further away than {most_depth} steps")
-    return seen
 
 
 def set_operation(a: DataFrame, b: DataFrame, how: str, all_: bool = False) -> DataFrame:
@@ -218,8 +239,11 @@ def set_operation(a: DataFrame, b: DataFrame, how: str, all_: bool = False) -> D
 
 
 def detect_duplicates(df: DataFrame, keys: Sequence[str], ts: str, age_off: int | None = None, tie: str | None = None) -> DataFrame:
-    """Adds is_duplicate: the key was seen before, no longer than ``age_off`` seconds before the last time."""
-    order = [ts, tie] if tie else [ts]
+    """Adds is_duplicate: the key was seen before, no longer than ``age_off`` seconds before the last time.
+
+    Of rows at one time the least ``tie`` is the first, or any fixed one.
+    """
+    order = [ts, tie or F.xxhash64(*(c for c, t in df.dtypes if not t.startswith("map")))]
     w = Window.partitionBy(*keys).orderBy(*order)
     before = F.lag(_micros(F.col(ts))).over(w)
     dup = before.isNotNull() if age_off is None else F.coalesce(_micros(F.col(ts)) - before <= age_off * 1_000_000, F.lit(False))

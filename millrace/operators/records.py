@@ -95,7 +95,9 @@ def merge_bins(df: DataFrame, key: str, order: Sequence[str], max_rows: int, max
     """Adds ``bin``: in order within a key, a bin closes before it would exceed either limit.
 
     Running limits that start anew are a fold, so each key's sizes are folded
-    in its own group, in Arrow batches sorted by Spark.
+    one after another in Arrow batches sorted by Spark: a key with many rows is
+    one task, whose memory is a batch.  Where bins need not run over a whole
+    key, a finer key (a day, a slice of ids) deals it over tasks.
     """
     columns = df.columns
     sized = df.withColumn("__size", size.cast("long")).repartition(key).sortWithinPartitions(key, *order)
@@ -124,12 +126,14 @@ def defragment(df: DataFrame, id_: str, index: str, count: str, value: str, sepa
 
 
 def _merged(df: DataFrame, bin_: str, attributes: str, everywhere: bool) -> DataFrame:
-    sizes = df.groupBy(bin_).agg(F.count("*").alias("__all"))
-    pairs = df.select(bin_, F.explode(attributes).alias("k", "v")).groupBy(bin_, "k").agg(F.min("v").alias("v"), F.max("v").alias("w"), F.count("*").alias("n"))
-    # one value if the least is the greatest; no distinct count, so one shuffle
-    kept = pairs.join(sizes, bin_).filter((F.col("v") == F.col("w")) & ((F.col("n") == F.col("__all")) | F.lit(not everywhere)))
-    maps = kept.groupBy(bin_).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias(attributes))
-    return sizes.select(bin_).join(maps, bin_, "left").select(bin_, F.coalesce(attributes, F.create_map().cast("map<string,string>")).alias(attributes))
+    # each member's first pair, or its empty map, counts it
+    pairs = df.select(bin_, F.posexplode_outer(attributes).alias("__at", "k", "v")).groupBy(bin_, "k").agg(
+        F.min("v").alias("v"), F.max("v").alias("w"), F.count("*").alias("n"), F.sum(F.when(F.coalesce("__at", F.lit(0)) == 0, 1).otherwise(0)).alias("members")
+    )
+    # one value if the least is the greatest; no distinct count, and one read
+    whole = pairs.groupBy(bin_).agg(F.sum("members").alias("__all"), F.array_sort(F.collect_list(F.when(F.col("k").isNotNull() & (F.col("v") == F.col("w")), F.struct("k", "v", "n")))).alias("l"))
+    kept = F.filter("l", lambda p: (p["n"] == F.col("__all")) | F.lit(not everywhere))
+    return whole.select(bin_, F.map_from_entries(F.transform(kept, lambda p: F.struct(p["k"], p["v"]))).alias(attributes))
 
 
 def keep_common_attributes(df: DataFrame, bin_: str, attributes: str) -> DataFrame:

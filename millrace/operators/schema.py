@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,11 +16,21 @@ _SPARK = {"INT": "int", "LONG": "bigint", "FLOAT": "float", "DOUBLE": "double",
 FLOAT_MAX = 3.4028234663852886e38
 
 
+def shape(form: str) -> str:
+    """A pattern that all texts of a date format match: digits for the letters of numbers, anything for names."""
+    out = []
+    for letters, quoted, other in re.findall(r"([A-Za-z]+)|'([^']*)'|([^A-Za-z'])", form):
+        for run in (m[0] for m in re.finditer(r"([A-Za-z])\1*", letters)):
+            digits = run[0] in "uydHhkKmsSn" or (run[0] in "ML" and len(run) < 3)
+            out.append((rf"\d{{{len(run)}}}" if len(run) > 1 else r"\d+") if digits else ".+")
+        out.append(re.escape(quoted or other))
+    return rf"\A{''.join(out)}\z"
+
+
 def temporal_code(c: Column, date: str = DATE_FORMAT, time: str = TIME_FORMAT, timestamp: str = TIMESTAMP_FORMAT) -> Column:
     """TIMESTAMP, DATE or TIME for a text that fits that format, tried in this order; else null."""
-    # a text without a digit is none of them, and is not worth a parse
-    likely = c.rlike(r"\d")
-    fits = lambda p: likely & F.coalesce(F.date_format(F.try_to_timestamp(c, F.lit(p)), p) == c, F.lit(False))
+    # only a text of the format's shape is worth a parse
+    fits = lambda p: F.when(c.rlike(shape(p)), F.coalesce(F.date_format(F.try_to_timestamp(c, F.lit(p)), p) == c, F.lit(False))).otherwise(False)
     return F.when(fits(timestamp), "TIMESTAMP").when(fits(date), "DATE").when(fits(time), "TIME")
 
 

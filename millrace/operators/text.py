@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.predicates import sure
+from millrace.scratch import written
 
 # --- replace and extract ---------------------------------------------------
 
@@ -37,13 +38,17 @@ def replace_computed(c: Column, pattern: str, make: Callable[[Sequence[Column]],
 def replace_with_mapping(df: DataFrame, text: str, key: Sequence[str], mapping: DataFrame) -> DataFrame:
     """Words replaced by a table (word, replacement); all else in the text stays.
 
-    ``key`` names the row.  Words are exploded and joined, so the mapping may be of any size.
+    Words are exploded and joined, so the mapping may be of any size; of several
+    replacements of a word the least counts.  Rows are numbered and written
+    first, so ``key`` may be null or repeated, and be any columns.
     """
+    rows = written(df.withColumn("__row", F.monotonically_increasing_id()), "mapping-rows")
     parts = F.regexp_extract_all(text, F.lit(r"(\w+|\W+)"), 1)
-    words = df.select(*key, F.posexplode(parts).alias("__i", "word"))
-    mapped = words.join(mapping, "word", "left").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("__i", F.coalesce("replacement", "word").alias("w")))).alias("__p"))
-    joined = mapped.select(*key, F.array_join(F.col("__p.w"), "").alias("__t"))
-    return df.join(joined, list(key), "left").withColumn(text, F.coalesce("__t", text)).drop("__t")
+    words = rows.select("__row", F.posexplode(parts).alias("__i", "word"))
+    unique = mapping.filter("word IS NOT NULL").groupBy("word").agg(F.min("replacement").alias("replacement"))
+    mapped = words.join(unique, "word", "left").groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("__i", F.coalesce("replacement", "word").alias("w")))).alias("__p"))
+    joined = mapped.select("__row", F.array_join(F.col("__p.w"), "").alias("__t"))
+    return rows.join(joined, "__row", "left").withColumn(text, F.coalesce("__t", text)).select(*df.columns)
 
 
 def extract_text(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
@@ -454,14 +459,15 @@ def hash_attribute(df: DataFrame, parts: dict[str, str], name: str = "hash") ->
 
 
 def fuzzy_hash(c: Column, words: int = 3, bits: int = 64) -> Column:
-    """SimHash of the word shingles, as a long: each bit is what most shingles' hashes have there."""
+    """SimHash of the word shingles, as a long: each bit is what most shingles' hashes have there; null without a word."""
     tokens = F.filter(F.split(F.lower(c), r"\W+"), lambda w: w != "")
     last = F.greatest(F.size(tokens) - words + 1, F.lit(1))
     shingles = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.array_join(F.slice(tokens, i, F.lit(words)), " ")))
     zero = F.array_repeat(F.lit(0), bits)
     places = F.sequence(F.lit(0), F.lit(bits - 1))
     votes = F.aggregate(shingles, zero, lambda acc, h: F.zip_with(acc, places, lambda a, i: a + F.when(F.expr("1") == F.getbit(h, i), 1).otherwise(-1)))
-    return F.aggregate(F.arrays_zip(votes.alias("v"), places.alias("i")), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(F.when(x["v"] > 0, F.call_function("shiftleft", F.lit(1).cast("long"), x["i"])).otherwise(F.lit(0).cast("long"))))
+    digest = F.aggregate(F.arrays_zip(votes.alias("v"), places.alias("i")), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(F.when(x["v"] > 0, F.call_function("shiftleft", F.lit(1).cast("long"), x["i"])).otherwise(F.lit(0).cast("long"))))
+    return F.when(c.rlike(r"\w"), digest)
 
 
 def hash_distance(a: Column, b: Column) -> Column:
@@ -473,16 +479,22 @@ def compare_fuzzy_hash(df: DataFrame, digest: str, known: DataFrame, known_diges
     """Pairs whose digests differ in at most ``most`` bits.
 
     With more bands than ``most`` two such digests agree in a whole band, so
-    pairs meet by (band, bits) and none is lost.
+    pairs meet by (band, bits) and none is lost; a pair counts in the first band
+    in which it agrees.  Null digests meet nothing.  Fewer bands are wider, so
+    fewer unlike digests meet; digests that many rows share belong in ``known`` once.
     """
     if bands <= most:
         raise ValueError("needs more bands than bits that may differ")
     width = -(-64 // bands)
     cut = lambda c: F.posexplode(F.array(*(F.shiftrightunsigned(c, i * width).bitwiseAND(F.lit((1 << width) - 1)) for i in range(bands))))
-    left = df.select("*", cut(F.col(digest)).alias("__band", "__bits"))
-    right = known.select("*", cut(F.col(known_digest)).alias("__band", "__bits"))
+    left = df.filter(F.col(digest).isNotNull()).select("*", cut(F.col(digest)).alias("__band", "__bits"))
+    right = known.filter(F.col(known_digest).isNotNull()).select("*", cut(F.col(known_digest)).alias("__band", "__bits"))
     pairs = left.join(right, ["__band", "__bits"]).withColumn("distance", hash_distance(F.col(digest), F.col(known_digest)))
-    return pairs.filter(F.col("distance") <= most).drop("__band", "__bits").distinct()
+    unlike = F.col(digest).bitwiseXOR(F.col(known_digest))
+    first = F.lit(bands)
+    for i in reversed(range(bands)):
+        first = F.when(F.shiftrightunsigned(unlike, i * width).bitwiseAND(F.lit((1 << width) - 1)) == 0, i).otherwise(first)
+    return pairs.filter((F.col("distance") <= most) & (F.col("__band") == first)).drop("__band", "__bits")
 
 
 # --- kinds and validity ----------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,11 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """From ``spark.checkpoint.dir``; a local one is made only where the session names none (tests)."""
+    """From ``spark.checkpoint.dir``, or as the context has it.
+
+    Where the session names none, a local master gets a temporary folder that
+    goes when the process ends; on a cluster it is an error, as executors and
+    driver have to share the folder.  What is written to a named folder stays
+    there until its owner clears it.
+    """
     context = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not known:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        own = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
         known = context.getCheckpointDir()
     return known.rstrip("/")
 

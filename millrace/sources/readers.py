@@ -25,33 +25,37 @@ def _loaded(read, what: str) -> DataFrame:
         raise
 
 
+def _strict(c: Column, kind: T.DataType, name: str) -> Column:
+    """A text as a type; what does not fit is an error, and an empty text is null unless a text is wanted."""
+    if isinstance(kind, T.StringType):
+        return c
+    text = F.when(F.trim(c) != "", c)
+    return F.coalesce(text.try_cast(kind), F.when(text.isNotNull(), F.raise_error(F.format_string(f"column {name}: '%s' is no {kind.simpleString()}", text))).cast(kind))
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, drop_unknown: bool = True, header: bool = True, malformed: str | None = None, separator: str = ",") -> DataFrame:
     """By an explicit schema, by place.  Values past the schema are dropped, or kept as unknown_field_index_<i>.
 
-    ``malformed`` names a column for lines that do not fit; without it they are errors.
+    ``malformed`` names a column for lines that do not fit; without it values of
+    the wrong type are errors.  The header is the first line of each file; a
+    missing value is null.
     """
     want = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    options = {"sep": separator, "mode": "PERMISSIVE" if malformed else "FAILFAST", "header": str(header).lower()}
-    if drop_unknown:
-        full = T.StructType([*want.fields, T.StructField(malformed, T.StringType())]) if malformed else want
-        reader = spark.read.schema(full).options(**options).option("enforceSchema", True)
-        if malformed:
-            return reader.option("columnNameOfCorruptRecord", malformed).csv(path)
-        # more values than fields are no error here
-        return reader.option("mode", "PERMISSIVE").csv(path)
-    lines = spark.read.text(path)
-    head = lines.limit(1).first()
-    if head is None:
-        return spark.createDataFrame([], want)
-    if header:
-        lines = lines.filter(F.col("value") != head.value)
-    n = len(want.fields)
-    # fields as the CSV parser cuts them, in one array
-    widest = lines.agg(F.max(F.size(F.split("value", re.escape(separator))))).first()[0] or n
-    texts = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max(widest, n))])
-    row = lines.select(F.from_csv("value", texts.simpleString()[7:-1].replace(":", " "), {"sep": separator}).alias("r"))
-    known = [F.col(f"r.c{i}").try_cast(f.dataType).alias(f.name) for i, f in enumerate(want.fields)]
-    return row.select(*known, *(F.col(f"r.c{i}").alias(f"unknown_field_index_{i}") for i in range(n, widest)))
+    reader = spark.read.options(sep=separator, header=header, enforceSchema=True, mode="PERMISSIVE")
+    if malformed:
+        return reader.schema(T.StructType([*want.fields, T.StructField(malformed, T.StringType())])).option("columnNameOfCorruptRecord", malformed).csv(path)
+    n = widest = len(want.fields)
+    if not drop_unknown:
+        # separators inside quotes count too many, which the columns that no row fills show
+        most = spark.read.text(path).agg(F.max(F.size(F.split("value", re.escape(separator))))).first()[0] or n
+        widest = max(n, most)
+    # read as texts, by place: the parser itself has no strict mode that lets a line have more values
+    rows = reader.schema(T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(widest)])).csv(path)
+    if widest > n:
+        last = rows.agg(F.max(F.greatest(F.lit(0), *(F.when(F.col(f"c{i}").isNotNull(), i + 1) for i in range(n, widest))))).first()[0] or 0
+        widest = max(n, last)
+    known = [_strict(F.col(f"c{i}"), f.dataType, f.name).alias(f.name) for i, f in enumerate(want.fields)]
+    return rows.select(*known, *(F.col(f"c{i}").alias(f"unknown_field_index_{i}") for i in range(n, widest)))
 
 
 def read_csv_header(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
@@ -167,7 +171,10 @@ def paged_sql(sql: str, order: str, size: int, number: int, dialect: str = "stan
 
 
 def read_page(df: DataFrame, order: Sequence[str], size: int, number: int) -> DataFrame:
-    return df.orderBy(*order).offset(number * size).limit(size)
+    """One page, from 0."""
+    from millrace.operators.analytics import page
+
+    return page(df, order, size, number)
 
 
 def read_incremental(df: DataFrame, column: str, state: DataFrame | None, name: str) -> tuple[DataFrame, DataFrame]:

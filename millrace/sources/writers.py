@@ -7,8 +7,10 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.schema import union_records
+from millrace.scratch import scratch_path
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists", **options: str) -> None:
@@ -86,14 +88,34 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
     df.write.jdbc(url, table, mode="append", properties={"batchsize": str(batch_size), **(properties or {})})
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The target with the source's rows: of one key the source's counts.  Source keys have to be unique."""
-    return union_records(target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns), source)
+def _one_each(source: DataFrame, keys: Sequence[str], sequence: str | None, last: bool) -> DataFrame:
+    """A row for each key: the last or first by ``sequence``; without one a repeated key is an error.
 
+    A null in a key equals no other, so such rows all stay.
+    """
+    rest = [c for c in source.columns if c not in keys]
+    whole = F.struct(*(F.col(f"`{c}`") for c in rest)) if rest else F.struct(F.lit(0).alias("none"))
+    if sequence is None:
+        one = F.when(F.count("*") == 1, F.first(whole)).otherwise(F.raise_error(F.lit(f"a key ({', '.join(keys)}) of the source is repeated")))
+    else:
+        one = (F.max_by if last else F.min_by)(whole, F.struct(sequence, F.xxhash64(*source.columns)))
+    known = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    grouped = source.filter(known).groupBy(*keys).agg(one.alias("__row"))
+    return grouped.select(*(F.col(f"__row.`{c}`") if c in rest else F.col(f"`{c}`") for c in source.columns)).union(source.filter(f"NOT ({known})"))
+
+
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], sequence: str | None = None) -> DataFrame:
+    """The target with the source's rows: of one key the source's counts.
+
+    Of a key that the source repeats the last row by ``sequence``, as if the
+    rows had come one after another; without it such a key is an error.
+    """
+    return union_records(target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns), _one_each(source, keys, sequence, True))
 
-def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The target with those rows of the source whose key it does not have."""
-    return union_records(target, source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns))
+
+def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str], sequence: str | None = None) -> DataFrame:
+    """The target with those rows of the source whose key it does not have; of a repeated key the first by ``sequence``."""
+    return union_records(target, _one_each(source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns), keys, sequence, False))
 
 
 # The upsert statements of the databases.
@@ -117,31 +139,36 @@ def merge_statement(table: str, columns: Sequence[str], keys: Sequence[str], dia
 
 
 def merge_jdbc(df: DataFrame, connect: Callable[[], object], table: str, keys: Sequence[str], dialect: str, ignore: bool = False, batch_size: int = 1000, mark: str = "%s") -> None:
-    """Upsert in batches from the tasks, by a function that opens a DB-API connection there."""
+    """Upsert in batches from the tasks, by a function that opens a DB-API connection there; a task that fails leaves nothing."""
     names = df.columns
     sql = merge_statement(table, names, keys, dialect, ignore).replace("?", mark)
 
     def send(rows: Iterable) -> None:
         connection = connect()
-        cursor, batch = connection.cursor(), []
-        for row in rows:
-            batch.append(tuple(row))
-            if len(batch) >= batch_size:
+        try:
+            cursor, batch = connection.cursor(), []
+            for row in rows:
+                batch.append(tuple(row))
+                if len(batch) >= batch_size:
+                    cursor.executemany(sql, batch)
+                    batch = []
+            if batch:
                 cursor.executemany(sql, batch)
-                batch = []
-        if batch:
-            cursor.executemany(sql, batch)
-        connection.commit()
-        connection.close()
+            connection.commit()
+        except BaseException:
+            connection.rollback()
+            raise
+        finally:
+            connection.close()
 
     df.foreachPartition(send)
 
 
-def write_table(df: DataFrame, table: str, mode: str = "append", evolve: bool = False) -> None:
-    """Rows to a catalog table; ``evolve`` adds columns that the table lacks."""
+def write_table(df: DataFrame, table: str, mode: str = "append", evolve: bool = False, path: str | None = None) -> None:
+    """Rows to a catalog table; ``evolve`` adds columns that the table lacks.  A new table lies at ``path``, else in the warehouse."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        df.write.saveAsTable(table)
+        (df.write.option("path", path) if path else df.write).saveAsTable(table)
         return
     have = spark.table(table).columns
     new = [f for f in df.schema.fields if f.name not in have]
@@ -172,14 +199,25 @@ def write_sequence_file(df: DataFrame, path: str, key: str, value: str) -> None:
 
 
 def route_to_sinks(df: DataFrame, name: str, sinks: dict[str, Callable[[DataFrame], None]], default: Callable[[DataFrame], None] | None = None) -> None:
-    """Each row to the sink that its column names; others to the default, or it is an error."""
+    """Each row to the sink that its column names; others to the default, or it is an error.
+
+    The source is read once: rows are written to the shared folder by sink, and each sink gets its part.
+    """
+    path = scratch_path(df.sparkSession, "routed")
+    numbers = {sink: i for i, sink in enumerate(sinks)}
+    number = F.lit(len(sinks))
+    for sink, i in numbers.items():
+        number = F.when(F.col(name) == sink, i).otherwise(number)
+    df.withColumn("__sink", number).write.partitionBy("__sink").parquet(path)
+    routed = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("__sink", T.IntegerType())])).parquet(path)
+    part = lambda i: routed.filter(F.col("__sink") == i).drop("__sink")
+    rest = part(len(sinks))
+    if default is None and not rest.isEmpty():
+        raise ValueError("rows name no known sink")
     for sink, write in sinks.items():
-        write(df.filter(F.col(name) == sink))
-    rest = df.filter(F.col(name).isNull() | ~F.col(name).isin(list(sinks)))
+        write(part(numbers[sink]))
     if default is not None:
         default(rest)
-    elif not rest.isEmpty():
-        raise ValueError("rows name no known sink")
 
 
 def put_record(df: DataFrame, write: Callable[[DataFrame], None], send_zero: bool = False) -> bool:

@@ -28,10 +28,10 @@ def tail_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.text(path).select("value", F.col("_metadata.file_path").alias("file"))
 
 
-def run_to_end(df: DataFrame, mode: str = "append", sink: Callable[[DataFrame, int], None] | None = None) -> DataFrame | None:
+def run_to_end(df: DataFrame, mode: str = "append", sink: Callable[[DataFrame, int], None] | None = None, checkpoint: str | None = None) -> DataFrame | None:
     """Run all that is there, to a Parquet table in the shared folder or to a sink for each micro-batch."""
     spark = df.sparkSession
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", scratch_path(spark, "stream-state")).trigger(availableNow=True)
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint or scratch_path(spark, "stream-state")).trigger(availableNow=True)
     if sink is not None:
         writer.foreachBatch(sink).start().awaitTermination()
         return None
@@ -127,7 +127,10 @@ def enforce_order(df: DataFrame, group: str, sequence: str, value: str, first: i
 
 
 def merge_bins(df: DataFrame, key: str, value: str, max_rows: int, max_age_ms: int | None = None, demarcator: str = "\n") -> DataFrame:
-    """(key, content, n): values of a key are joined when a bin has enough rows, or is too old."""
+    """(key, content, n): values of a key are joined when a bin has enough rows, or is too old.
+
+    The last bins stay open; ``merge_bins_to_end`` gives them too.
+    """
     schema = f"{key} {dict(df.dtypes)[key]}, content string, n long"
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -150,6 +153,16 @@ def merge_bins(df: DataFrame, key: str, value: str, max_rows: int, max_age_ms: i
     return df.select(key, F.col(value).cast("string").alias(value)).groupBy(key).applyInPandasWithState(step, schema, "held array<string>", "append", timeout)
 
 
+def merge_bins_to_end(df: DataFrame, key: str, value: str, max_rows: int, demarcator: str = "\n") -> DataFrame:
+    """All bins of what is there, full ones first; then each key's rest, read from the state that the stream leaves."""
+    spark = df.sparkSession
+    checkpoint = scratch_path(spark, "stream-bins")
+    full = run_to_end(merge_bins(df, key, value, max_rows, demarcator=demarcator), checkpoint=checkpoint)
+    left = spark.read.format("statestore").load(checkpoint).select(F.col(f"key.{key}").alias(key), F.col("value.groupState.held").alias("held"))
+    rest = left.filter(F.size("held") > 0).select(key, F.array_join("held", demarcator).alias("content"), F.size("held").cast("long").alias("n"))
+    return full.unionByName(rest)
+
+
 def monitor_activity(df: DataFrame, key: str, inactive_ms: int) -> DataFrame:
     """(key, event): ``inactive`` when no row of a key came for a time, ``restored`` when the next one does."""
     schema = f"{key} {dict(df.dtypes)[key]}, event string"
