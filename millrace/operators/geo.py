@@ -81,7 +81,11 @@ def y_of(wkt: Column) -> Column:
 
 
 def buffer_point(wkt: Column, distance: float, quadrant_segments: int = 8, cap: str = "round") -> Column:
-    """A ring around a point: a circle's corners, or a square with the ``square`` cap; ``flat`` gives an empty polygon."""
+    """A ring around a point: a circle's corners, or a square with the ``square`` cap; ``flat`` gives an empty polygon.
+
+    Any other geometry is an error; ``buffer_geometry`` takes some of them.
+    """
+    wkt = F.when(wkt.rlike(r"(?i)\A\s*POINT\b"), wkt).otherwise(F.when(wkt.isNotNull(), F.raise_error(F.concat(F.lit("no point: "), F.substring(wkt, 1, 60)))).cast("string"))
     if cap == "flat":
         return F.when(wkt.isNotNull(), "POLYGON EMPTY")
     n = 4 * quadrant_segments if cap == "round" else 4
@@ -91,6 +95,55 @@ def buffer_point(wkt: Column, distance: float, quadrant_segments: int = 8, cap:
     return F.when(wkt.isNotNull(), F.concat(F.lit("POLYGON (("), ring, F.lit("))")))
 
 
+def convex_hull(points: np.ndarray) -> np.ndarray:
+    """Corners of the convex hull from the lowest left one on, against the clock, closed (Andrew's chains)."""
+    points = np.unique(points, axis=0)
+
+    def chain(ordered: np.ndarray) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        for p in ordered:
+            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]) <= 1e-12:
+                out.pop()
+            out.append(p)
+        return out
+
+    return np.array([*chain(points)[:-1], *chain(points[::-1])])
+
+
+def buffer_wkt(wkt: str | None, distance: float, quadrant_segments: int = 8) -> str | None:
+    """The polygon of all that lies within a distance of a convex geometry: its hull with a circle's corners at each vertex.
+
+    That is a point, a straight line, and a polygon without holes that turns one way only; others are errors.
+    """
+    if wkt is None:
+        return None
+    kind, rings = wkt.strip().split("(")[0].strip().upper(), _RING.findall(wkt)
+    if kind not in ("POINT", "LINESTRING", "POLYGON") or len(rings) != 1:
+        raise ValueError(f"no convex geometry: {wkt[:60]}")
+    points = _points(rings[0])
+    a, b, c = points[:-2], points[1:-1], points[2:]
+    turns = (b[:, 0] - a[:, 0]) * (c[:, 1] - b[:, 1]) - (b[:, 1] - a[:, 1]) * (c[:, 0] - b[:, 0]) if len(points) > 2 else np.zeros(0)
+    around = np.diff(np.unwrap(np.arctan2(*np.diff(points[np.r_[np.arange(len(points)), 1]] if kind == "POLYGON" else points, axis=0).T[::-1])))
+    straight = kind != "LINESTRING" or np.abs(turns).max(initial=0) <= 1e-9
+    convex = kind != "POLYGON" or ((turns >= -1e-9).all() or (turns <= 1e-9).all()) and abs(around.sum()) < 2 * math.pi + 1e-6
+    if not (straight and convex):
+        raise ValueError(f"no convex geometry: {wkt[:60]}")
+    n = 4 * quadrant_segments
+    angles = 2 * math.pi * np.arange(n) / n
+    circle = np.round(distance * np.stack([np.cos(angles), np.sin(angles)], axis=1), 12)
+    return f"POLYGON (({_text(convex_hull((points[:, None] + circle).reshape(-1, 2)))}))"
+
+
+def buffer_geometry(df: DataFrame, geometry: str, distance: float, quadrant_segments: int = 8) -> DataFrame:
+    """Points, straight lines and convex polygons widened by a distance; any other geometry is an error."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: buffer_wkt(t, distance, quadrant_segments))
+
+    return df.withColumn(geometry, run(F.col(geometry)))
+
+
 def to_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
     """Degrees to metres of the web's Mercator."""
     return F.radians(lon) * EARTH, F.log(F.tan(F.lit(math.pi / 4) + F.radians(lat) / 2)) * EARTH
@@ -124,24 +177,59 @@ def to_transverse_mercator(lon: Column, lat: Column, lon0: float, lat0: float =
     return false_x + scale * radius * east, false_y + scale * radius * (north - base)
 
 
-#: Coordinate systems by EPSG number, from degrees to their own units.
+def from_transverse_mercator(x: Column, y: Column, lon0: float, lat0: float = 0.0, scale: float = 1.0, false_x: float = 0.0, false_y: float = 0.0, a: float = 6378137.0, f: float = 1 / 298.257222101) -> tuple[Column, Column]:
+    """Metres back to degrees: the series the other way, then the latitude by Newton's steps from the conformal one."""
+    n = f / (2 - f)
+    radius = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = [n / 2 - 2 / 3 * n**2 + 37 / 96 * n**3 - 1 / 360 * n**4, 1 / 48 * n**2 + 1 / 15 * n**3 - 437 / 1440 * n**4, 17 / 480 * n**3 - 37 / 840 * n**4, 4397 / 161280 * n**4]
+    delta = [2 * n - 2 / 3 * n**2 - 2 * n**3 + 116 / 45 * n**4, 7 / 3 * n**2 - 8 / 5 * n**3 - 227 / 45 * n**4, 56 / 15 * n**3 - 136 / 35 * n**4, 4279 / 630 * n**4]
+    _, origin = to_transverse_mercator(F.lit(lon0), F.lit(0.0), lon0, lat0, scale, false_x, false_y, a, f)
+    xi, eta = (y - origin) / (scale * radius), (x - false_x) / (scale * radius)
+    north, east = xi, eta
+    for j, b in enumerate(beta, 1):
+        north = north - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        east = east - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    chi = F.asin(F.sin(north) / F.cosh(east))
+    lat = chi
+    for j, d in enumerate(delta, 1):
+        lat = lat + d * F.sin(2 * j * chi)
+    return F.degrees(F.atan2(F.sinh(east), F.cos(north))) + lon0, F.degrees(lat)
+
+
+_KOREA = {"lon0": 127.5, "lat0": 38.0, "scale": 0.9996, "false_x": 1_000_000.0, "false_y": 2_000_000.0}
+#: Coordinate systems by EPSG number, from degrees to their own units and back.
 SYSTEMS = {
-    4326: lambda lon, lat: (lon, lat),
-    3857: to_mercator,
-    5179: lambda lon, lat: to_transverse_mercator(lon, lat, 127.5, 38.0, 0.9996, 1_000_000.0, 2_000_000.0),
+    4326: (lambda lon, lat: (lon, lat), lambda lon, lat: (lon, lat)),
+    3857: (to_mercator, from_mercator),
+    5179: (lambda lon, lat: to_transverse_mercator(lon, lat, **_KOREA), lambda x, y: from_transverse_mercator(x, y, **_KOREA)),
 }
 
 
+def change_crs(x: Column, y: Column, source: int, target: int) -> tuple[Column, Column]:
+    for system in (source, target):
+        if system not in SYSTEMS:
+            raise ValueError(f"no such system: {system}")
+    return SYSTEMS[target][0](*SYSTEMS[source][1](x, y))
+
+
+def transform_geometry(df: DataFrame, geometry: str, source: int, target: int) -> DataFrame:
+    """All coordinates of a WKT column from one system to another; the rest of the text stays.  The target is noted in the metadata."""
+    pair = rf"({NUMBER})\s+({NUMBER})"
+    number = lambda i: F.transform(F.regexp_extract_all(geometry, F.lit(pair), i), lambda v: v.cast("double"))
+    places = F.arrays_zip(number(1).alias("x"), number(2).alias("y"))
+
+    def moved(p: Column) -> Column:
+        x, y = change_crs(p["x"], p["y"], source, target)
+        return F.concat_ws(" ", x.cast("string"), y.cast("string"))
+
+    pieces = F.split(geometry, pair, -1)
+    out = F.array_join(F.zip_with(pieces, F.transform(places, moved), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return df.withColumn(geometry, F.when(F.col(geometry).isNotNull(), out)).withMetadata(geometry, {"crs": f"EPSG:{target}"})
+
+
 def transform_crs(df: DataFrame, x: str, y: str, source: int, target: int) -> DataFrame:
     """Coordinates in two columns from one system to another; the target is noted in the columns' metadata."""
-    cx, cy = F.col(x), F.col(y)
-    if source == 3857:
-        cx, cy = from_mercator(cx, cy)
-    elif source != 4326:
-        raise ValueError("the source is 4326 or 3857")
-    if target not in SYSTEMS:
-        raise ValueError(f"no such system: {target}")
-    tx, ty = SYSTEMS[target](cx, cy)
+    tx, ty = change_crs(F.col(x), F.col(y), source, target)
     df = df.withColumns({x: tx, y: ty})
     return df.withMetadata(x, {"crs": f"EPSG:{target}"}).withMetadata(y, {"crs": f"EPSG:{target}"})
 

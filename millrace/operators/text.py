@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -458,16 +459,27 @@ def hash_attribute(df: DataFrame, parts: dict[str, str], name: str = "hash") ->
     return df.withColumn(name, F.when(whole, F.md5(F.concat(*found).cast("binary"))))
 
 
-def fuzzy_hash(c: Column, words: int = 3, bits: int = 64) -> Column:
-    """SimHash of the word shingles, as a long: each bit is what most shingles' hashes have there; null without a word."""
+def _majority(hashes: np.ndarray) -> int:
+    """Each bit that more than half of some 64-bit numbers have."""
+    ones = np.unpackbits(np.ascontiguousarray(hashes, "<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def fuzzy_hash(c: Column, words: int = 3) -> Column:
+    """SimHash of the word shingles, as a long: each bit is what most shingles' hashes have there; null without a word.
+
+    Shingles are hashed by Spark; the 64 votes of each text are counted in numpy.
+    """
     tokens = F.filter(F.split(F.lower(c), r"\W+"), lambda w: w != "")
-    last = F.greatest(F.size(tokens) - words + 1, F.lit(1))
-    shingles = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.array_join(F.slice(tokens, i, F.lit(words)), " ")))
-    zero = F.array_repeat(F.lit(0), bits)
-    places = F.sequence(F.lit(0), F.lit(bits - 1))
-    votes = F.aggregate(shingles, zero, lambda acc, h: F.zip_with(acc, places, lambda a, i: a + F.when(F.expr("1") == F.getbit(h, i), 1).otherwise(-1)))
-    digest = F.aggregate(F.arrays_zip(votes.alias("v"), places.alias("i")), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(F.when(x["v"] > 0, F.call_function("shiftleft", F.lit(1).cast("long"), x["i"])).otherwise(F.lit(0).cast("long"))))
-    return F.when(c.rlike(r"\w"), digest)
+    hashes = lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - words + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(t, i, F.lit(words)), " ")))
+    # as an element of an array the words are cut once, not for each shingle
+    shingles = F.transform(F.array(tokens), hashes)[0]
+
+    @F.pandas_udf("long")
+    def votes(rows: pd.Series) -> pd.Series:
+        return pd.Series([None if r is None else _majority(r) for r in rows], dtype="Int64")
+
+    return votes(F.when(c.rlike(r"\w"), shingles))
 
 
 def hash_distance(a: Column, b: Column) -> Column:

@@ -87,9 +87,23 @@ def anonymous_ip(spark, sf_dir):
     return lookup.anonymous_ip(_ips(spark, sf_dir), "ip", _ip_ranges(spark, sf_dir), ["is_vpn"]).select("event_id", "is_vpn")
 
 
-@register("join_12_lookup_script", "SELECT n_nationkey, 'n' || n_nationkey * 2 AS v FROM nation")
+@register("join_12_lookup_script", "SELECT c_custkey, 'n' || c_custkey * 2 AS v FROM customer")
 def lookup_script(spark, sf_dir):
-    return lookup.lookup_script(load(spark, sf_dir, "nation"), "n_nationkey", lambda k: f"n{k * 2}", "v").select("n_nationkey", "v")
+    return lookup.lookup_script(load(spark, sf_dir, "customer"), "c_custkey", lambda k: f"n{k * 2}", "v").select("c_custkey", "v")
+
+
+@register("join_08_refreshed", "SELECT event_id, user_id * 10 + CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 END AS v FROM events")
+def refreshed(spark, sf_dir):
+    """Even events meet the table as it was, odd ones come after it has changed and grown too old."""
+    from millrace.scratch import written
+
+    events, now, version = load(spark, sf_dir, "events").select("event_id", "user_id"), [0.0], [1]
+    read = lambda: written(events.select("user_id").distinct().withColumn("v", c("user_id") * 10 + version[0]), "refreshing")
+    table = lookup.RefreshingLookup(read, 60.0, lambda: now[0])
+    meet = lambda part: part.join(written(table.get(), "refreshed"), "user_id").select("event_id", "v")
+    early = meet(events.filter("event_id % 2 = 0"))
+    version[0], now[0] = 2, 61.0
+    return early.union(meet(events.filter("event_id % 2 <> 0")))
 
 
 @register("join_13_cache", "SELECT s_suppkey, CASE WHEN s_nationkey < 10 THEN 'new' ELSE n_name END AS v FROM supplier JOIN nation ON n_nationkey = s_nationkey")
@@ -169,13 +183,16 @@ def trend(spark, sf_dir):
     return t.select("l_returnflag", "n", r("slope", 3), r("intercept", 2), r("r2", 6), r("adjusted_r2", 6), F.round(analytics.predict_y(F.lit(10)), 2).alias("at_ten"))
 
 
-@register("agg_11_backpressure")
+@register("agg_11_backpressure", "WITH q AS (SELECT user_id, epoch(ts) AS x, sum(value) OVER (PARTITION BY user_id ORDER BY ts) AS y FROM events), t AS (SELECT user_id, regr_slope(y, x - 1704067200) AS m, regr_intercept(y, x - 1704067200) AS b, max(x) - 1704067200 AS last FROM q GROUP BY user_id) SELECT user_id, round(greatest(m * (last + 3600) + b, 0), 1) AS predicted, least(round(greatest(m * (last + 3600) + b, 0) / 10000 * 100), 100)::INTEGER AS predicted_percent, CASE WHEN m > 0 AND (10000 - b) / m - last >= 0 THEN round((10000 - b) / m - last, -2) ELSE -1 END::BIGINT AS seconds_to_threshold FROM t")
 def backpressure(spark, sf_dir):
     """Queue sizes are running sums of the event values of each user."""
     from pyspark.sql import Window
 
     queue = load(spark, sf_dir, "events").withColumn("queued", F.sum("value").over(Window.partitionBy("user_id").orderBy("ts")))
-    return analytics.backpressure_prediction(queue, "user_id", "ts", "queued", 10000.0, 3600.0)
+    out = analytics.backpressure_prediction(queue, "user_id", "ts", "queued", 10000.0, 3600.0)
+    # to a digit that no order of summing changes
+    seconds = F.when(c("seconds_to_threshold") >= 0, F.round("seconds_to_threshold", -2)).otherwise(-1).cast("long")
+    return out.withColumns({"predicted": F.round("predicted", 1), "seconds_to_threshold": seconds})
 
 
 @register("agg_12_connection_status", "SELECT o_orderkey, (o_custkey % 3 * 100 > 0 AND o_custkey % 3 * 100 <= o_custkey) OR (200000 <= o_totalprice) AS is_back_pressure_enabled FROM orders")

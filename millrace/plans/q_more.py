@@ -70,18 +70,34 @@ def _places(spark, sf_dir):
     return load(spark, sf_dir, "customer").select("c_custkey", F.expr(f"CAST({LON} AS DOUBLE)").alias("lon"), F.expr(f"CAST({LAT} AS DOUBLE)").alias("lat"))
 
 
-@register("geo_01_simplify", "SELECT n_nationkey, 'LINESTRING (0 0, ' || (10 + n_nationkey) || ' 0)' AS g FROM nation")
+@register("geo_01_simplify", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'LINESTRING (0 0, 3 2, ' || (10 + c_custkey) || ' 0)' ELSE 'LINESTRING (0 0, ' || (10 + c_custkey) || ' 0)' END AS g FROM customer")
 def simplify(spark, sf_dir):
-    df = load(spark, sf_dir, "nation").select("n_nationkey", F.format_string("LINESTRING (0 0, 3 0.1, 7 -0.1, %d 0)", c("n_nationkey") + 10).alias("g"))
+    bend = F.expr("if(c_custkey % 3 = 0, '2', '0.1')")
+    df = load(spark, sf_dir, "customer").select("c_custkey", F.format_string("LINESTRING (0 0, 3 %s, %d 0)", bend, c("c_custkey") + 10).alias("g"))
     return geo.simplify_geometry(df, "g", 0.5)
 
 
-@register("geo_02_buffer", "SELECT c_custkey, 33 AS corners, true AS radius_ok FROM customer")
+_BOX = ", ".join(f"round({place} {sign} 2, 6) + 0.0 AS {name}" for name, place, sign in (("min_x", LON, "-"), ("min_y", LAT, "-"), ("max_x", LON, "+"), ("max_y", LAT, "+")))
+
+
+@register("geo_02_buffer", f"SELECT c_custkey, 33 AS corners, {_BOX} FROM customer")
 def buffer(spark, sf_dir):
     df = _places(spark, sf_dir).withColumn("p", geo.point(c("lon"), c("lat"))).withColumn("ring", geo.buffer_point(c("p"), 2.0))
-    box = geo.layer_extent(df.select("c_custkey", "ring", "lon"), "ring", ["c_custkey", "lon"])
+    return _boxes(df)
+
+
+@register("geo_02_buffer_lines", f"SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 35 ELSE 37 END AS corners, {_BOX.replace('+ 2, 6) + 0.0 AS max_x', '+ 5, 6) + 0.0 AS max_x').replace('+ 2, 6) + 0.0 AS max_y', '+ CASE WHEN c_custkey % 2 = 0 THEN 2 ELSE 6 END, 6) + 0.0 AS max_y')} FROM customer")
+def buffer_lines(spark, sf_dir):
+    """Level lines 3 long, and rectangles 3 wide and 4 high."""
+    line = F.format_string("LINESTRING (%s %s, %s %s)", c("lon"), c("lat"), c("lon") + 3, c("lat"))
+    box = F.format_string("POLYGON ((%s %s, %s %s, %s %s, %s %s, %s %s))", c("lon"), c("lat"), c("lon") + 3, c("lat"), c("lon") + 3, c("lat") + 4, c("lon"), c("lat") + 4, c("lon"), c("lat"))
+    return _boxes(geo.buffer_geometry(_places(spark, sf_dir).withColumn("ring", F.when(c("c_custkey") % 2 == 0, line).otherwise(box)), "ring", 2.0))
+
+
+def _boxes(df):
+    box = geo.layer_extent(df.select("c_custkey", "ring"), "ring", ["c_custkey"])
     corners = df.select("c_custkey", F.size(F.split("ring", ",")).alias("corners"))
-    return corners.join(box, "c_custkey").select("c_custkey", "corners", (F.abs(c("max_x") - c("lon") - 2) < 1e-9).alias("radius_ok"))
+    return corners.join(box, "c_custkey").select("c_custkey", "corners", *((F.round(n, 6) + 0.0).alias(n) for n in ("min_x", "min_y", "max_x", "max_y")))
 
 
 @register("geo_03_crs", f"SELECT c_custkey, round(radians({LON}) * 6378137, 2) AS x, round(ln(tan(pi() / 4 + radians({LAT}) / 2)) * 6378137, 2) + 0.0 AS y, true AS back_ok FROM customer")
@@ -92,6 +108,25 @@ def crs(spark, sf_dir):
     return there.select("c_custkey", F.round("x", 2).alias("x"), (F.round("y", 2) + 0.0).alias("y"), ok.alias("back_ok"))
 
 
+_CELLS = f"(SELECT c_custkey, floor(({LON} + 180) / 360 * 1073741824)::BIGINT AS x, floor(({LAT} + 90) / 180 * 1073741824)::BIGINT AS y FROM customer)"
+_BIT = "CASE WHEN (5 * i + j) % 2 = 0 THEN (x >> (29 - (5 * i + j) // 2)) & 1 ELSE (y >> (29 - (5 * i + j) // 2)) & 1 END"
+
+
+@register("geo_04_geohash_text", f"SELECT c_custkey, string_agg(substr('{geo.BASE32}', (1 + digit)::BIGINT, 1), '' ORDER BY i) AS h FROM (SELECT c_custkey, i, sum(({_BIT}) << (4 - j)) AS digit FROM {_CELLS}, range(12) a(i), range(5) b(j) GROUP BY c_custkey, i) GROUP BY c_custkey")
+def geohash_text(spark, sf_dir):
+    return _places(spark, sf_dir).select("c_custkey", geo.geohash(c("lon"), c("lat")).alias("h"))
+
+
+@register("geo_03_crs_geometry", f"SELECT c_custkey, 'LINESTRING' AS kind, round(radians({LON}) * 6378137, 2) AS x, round(ln(tan(pi() / 4 + radians({LAT}) / 2)) * 6378137, 2) + 0.0 AS y, true AS back_ok FROM customer")
+def crs_geometry(spark, sf_dir):
+    """Lines to Mercator, and places near 127.5 degrees to the Korean system and back."""
+    df = _places(spark, sf_dir).withColumns({"g": F.format_string("LINESTRING (%s %s, 1 2)", c("lon"), c("lat")), "k": F.format_string("POINT (%s %s)", 127.5 + c("lon") / 60, 37 + c("lat") / 40)})
+    there = geo.transform_geometry(geo.transform_geometry(df, "g", 4326, 3857), "k", 4326, 5179).withColumn("b", c("k"))
+    back = geo.transform_geometry(there, "b", 5179, 4326)
+    ok = (F.abs(geo.x_of(c("b")) - 127.5 - c("lon") / 60) < 1e-8) & (F.abs(geo.y_of(c("b")) - 37 - c("lat") / 40) < 1e-8) & (geo.x_of(c("k")) > 500000)
+    return back.select("c_custkey", F.split_part("g", F.lit(" "), F.lit(1)).alias("kind"), F.round(geo.x_of(c("g")), 2).alias("x"), (F.round(geo.y_of(c("g")), 2) + 0.0).alias("y"), ok.alias("back_ok"))
+
+
 @register("geo_04_geohash", "SELECT c_custkey, 12 AS size, true AS inside, true AS prefix FROM customer")
 def geohash(spark, sf_dir):
     df = _places(spark, sf_dir).withColumns({"h": geo.geohash(c("lon"), c("lat")), "short": geo.geohash(c("lon"), c("lat"), 5)})
@@ -100,22 +135,22 @@ def geohash(spark, sf_dir):
     return df.select("c_custkey", F.length("h").alias("size"), near.alias("inside"), c("h").startswith(c("short")).alias("prefix"))
 
 
-@register("geo_05_geojson", "SELECT 'Point' AS geometry_type, n_nationkey AS id, n_name AS name FROM nation")
+@register("geo_05_geojson", "SELECT 'Point' AS geometry_type, c_custkey AS id, c_name AS name FROM customer")
 def geojson(spark, sf_dir):
     from millrace.scratch import scratch_path
     from millrace.sources.readers import read_geojson
 
-    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array(c("n_nationkey").cast("double"), F.lit(1.0)).alias("coordinates")).alias("geometry"), F.struct(c("n_nationkey").alias("id"), c("n_name").alias("name")).alias("properties"))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array(c("c_custkey").cast("double"), F.lit(1.0)).alias("coordinates")).alias("geometry"), F.struct(c("c_custkey").alias("id"), c("c_name").alias("name")).alias("properties"))
     path = scratch_path(spark, "geojson")
-    # a file for each region, as features come in layers
-    load(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.collect_list(feature).alias("features")).select(F.lit("FeatureCollection").alias("type"), "features").repartition(5).write.json(path)
-    return read_geojson(spark, path, "id:int,name:string").select("geometry_type", "id", "name")
+    # layers of at most 500 features
+    load(spark, sf_dir, "customer").groupBy(F.floor(c("c_custkey") / 500).alias("layer")).agg(F.collect_list(feature).alias("features")).select(F.lit("FeatureCollection").alias("type"), "features", "layer").write.option("maxRecordsPerFile", 1).json(path)
+    return read_geojson(spark, path, "id:bigint,name:string").select("geometry_type", "id", "name")
 
 
-@register("geo_06_types", "SELECT n_nationkey, n_nationkey % 3 = 0 AS fits FROM nation")
+@register("geo_06_types", "SELECT c_custkey, c_custkey % 3 = 0 AS fits FROM customer")
 def types(spark, sf_dir):
-    kind = F.expr("CASE n_nationkey % 3 WHEN 0 THEN 'MULTI_LINE' WHEN 1 THEN 'POINT' ELSE 'POLYGON' END")
-    return load(spark, sf_dir, "nation").select("n_nationkey", geo.compatible_type(F.lit("line"), kind).alias("fits"))
+    kind = F.expr("CASE c_custkey % 3 WHEN 0 THEN 'MULTI_LINE' WHEN 1 THEN 'POINT' ELSE 'POLYGON' END")
+    return load(spark, sf_dir, "customer").select("c_custkey", geo.compatible_type(F.lit("line"), kind).alias("fits"))
 
 
 @register("geo_07_extent", f"SELECT min({LON})::DOUBLE AS min_x, min({LAT})::DOUBLE AS min_y, max({LON})::DOUBLE AS max_x, max({LAT})::DOUBLE AS max_y FROM customer")
@@ -131,14 +166,14 @@ def tiles(spark, sf_dir):
 # --- user code -------------------------------------------------------------
 
 
-@register("udf_01_filter", "SELECT n_nationkey, n_name FROM nation WHERE n_nationkey % 2 = 0")
+@register("udf_01_filter", "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0")
 def script_filter(spark, sf_dir):
-    return scripts.script_filter(load(spark, sf_dir, "nation").select("n_nationkey", "n_name"), lambda r, i: r["n_nationkey"] % 2 == 0 and i >= 0)
+    return scripts.script_filter(load(spark, sf_dir, "customer").select("c_custkey", "c_name"), lambda r, i: r["c_custkey"] % 2 == 0 and i >= 0)
 
 
-@register("udf_02_transform", "SELECT n_name AS name, i::BIGINT AS i FROM nation, range(2) t(i) WHERE n_nationkey > 3")
+@register("udf_02_transform", "SELECT c_name AS name, i::BIGINT AS i FROM customer, range(2) t(i) WHERE c_custkey > 3")
 def script_transform(spark, sf_dir):
-    return scripts.script_transform(load(spark, sf_dir, "nation"), lambda r: [{"name": r["n_name"], "i": i} for i in range(2)] if r["n_nationkey"] > 3 else None, "name string, i long")
+    return scripts.script_transform(load(spark, sf_dir, "customer"), lambda r: [{"name": r["c_name"], "i": i} for i in range(2)] if r["c_custkey"] > 3 else None, "name string, i long")
 
 
 @register("udf_03_partition", "SELECT c_custkey, 'p' || c_nationkey % 3 AS partition FROM customer")
@@ -146,12 +181,35 @@ def script_partition(spark, sf_dir):
     return scripts.script_partition(load(spark, sf_dir, "customer"), lambda r: f"p{r['c_nationkey'] % 3}", ["c_nationkey"]).select("c_custkey", "partition")
 
 
-@register("udf_04_reader", "SELECT n_nationkey AS id, n_nationkey * 10 + i AS v FROM nation, range(3) t(i)")
+@register("udf_04_reader", "SELECT id, id * 10 + i AS v FROM (SELECT unnest(range(min(c_custkey), max(c_custkey) + 1)) AS id FROM customer), range(3) t(i)")
 def script_reader(spark, sf_dir):
-    """Parts come from the table's keys; the user's function makes the rows of each."""
-    keys = ",".join(str(r[0]) for r in load(spark, sf_dir, "nation").select("n_nationkey").collect())
-    source = scripts.reader_source("millrace_rows", "id int, v bigint", lambda o: [int(k) for k in o["keys"].split(",")], lambda k: [(k, k * 10 + i) for i in range(3)])
-    return scripts.read_script(spark, source, keys=keys)
+    """Parts are ranges between the table's least and greatest key; the user's function makes the rows of each."""
+    low, high = load(spark, sf_dir, "customer").agg(F.min("c_custkey"), F.max("c_custkey")).first()
+    parts = lambda o: [(k, min(k + 500, int(o["high"]) + 1)) for k in range(int(o["low"]), int(o["high"]) + 1, 500)]
+    source = scripts.reader_source("millrace_rows", "id bigint, v bigint", parts, lambda p: ((k, k * 10 + i) for k in range(*p) for i in range(3)))
+    return scripts.read_script(spark, source, low=str(low), high=str(high))
+
+
+@register("udf_05_sink", "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 5 <> 0")
+def script_sink(spark, sf_dir):
+    """A user's function sends each partition's rows to a file of the shared folder."""
+    import json
+    import os
+    import uuid
+
+    from millrace.scratch import scratch_path
+
+    path = scratch_path(spark, "script-sink").removeprefix("file:")
+    spark.range(1).write.parquet(path + "/made")  # the folder itself, by Spark
+
+    def send(partition: int, rows) -> int:
+        sent = [json.dumps({"c_custkey": r["c_custkey"], "c_name": r["c_name"]}) for r in rows]
+        with open(os.path.join(path, f"{partition}-{uuid.uuid4().hex}.jsonl"), "w") as f:
+            f.write("".join(line + "\n" for line in sent))
+        return len(sent)
+
+    scripts.write_script(load(spark, sf_dir, "customer").filter("c_custkey % 5 <> 0").select("c_custkey", "c_name"), scripts.sink_source("millrace_sink", send))
+    return spark.read.schema("c_custkey long, c_name string").option("pathGlobFilter", "*.jsonl").json(path)
 
 
 @register("udf_06_rules", "SELECT o_orderkey, 'alert' AS action, o_orderstatus AS detail FROM orders WHERE o_totalprice > 300000")
@@ -196,12 +254,20 @@ def stream_bins(spark, sf_dir):
     return out.groupBy("user_id").agg(F.count("*").alias("bins"))
 
 
-@register("str_07_tail_files", "SELECT n_name AS value FROM nation")
+@register("str_03_stream_bins_to_end", "SELECT user_id, count(*) // 10 + CASE WHEN count(*) % 10 > 0 THEN 1 ELSE 0 END AS bins, count(*) AS members, sum(event_id)::BIGINT AS ids FROM events GROUP BY user_id")
+def stream_bins_to_end(spark, sf_dir):
+    """With the bins that stay open when the stream ends."""
+    out = streams.merge_bins_to_end(_stream(spark, sf_dir, "events"), "user_id", "event_id", 10)
+    ids = F.aggregate(F.split("content", "\n"), F.lit(0).cast("long"), lambda acc, x: acc + x.cast("long"))
+    return out.groupBy("user_id").agg(F.count("*").alias("bins"), F.sum("n").alias("members"), F.sum(ids).alias("ids"))
+
+
+@register("str_07_tail_files", "SELECT c_name AS value FROM customer")
 def tail_files(spark, sf_dir):
     from millrace.scratch import scratch_path
 
     path = scratch_path(spark, "logs")
-    load(spark, sf_dir, "nation").select("n_name").write.text(path)
+    load(spark, sf_dir, "customer").select("c_name").write.text(path)
     return streams.run_to_end(streams.tail_files(spark, path).select("value"))
 
 

@@ -146,6 +146,15 @@ def merge_bins(spark, sf_dir):
     return records.merge_bins(df, "o_custkey", ["o_orderkey"], 3, 1 << 30, F.lit(100))
 
 
+_BYTES = "1 + (o_orderkey * 7) % 13"
+
+
+@register("rec_10_merge_bins_bytes", f"WITH RECURSIVE o AS (SELECT o_orderkey, o_custkey, {_BYTES} AS size, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders), b AS (SELECT o_orderkey, o_custkey, i, size AS used, 1 AS n, 0 AS bin FROM o WHERE i = 1 UNION ALL SELECT o.o_orderkey, o.o_custkey, o.i, CASE WHEN n = 4 OR used + size > 20 THEN size ELSE used + size END, CASE WHEN n = 4 OR used + size > 20 THEN 1 ELSE n + 1 END, CASE WHEN n = 4 OR used + size > 20 THEN bin + 1 ELSE bin END FROM b JOIN o ON o.o_custkey = b.o_custkey AND o.i = b.i + 1) SELECT o_orderkey, o_custkey, bin::BIGINT AS bin FROM b")
+def merge_bins_bytes(spark, sf_dir):
+    """Bins of at most 4 rows and 20 bytes: both limits close some."""
+    return records.merge_bins(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey", ["o_orderkey"], 4, 20, F.expr(_BYTES))
+
+
 @register("rec_11_defragment", "SELECT l_orderkey, string_agg(part, ',' ORDER BY l_linenumber, part) AS part FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey::VARCHAR AS part FROM lineitem WHERE l_linenumber <> 3 OR l_orderkey % 2 = 0) GROUP BY l_orderkey HAVING count(*) = max(l_linenumber)")
 def defragment(spark, sf_dir):
     df = load(spark, sf_dir, "lineitem").filter("l_linenumber <> 3 OR l_orderkey % 2 = 0").select("l_orderkey", "l_linenumber", c("l_partkey").cast("string").alias("part"))
@@ -192,6 +201,18 @@ def sample_interval(spark, sf_dir):
     return records.sample_interval(load(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 10)
 
 
+@register("rec_17_sample_membership", "SELECT count(*) BETWEEN 0 AND 1e12 AS sampled, least(100, count(*)) AS reservoir, true AS members FROM orders")
+def sample_membership(spark, sf_dir):
+    """Both samples hold rows of the table, each at most once; the probability sample is within 6 deviations of a tenth."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey")
+    n = orders.count()
+    some, few = records.sample_probability(orders, 0.1, 11), records.sample_reservoir(orders, ["o_orderkey"], 100)
+    of = lambda s: s.agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("d")).crossJoin(s.join(orders, "o_orderkey", "left_anti").agg(F.count("*").alias("strange")))
+    a, b = of(some).toDF("n1", "d1", "s1"), of(few).toDF("n2", "d2", "s2")
+    near = F.abs(c("n1") - n / 10) <= 6 * F.sqrt(F.lit(n * 0.09)) + 1
+    return a.crossJoin(b).select(near.alias("sampled"), c("n2").alias("reservoir"), ((c("n1") == c("d1")) & (c("n2") == c("d2")) & (c("s1") == 0) & (c("s2") == 0)).alias("members"))
+
+
 @register("rec_17_sample_probability")
 def sample_probability(spark, sf_dir):
     return records.sample_probability(load(spark, sf_dir, "orders").select("o_orderkey"), 0.1, 11)
@@ -294,6 +315,16 @@ def route_lines(spark, sf_dir):
     return routing.route_text(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", {"license": "LICENSED"}, ignore_case=True).select("doc_id", "line_number", "route")
 
 
+@register("route_04_distributed", "SELECT count(*) AS n, count(*) > 100 AS uneven FROM orders")
+def distributed(spark, sf_dir):
+    """Every row goes to one output, and three in four to the heavier one, within 6 deviations."""
+    dealt = routing.distribute_load(load(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], {"a": 3, "b": 1})
+    heavy = F.sum(F.when(c("output") == "a", 1).otherwise(0))
+    known = F.sum(F.when(c("output").isin("a", "b"), 1).otherwise(0))
+    n = F.count_distinct("o_orderkey")
+    return dealt.agg(known.alias("n"), ((F.abs(heavy - n * 0.75) <= 6 * F.sqrt(n * 0.1875)) & (n > 100)).alias("uneven"))
+
+
 @register("route_04_distribute_load")
 def distribute_load(spark, sf_dir):
     return routing.distribute_load(load(spark, sf_dir, "orders"), ["o_orderkey"], {"a": 3, "b": 1}).groupBy("output").agg(F.count("*").alias("n"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import lookup
@@ -76,24 +79,24 @@ def xml(spark, sf_dir):
     return readers.read_xml(spark, path, "part", "p_partkey bigint, p_name string, p_size int")
 
 
-@register("src_09_snk_07_text", "SELECT n_name || ' of region ' || n_regionkey || '.' AS value FROM nation")
+@register("src_09_snk_07_text", "SELECT c_name || ' of nation ' || c_nationkey || '.' AS value FROM customer")
 def text(spark, sf_dir):
     path = scratch_path(spark, "text")
-    writers.write_free_text(load(spark, sf_dir, "nation"), path, "${n_name} of ${what} ${n_regionkey}.", {"what": "region", "n_name": "no"})
+    writers.write_free_text(load(spark, sf_dir, "customer"), path, "${c_name} of ${what} ${c_nationkey}.", {"what": "nation", "c_name": "no"})
     return readers.read_text_lines(spark, path).select("value")
 
 
-@register("src_09_binary", "SELECT sum(strlen(n_name) + 1)::BIGINT AS bytes FROM nation")
+@register("src_09_binary", "SELECT sum(strlen(o_orderpriority) + 1)::BIGINT AS bytes FROM orders")
 def binary(spark, sf_dir):
     path = scratch_path(spark, "binary")
-    load(spark, sf_dir, "nation").select("n_name").write.text(path)
+    load(spark, sf_dir, "orders").select("o_orderpriority").write.text(path)
     return readers.read_binary(spark, path).agg(F.sum(F.octet_length("content")).alias("bytes"))
 
 
-@register("src_10_snk_14_sequence_file", "SELECT n_nationkey::VARCHAR AS key, n_name AS value FROM nation")
+@register("src_10_snk_14_sequence_file", "SELECT c_custkey::VARCHAR AS key, c_name AS value FROM customer")
 def sequence_file(spark, sf_dir):
     path = scratch_path(spark, "sequence")
-    writers.write_sequence_file(load(spark, sf_dir, "nation"), path, "n_nationkey", "n_name")
+    writers.write_sequence_file(load(spark, sf_dir, "customer"), path, "c_custkey", "c_name")
     return readers.read_sequence_file(spark, path)
 
 
@@ -105,12 +108,32 @@ def object_store(spark, sf_dir):
     return readers.read_object_store(spark, uri)
 
 
-@register("src_12_list_files", "SELECT 0::BIGINT AS fresh, true AS some")
+@register("src_12_list_files", "SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 1")
 def list_files(spark, sf_dir):
-    path = scratch_path(spark, "files")
-    load(spark, sf_dir, "nation").write.parquet(path)
-    now = readers.list_files(spark, path, pattern="*.parquet")
-    return readers.list_files(spark, path, now, "*.parquet").agg(F.count("*").alias("fresh"), F.lit(not now.isEmpty()).alias("some"))
+    """Files that come after a listing, and only those, are listed the next time; their rows are read."""
+    from millrace.scratch import written
+
+    path, orders = scratch_path(spark, "files"), load(spark, sf_dir, "orders").select("o_orderkey")
+    orders.filter("o_orderkey % 3 <> 1").write.parquet(path)
+    known = written(readers.list_files(spark, path, pattern="*.parquet"), "listing")
+    orders.filter("o_orderkey % 3 = 1").write.mode("append").parquet(path)
+    fresh = readers.list_files(spark, path, known, "*.parquet")
+    rows = spark.read.parquet(path).select("o_orderkey", c("_metadata.file_path").alias("path"))
+    plain = lambda p: F.regexp_replace(p, "^file:/+", "/")
+    return rows.withColumn("path", plain("path")).join(fresh.select(plain("path").alias("path")), "path", "left_semi").select("o_orderkey")
+
+
+@register("src_13_snk_08_jdbc", "SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, -1.0 FROM customer WHERE c_custkey < 100")
+def jdbc(spark, sf_dir):
+    """Rows inserted in an embedded database and read by two statements; it lives in the driver's process, so this runs on a local master only."""
+    import uuid
+
+    url, options = f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    df = load(spark, sf_dir, "customer").select(c("c_custkey").alias("CK"), c("c_acctbal").alias("BAL"))
+    writers.write_jdbc(df.limit(0), url, "CUST", options)
+    writers.write_jdbc(df, url, "CUST", options)
+    parts = readers.read_jdbc(spark, url, "SELECT CK, BAL FROM CUST WHERE MOD(CK, 2) = 0; SELECT CK, -1.0 AS BAL FROM CUST WHERE CK < 100", options)
+    return parts[0].union(parts[1].select("CK", c("BAL").cast("double"))).toDF("c_custkey", "c_acctbal")
 
 
 @register("src_14_table_slices", "WITH b AS (SELECT min(o_orderkey) AS a, max(o_orderkey) AS b FROM orders) SELECT low, low + 5000 AS high, 'o_orderkey >= ' || low || ' AND o_orderkey < ' || (low + 5000) AS predicate FROM b, range(a, b + 1, 5000) t(low)")
@@ -139,7 +162,7 @@ def catalog(spark, sf_dir):
 
     name = f"t_{uuid.uuid4().hex}"
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    writers.write_table(nation.filter("n_nationkey >= 5 OR n_nationkey < 5"), name)
+    writers.write_table(nation.filter("n_nationkey >= 5 OR n_nationkey < 5"), name, path=scratch_path(spark, name))
     writers.write_table(nation.filter("n_nationkey < 5").withColumn("note", F.lit("new")), name, evolve=True)
     if readers.list_tables(spark).filter(c("name") == name).isEmpty():
         raise AssertionError("the table is not listed")
@@ -154,10 +177,10 @@ def kafka_rows(spark, sf_dir):
     return readers.kafka_rows(rows, "event_id bigint, user_id bigint, event_type string").select("event_id", "user_id", "event_type")
 
 
-@register("src_21_generate", "SELECT 10::BIGINT AS n, 'x' AS text FROM region WHERE r_regionkey = 0")
+@register("src_21_generate", "SELECT n AS id, 'x' || n % 3 AS text, n * 2 AS a FROM (SELECT count(*) AS m FROM orders), range(m) t(n)")
 def generate(spark, sf_dir):
-    n = load(spark, sf_dir, "region").count() * 2
-    return readers.generate_rows(spark, n, "x", {"a": F.col("id") * 2}).groupBy("text").agg(F.count("*").alias("n"))
+    n = load(spark, sf_dir, "orders").count()
+    return readers.generate_rows(spark, n, F.concat(F.lit("x"), F.col("id") % 3), {"a": F.col("id") * 2})
 
 
 @register("snk_09_upsert", "SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal FROM customer UNION ALL SELECT -1, 5.0")
@@ -167,6 +190,15 @@ def upsert(spark, sf_dir):
     return writers.upsert(target, source, ["c_custkey"])
 
 
+@register("snk_09_10_repeated_keys", "SELECT c_custkey, max(o_orderkey) AS last, min(o_orderkey) AS first FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey")
+def repeated_keys(spark, sf_dir):
+    """Orders put one after another in a table with a row for each customer: the last stays, or with insert-ignore the first."""
+    source = load(spark, sf_dir, "orders").select(c("o_custkey").alias("c_custkey"), c("o_orderkey").alias("v"))
+    none = load(spark, sf_dir, "customer").select("c_custkey", F.lit(-1).cast("long").alias("v")).filter("c_custkey < 0")
+    put, ignored = writers.upsert(none, source, ["c_custkey"], "v"), writers.insert_ignore(none, source, ["c_custkey"], "v")
+    return put.withColumnRenamed("v", "last").join(ignored.withColumnRenamed("v", "first"), "c_custkey").join(load(spark, sf_dir, "customer"), "c_custkey", "left_semi")
+
+
 @register("snk_10_insert_ignore", "SELECT c_custkey, c_acctbal FROM customer UNION ALL SELECT -c_custkey, 0.0 FROM customer WHERE c_custkey > 0")
 def insert_ignore(spark, sf_dir):
     target = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
@@ -183,11 +215,18 @@ def route_to_sink(spark, sf_dir):
     return parts[0].union(parts[1]).union(parts[2])
 
 
-@register("snk_16_zero_rows", "SELECT false AS sent, true AS sent_zero FROM region WHERE r_regionkey = 0")
+@register("snk_16_zero_rows", "SELECT o_orderstatus AS status, count(*) FILTER (o_totalprice > 450000) > 0 AS sent, count(*) FILTER (o_totalprice > 450000) AS n FROM orders GROUP BY o_orderstatus")
 def zero_rows(spark, sf_dir):
-    none = load(spark, sf_dir, "nation").limit(0)
-    sent, zero = (writers.put_record(none, lambda df: df.collect(), z) for z in (False, True))
-    return load(spark, sf_dir, "region").filter("r_regionkey = 0").select(F.lit(sent).alias("sent"), F.lit(zero).alias("sent_zero"))
+    """The dear orders of each status to a sink of their own, which gets a call only if there are any; and zero rows too if asked."""
+    orders, out = load(spark, sf_dir, "orders"), []
+    for (status,) in orders.select("o_orderstatus").distinct().collect():
+        dear = orders.filter((c("o_orderstatus") == status) & (c("o_totalprice") > 450000)).select("o_orderkey")
+        path = scratch_path(spark, "zero")
+        sent = writers.put_record(dear, lambda df, path=path: df.write.parquet(path))
+        if not sent and not writers.put_record(dear, lambda df, path=path: df.write.parquet(path), send_zero=True):
+            raise AssertionError("zero rows were asked for and not sent")
+        out.append(spark.read.schema(dear.schema).parquet(path).agg(F.count("*").alias("n")).select(F.lit(status).alias("status"), F.lit(sent).alias("sent"), "n"))
+    return functools.reduce(DataFrame.union, out)
 
 
 @register("rec_15_convert_format", "SELECT * FROM supplier")
@@ -217,5 +256,5 @@ def since_last_run(spark, sf_dir):
     view = f"events_{uuid.uuid4().hex}"
     load(spark, sf_dir, "events").createOrReplaceTempView(view)
     sql = f"SELECT count(*) AS n FROM {view} WHERE ts > CAST(:start AS TIMESTAMP_NTZ) AND ts <= CAST(:end AS TIMESTAMP_NTZ)"
-    query_since_last_run(spark, sql, state, "q", "2024-01-05 00:00:00")
+    query_since_last_run(spark, sql, state, "q", "2024-01-05 00:00:00", scratch_path(spark, state))
     return query_since_last_run(spark, sql, state, "q", "2024-01-09 00:00:00")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import functions as F
 
 from millrace.operators import text
@@ -96,10 +98,10 @@ def netflow(spark, sf_dir):
     return text.parse_netflow_v5(load(spark, sf_dir, "nation").withColumn("d", data), "d").select("n_nationkey", "record_index", "srcaddr", c("dOctets"), "dstport")
 
 
-@register("text_10_windows_event", "SELECT n_nationkey, n_name AS provider, (4000 + n_nationkey)::INTEGER AS event_id, 'a,' || n_name AS data FROM nation")
+@register("text_10_windows_event", "SELECT c_custkey, c_name AS provider, (4000 + c_nationkey)::INTEGER AS event_id, 'a,' || c_mktsegment AS data FROM customer")
 def windows_event(spark, sf_dir):
-    xml = F.format_string('<Event><System><Provider Name="%s"/><EventID>%d</EventID><Level>4</Level><Computer>pc</Computer></System><EventData><Data>a</Data><Data>%s</Data></EventData></Event>', "n_name", c("n_nationkey") + 4000, "n_name")
-    return text.parse_windows_event_xml(load(spark, sf_dir, "nation").withColumn("x", xml), "x").select("n_nationkey", "provider", "event_id", F.array_join("data", ",").alias("data"))
+    xml = F.format_string('<Event><System><Provider Name="%s"/><EventID>%d</EventID><Level>4</Level><Computer>pc</Computer></System><EventData><Data>a</Data><Data>%s</Data></EventData></Event>', "c_name", c("c_nationkey") + 4000, "c_mktsegment")
+    return text.parse_windows_event_xml(load(spark, sf_dir, "customer").withColumn("x", xml), "x").select("c_custkey", "provider", "event_id", F.array_join("data", ",").alias("data"))
 
 
 @register("text_11_html_element", "SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title, regexp_extract(html, '<html lang=\"(\\w+)\"', 1) AS lang FROM pages")
@@ -118,9 +120,9 @@ def split_text(spark, sf_dir):
     return text.split_text(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", 3).select("doc_id", "fragment_index", F.md5("split").alias("split"))
 
 
-@register("text_12_split_content", "SELECT n_nationkey, (i - 1)::INTEGER AS fragment_index, list_filter(string_split(n_name, 'A'), lambda x: x <> '')[i] AS split FROM nation, unnest(range(1, len(list_filter(string_split(n_name, 'A'), lambda x: x <> '')) + 1)) u(i)")
+@register("text_12_split_content", "SELECT o_orderkey, (i - 1)::INTEGER AS fragment_index, list_filter(string_split(o_orderpriority, 'E'), lambda x: x <> '')[i] AS split FROM orders, unnest(range(1, len(list_filter(string_split(o_orderpriority, 'E'), lambda x: x <> '')) + 1)) u(i)")
 def split_content(spark, sf_dir):
-    return text.split_content(load(spark, sf_dir, "nation").select("n_nationkey", "n_name"), "n_name", "A").drop("n_name")
+    return text.split_content(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", "E").drop("o_orderpriority")
 
 
 @register("text_13_segment", "SELECT doc_id, i AS fragment_index, greatest((strlen(text) + 999) // 1000, 1)::BIGINT AS fragment_count, least(1000, strlen(text) - 1000 * (i - 1))::INTEGER AS size FROM documents, unnest(range(1, greatest((strlen(text) + 999) // 1000, 1) + 1)) u(i)")
@@ -168,10 +170,27 @@ def hashes(spark, sf_dir):
 
 @register("text_22_23_fuzzy_hash")
 def fuzzy(spark, sf_dir):
-    """Benchmark items against each other, by digests that differ in 3 bits at most."""
-    items = load(spark, sf_dir, "benchmark").select("item_id", text.fuzzy_hash(c("text")).alias("digest"))
-    known = items.select(c("item_id").alias("known_id"), c("digest").alias("known"))
-    return text.compare_fuzzy_hash(items, "digest", known, "known", 3).filter("item_id < known_id").select("item_id", "known_id", "distance")
+    """All documents against the benchmark's items, by digests that differ in 3 bits at most."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", text.fuzzy_hash(c("text")).alias("digest"))
+    known = load(spark, sf_dir, "benchmark").groupBy(text.fuzzy_hash(c("text")).alias("known")).agg(F.min("item_id").alias("known_id"))
+    return text.compare_fuzzy_hash(docs, "digest", known, "known", 3).select("doc_id", "known_id", "distance")
+
+
+@register("text_22_fuzzy_hash_of_same_words", r"SELECT doc_id, CASE WHEN regexp_matches(text, '[A-Za-z0-9_]') THEN 0 END::INTEGER AS distance FROM documents")
+def fuzzy_same(spark, sf_dir):
+    """The digest does not see case or marks between words; a text without a word has none."""
+    other = F.concat(F.lit("-- "), F.regexp_replace(F.translate("text", string.ascii_lowercase, string.ascii_uppercase), r"\W+", " ; "))
+    return load(spark, sf_dir, "documents").select("doc_id", text.hash_distance(text.fuzzy_hash(c("text")), text.fuzzy_hash(other)).alias("distance"))
+
+
+@register("text_23_compare_fuzzy_hash", "SELECT doc_id, item_id AS known_id FROM documents, benchmark WHERE documents.text = benchmark.text UNION SELECT item_id, item_id FROM benchmark")
+def fuzzy_compare(spark, sf_dir):
+    """Benchmark items, and documents that are one of them, find it at distance 0."""
+    items = load(spark, sf_dir, "benchmark").select("item_id", "text")
+    own = items.select(c("item_id").cast("long").alias("doc_id"), "text").union(load(spark, sf_dir, "documents").join(items.select("text"), "text", "left_semi").select("doc_id", "text")).distinct()
+    digests = own.select("doc_id", "text", text.fuzzy_hash(c("text")).alias("digest"))
+    known = items.select(c("item_id").alias("known_id"), c("text").alias("known_text"), text.fuzzy_hash(c("text")).alias("known"))
+    return text.compare_fuzzy_hash(digests, "digest", known, "known", 3).filter("text = known_text AND distance = 0").select("doc_id", "known_id")
 
 
 @register("text_24_mime", "SELECT page_id, CASE WHEN starts_with(html, '<!DOCTYPE ') OR starts_with(html, '<html') THEN 'text/html' ELSE 'application/octet-stream' END AS mime, 'text/csv' AS by_name, 'application/gzip' AS packed FROM pages")

@@ -277,3 +277,152 @@ def test_record_stats(spark):
     assert stats(df) == [("p", "", 3), ("p", "a", 2), ("p", "b", 1), ("q", "", 0), ("record.count", "", 3)]
     assert stats(df, 1) == [("p", "", 3), ("p", "a", 2), ("q", "", 0), ("record.count", "", 3)]
     assert stats(df.limit(0)) == [("p", "", 0), ("q", "", 0), ("record.count", "", 0)]
+
+
+def test_deep_groups_and_lineage(spark):
+    chain = spark.createDataFrame([(i, i - 1 if i > 1 else None, 1) for i in range(1, 71)], "g int, parent int, n int")
+    totals = {r.g: r.total_n for r in analytics.group_status(chain.filter("g <= 60"), "g", "parent", ["n"]).collect()}
+    assert totals == {g: 61 - g for g in range(1, 61)}
+    cycle = spark.createDataFrame([(1, 3, 1), (2, 1, 1), (3, 2, 1), (4, None, 1)], "g int, parent int, n int")
+    with pytest.raises(ValueError):
+        analytics.group_status(cycle, "g", "parent", ["n"])
+    # a ring, a chain from it, and an item of its own
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (4, 4), (9, 8)] + [(i, i + 1) for i in range(4, 35)], "parent int, child int")
+    got = {r.item: r.depth for r in analytics.lineage(edges, spark.createDataFrame([(1,), (1,)], "x int")).collect()}
+    assert got == {1: 0, 2: 1, 3: 1} | {i: i - 2 for i in range(4, 36)}
+
+
+def test_csv_headers_types_and_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b\n1,x\na,b\n')
+    (tmp_path / "b.csv").write_text('a,b\n2,"y,z",more,"p,q"\n3\n')
+    path = str(tmp_path)
+    rows = readers.read_csv(spark, path, "a string, b string", drop_unknown=False)
+    assert rows.columns == ["a", "b", "unknown_field_index_2", "unknown_field_index_3"]
+    assert sorted((tuple(r) for r in rows.collect()), key=str) == sorted([("1", "x", None, None), ("a", "b", None, None), ("2", "y,z", "more", "p,q"), ("3", None, None, None)], key=str)
+    assert readers.read_csv(spark, path, "a string, b string").count() == 4
+    for drop in (True, False):
+        with pytest.raises(Exception, match="is no int"):
+            readers.read_csv(spark, path, "a int, b string", drop_unknown=drop).collect()
+    assert readers.read_csv(spark, path, "a string", header=False, drop_unknown=False).count() == 6
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text("a,b\n7,\n,x\n")
+    assert sorted(readers.read_csv(spark, str(tmp_path / "c"), "a int, b string").collect(), key=str) == [(7, None), (None, "x")]
+
+
+def test_merges_of_repeated_and_null_keys(spark):
+    target = spark.createDataFrame([(1, "old", 0), (5, "five", 0)], "k int, v string, s int")
+    source = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 4), (2, "d", 3), (None, "n", 1), (None, "m", 1)], "k int, v string, s int")
+    rows = lambda df: sorted(((r.k, r.v) for r in df.collect()), key=str)
+    assert rows(writers.upsert(target, source, ["k"], "s")) == sorted([(1, "b"), (2, "c"), (5, "five"), (None, "n"), (None, "m")], key=str)
+    assert rows(writers.insert_ignore(target, source, ["k"], "s")) == sorted([(1, "old"), (2, "d"), (5, "five"), (None, "n"), (None, "m")], key=str)
+    for merge in (writers.upsert, writers.insert_ignore):
+        with pytest.raises(Exception, match="repeated"):
+            merge(target, source, ["k"]).collect()
+    once = source.filter("s <= 1 OR s = 4")
+    assert rows(writers.upsert(target, once, ["k"])) == sorted([(1, "a"), (2, "c"), (5, "five"), (None, "n"), (None, "m")], key=str)
+
+
+def test_mapping_with_repeated_and_null_keys(spark):
+    df = spark.createDataFrame([(1, "x y"), (1, "z w"), (None, "x-x"), (2, None), (3, "")], "k int, t string")
+    mapping = spark.createDataFrame([("x", "X"), ("x", "Y"), ("y", None), (None, "no")], "word string, replacement string")
+    got = text.replace_with_mapping(df, "t", ["k"], mapping)
+    assert got.columns == df.columns
+    assert sorted(map(str, got.collect())) == sorted(str(r) for r in spark.createDataFrame([(1, "X y"), (1, "z w"), (None, "X-X"), (2, None), (3, "")], "k int, t string").collect())
+
+
+def test_fuzzy_hash_of_nothing(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, " -- "), (4, "one word"), (5, "one word")], "i int, t string")
+    digests = df.select("i", text.fuzzy_hash(F.col("t")).alias("d")).cache()
+    assert [r.d is None for r in digests.orderBy("i").collect()] == [True, True, True, False, False]
+    pairs = text.compare_fuzzy_hash(digests, "d", digests.toDF("j", "e"), "e", 3).collect()
+    assert sorted((r.i, r.j, r.distance) for r in pairs) == [(4, 4, 0), (4, 5, 0), (5, 4, 0), (5, 5, 0)]
+
+
+def test_stream_bins_to_the_end(spark, tmp_path):
+    from millrace.streaming import streams
+
+    spark.createDataFrame([("a" if i % 3 else "b", i) for i in range(20)], "k string, v int").coalesce(1).write.parquet(f"{tmp_path}/in")
+    rows = streams.read_files(spark, f"{tmp_path}/in", "k string, v int")
+    got = streams.merge_bins_to_end(rows, "k", "v", 5).collect()
+    assert sorted((r.k, r.n) for r in got) == [("a", 3), ("a", 5), ("a", 5), ("b", 2), ("b", 5)]
+    assert sorted(int(x) for r in got for x in r.content.split("\n")) == list(range(20))
+
+
+def test_routing_reads_once_and_takes_odd_names(spark):
+    df = spark.createDataFrame([(1, "a/b"), (2, None), (3, "c"), (4, "other")], "i int, to string")
+    got = {}
+    keep = lambda name: lambda part: got.update({name: sorted(r.i for r in part.collect())})
+    writers.route_to_sinks(df, "to", {"a/b": keep("a/b"), "c": keep("c"), "none": keep("none")}, keep("rest"))
+    assert got == {"a/b": [1], "c": [3], "none": [], "rest": [2, 4]}
+
+
+def test_buffers_and_systems(spark):
+    from millrace.operators import geo
+
+    for wkt in ("LINESTRING (0 0, 1 1, 2 0)", "POLYGON ((0 0, 4 0, 4 4, 2 1, 0 4, 0 0))", "MULTIPOINT (0 0)", "POLYGON ((0 0, 9 0, 9 9, 0 0), (1 1, 2 1, 2 2, 1 1))"):
+        with pytest.raises(ValueError):
+            geo.buffer_wkt(wkt, 1.0)
+    with pytest.raises(Exception, match="no point"):
+        spark.createDataFrame([("LINESTRING (0 0, 1 1)",)], "g string").select(geo.buffer_point(F.col("g"), 1.0)).collect()
+    ring = geo._points(geo.buffer_wkt("LINESTRING (0 0, 10 0)", 2.0)[len("POLYGON ((") : -2])
+    away = [max(0.0, -x, x - 10) ** 2 + y * y for x, y in ring]
+    assert len(ring) == 35 and all(abs(d - 4) < 1e-7 for d in away)
+    # either way round, and with corners on an edge
+    assert geo.buffer_wkt("POLYGON ((0 0, 2 0, 4 0, 4 4, 0 4, 0 0))", 1.0) == geo.buffer_wkt("POLYGON ((0 0, 0 4, 4 4, 4 0, 0 0))", 1.0)
+    df = spark.createDataFrame([("POLYGON ((126 35, 129.5 36, 128 38, 126 35))",), (None,), ("POLYGON EMPTY",)], "g string")
+    back = geo.transform_geometry(geo.transform_geometry(geo.transform_geometry(df, "g", 4326, 5179), "g", 5179, 3857), "g", 3857, 4326)
+    got = [r.g for r in back.collect()]
+    assert got[1:] == [None, "POLYGON EMPTY"]
+    assert abs(geo._points(got[0][len("POLYGON ((") : -2]) - geo._points("126 35, 129.5 36, 128 38, 126 35")).max() < 1e-9
+
+
+def test_pages_far_from_the_start(spark, monkeypatch):
+    df = spark.range(1000).select((999 - F.col("id")).alias("i"))
+    near = [r.i for r in analytics.page(df, ["i"], 7, 9).orderBy("i").collect()]
+    monkeypatch.setattr(analytics, "TOP_ROWS", 10)
+    assert [r.i for r in analytics.page(df, ["i"], 7, 9).orderBy("i").collect()] == near == list(range(63, 70))
+
+
+def test_common_attributes_of_odd_members(spark):
+    rows = [("x", {"a": "1", "b": "2"}), ("x", {"a": "1"}), ("y", {}), ("y", {"c": "3"}), ("z", {}), ("v", None), ("w", {"d": None})]
+    df = spark.createDataFrame(rows, "bin string, m map<string,string>")
+    common = {r.bin: r.m for r in records.keep_common_attributes(df, "bin", "m").collect()}
+    unique = {r.bin: r.m for r in records.keep_unique_attributes(df, "bin", "m").collect()}
+    assert common == {"x": {"a": "1"}, "y": {}, "z": {}, "v": {}, "w": {}}
+    assert unique == {"x": {"a": "1", "b": "2"}, "y": {"c": "3"}, "z": {}, "v": {}, "w": {}}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from millrace import scratch
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(RuntimeError):
+        scratch.scratch_dir(session)
+    session.conf.get = lambda *_: "hdfs://shared/x/"
+    assert scratch.scratch_dir(session) == "hdfs://shared/x"
+
+
+def test_optional_operators_may_be_missing(monkeypatch):
+    import builtins
+    import importlib
+    import sys
+
+    import __spark_entry__ as entry
+
+    have = set(entry.queries())
+    for name in [m for m in sys.modules if m.startswith("millrace.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    real = builtins.__import__
+
+    def without(name, *args, **kwargs):
+        if name.split(".")[0] == "public_tokenizers" or name.startswith("millrace.llm"):
+            raise ModuleNotFoundError(name)
+        return real(name, *args, **kwargs)
+
+    monkeypatch.setattr(builtins, "__import__", without)
+    monkeypatch.setattr(importlib, "import_module", lambda name, find=importlib.import_module: without(name) if "llm" in name else find(name))
+    left = entry.queries()
+    assert left and set(left) == {n for n in have if not n.startswith("op") and n != "pipeline"} and set(entry.oracle_sql()) <= set(left)
