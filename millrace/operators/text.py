@@ -471,9 +471,11 @@ def fuzzy_hash(c: Column, words: int = 3) -> Column:
     Shingles are hashed by Spark; the 64 votes of each text are counted in numpy.
     """
     tokens = F.filter(F.split(F.lower(c), r"\W+"), lambda w: w != "")
-    hashes = lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - words + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(t, i, F.lit(words)), " ")))
-    # as an element of an array the words are cut once, not for each shingle
-    shingles = F.transform(F.array(tokens), hashes)[0]
+    # words beside those that follow them: linear, as the words are not cut anew for each shingle
+    joined = tokens
+    for k in range(2, words + 1):
+        joined = F.zip_with(joined, F.slice(tokens, F.lit(k), F.greatest(F.size(tokens), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
+    shingles = F.transform(F.slice(joined, F.lit(1), F.greatest(F.size(tokens) - words + 1, F.lit(1))), lambda x: F.xxhash64(x))
 
     @F.pandas_udf("long")
     def votes(rows: pd.Series) -> pd.Series:
