@@ -300,7 +300,8 @@ def _classes(df: DataFrame, text: str, id_column: str, n: int = GRAM, threshold:
     of_root = rooted.join(named, "node").groupBy("root").agg(F.min(F.struct("rep", "node")).alias("least")).select("root", F.col("least.rep").alias("class_id"), F.col("least.node").alias("first"))
     linked = rooted.join(of_root, "root").join(counts, "node", "left").select("node", "class_id", "first", "n_links")
     by_node = named.join(linked, "node", "left").select("node", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("first", "node").alias("first"))
-    return all_rows.select("id", "node").join(by_node, "node", "left")
+    # written, so that the join stands alone and a text with many copies is split as a skewed key
+    return all_rows.select("id", "node").join(written(by_node, "by-node"), "node", "left")
 
 
 def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id", n: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
