@@ -254,10 +254,10 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def _classes(df: DataFrame, text: str, id_column: str, n: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """(id, node, class_id, n_links, first) of every row; ``first`` is the node of the row that gives the class its id.
+def _classes(df: DataFrame, text: str, id_column: str, n: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows as (id, node, text), those with an id and a word as (id, node, ...), and the class of each such node.
 
-    The last three are null for texts without words.
+    A class is (node, class_id, n_links, first); ``first`` is the node of the row that gives the class its id.
     """
     bands, rows = choose_bands(threshold, recall)
     all_rows = _nodes(df, text, id_column)
@@ -280,10 +280,11 @@ def _classes(df: DataFrame, text: str, id_column: str, n: int = GRAM, threshold:
     # large buckets: pairs of chunks; sets whose sizes lie two classes apart cannot be linked
     large = members.filter("large").withColumn("band_of_size", F.floor(F.log(F.col("size").cast("double")) / -math.log(threshold - 1e-6)))
     marks = members.join(large.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.collect_list(F.struct("band", "bucket", "large")).alias("marks"))
-    chunks_of = large.groupBy("bucket", "band_of_size").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("k"))
+    chunks_of = written(large.groupBy("bucket", "band_of_size").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("k")), "chunks")
     around = chunks_of.select("bucket", F.explode(F.array(*(F.col("band_of_size") + d for d in (-1, 0, 1)))).alias("band_of_size"), F.struct(F.col("band_of_size").alias("s"), "k").alias("c"))
     around = around.groupBy("bucket", "band_of_size").agg(F.collect_list("c").alias("near"))
-    chunks = large.join(chunks_of, ["bucket", "band_of_size"]).join(around, ["bucket", "band_of_size"])
+    # written, so that its size is known when the join is planned, and a hot bucket is not dealt by its number
+    chunks = large.join(written(chunks_of.join(around, ["bucket", "band_of_size"]), "chunks-around"), ["bucket", "band_of_size"])
     mine = F.struct(F.col("band_of_size").alias("s"), F.pmod(F.xxhash64("node", "bucket"), F.col("k")).cast("int").alias("c"))
     # what a node is compared with is met by the node first, then dealt
     dealt = chunks.select("bucket", "band", "node", "near", mine.alias("mine")).join(marks, "node").join(grams, "node")
@@ -300,13 +301,14 @@ def _classes(df: DataFrame, text: str, id_column: str, n: int = GRAM, threshold:
     of_root = rooted.join(named, "node").groupBy("root").agg(F.min(F.struct("rep", "node")).alias("least")).select("root", F.col("least.rep").alias("class_id"), F.col("least.node").alias("first"))
     linked = rooted.join(of_root, "root").join(counts, "node", "left").select("node", "class_id", "first", "n_links")
     by_node = named.join(linked, "node", "left").select("node", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("first", "node").alias("first"))
-    # written, so that the join stands alone and a text with many copies is split as a skewed key
-    return all_rows.select("id", "node").join(written(by_node, "by-node"), "node", "left")
+    return all_rows, sketches, written(by_node, "by-node")
 
 
 def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id", n: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """(id, class_id, n_links) of every row; ``n_links`` counts the different texts linked to the row's."""
-    out = _classes(df, text, id_column, n, threshold, recall)
+    all_rows, _, by_node = _classes(df, text, id_column, n, threshold, recall)
+    # the join stands alone, so a text with many copies is split as a skewed key
+    out = all_rows.select("id", "node").join(by_node, "node", "left")
     return out.select(F.col("id").alias(id_column), F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"), F.when(F.col("id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"))
 
 
@@ -316,17 +318,16 @@ def keep_one_each(df: DataFrame, text: str = "text", id_column: str = "doc_id")
     Of rows equal in both, any one stays.  Rows with a null id, and rows
     without words, all stay.
     """
-    classes = _classes(df, text, id_column).filter("id IS NOT NULL")
-    first = F.col("class_id").isNull() | ((F.col("id") == F.col("class_id")) & (F.col("node") == F.col("first")))
-    kept = written(classes.filter(first).groupBy("id", "node").agg(F.count("*").alias("n")), "kept").select(F.col("id").alias("__id"), F.col("node").alias("__node"), F.col("n").alias("__n"))
+    _, sketches, by_node = _classes(df, text, id_column)
+    kept = by_node.filter("node = first").select(F.col("class_id").alias("__id"), F.col("node").alias("__node"))
     # rows that the table repeats need one picked; without any, rows only meet the small table of ids
-    repeated = kept.filter("__n > 1").limit(1).count() > 0
+    repeated = sketches.groupBy("id", "node").count().filter("count > 1").limit(1).count() > 0
     names = [free_name(df, f"__c{i}") for i in range(len(df.columns))]
     own = df.toDF(*names)
     i, t = names[df.columns.index(id_column)], names[df.columns.index(text)]
     node = F.unhex(F.md5(F.coalesce(F.col(t).cast("string"), F.lit(""))))
-    out = own.join(kept.select("__id", "__node"), (F.col(i).cast("long") == F.col("__id")) & (node == F.col("__node")), "left_semi")
+    sorted_out = F.col(i).isNotNull() & F.coalesce(F.col(t).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    out = own.filter(sorted_out).join(kept, (F.col(i).cast("long") == F.col("__id")) & (node == F.col("__node")), "left_semi")
     if repeated:
-        wordy = F.coalesce(F.col(t).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-        out = out.filter(wordy).dropDuplicates([i, t]).union(out.filter(~wordy))
-    return out.union(own.filter(F.col(i).isNull())).toDF(*df.columns)
+        out = out.dropDuplicates([i, t])
+    return out.union(own.filter(~sorted_out)).toDF(*df.columns)
