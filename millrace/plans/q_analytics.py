@@ -183,7 +183,7 @@ def trend(spark, sf_dir):
     return t.select("l_returnflag", "n", r("slope", 3), r("intercept", 2), r("r2", 6), r("adjusted_r2", 6), F.round(analytics.predict_y(F.lit(10)), 2).alias("at_ten"))
 
 
-@register("agg_11_backpressure", "WITH q AS (SELECT user_id, epoch(ts) AS x, sum(value) OVER (PARTITION BY user_id ORDER BY ts) AS y FROM events), t AS (SELECT user_id, regr_slope(y, x - 1704067200) AS m, regr_intercept(y, x - 1704067200) AS b, max(x) - 1704067200 AS last FROM q GROUP BY user_id) SELECT user_id, round(greatest(m * (last + 3600) + b, 0), 1) AS predicted, least(round(greatest(m * (last + 3600) + b, 0) / 10000 * 100), 100)::INTEGER AS predicted_percent, CASE WHEN m > 0 AND (10000 - b) / m - last >= 0 THEN round((10000 - b) / m - last, -2) ELSE -1 END::BIGINT AS seconds_to_threshold FROM t")
+@register("agg_11_backpressure", "WITH q AS (SELECT user_id, epoch(ts) AS x, sum(value) OVER (PARTITION BY user_id ORDER BY ts) AS y FROM events), t AS (SELECT user_id, regr_slope(y, x - 1704067200) AS m, regr_intercept(y, x - 1704067200) AS b, max(x) - 1704067200 AS last FROM q GROUP BY user_id) SELECT user_id, round(greatest(m * (last + 3600) + b, 0), 1) AS predicted, least(round(greatest(m * (last + 3600) + b, 0) / 10000 * 100), 100)::INTEGER AS predicted_percent, CASE WHEN m > 0 AND (10000 - b) / m - last >= 0 THEN round(round((10000 - b) / m - last), -2) ELSE -1 END::BIGINT AS seconds_to_threshold FROM t")
 def backpressure(spark, sf_dir):
     """Queue sizes are running sums of the event values of each user."""
     from pyspark.sql import Window
