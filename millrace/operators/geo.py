@@ -197,11 +197,17 @@ def from_transverse_mercator(x: Column, y: Column, lon0: float, lat0: float = 0.
 
 
 _KOREA = {"lon0": 127.5, "lat0": 38.0, "scale": 0.9996, "false_x": 1_000_000.0, "false_y": 2_000_000.0}
-#: Coordinate systems by EPSG number, from degrees to their own units and back.
+#: Coordinate systems by EPSG number, from degrees to their own units.
 SYSTEMS = {
-    4326: (lambda lon, lat: (lon, lat), lambda lon, lat: (lon, lat)),
-    3857: (to_mercator, from_mercator),
-    5179: (lambda lon, lat: to_transverse_mercator(lon, lat, **_KOREA), lambda x, y: from_transverse_mercator(x, y, **_KOREA)),
+    4326: lambda lon, lat: (lon, lat),
+    3857: to_mercator,
+    5179: lambda lon, lat: to_transverse_mercator(lon, lat, **_KOREA),
+}
+#: And back.
+DEGREES = {
+    4326: lambda lon, lat: (lon, lat),
+    3857: from_mercator,
+    5179: lambda x, y: from_transverse_mercator(x, y, **_KOREA),
 }
 
 
@@ -209,7 +215,7 @@ def change_crs(x: Column, y: Column, source: int, target: int) -> tuple[Column,
     for system in (source, target):
         if system not in SYSTEMS:
             raise ValueError(f"no such system: {system}")
-    return SYSTEMS[target][0](*SYSTEMS[source][1](x, y))
+    return SYSTEMS[target](*DEGREES[source](x, y))
 
 
 def transform_geometry(df: DataFrame, geometry: str, source: int, target: int) -> DataFrame:
