@@ -49,6 +49,9 @@ RECALL = 0.9995
 MAX_HASHES = 128
 SMALL = 32
 CHUNK = 512
+#: Hashes that a worker keeps, and the longest words that they are kept of.
+KNOWN_WORDS = 100_000
+KNOWN_LETTERS = 64
 _M = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(20).integers(1, 1 << 63, (2, MAX_HASHES), dtype=np.uint64)
 
@@ -68,9 +71,11 @@ _known: dict[str, int] = {}
 def _word_hash(word: str) -> int:
     value = _known.get(word)
     if value is None:
-        if len(_known) > 400_000:
-            _known.clear()
-        value = _known[word] = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= KNOWN_LETTERS:
+            if len(_known) >= KNOWN_WORDS:
+                _known.clear()
+            _known[word] = value
     return value
 
 
