@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 import base64
+import bz2
+import io
+import lzma
 import re
+import tarfile
+import zipfile
 import zlib
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -393,11 +398,15 @@ def scan_content(df: DataFrame, text: str, terms: Sequence[str]) -> DataFrame:
 # --- encode, compress, hash ------------------------------------------------
 
 
+#: What broken input raises in the packing modules.
+_BROKEN = (ValueError, EOFError, OSError, NotImplementedError, RuntimeError, zlib.error, lzma.LZMAError, tarfile.TarError, zipfile.BadZipFile)
+
+
 def _try_bytes(function: Callable[[bytes], bytes]):
     def one(value: bytes | None) -> bytes | None:
         try:
             return None if value is None else function(bytes(value))
-        except (ValueError, zlib.error):
+        except _BROKEN:
             return None
 
     return one
@@ -416,10 +425,20 @@ def _per_row(c: Column, function: Callable[[bytes], bytes]) -> Column:
 def encode_content(c: Column, encoding: str) -> Column:
     """base64, hex or base32 text of bytes."""
     if encoding == "base32":
-        return _per_row(c, base64.b32encode).cast("string")
+        return _base32(c.cast("binary"))
     return F.base64(c.cast("binary")) if encoding == "base64" else F.lower(F.hex(c.cast("binary")))
 
 
+def _base32(c: Column) -> Column:
+    """20 bits (5 hex digits, 4 base-32 digits) at a time; bits beyond the bytes are 0, digits beyond them are ``=``."""
+    groups = F.ceil(F.octet_length(c) / 5).cast("int")
+    hexed = F.rpad(F.hex(c), groups * 10, "0")
+    digits = F.transform(F.sequence(F.lit(0), groups * 2 - 1), lambda i: F.lpad(F.conv(F.substring(hexed, i * 5 + 1, F.lit(5)), 16, 32), 4, "0"))
+    whole = F.translate(F.array_join(digits, ""), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+    used = F.ceil(F.octet_length(c) * 8 / 5).cast("int")
+    return F.when(groups > 0, F.rpad(F.left(whole, used), groups * 8, "=")).when(groups == 0, "")
+
+
 def decode_content(c: Column, encoding: str) -> Column:
     """The bytes of an encoded text; null where it is not one."""
     if encoding == "base32":
@@ -427,19 +446,106 @@ def decode_content(c: Column, encoding: str) -> Column:
     return F.try_to_binary(c, F.lit(encoding))
 
 
-def compress_content(c: Column, level: int = 6) -> Column:
-    """Each value as one gzip member."""
+def _deflated(value: bytes, level: int, window: int) -> bytes:
+    z = zlib.compressobj(level, zlib.DEFLATED, window)
+    return z.compress(value) + z.flush()
+
+
+# Ways to pack one value and to unpack it.
+_CODECS: dict[str, tuple[Callable[[bytes, int], bytes], Callable[[bytes], bytes]]] = {
+    "gzip": (lambda v, level: _deflated(v, level, 31), lambda v: zlib.decompress(v, 31)),
+    "deflate": (lambda v, level: _deflated(v, level, 15), zlib.decompress),
+    "bzip2": (lambda v, level: bz2.compress(v, max(level, 1)), bz2.decompress),
+    "xz": (lambda v, level: lzma.compress(v, preset=level), lzma.decompress),
+    "lzma": (lambda v, level: lzma.compress(v, lzma.FORMAT_ALONE, preset=level), lambda v: lzma.decompress(v, lzma.FORMAT_ALONE)),
+}
+
+
+def _codec(kind: str) -> tuple[Callable[[bytes, int], bytes], Callable[[bytes], bytes]]:
+    if kind not in _CODECS:
+        raise ValueError(f"no such compression: {kind}")
+    return _CODECS[kind]
+
+
+def compress_content(c: Column, level: int = 6, kind: str = "gzip") -> Column:
+    """Each value as one member of gzip, deflate (with zlib's head), bzip2, xz or lzma."""
+    pack, _ = _codec(kind)
+    return _per_row(c, lambda v: pack(v, level))
+
+
+def unpack_content(c: Column, kind: str = "gzip") -> Column:
+    """The bytes of a member; null where it is broken."""
+    return _per_row(c, _codec(kind)[1])
+
+
+def _zip(files: list[tuple[str, bytes]]) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, content in files:
+            # one date, so that equal files give equal archives
+            archive.writestr(zipfile.ZipInfo(name), content, zipfile.ZIP_DEFLATED)
+    return out.getvalue()
 
-    def gzip(value: bytes) -> bytes:
-        z = zlib.compressobj(level, zlib.DEFLATED, 31)
-        return z.compress(value) + z.flush()
 
-    return _per_row(c, gzip)
+def _tar(files: list[tuple[str, bytes]]) -> bytes:
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w") as archive:
+        for name, content in files:
+            head = tarfile.TarInfo(name)
+            head.size = len(content)
+            archive.addfile(head, io.BytesIO(content))
+    return out.getvalue()
 
 
-def unpack_content(c: Column) -> Column:
-    """The bytes of a gzip member; null where it is broken."""
-    return _per_row(c, lambda v: zlib.decompress(v, 31))
+def _unzip(content: bytes) -> list[tuple[str, bytes]]:
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        return [(f.filename, archive.read(f)) for f in archive.infolist() if not f.is_dir()]
+
+
+def _untar(content: bytes) -> list[tuple[str, bytes]]:
+    with tarfile.open(fileobj=io.BytesIO(content), mode="r:") as archive:
+        return [(f.name, archive.extractfile(f).read()) for f in archive if f.isfile()]
+
+
+_ARCHIVES = {"zip": (_zip, _unzip), "tar": (_tar, _untar)}
+
+
+def pack_files(df: DataFrame, key: Sequence[str], name: str, content: str, kind: str = "zip") -> DataFrame:
+    """(key, archive): a zip or tar archive of each key's files, in order of their names; a null content is empty.
+
+    An archive is one value, so ``key`` has to name bins of bounded size, as
+    those of ``records.merge_bins``; rows with a null name are left out.
+    """
+    pack = _ARCHIVES[kind][0]
+
+    @F.pandas_udf("binary")
+    def packed(names: pd.Series, contents: pd.Series) -> pd.Series:
+        return pd.Series([pack(list(zip(map(str, n), map(bytes, c)))) for n, c in zip(names, contents)], dtype=object)
+
+    file = F.struct(F.col(name).cast("string").alias("n"), F.coalesce(F.col(content).cast("binary"), F.lit("").cast("binary")).alias("c"))
+    files = df.filter(F.col(name).isNotNull()).groupBy(*key).agg(F.array_sort(F.collect_list(file)).alias("__f"))
+    return files.select(*key, packed("__f.n", "__f.c").alias("archive"))
+
+
+def unpack_files(df: DataFrame, archive: str, key: Sequence[str], kind: str = "zip") -> DataFrame:
+    """(key, fragment_index, name, content): a row for each file in zip or tar archives.
+
+    A null, broken or empty archive gives one row of nulls.  Folders are left out.
+    """
+    unpack = _ARCHIVES[kind][1]
+
+    @F.pandas_udf("array<struct<name:string,content:binary>>")
+    def files(values: pd.Series) -> pd.Series:
+        out = []
+        for value in values:
+            try:
+                out.append(None if value is None else [{"name": n, "content": c} for n, c in unpack(bytes(value))])
+            except _BROKEN:
+                out.append(None)
+        return pd.Series(out, dtype=object)
+
+    found = df.select(*key, F.posexplode_outer(files(F.col(archive).cast("binary"))).alias("fragment_index", "__f"))
+    return found.select(*key, "fragment_index", "__f.name", "__f.content")
 
 
 def hash_content(c: Column, algorithm: str = "SHA-256") -> Column:

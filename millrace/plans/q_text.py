@@ -162,6 +162,21 @@ def compress(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", F.md5(text.unpack_content(text.compress_content(c("text")))).alias("back"), text.unpack_content(c("text")).isNull().alias("bad"))
 
 
+@register("text_19_codecs", "SELECT p_partkey, md5(p_name) AS deflate, md5(p_name) AS bzip2, md5(p_name) AS xz, md5(p_name) AS lzma FROM part")
+def codecs(spark, sf_dir):
+    back = lambda kind: F.md5(text.unpack_content(text.compress_content(c("p_name"), kind=kind), kind)).alias(kind)
+    return load(spark, sf_dir, "part").select("p_partkey", *(back(k) for k in ("deflate", "bzip2", "xz", "lzma")))
+
+
+@register("text_19_archives", "SELECT kind, conv_id, (turn // 16)::BIGINT AS part, (row_number() OVER (PARTITION BY kind, conv_id, turn // 16 ORDER BY turn, coalesce(text, '')) - 1)::INTEGER AS fragment_index, 'turn-' || lpad(turn::VARCHAR, 6, '0') AS name, md5(coalesce(text, '')) AS content FROM conversations, (VALUES ('zip'), ('tar')) k(kind) WHERE turn IS NOT NULL")
+def archives(spark, sf_dir):
+    """Sixteen turns of a conversation as files of an archive, and back."""
+    turns = load(spark, sf_dir, "conversations").select("conv_id", F.expr("turn div 16").alias("part"), F.concat(F.lit("turn-"), F.lpad(c("turn").cast("string"), 6, "0")).alias("name"), "text")
+    back = lambda kind: text.unpack_files(text.pack_files(turns, ["conv_id", "part"], "name", "text", kind), "archive", ["conv_id", "part"], kind)
+    both = [back(kind).select(F.lit(kind).alias("kind"), "conv_id", "part", "fragment_index", "name", F.md5("content").alias("content")) for kind in ("zip", "tar")]
+    return both[0].union(both[1])
+
+
 @register("text_20_21_hash", "SELECT o_orderkey, sha256(o_orderstatus) AS one, sha256(o_orderstatus || '|' || o_orderpriority) AS several, md5(regexp_extract(o_orderpriority, '[A-Z]+') || o_orderstatus) AS parts FROM orders")
 def hashes(spark, sf_dir):
     df = text.hash_attribute(load(spark, sf_dir, "orders"), {"o_orderstatus": ".*", "o_orderpriority": "[A-Z]+"}, "parts")

@@ -426,3 +426,30 @@ def test_optional_operators_may_be_missing(monkeypatch):
     monkeypatch.setattr(importlib, "import_module", lambda name, find=importlib.import_module: without(name) if "llm" in name else find(name))
     left = entry.queries()
     assert left and set(left) == {n for n in have if not n.startswith("op") and n != "pipeline"} and set(entry.oracle_sql()) <= set(left)
+
+
+@pytest.mark.parametrize("value", [b"", b"a", b"ab", b"abc", b"abcd", b"abcde", bytes(range(256)), b"\x00" * 7, None])
+def test_base32_of_any_length(spark, value):
+    want = None if value is None else base64.b32encode(value).decode()
+    assert one(spark, lambda c: text.encode_content(c, "base32"), value, "binary") == want
+
+
+@pytest.mark.parametrize("kind", ["gzip", "deflate", "bzip2", "xz", "lzma"])
+def test_codecs(spark, kind):
+    for value in (b"", b"abc" * 1000, None):
+        assert one(spark, lambda c: text.unpack_content(text.compress_content(c, kind=kind), kind), value, "binary") == value
+    assert one(spark, lambda c: text.unpack_content(c, kind), b"no such thing", "binary") is None
+    broken = one(spark, lambda c: F.substring(text.compress_content(c, kind=kind), 1, 9), b"abc" * 1000, "binary")
+    assert one(spark, lambda c: text.unpack_content(c, kind), bytes(broken), "binary") in (None, b"")
+
+
+@pytest.mark.parametrize("kind", ["zip", "tar"])
+def test_archives(spark, kind):
+    files = [(1, "b", b"two"), (1, "a", b"one"), (2, "a", None), (2, None, b"lost"), (3, "a", b"x"), (3, "a", b"x")]
+    packed = text.pack_files(spark.createDataFrame(files, "k int, n string, c binary"), ["k"], "n", "c", kind)
+    bad = spark.createDataFrame([(4, None), (5, b"broken" * 200)], "k int, archive binary")
+    got = text.unpack_files(packed.union(bad), "archive", ["k"], kind).collect()
+    rows = sorted((r.k, r.fragment_index, r.name, None if r.content is None else bytes(r.content)) for r in got)
+    assert rows == [(1, 0, "a", b"one"), (1, 1, "b", b"two"), (2, 0, "a", b""), (3, 0, "a", b"x"), (3, 1, "a", b"x"), (4, None, None, None), (5, None, None, None)]
+    with pytest.raises(ValueError):
+        text.compress_content(F.col("c"), kind="none")
