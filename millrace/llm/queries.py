@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, linededup, lm, media, mixing, neardup, quality, toxicity, warc
+from millrace.llm import bpe, decontam, fim, langid, linededup, lm, media, mixing, neardup, phrases, quality, toxicity, warc
 from millrace.llm.common import remainder, scratch_path, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +70,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_linededup": op1_linededup,
     "op2_language": op2_language,
@@ -81,10 +93,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm": op8_lm,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_phrases": op11_phrases,
+    "op12_decontamination": op12_decontamination,
+    "op13_fim": op13_fim,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_linededup": linededup.REPORT_SQL,
     "op6_warc": warc.RECORDS_SQL,
     "op9_quality": quality.REPORT_SQL,
+    "op11_phrases": phrases.COLLOCATIONS_SQL,
+    "op12_decontamination": decontam.REPORT_SQL,
+    "op13_fim": fim.REPORT_SQL,
 }
