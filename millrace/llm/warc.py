@@ -7,11 +7,21 @@ and ``revisit`` records without payload that refer to it.
 
 ``read_warc`` reads whole archives (plain, or gzip with one or many records in
 a member) and checks each record: version line, lengths, end mark, payload
-digest.  After a failed check it searches for the next valid gzip member or
-version line, goes on there, and reports the bytes between as a gap.  Records
-that a broken gzip member holds before its break are kept if their payload
-digest agrees; they have length 0, as the member's bytes are the gap's.
-Members are inflated a piece at a time, so an archive takes linear time.
+digest.  A record whose length and end mark are right and whose digest differs is a
+gap of just its bytes.  After other damage the reader searches for the next valid
+gzip member or version line, goes on there, and reports the bytes between as a
+gap.  A payload may hold what looks like a record, so a record found by a search
+counts only if its payload digest agrees, or if it has none to check and leads
+straight to one that agrees or to the archive's end; else it is ``unsure``, a kind
+of its own, and the search goes on behind it.  Records that a broken gzip member
+holds before its break are kept if their payload digest agrees; they have length
+0, as the member's bytes are the gap's.
+
+An archive takes linear time: members are inflated a piece at a time, headers
+end within ``MAX_HEADER`` bytes, a search never reads a header over the next
+version line, and the bytes that it inflates or digests in vain are bounded by
+``WASTE`` times the archive; what it would meet beyond that is one gap that says
+so.  Gzip members inside members are opened ``MAX_DEPTH`` deep.
 
 Archives hold about ``TARGET_BYTES`` each, so that one fits a task, and never
 more than ``MOST_BYTES`` however page sizes are spread.  Defined
@@ -42,6 +52,9 @@ TARGET_BYTES = 32 << 20
 #: Below the 2 GB that a reader of whole files can take.
 MOST_BYTES = 1 << 30
 PIECE = 1 << 16
+MAX_HEADER = 1 << 16
+MAX_DEPTH = 4
+WASTE = 16
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -64,7 +77,11 @@ class Found:
 
 
 class _Broken(Exception):
-    pass
+    """``resume`` is where to go on, if that is known; ``spent`` counts bytes that were read in vain."""
+
+    def __init__(self, reason: str, resume: int | None = None, spent: int = 0):
+        super().__init__(reason)
+        self.resume, self.spent = resume, spent
 
 
 def _fields(block: bytes) -> dict[str, str]:
@@ -72,16 +89,20 @@ def _fields(block: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, sep, v in (line.partition(":") for line in lines[1:]) if sep}
 
 
-def _record(data: bytes, at: int) -> tuple[Found, int]:
-    """The record that starts at ``at`` and the place after it."""
-    end = data.find(b"\r\n\r\n", at)
+def _record(data: bytes, at: int, searching: bool = False) -> tuple[Found, int, bool]:
+    """The record that starts at ``at``, the place after it, and whether its digest agrees."""
+    stop = len(data)
+    if searching and (following := _VERSION.search(data, at + 1, at + MAX_HEADER)):
+        # headers of two candidates never overlap
+        stop = following.start()
+    end = data.find(b"\r\n\r\n", at, min(stop, at + MAX_HEADER))
     if end < 0:
         raise _Broken("header without end")
     headers = _fields(data[at:end])
-    if not headers.get("content-length", "").isdigit():
+    if not headers.get("content-length", "").isdecimal():
         raise _Broken("no content length")
     start = end + 4
-    stop = start + int(headers["content-length"])
+    stop = start + int(headers["content-length"][:18])
     if data[stop : stop + 4] != b"\r\n\r\n":
         raise _Broken("record end not where its length says")
     block = data[start:stop]
@@ -91,26 +112,29 @@ def _record(data: bytes, at: int) -> tuple[Found, int]:
         size = len(payload)
         if headers.get("warc-type") == "revisit":
             length = _fields(head).get("content-length", "")
-            size = int(length) if length.isdigit() else None
+            size = int(length) if length.isdecimal() else None
+    agrees = False
     if headers.get("warc-type") != "revisit":
         own = base64.b32encode(hashlib.sha1(payload).digest()).decode()
         if digest not in (None, own):
-            raise _Broken("payload digest differs")
+            # found by a search, it may be a payload's text, and its end no record's end
+            raise _Broken("payload digest differs", None if searching else stop + 4, len(block))
+        agrees = digest is not None
         digest = own
-    return Found("record", at, stop + 4 - at, headers, size, digest, payload), stop + 4
+    return Found("record", at, stop + 4 - at, headers, size, digest, payload), stop + 4, agrees
 
 
 class _BrokenMember(_Broken):
     """A gzip member that ends early or fails; ``whole`` holds what it gave before."""
 
     def __init__(self, reason: str, whole: bytes):
-        super().__init__(reason)
+        super().__init__(reason, None, len(whole))
         self.whole = whole
 
 
 def _inflated(data: memoryview, at: int) -> tuple[bytes, int]:
     """The content of the gzip member at ``at`` and the place after it."""
-    inflate, out, pos = zlib.decompressobj(31), [], at
+    inflate, out, pos, size = zlib.decompressobj(31), [], at, 0
     while pos < len(data):
         piece, before = data[pos : pos + PIECE], inflate.copy()
         try:
@@ -124,46 +148,78 @@ def _inflated(data: memoryview, at: int) -> tuple[bytes, int]:
                 pass
             raise _BrokenMember(f"gzip member: {e}", b"".join(out)) from e
         pos += len(piece)
+        size += len(out[-1])
         if inflate.eof:
             return b"".join(out), pos - len(inflate.unused_data)
+        if size > MOST_BYTES:
+            raise _BrokenMember("gzip member too large", b"".join(out))
     raise _BrokenMember("gzip member without end", b"".join(out))
 
 
-def salvage(data: bytes) -> Iterator[Found]:
-    """All records that can be read, and the gaps between them, in order."""
-    at, gap, reason, view = 0, None, "", memoryview(data)
+def salvage(data: bytes, depth: int = 0) -> Iterator[Found]:
+    """All records that can be read, what may be records, and the gaps between them, in order."""
+    at, gap, reason, view, waste = 0, None, "", memoryview(data), WASTE * len(data) + (1 << 20)
+    searching, pending = False, []
 
     def closed(end: int) -> Iterator[Found]:
         if gap is not None:
             yield Found("gap", gap, end - gap, {}, reason=reason)
 
+    def settled(sure: bool) -> Iterator[Found]:
+        """Records without a digest of their own that a search has met, one behind the other."""
+        for found in pending:
+            if not sure:
+                found.kind, found.reason = "unsure", "no digest, behind damage"
+            yield found
+        pending.clear()
+
     while at < len(data):
         try:
             if data[at : at + 3] == b"\x1f\x8b\x08":
+                if depth >= MAX_DEPTH:
+                    raise _Broken(f"more than {MAX_DEPTH} gzip members inside each other")
                 inner, stop = _inflated(view, at)
+                yield from settled(True)
                 yield from closed(at)
-                gap = None
-                for found in salvage(inner):  # places inside a member are reported as the member's
+                gap, searching = None, False
+                for found in salvage(inner, depth + 1):  # places inside a member are reported as the member's
                     found.offset, found.length = at, stop - at
                     yield found
             elif _VERSION.match(data, at):
-                found, stop = _record(data, at)
-                yield from closed(at)
-                gap = None
-                yield found
+                found, stop, agrees = _record(data, at, searching)
+                if searching and not agrees:
+                    yield from closed(at)
+                    gap = None
+                    pending.append(found)
+                else:
+                    yield from settled(True)
+                    yield from closed(at)
+                    gap, searching = None, False
+                    yield found
             else:
                 raise _Broken("no version line or gzip member")
             at = stop
         except _Broken as e:
+            yield from settled(False)
             if isinstance(e, _BrokenMember):
-                for found in salvage(e.whole):
+                for found in salvage(e.whole, depth + 1) if depth < MAX_DEPTH else ():
                     if found.kind == "record" and "warc-payload-digest" in found.headers:
                         found.offset, found.length = at, 0
                         yield found
             if gap is None:
                 gap, reason = at, str(e)
+            if e.resume is not None:
+                yield from closed(e.resume)
+                gap, at = None, e.resume
+                continue
+            searching = True
+            waste -= e.spent
+            if waste < 0:
+                reason = "too much that only looks like records"
+                break
             following = _NEXT.search(data, at + 1)
             at = following.start() if following else len(data)
+    yield from settled(True)
     yield from closed(len(data))
 
 

@@ -117,3 +117,67 @@ def test_round_trip(spark, tmp_path):
     assert warc.read_warc(spark, str(tmp_path / "v")).filter("record_type = 'revisit'").count() == 0
     warc.write_warc(df.limit(0), str(tmp_path / "e"))
     assert warc.read_warc(spark, str(tmp_path / "e")).count() == 0
+
+
+def bare(n, payload, kind="response"):
+    return b"".join(line for line in record(n, payload, kind).splitlines(True) if b"Payload-Digest" not in line)
+
+
+def kinds(data):
+    return [(f.kind, warc._page(f.headers.get("warc-record-id"))) for f in warc.salvage(data)]
+
+
+def test_payloads_that_hold_records():
+    outer, later = record(1, b"<p>" + bare(2, b"text") + b"</p>"), record(3, b"x")
+    assert kinds(outer + later) == [("record", 1), ("record", 3)]
+    # a flip in the payload: the record's length still holds, and all of it is the gap
+    flipped = outer.replace(b"<p>", b"<q>")
+    assert kinds(flipped + later) == [("gap", None), ("record", 3)]
+    # a lost length: what looks like a record is not taken for one
+    lost = outer.replace(b"Content-Length: ", b"Content-Length- ", 1)
+    assert kinds(lost + later) == [("gap", None), ("unsure", 2), ("gap", None), ("record", 3)]
+    # one with a false digest neither, and it hides nothing behind it
+    false = record(1, record(2, b"text").replace(b"text", b"tuxt")).replace(b"Content-Length: ", b"Content-Length- ", 1)
+    assert kinds(false + later) == [("gap", None), ("record", 3)]
+
+
+def test_revisits_behind_damage():
+    noise, revisit = b"noise", record(4, b"", "revisit")
+    assert kinds(noise + revisit + revisit + record(5, b"y")) == [("gap", None), ("record", 4), ("record", 4), ("record", 5)]
+    assert kinds(noise + revisit) == [("gap", None), ("record", 4)]
+    assert kinds(noise + revisit + noise + record(5, b"y")) == [("gap", None), ("unsure", 4), ("gap", None), ("record", 5)]
+
+
+def test_hostile_archives_end():
+    start = time.perf_counter()
+    lines = b"WARC/1.1\r\n" * 200_000
+    assert kinds(lines + record(1, b"x"))[-1] == ("record", 1)
+    assert kinds(lines)[-1] == ("gap", None)
+    nested = record(7, b"deep")
+    for _ in range(1500):
+        nested = gzip.compress(nested, 1)
+    assert kinds(nested)[0][0] == "gap"
+    # every header claims all the rest, with a wrong digest
+    head = record(1, b"x").split(b"\r\n\r\n")[0]
+    claims, end = [], b"z" * 1000 + b"\r\n\r\n"
+    for n in range(20_000):
+        own = head[: head.rindex(b" ")] + b" %d\r\n\r\n"
+        claims.append(own % sum(map(len, (end, *claims[-1:]))))
+    data = b"junk" + b"".join(claims) + end
+    assert kinds(data)[-1][0] == "gap"
+    far = head[: head.rindex(b" ")]
+    size, parts = 1_000_000, []
+    tail = b"y" * size + b"\r\n\r\n"
+    for n in range(3000):
+        own = far + b" %d\r\n\r\n" % size
+        parts.append(own)
+        size += len(own)
+    assert kinds(b"junk" + b"".join(reversed(parts)) + tail)[-1][0] == "gap"
+    assert time.perf_counter() - start < 30
+
+
+def test_deep_members_within_the_limit():
+    data = record(1, b"x")
+    for _ in range(warc.MAX_DEPTH):
+        data = gzip.compress(data)
+    assert ids(data) == [1]
