@@ -17,8 +17,10 @@ state says.
 
 When a source runs out its slots stay empty and the others go on in their
 proportions.  Every row gets exactly one place: none is dropped or repeated.
-The work grows with the slots, which are as many as the slowest source needs
-to run out.
+The work grows with the slots up to which two sources have rows left; the rest
+of the last source takes the last slot of each block's window.  A weight so
+small that a block may wait more than ``LONGEST_WINDOW`` slots is an error, as the
+state at a cut is found by a run of that length.
 
 Plan: a row's rank in its source is an offset by (source, bucket) plus a
 row number inside the bucket.  Buckets are slices of a hash of the row, as many
@@ -54,6 +56,7 @@ BUCKET_ROWS = 512
 COARSE = 1024
 SEGMENT_SLOTS = 4096
 MAX_SOURCES = 100_000
+LONGEST_WINDOW = 1 << 22
 
 
 def exact_shares(weights: list[float | Fraction]) -> list[int]:
@@ -124,7 +127,14 @@ def source_weights(counts: Mapping[str | None, int], target: Mapping[str, float
 def block_slots(spark: SparkSession, shares: list[int], blocks: list[int], segment_slots: int = SEGMENT_SLOTS) -> DataFrame:
     """(key, block, slot) of the blocks that each source has; a task for each few segments."""
     schedule = Schedule(shares)
-    slots = max(schedule.deadline(i, n - 1) for i, n in enumerate(blocks))
+    if schedule.longest > LONGEST_WINDOW:
+        raise ValueError(f"a source's weight is below 1/{LONGEST_WINDOW} of the sum; give it more, or 0")
+    ends = sorted((schedule.deadline(i, n - 1), i) for i, n in enumerate(blocks))
+    slots, slowest = ends[-1]
+    rest = len(ends) > 1 and ends[-2][0] + SEGMENT_SLOTS < slots
+    if rest:
+        # only the slowest source has blocks from here on
+        slots = ends[-2][0]
     # a segment is some times as long as the run that finds the state at its ends
     size = max(segment_slots, 4 * schedule.longest if segment_slots >= SEGMENT_SLOTS else 1)
     segments = -(-slots // size)
@@ -133,11 +143,21 @@ def block_slots(spark: SparkSession, shares: list[int], blocks: list[int], segme
         for batch in batches:
             for j in batch.column(0).to_pylist():
                 start, stop = j * size, min(slots, (j + 1) * size)
-                found = [(i, k, slot) for slot, (i, k) in enumerate(schedule.segment(start, stop, j == segments - 1), start) if k < blocks[i]]
+                found = [(i, k, slot) for slot, (i, k) in enumerate(schedule.segment(start, stop, j == segments - 1 and not rest), start) if k < blocks[i]]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int32(), pa.int64(), pa.int64()))], ["key", "block", "slot"])
 
-    return spark.range(0, segments, 1, min(segments, 10_000)).mapInArrow(run, "key int, block long, slot long")
+    out = spark.range(0, segments, 1, min(segments, 10_000)).mapInArrow(run, "key int, block long, slot long")
+    if not rest:
+        return out
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = pa.array([schedule.deadline(slowest, k) - 1 for k in batch.column(0).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([slowest] * batch.num_rows, pa.int32()), batch.column(0), places], ["key", "block", "slot"])
+
+    first, last = schedule.done_at(slots)[slowest], blocks[slowest]
+    return out.union(spark.range(first, last, 1, min(10_000, 1 + (last - first) // 100_000)).mapInArrow(alone, "key int, block long, slot long"))
 
 
 def mix(df: DataFrame, target: Mapping[str, float | Fraction] | None = None, temperature: float = 0.5, source: str = "source", id_column: str = "doc_id", block_rows: int = BLOCK_ROWS, bucket_rows: int = BUCKET_ROWS, segment_slots: int = SEGMENT_SLOTS) -> DataFrame:

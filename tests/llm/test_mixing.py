@@ -99,3 +99,23 @@ def test_edges(spark):
     mixed = mixing.mix(odd)
     assert mixed.columns == ["doc_id", "source", "mix_slot", "rank", "name", "mix_block", "mix_slot_", "mix_place"]
     assert tuple(mixing.in_mixed_order(mixed).first()) == (1, "a", 7, 8, 9)
+
+
+def test_the_last_source_goes_on_alone(spark):
+    shares, blocks = [999, 1, 500], [3000, 40, 1200]
+    schedule = mixing.Schedule(shares)
+    got = sorted((r.slot, r.key, r.block) for r in mixing.block_slots(spark, shares, blocks, 300).collect())
+    assert len(got) == len({s for s, _, _ in got}) == sum(blocks)
+    assert [k for _, i, k in got if i == 1] == list(range(40))
+    total = sum(shares)
+    for slot, i, k in got:
+        assert k * total // shares[i] <= slot < -(-(k + 1) * total // shares[i])
+    others = max(s for s, i, _ in got if i != 1)
+    assert [k for s, i, k in got if s > others] and others <= max(schedule.deadline(i, blocks[i] - 1) for i in (0, 2))
+
+
+def test_tiny_weights(spark):
+    with pytest.raises(ValueError, match="weight is below"):
+        mixing.block_slots(spark, [10**9, 1], [5, 5])
+    # all that is left of one source takes no run over its slots
+    assert mixing.block_slots(spark, [100_000, 1], [3, 4000]).count() == 4003
