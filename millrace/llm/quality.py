@@ -1,7 +1,11 @@
 """Quality rules as a short-circuit cascade.
 
-``estimate_order`` runs every rule on a bounded sample, measuring its cost and
-how many texts it rejects, and orders the rules by rejection per cost.
+``estimate_order`` runs every rule on a bounded sample, measuring what it costs and
+which texts it rejects, and orders the rules by rejection per cost: first the
+rule that rejects most of the texts for its cost, then the one that rejects most
+of those that are left for the cost that it adds, and so on.  What rules ask
+about a text (its words, its lines) is measured once for each such fact, and a
+rule that comes after another with the same facts is charged only for the rest.
 ``cascade`` then applies them in that order to every whole text and stops at
 the first rejection.  A text is kept if no rule rejects it, so the verdict does
 not depend on the measured order; only the work done does.
@@ -92,48 +96,92 @@ class Rule:
 
     name: str
     rejects: Callable[[TextFacts], bool]
+    #: Facts that the test asks for; those that others have asked for cost nothing more.
+    needs: tuple[str, ...] = ()
 
 
 RULES = (
-    Rule("too_short", lambda t: len(t.words) < 50),
-    Rule("repeated_windows", lambda t: 100 * t.n_repeat_words > 50 * len(t.words)),
-    Rule("symbols", lambda t: 10 * t.n_symbols > 3 * len(t.words)),
-    Rule("exclamations", lambda t: 2 * t.text.count("!") > len(t.words)),
-    Rule("shouting", lambda t: 2 * t.n_shouted > len(t.words)),
-    Rule("few_letters", lambda t: 10 * t.n_lettered < 7 * len(t.words)),
-    Rule("duplicate_lines", lambda t: 2 * t.n_dup_lines > len(t.lines)),
+    Rule("too_short", lambda t: len(t.words) < 50, ("words",)),
+    Rule("repeated_windows", lambda t: 100 * t.n_repeat_words > 50 * len(t.words), ("words", "n_repeat_words")),
+    Rule("symbols", lambda t: 10 * t.n_symbols > 3 * len(t.words), ("words", "n_symbols")),
+    Rule("exclamations", lambda t: 2 * t.text.count("!") > len(t.words), ("words",)),
+    Rule("shouting", lambda t: 2 * t.n_shouted > len(t.words), ("words", "n_shouted")),
+    Rule("few_letters", lambda t: 10 * t.n_lettered < 7 * len(t.words), ("words", "n_lettered")),
+    Rule("duplicate_lines", lambda t: 2 * t.n_dup_lines > len(t.lines), ("lines", "n_dup_lines")),
 )
 
 
-def measure(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", id_column: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> list[tuple[str, float, float]]:
-    """(rule, mean seconds, share rejected) on about ``sample_rows`` rows chosen by a hash of the id.
+@dataclass(frozen=True)
+class Profile:
+    """What a sample says: seconds spent on each rule's own test and on each fact, and texts by the set of rules that reject them."""
+
+    own: dict[str, float]
+    facts: dict[str, float]
+    rejected: dict[frozenset[str], int]
+
 
-    Each rule is timed with facts of its own, as if it ran first.  Only one row
-    for each rule and task reaches the driver.
+def measure(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", id_column: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Profile:
+    """The profile of about ``sample_rows`` rows chosen by a hash of the id.
+
+    Facts are timed in the order in which rules name them, so each is charged
+    without those that it rests on; then each rule is timed with its facts at
+    hand.  A row for each rule, fact and set of rules reaches the driver.
     """
+    facts = list(dict.fromkeys(f for r in rules for f in r.needs))
     total = df.count()
     share = min(1.0, sample_rows / max(total, 1))
     sample = df.filter(F.pmod(F.xxhash64(id_column, F.lit("quality")), F.lit(1 << 30)) < share * (1 << 30)).limit(2 * sample_rows).select(F.col(text).cast("string").alias("text"))
 
     def run(frames):
-        spent, hits, seen = [0.0] * len(rules), [0] * len(rules), 0
+        spent, sets = Counter(), Counter()
         for frame in frames:
             for value in frame["text"]:
-                seen += 1
-                for i, rule in enumerate(rules):
+                t, hits, shared = TextFacts(value), [], time.perf_counter()
+                for f in facts:
+                    getattr(t, f)
+                    spent["fact", f] += (now := time.perf_counter()) - shared
+                    shared = now
+                for rule in rules:
+                    own = t if rule.needs else TextFacts(value)
                     start = time.perf_counter()
-                    hits[i] += bool(rule.rejects(TextFacts(value)))
-                    spent[i] += time.perf_counter() - start
-        yield pd.DataFrame({"rule": range(len(rules)), "spent": spent, "hits": hits, "seen": seen})
+                    if rule.rejects(own):
+                        hits.append(rule.name)
+                    spent["rule", rule.name] += time.perf_counter() - start
+                sets["set", "\n".join(hits)] += 1
+        rows = [(*k, v) for c in (spent, sets) for k, v in c.items()]
+        yield pd.DataFrame(rows, columns=["kind", "name", "value"])
+
+    found = {(r[0], r[1]): r[2] for r in sample.mapInPandas(run, "kind string, name string, value double").groupBy("kind", "name").agg(F.sum("value")).collect()}
+    of = lambda kind: {n: v for (k, n), v in found.items() if k == kind}
+    return Profile(of("rule"), of("fact"), {frozenset(n.split("\n")) if n else frozenset(): int(v) for n, v in of("set").items()})
+
+
+def order_rules(rules: tuple[Rule, ...], profile: Profile) -> tuple[Rule, ...]:
+    """Greedy: of the texts that are left, the most rejected for the cost that a rule adds.
+
+    Where that ties, as among rules that reject none of what is left, rejection
+    of all texts per cost decides, then the cost.
+    """
+    left, ordered, known = list(rules), [], set()
+
+    def key(rule: Rule) -> tuple[float, float, float]:
+        hits = lambda sets: sum(n for s, n in sets if rule.name in s)
+        gone = {r.name for r in ordered}
+        added = max(profile.own.get(rule.name, 0.0) + sum(profile.facts.get(f, 0.0) for f in rule.needs if f not in known), 1e-9)
+        alone = max(profile.own.get(rule.name, 0.0) + sum(profile.facts.get(f, 0.0) for f in rule.needs), 1e-9)
+        return hits((s, n) for s, n in profile.rejected.items() if not s & gone) / added, hits(profile.rejected.items()) / alone, -added
 
-    totals = sample.mapInPandas(run, "rule int, spent double, hits long, seen long").groupBy("rule").agg(F.sum("spent"), F.sum("hits"), F.sum("seen")).collect()
-    return [(rules[r[0]].name, r[1] / r[3] if r[3] else 0.0, r[2] / r[3] if r[3] else 0.0) for r in sorted(totals)]
+    while left:
+        best = max(left, key=key)
+        left.remove(best)
+        ordered.append(best)
+        known.update(best.needs)
+    return tuple(ordered)
 
 
 def estimate_order(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", id_column: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> tuple[Rule, ...]:
-    """The rules by falling rejection per cost; rules that reject nothing come last, cheap ones first."""
-    rate = {name: (-share / max(cost, 1e-9), cost) for name, cost, share in measure(df, rules, text, id_column, sample_rows)}
-    return tuple(sorted(rules, key=lambda r: rate.get(r.name, (0.0, 0.0))))
+    """The rules in the order that a sample calls for."""
+    return order_rules(rules, measure(df, rules, text, id_column, sample_rows))
 
 
 def first_rejection(facts: TextFacts, ordered: tuple[Rule, ...]) -> str | None:

@@ -49,3 +49,17 @@ def test_order_is_by_rejection_per_cost(spark):
     never = quality.Rule("never", lambda t: False)
     df = spark.createDataFrame([(i, "x") for i in range(50)], "doc_id long, text string")
     assert [r.name for r in quality.estimate_order(df, (never, slow, quick))] == ["quick", "slow", "never"]
+
+
+def test_order_changes_with_shared_costs_and_with_what_is_left():
+    rule = lambda name, *needs: quality.Rule(name, lambda t: False, needs)
+    names = lambda rules, profile: [r.name for r in quality.order_rules(rules, profile)]
+    a, b, c = rule("a", "words"), rule("b", "words"), rule("c", "lines")
+    own, sets = dict.fromkeys("abc", 0.1), {frozenset("a"): 50, frozenset("b"): 30, frozenset("c"): 40, frozenset(): 9}
+    # alone c has the better rate than b; after a has paid for the words, b is almost free
+    assert names((c, b, a), quality.Profile(own, {"words": 1.0, "lines": 1.0}, sets)) == ["a", "b", "c"]
+    assert names((c, b, a), quality.Profile(own, {"words": 0.0, "lines": 0.0}, sets)) == ["a", "c", "b"]
+    # b rejects what a has rejected, but for one text
+    again = {frozenset("a"): 20, frozenset("ab"): 30, frozenset("b"): 1, frozenset("c"): 5}
+    assert names((c, b, a), quality.Profile(own, {"words": 1.0, "lines": 0.0}, again))[0] == "c"
+    assert names((c, b, a), quality.Profile(own, {"words": 0.0, "lines": 0.0}, again)) == ["a", "c", "b"]
