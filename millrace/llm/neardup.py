@@ -10,7 +10,7 @@ that shares a bucket is verified on the full sets.
 * A bucket of at most ``SMALL`` nodes gives its pairs, each verified once.
 * A larger bucket is cut by set size, in classes so wide that only sets of one
   class or of neighbours can be similar enough, and each class in chunks of
-  about ``CHUNK`` nodes.  Each pair of chunks that can hold links is one group,
+  about ``CHUNK`` nodes, or fewer of many grams.  Each pair of chunks that can hold links is one group,
   which verifies all its pairs in numpy and returns only
   each node's number of links and a spanning forest of them.  A pair that
   meets in several buckets counts in one of them, so numbers are exact and a
@@ -49,6 +49,8 @@ RECALL = 0.9995
 MAX_HASHES = 128
 SMALL = 32
 CHUNK = 512
+#: Gram hashes in a chunk, which long texts fill before ``CHUNK`` nodes do (8 MB).
+CHUNK_GRAMS = 1 << 20
 #: Hashes that a worker keeps, and the longest words that they are kept of.
 KNOWN_WORDS = 100_000
 KNOWN_LETTERS = 64
@@ -285,7 +287,7 @@ def _classes(df: DataFrame, text: str, id_column: str, n: int = GRAM, threshold:
     # large buckets: pairs of chunks; sets whose sizes lie two classes apart cannot be linked
     large = members.filter("large").withColumn("band_of_size", F.floor(F.log(F.col("size").cast("double")) / -math.log(threshold - 1e-6)))
     marks = members.join(large.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.collect_list(F.struct("band", "bucket", "large")).alias("marks"))
-    chunks_of = written(large.groupBy("bucket", "band_of_size").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("k")), "chunks")
+    chunks_of = written(large.groupBy("bucket", "band_of_size").agg(F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("size") / CHUNK_GRAMS)).cast("int").alias("k")), "chunks")
     around = chunks_of.select("bucket", F.explode(F.array(*(F.col("band_of_size") + d for d in (-1, 0, 1)))).alias("band_of_size"), F.struct(F.col("band_of_size").alias("s"), "k").alias("c"))
     around = around.groupBy("bucket", "band_of_size").agg(F.collect_list("c").alias("near"))
     # written, so that its size is known when the join is planned, and a hot bucket is not dealt by its number
