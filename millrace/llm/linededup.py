@@ -3,7 +3,9 @@
 The lines of a text that hold a word are hashed, and every three consecutive
 ones form a window.  A window found more than once in the whole table is
 repeated; its first occurrence, by (id, place), stays, and the lines of every
-later occurrence go.  Covered places of overlapping windows are merged, so a
+later occurrence go, also where it overlaps the first one, so a line on its own
+repeated five times leaves its first occurrence's lines that no later one
+covers: one.  Covered places of overlapping windows are merged, so a
 repeated passage of any length of three lines or more goes as one.
 
 Plan: windows are counted by a partially aggregated shuffle of two 64-bit

@@ -41,3 +41,8 @@ def test_repeated_rows_and_null_ids(spark):
     assert got == [("1", ""), ("1", ""), ("2", ""), ("None", "a\nb\nc\nd")]
     assert linededup.dedup_lines(df.limit(0)).count() == 0
     assert linededup.dedup_report(df).count() == 4
+
+
+def test_a_window_that_overlaps_itself_keeps_what_no_later_one_covers(spark):
+    df = spark.createDataFrame([(1, "x\nx\nx\nx\nx"), (2, "a\nb\na\nb\na")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in linededup.dedup_lines(df).collect()} == {1: "x", 2: "a\nb"}
