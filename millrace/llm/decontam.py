@@ -4,7 +4,8 @@ The index is a table of postings (term, text key, position): one row for each
 place of a term in a training text.  ``build_index`` writes those of a given
 vocabulary, here the words of the tests, as no other list is ever asked for;
 without one, of all words.  Texts are keyed by two 64-bit hashes, so equal texts
-share their lists.
+share their lists.  A posting of the empty word stands behind each text's last
+word, so its position is the text's length.
 
 ``phrase_matches`` finds every occurrence of phrases:
 
@@ -15,6 +16,8 @@ share their lists.
    stay where both terms are there.
 3. For the starts that are left, the other terms are looked up in the postings of
    the texts concerned, at start plus offset; a start with all of them is a match.
+   These postings are found by a hash join over shuffles at every size, with a
+   text's positions dealt to ``SLICES`` tasks.
 
 ``proximity_matches`` finds texts that have all words of a phrase, in any order,
 within so many words: positions of the rarest word are met by those of the
@@ -41,6 +44,8 @@ from pyspark.sql.window import Window
 from millrace.llm.common import written
 
 WINDOW = 10
+#: Slices of a text's positions where lists are looked up by text.
+SLICES = 16
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A word in mixed case; lower-casing A-Z makes it one of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``.
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -52,13 +57,12 @@ def lower_ascii(word: Column) -> Column:
     return F.when(plain, F.lower(word)).when(word.rlike("[A-Z]"), F.translate(word, _UPPER, _UPPER.lower())).otherwise(word)
 
 
-def _mixed_words(text: str) -> Column:
-    return F.regexp_extract_all(F.col(text).cast("string"), F.lit(_WORD), F.lit(0))
-
-
 def words(text: str) -> Column:
     """The words of a text in lower case; null for a null text."""
-    return F.transform(_mixed_words(text), lower_ascii)
+    value = F.col(text).cast("string")
+    found = lambda c: F.regexp_extract_all(c, F.lit(_WORD), F.lit(0))
+    # most texts, or most words of others, have only ASCII letters, which are cheap to lower
+    return F.when(F.octet_length(value) == F.char_length(value), found(F.lower(value))).otherwise(F.transform(found(value), lower_ascii))
 
 
 def _keys(text: str) -> list[Column]:
@@ -85,12 +89,31 @@ def build_index(docs: DataFrame, known: DataFrame | None = None, text: str = "te
     """((term, k1, k2, pos): postings, written; (word, term): the words they are for).
 
     Postings are written by the tasks that read the texts, without a shuffle.
-    ``known`` is a written vocabulary; without it all words are indexed.
+    ``known`` is a written vocabulary; without it all words are indexed.  The
+    empty word is term -1, at the position after each text's last word.
     """
-    tokens = docs.select(*_keys(text), F.posexplode(_mixed_words(text)).alias("pos", "word")).withColumn("word", lower_ascii(F.col("word")))
+    tokens = docs.select(*_keys(text), F.posexplode(F.concat(words(text), F.array(F.lit("")))).alias("pos", "word"))
     if known is None:
-        known = written(tokens.select("word").distinct().withColumn("term", F.monotonically_increasing_id()), "vocabulary")
-    return written(tokens.join(known, "word").select("term", "k1", "k2", "pos"), "postings"), known
+        known = written(tokens.filter("word <> ''").select("word").distinct().withColumn("term", F.monotonically_increasing_id()), "vocabulary")
+    end = docs.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(-1).cast("long").alias("term"))
+    listed = known.select("word", "term").unionByName(end).select(F.col("word").alias("__w"), "term", F.xxhash64("word").alias("h"))
+    # hashes are quick to look up; then the words themselves have to agree
+    same = F.col("word").startswith(F.col("__w")) & F.col("__w").startswith(F.col("word"))
+    met = tokens.withColumn("__h", F.xxhash64("word")).join(listed, (F.col("__h") == F.col("h")) & same)
+    return written(met.select("term", "k1", "k2", "pos"), "postings"), known
+
+
+def text_lengths(postings: DataFrame) -> DataFrame:
+    """(k1, k2, n_words) of every text that is not null."""
+    return postings.filter("term = -1").groupBy("k1", "k2").agg(F.max("pos").cast("long").alias("n_words"))
+
+
+def _of_texts(postings: DataFrame, texts: DataFrame) -> DataFrame:
+    """The postings, once each, of the texts (k1, k2)."""
+    slice_ = F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)))
+    few = texts.select("k1", "k2").distinct().withColumn("slice", slice_).hint("shuffle_hash")
+    found = postings.withColumn("slice", F.pmod("pos", F.lit(SLICES))).join(few, ["k1", "k2", "slice"], "left_semi")
+    return found.select("term", "k1", "k2", "pos").distinct()
 
 
 def _ranked(postings: DataFrame, known: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -114,7 +137,7 @@ def phrase_matches(postings: DataFrame, known: DataFrame, phrases: DataFrame) ->
     both = rare.groupBy(*at).agg(F.bit_or(_bit("rank")).alias("seen")).filter("seen = if(size > 1, 3, 1)")
     both = written(both.select(*at), "rarest-terms")
     wanted = both.filter("size > 2").join(ranked.filter("rank > 2").select("phrase", "term", "off", "rank"), "phrase").withColumn("pos", F.col("start") + F.col("off"))
-    theirs = postings.join(both.filter("size > 2").select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").distinct()
+    theirs = _of_texts(postings, both.filter("size > 2"))
     whole = wanted.join(theirs, ["k1", "k2", "term", "pos"]).groupBy(*at).agg(F.bit_or(_bit("rank")).alias("seen"))
     return written(whole.filter("seen + 3 = shiftleft(1L, size) - 1").select(*at).unionByName(both.filter("size <= 2")), "phrase-matches")
 
@@ -128,7 +151,7 @@ def proximity_matches(postings: DataFrame, known: DataFrame, phrases: DataFrame,
     cell = lambda c: F.floor(F.col(c) / within).cast("long")
     near = anchors.withColumn("cell", F.explode(F.sequence(cell("anchor") - 1, cell("anchor") + 1)))
     near = near.join(ranked.filter("rank > 1").select("phrase", "term", "rank"), "phrase")
-    theirs = postings.join(anchors.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").distinct().withColumn("cell", cell("pos"))
+    theirs = _of_texts(postings, anchors).withColumn("cell", cell("pos"))
     met = near.join(theirs, ["k1", "k2", "term", "cell"]).filter(F.abs(F.col("pos") - F.col("anchor")) < within).select("phrase", "size", "k1", "k2", "anchor", "pos", "rank")
     own = anchors.select("phrase", "size", "k1", "k2", "anchor", F.col("anchor").alias("pos"), F.lit(1).alias("rank"))
     lists = met.unionByName(own).groupBy("phrase", "size", "k1", "k2", "anchor").agg(F.collect_set(F.struct("pos", "rank")).alias("l"))
@@ -157,9 +180,10 @@ def contamination(docs: DataFrame, tests: DataFrame, size: int = WINDOW, text: s
     phrases, owners = windows(tests, size, test_text, item_column)
     postings, known = build_index(docs, vocabulary(phrases), text)
     found = matched_texts(phrase_matches(postings, known, phrases), owners)
-    own = docs.select(F.col(id_column).alias("__id"), *_keys(text), F.coalesce(F.size(_mixed_words(text)), F.lit(0)).alias("n_words"))
-    own = own.withColumn("n_words", F.greatest(F.col("n_words"), F.lit(0)).cast("long"))
-    return own.join(found, ["k1", "k2"], "left").select(F.col("__id").alias(id_column), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), "items")
+    found = text_lengths(postings).join(found, ["k1", "k2"], "left")
+    own = docs.select(F.col(id_column).alias("__id"), *_keys(text))
+    number = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return own.join(found, ["k1", "k2"], "left").select(F.col("__id").alias(id_column), number("n_words"), number("n_hit"), "items")
 
 
 def contamination_report(docs: DataFrame, tests: DataFrame, **options) -> DataFrame:
