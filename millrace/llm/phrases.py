@@ -47,7 +47,9 @@ PERCENT = 80
 SCALE = 2_000_000
 #: Characters at which pieces end.
 ENDS = "\n\x0b\x0c\r.,;:!?"
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
+#: Rows of counts handed on at once.
+GROUP_ROWS = 1 << 17
 #: Slices in which a language is ranked before its first ``TOP`` meet.
 RANK_SLICES = 1024
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -161,8 +163,11 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = batch.column("ids").slice(r, 1).flatten().to_numpy()
             _, keys = _adjacent(_opened(batch.column("grams")[r].as_py()), len(ids))
             keys, n = np.unique(keys, return_counts=True)
-            block = np.full(len(keys), batch.column("block")[r].as_py(), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (block, ids[keys // (len(ids) + 1) - 1], ids[keys % (len(ids) + 1) - 1], n.astype(np.int64))], ["block", "g1", "g2", "n"])
+            block, size = batch.column("block")[r].as_py(), len(ids) + 1
+            for at in range(0, len(keys), GROUP_ROWS):
+                own = keys[at : at + GROUP_ROWS]
+                columns = np.full(len(own), block, np.int64), ids[own // size - 1], ids[own % size - 1], n[at : at + GROUP_ROWS].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["block", "g1", "g2", "n"])
 
 
 def _keep_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -42,7 +42,7 @@ def texts(seed, many=400):
 
 
 def test_equals_brute_force(spark, monkeypatch):
-    for seed, block in ((1, 1 << 21), (2, 50)):
+    for seed, block in ((1, 1 << 20), (2, 50)):
         monkeypatch.setattr(phrases, "BLOCK_TOKENS", block)
         rows = texts(seed)
         df = spark.createDataFrame([(t, lang, 1, "x") for t, lang in rows], "text string, lang string, a int, words string").repartition(5)
