@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -265,11 +266,16 @@ def batches_by_key(df: DataFrame, key: str, order: Sequence[str], value: str, si
 
 
 def enforce_order(df: DataFrame, group: str, sequence: str, first: int = 0) -> DataFrame:
-    """Adds outcome: ``released`` while the sequence has no gap from ``first`` on, then ``waiting``; repeats are ``skipped``."""
-    w = Window.partitionBy(group).orderBy(sequence)
-    rank = F.dense_rank().over(w) - 1
-    late = (F.col(sequence) < first) | (F.lag(sequence).over(w) == F.col(sequence))
-    return df.withColumn("outcome", F.when(F.coalesce(late, F.lit(False)), "skipped").when(F.col(sequence) - first == rank, "released").otherwise("waiting"))
+    """Adds outcome: ``released`` while the sequence has no gap from ``first`` on, then ``waiting``.
+
+    Repeats and what lies before ``first`` are ``skipped``; a row without a
+    sequence is ``invalid``.  Only rows from ``first`` on are ranked.
+    """
+    ahead = F.coalesce(F.col(sequence) >= first, F.lit(False))
+    w = Window.partitionBy(group, ahead).orderBy(sequence)
+    rank, repeat = F.dense_rank().over(w) - 1, F.coalesce(F.lag(sequence).over(w) == F.col(sequence), F.lit(False))
+    outcome = F.when(F.col(sequence).isNull(), "invalid").when(~ahead | repeat, "skipped").when(F.col(sequence) - first == rank, "released").otherwise("waiting")
+    return df.withColumn("outcome", outcome)
 
 
 def wait_for_signal(rows: DataFrame, signals: DataFrame, signal_id: str, target: int | Column, delta: str | None = None) -> DataFrame:
@@ -290,16 +296,23 @@ def session_bins(df: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
     return df.groupBy(key, F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last")).drop("w")
 
 
+#: The kinds of change events that say something about a row.
+CDC_OPERATIONS = ("insert", "update", "delete")
+
+
 def apply_cdc(events: DataFrame, keys: Sequence[str], sequence: str, operation: str, columns: Sequence[str]) -> DataFrame:
     """The table after insert, update and delete events: the last event of each key counts."""
-    last = events.filter(F.col(operation).isin("insert", "update", "delete")).groupBy(*keys).agg(F.max_by(F.struct(operation, *columns), F.col(sequence)).alias("r"))
+    last = events.filter(F.col(operation).isin(*CDC_OPERATIONS)).groupBy(*keys).agg(F.max_by(F.struct(operation, *columns), F.col(sequence)).alias("r"))
     return last.filter(F.col(f"r.{operation}") != "delete").select(*keys, *(F.col(f"r.{c}") for c in columns))
 
 
 def merge_cdc(table: DataFrame, events: DataFrame, keys: Sequence[str], sequence: str, operation: str, columns: Sequence[str]) -> DataFrame:
-    """An older state of the table with events applied."""
+    """An older state of the table with events applied; events of other kinds change nothing.  Null keys are keys like others."""
+    events = events.filter(F.col(operation).isin(*CDC_OPERATIONS))
     state = apply_cdc(events, keys, sequence, operation, columns)
-    return table.join(events.select(*keys).distinct(), list(keys), "left_anti").select(*keys, *columns).unionByName(state)
+    touched = events.select(*(F.col(k).alias(f"__{k}") for k in keys)).distinct()
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
+    return table.join(touched, same, "left_anti").select(*keys, *columns).unionByName(state)
 
 
 def cdc_columns(df: DataFrame, event: str, key: Sequence[str]) -> DataFrame:

@@ -119,10 +119,31 @@ def merge_bins(df: DataFrame, key: str, order: Sequence[str], max_rows: int, max
     return sized.mapInPandas(run, f"{fields}, bin long")
 
 
+def _fragments(df: DataFrame, id_: str, index: str, count: str, value: str) -> DataFrame:
+    """(id, p, n, problem) of every id: its parts by index, how many there should be, and what is wrong with them."""
+    own = df.select(id_, F.col(index).cast("long").alias("i"), F.col(count).cast("long").alias("c"), F.col(value).alias("v"))
+    parts = own.groupBy(id_).agg(F.array_sort(F.collect_set(F.when(F.col("i").isNotNull(), F.struct("i", "v")))).alias("p"), F.min("c").alias("least"), F.max("c").alias("n"), F.max(F.col("i").isNull()).alias("without"))
+    found = F.array_distinct(F.col("p.i"))
+    base = F.when(F.array_min(found) == 0, 0).otherwise(1)
+    problem = (
+        F.when(F.col("without"), "a part has no index").when(F.col("n").isNull(), "no part says how many there are").when(F.col("least") != F.col("n"), "parts say different numbers of parts")
+        .when(F.size(found) < F.size("p"), "two values at one index").when((F.array_min(found) < 0) | (F.array_max(found) - base + 1 > F.col("n")), "an index is out of range").when(F.size(found) < F.col("n"), "parts are missing")
+    )
+    return parts.select(id_, "p", "n", problem.alias("problem"))
+
+
 def defragment(df: DataFrame, id_: str, index: str, count: str, value: str, separator: str = "") -> DataFrame:
-    """Whole texts of the ids whose parts are all there, in order of their index."""
-    parts = df.groupBy(id_).agg(F.array_sort(F.collect_set(F.struct(index, value))).alias("p"), F.max(count).alias("n"))
-    return parts.filter(F.size("p") == F.col("n")).select(id_, F.array_join(F.col(f"p.{value}"), separator).alias(value))
+    """Whole texts of the ids whose parts are all there, in order of their index.
+
+    Indexes run from 0 or from 1 without a gap up to the count; a part that
+    comes twice with one value counts once.  ``defragment_failures`` has the rest.
+    """
+    return _fragments(df, id_, index, count, value).filter(F.col("problem").isNull()).select(id_, F.array_join(F.col("p.v"), separator).alias(value))
+
+
+def defragment_failures(df: DataFrame, id_: str, index: str, count: str, value: str) -> DataFrame:
+    """(id, problem) of the ids whose parts do not make one text."""
+    return _fragments(df, id_, index, count, value).filter(F.col("problem").isNotNull()).select(id_, "problem")
 
 
 def _merged(df: DataFrame, bin_: str, attributes: str, everywhere: bool) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import bz2
+import datetime
 import io
 import lzma
 import re
@@ -13,11 +14,13 @@ import zlib
 from collections.abc import Callable, Sequence
 from functools import reduce
 from html.parser import HTMLParser
+from xml.etree import ElementTree
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.predicates import sure
 from millrace.scratch import written
@@ -49,7 +52,7 @@ def replace_with_mapping(df: DataFrame, text: str, key: Sequence[str], mapping:
     first, so ``key`` may be null or repeated, and be any columns.
     """
     rows = written(df.withColumn("__row", F.monotonically_increasing_id()), "mapping-rows")
-    parts = F.regexp_extract_all(text, F.lit(r"(\w+|\W+)"), 1)
+    parts = F.regexp_extract_all(text, F.lit(r"(?U)(\w+|\W+)"), 1)
     words = rows.select("__row", F.posexplode(parts).alias("__i", "word"))
     unique = mapping.filter("word IS NOT NULL").groupBy("word").agg(F.min("replacement").alias("replacement"))
     mapped = words.join(unique, "word", "left").groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("__i", F.coalesce("replacement", "word").alias("w")))).alias("__p"))
@@ -93,14 +96,38 @@ GROK = {
 }
 
 
+def _without_groups(pattern: str) -> str:
+    """The pattern with groups that do not capture; what is quoted or in a character class stays."""
+    out, depth, i = [], 0, 0
+    while i < len(pattern):
+        step = 1
+        if pattern.startswith("\\Q", i):
+            end = pattern.find("\\E", i)
+            step = (end + 2 if end >= 0 else len(pattern)) - i
+        elif pattern[i] == "\\":
+            step = 2
+        elif pattern[i] == "[":
+            # a bracket right at the start of a class is text
+            step = len(re.match(r"\[\^?\]?", pattern[i:])[0])
+            depth += 1
+        elif pattern[i] == "]" and depth:
+            depth -= 1
+        elif pattern[i] == "(" and not depth and pattern[i + 1 : i + 2] != "?":
+            out.append("(?:")
+            i += 1
+            continue
+        out.append(pattern[i : i + step])
+        i += step
+    return "".join(out)
+
+
 def expand_grok(expression: str, library: dict[str, str] | None = None) -> tuple[str, list[str]]:
     """One regular expression with a group for each ``%{PATTERN:name}``, and the names in order."""
     library = GROK | (library or {})
     names: list[str] = []
 
     def plain(pattern: str) -> str:
-        inner = re.sub(r"%\{(\w+)\}", lambda m: f"(?:{plain(library[m[1]])})", pattern)
-        return re.sub(r"(?<!\\)\((?!\?)", "(?:", inner)
+        return re.sub(r"%\{(\w+)\}", lambda m: f"(?:{plain(library[m[1]])})", _without_groups(pattern))
 
     def named(m: re.Match) -> str:
         if m[1] not in library:
@@ -110,8 +137,7 @@ def expand_grok(expression: str, library: dict[str, str] | None = None) -> tuple
             return f"({plain(library[m[1]])})"
         return f"(?:{plain(library[m[1]])})"
 
-    outer = re.sub(r"(?<!\\)\((?!\?)", "(?:", expression)
-    return re.sub(r"%\{(\w+)(?::(\w+))?\}", named, outer), names
+    return re.sub(r"%\{(\w+)(?::(\w+))?\}", named, _without_groups(expression)), names
 
 
 def extract_grok(df: DataFrame, text: str, expression: str, library: dict[str, str] | None = None, keep_empty: bool = False, no_match: str = "raw", order: Sequence[str] = (), stream: str | None = None) -> DataFrame:
@@ -146,6 +172,18 @@ _5424 = r"(?s)\A<(\d{1,3})>(\d{1,2}) (\S+) (\S+) (\S+) (\S+) (\S+) (-|(?:\[(?:[^
 _DATED = r"(?s)\A<(\d{1,3})>(?:(\d{1,2}) )?(\d{4}-\d\d-\d\dT\S+) (\S+) (.*)\z"
 
 
+def last_of_each(pairs: Column) -> Column:
+    """A map of (key, value) records; of equal keys the last counts.  Null keys are left out."""
+    numbered = F.array_sort(F.transform(F.filter(pairs, lambda p: p["key"].isNotNull()), lambda p, i: F.struct(p["key"].alias("key"), i.alias("i"), p["value"].alias("value"))))
+
+    def kept(s: Column) -> Column:
+        last = F.filter(s, lambda x, i: (i + 1 == F.size(s)) | (F.get(s, i + 1)["key"] != x["key"]))
+        return F.transform(last, lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value")))
+
+    # sorted once, as the only element of an array
+    return F.map_from_entries(F.transform(F.array(numbered), kept)[0])
+
+
 def parse_syslog(df: DataFrame, line: str) -> DataFrame:
     """priority, severity, facility, version, timestamp, hostname, body, valid, of both header forms."""
     c = F.col(line)
@@ -159,7 +197,7 @@ def parse_syslog(df: DataFrame, line: str) -> DataFrame:
 
 
 def parse_syslog_5424(df: DataFrame, line: str, nil: str = "null") -> DataFrame:
-    """All header fields and structured data as a map ``id.name`` to value.
+    """All header fields and structured data as a map ``id.name`` to value; of a repeated name the last value counts.
 
     ``nil`` says what a dash becomes: ``dash``, ``null``, or ``omit`` (null, too, in a column).
     """
@@ -173,12 +211,12 @@ def parse_syslog_5424(df: DataFrame, line: str, nil: str = "null") -> DataFrame:
         F.regexp_extract_all(e, F.lit(r'(\S+)="((?:[^"\\]|\\.)*)"'), 2), lambda k, v: F.struct(k.alias("key"), v.alias("value")))))
     return df.withColumns({
         "priority": priority, "severity": priority.bitwiseAND(F.lit(7)), "facility": F.shiftright(priority, 3), "version": raw(2), "timestamp": field(3), "hostname": field(4),
-        "appname": field(5), "procid": field(6), "messageid": field(7), "structured_data": F.map_from_entries(entries), "body": raw(9), "valid": sure(hit),
+        "appname": field(5), "procid": field(6), "messageid": field(7), "structured_data": last_of_each(entries), "body": raw(9), "valid": sure(hit),
     })
 
 
 def parse_cef(df: DataFrame, line: str) -> DataFrame:
-    """Header fields, which ``|`` parts (``\\|`` is text), and the ``extension`` map of key=value pairs."""
+    """Header fields, which ``|`` parts (``\\|`` is text), and the ``extension`` map of key=value pairs; of a repeated key the last counts."""
     from millrace.operators.schema import CEF_HEADER
 
     part = r"((?:[^|\\]|\\.)*)"
@@ -189,7 +227,7 @@ def parse_cef(df: DataFrame, line: str) -> DataFrame:
     tail = F.when(hit, F.regexp_extract(line, pattern, 8))
     pair = F.lit(r"(\w+)=((?:[^=\\]|\\.)*)(?=\s+\w+=|\s*\z)")
     keys, values = F.regexp_extract_all(tail, pair, 1), F.transform(F.regexp_extract_all(tail, pair, 2), lambda v: clean(F.rtrim(v)))
-    return df.withColumns(head | {"extension": F.map_from_arrays(keys, values), "valid": sure(hit)})
+    return df.withColumns(head | {"extension": last_of_each(F.zip_with(keys, values, lambda k, v: F.struct(k.alias("key"), v.alias("value")))), "valid": sure(hit)})
 
 
 # Fields of a flow record of version 5, and their sizes in bytes.
@@ -576,7 +614,7 @@ def fuzzy_hash(c: Column, words: int = 3) -> Column:
 
     Shingles are hashed by Spark; the 64 votes of each text are counted in numpy.
     """
-    tokens = F.filter(F.split(F.lower(c), r"\W+"), lambda w: w != "")
+    tokens = F.filter(F.split(F.lower(c), r"(?U)\W+"), lambda w: w != "")
     # words beside those that follow them: linear, as the words are not cut anew for each shingle
     joined = tokens
     for k in range(2, words + 1):
@@ -587,7 +625,7 @@ def fuzzy_hash(c: Column, words: int = 3) -> Column:
     def votes(rows: pd.Series) -> pd.Series:
         return pd.Series([None if r is None else _majority(r) for r in rows], dtype="Int64")
 
-    return votes(F.when(c.rlike(r"\w"), shingles))
+    return votes(F.when(c.rlike(r"(?U)\w"), shingles))
 
 
 def hash_distance(a: Column, b: Column) -> Column:
@@ -635,10 +673,83 @@ def identify_mime_type(content: Column, name: Column | None = None) -> Column:
     return c.otherwise("application/octet-stream")
 
 
-def validate_xml(df: DataFrame, xml: str, schema: str) -> DataFrame:
-    """Adds ``valid`` and ``error``: the text reads as XML of a schema."""
-    parsed = F.from_xml(F.col(xml), f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return df.withColumn("__x", parsed).withColumns({"valid": F.col("__x").isNotNull() & F.col("__x._corrupt_record").isNull(), "error": F.when(F.col("__x._corrupt_record").isNotNull(), "not valid by the schema")}).drop("__x")
+def _xml_errors(value: str, schema: T.StructType, required: bool) -> list[str]:
+    try:
+        root = ElementTree.fromstring(value)
+    except ElementTree.ParseError as e:
+        return [f"not well-formed: {e}"]
+    errors: list[str] = []
+
+    def check(text: str | None, kind: T.DataType, at: str) -> None:
+        text = (text or "").strip()
+        if isinstance(kind, T.IntegralType):
+            bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}.get(type(kind), 64)
+            good = re.fullmatch(r"[+-]?\d+", text) and -(1 << bits - 1) <= int(text) < 1 << bits - 1
+        elif isinstance(kind, T.NumericType):
+            good = re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", text)
+        elif isinstance(kind, T.BooleanType):
+            good = text in ("true", "false")
+        elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            try:
+                good = (datetime.date if isinstance(kind, T.DateType) else datetime.datetime).fromisoformat(text)
+            except ValueError:
+                good = None
+        else:
+            good = True
+        if not good:
+            errors.append(f"{at}: not a {kind.simpleString()}")
+
+    def walk(node: ElementTree.Element, kind: T.StructType, at: str) -> None:
+        fields = {f.name: f.dataType for f in kind.fields}
+        found = dict.fromkeys(fields, 0)
+        for name, text in node.attrib.items():
+            if f"_{name}" not in fields:
+                errors.append(f"{at}: unknown attribute {name}")
+            else:
+                found[f"_{name}"] += 1
+                check(text, fields[f"_{name}"], f"{at}/@{name}")
+        for child in node:
+            name = child.tag.rpartition("}")[2]
+            if name not in fields:
+                errors.append(f"{at}: unknown element {name}")
+                continue
+            found[name] += 1
+            inner = fields[name]
+            many, inner = isinstance(inner, T.ArrayType), inner.elementType if isinstance(inner, T.ArrayType) else inner
+            if found[name] == 2 and not many:
+                errors.append(f"{at}: more than one element {name}")
+            if isinstance(inner, T.StructType):
+                walk(child, inner, f"{at}/{name}")
+            elif len(child):
+                errors.append(f"{at}/{name}: elements in a {inner.simpleString()}")
+            elif (child.text or "").strip() or isinstance(inner, T.StringType):
+                check(child.text, inner, f"{at}/{name}")
+        if "_VALUE" in fields:
+            found["_VALUE"] += 1
+            check(node.text, fields["_VALUE"], at)
+        for name, n in found.items():
+            if required and not n and not isinstance(fields[name], T.ArrayType):
+                errors.append(f"{at}: no {'attribute ' + name[1:] if name.startswith('_') else 'element ' + name}")
+
+    walk(root, schema, root.tag.rpartition("}")[2])
+    return errors
+
+
+def validate_xml(df: DataFrame, xml: str, schema: str, required: bool = True) -> DataFrame:
+    """Adds ``valid`` and ``error``: whether the text is XML of a schema, and what is wrong with it, by name.
+
+    The schema's fields are the root's elements, ``_name`` its attributes and
+    ``_VALUE`` its text; arrays are elements that may repeat.  Unknown and
+    repeated elements, values of another type and, if ``required``, missing
+    elements are errors; an empty element is a null.  A null text is not valid.
+    """
+    wanted = T._parse_datatype_string(schema)
+
+    @F.pandas_udf("string")
+    def errors(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: "no text" if v is None else "; ".join(_xml_errors(v, wanted, required)) or None)
+
+    return df.withColumn("error", errors(F.col(xml).cast("string"))).withColumn("valid", F.col("error").isNull()).select(*(c for c in df.columns if c not in ("valid", "error")), "valid", "error")
 
 
 def validate_csv(df: DataFrame, line: str, schema: str, options: dict[str, str] | None = None) -> DataFrame:
@@ -646,20 +757,6 @@ def validate_csv(df: DataFrame, line: str, schema: str, options: dict[str, str]
     return df.withColumn("__x", parsed).withColumns({"valid": F.col("__x").isNotNull() & F.col("__x._corrupt_record").isNull(), "error": F.when(F.col("__x._corrupt_record").isNotNull(), "not valid by the schema")}).drop("__x")
 
 
-def hl7_segments(df: DataFrame, message: str, key: Sequence[str]) -> DataFrame:
-    """A row for each segment: (key, segment_index, segment, fields); field n is fields[n]."""
-    lines = F.filter(F.split(message, r"[\r\n]+"), lambda x: x != "")
-    return df.select(*key, F.posexplode(lines).alias("segment_index", "__l")).select(*key, "segment_index", F.split_part("__l", F.lit("|"), F.lit(1)).alias("segment"), F.split("__l", r"\|").alias("fields"))
-
-
-def hl7_select(df: DataFrame, message: str, key: Sequence[str], segment: str, fields: dict[str, int], where: Callable[[Callable[[int], Column]], Column] | None = None) -> DataFrame:
-    """Chosen fields of the segments of one kind; ``where`` gets a function from field number to column."""
-    rows = hl7_segments(df, message, key).filter(F.col("segment") == segment)
-    at = lambda n: F.get(F.col("fields"), F.lit(n))
-    rows = rows.filter(sure(where(at))) if where else rows
-    return rows.select(*key, "segment_index", *(at(n).alias(name) for name, n in fields.items()))
-
-
 def extract_email_headers(df: DataFrame, message: str) -> DataFrame:
     """Adds a map of header names in lower case to values; folded lines are joined, of repeated names the last counts."""
     head = F.regexp_replace(F.regexp_extract(message, r"(?s)\A(.*?)(?:\r?\n\r?\n|\z)", 1), r"\r?\n[ \t]+", " ")

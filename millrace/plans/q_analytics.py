@@ -269,6 +269,13 @@ def enforce_order(spark, sf_dir):
     return analytics.enforce_order(df, "conv_id", "turn")
 
 
+@register("str_04_enforce_order_from", "WITH t AS (SELECT conv_id, turn, CASE WHEN conv_id % 5 = 1 AND turn = 3 THEN NULL ELSE turn END AS seq FROM conversations), r AS (SELECT conv_id, turn, seq, dense_rank() OVER w - 1 AS k, lag(seq) OVER w AS p FROM t WHERE seq >= 1 WINDOW w AS (PARTITION BY conv_id ORDER BY seq)) SELECT conv_id, turn, CASE WHEN p = seq THEN 'skipped' WHEN seq - 1 = k THEN 'released' ELSE 'waiting' END AS outcome FROM r UNION ALL SELECT conv_id, turn, CASE WHEN seq IS NULL THEN 'invalid' ELSE 'skipped' END FROM t WHERE seq IS NULL OR seq < 1")
+def enforce_order_from(spark, sf_dir):
+    """From turn 1 on: turn 0 has passed, and some rows have no sequence."""
+    df = load(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr("if(conv_id % 5 = 1 AND turn = 3, NULL, turn)").alias("seq"))
+    return analytics.enforce_order(df, "conv_id", "seq", 1).select("conv_id", "turn", "outcome")
+
+
 @register("str_05_wait_notify", "SELECT c_custkey, coalesce(n >= 10, false) AS released FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey")
 def wait_notify(spark, sf_dir):
     rows = load(spark, sf_dir, "customer").select(c("c_custkey").alias("signal"), "c_custkey")
@@ -300,6 +307,16 @@ def merge_cdc(spark, sf_dir):
     return analytics.merge_cdc(table, events, ["user_id"], "event_id", "op", ["value"])
 
 
+_KIND = "CASE event_type WHEN 'error' THEN 'delete' WHEN 'signup' THEN 'insert' WHEN 'click' THEN 'update' WHEN 'view' THEN 'ddl' ELSE 'begin' END"
+
+
+@register("str_09_merge_other_events", f"WITH e AS (SELECT user_id, event_id, value, {_KIND} AS op FROM events), l AS (SELECT user_id, value, op, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM e WHERE op IN ('insert', 'update', 'delete')) SELECT c_custkey AS user_id, c_acctbal AS value FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM l) UNION ALL SELECT user_id, value FROM l WHERE n = 1 AND op <> 'delete'")
+def merge_other_events(spark, sf_dir):
+    """Events that change no row, some of them the only or the last ones of their key."""
+    table = load(spark, sf_dir, "customer").select(c("c_custkey").alias("user_id"), c("c_acctbal").alias("value"))
+    return analytics.merge_cdc(table, load(spark, sf_dir, "events").withColumn("op", F.expr(_KIND)), ["user_id"], "event_id", "op", ["value"])
+
+
 @register("src_20_cdc_columns", "SELECT event_id, event_type AS type, 'value' AS name, (value - 1)::DOUBLE AS last_value, value FROM events")
 def cdc_columns(spark, sf_dir):
     column = F.struct(F.lit(1).alias("id"), F.lit("value").alias("name"), F.lit(8).alias("column_type"), (c("value") - 1).cast("string").alias("last_value"), c("value").cast("string").alias("value"))

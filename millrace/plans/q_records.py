@@ -155,10 +155,25 @@ def merge_bins_bytes(spark, sf_dir):
     return records.merge_bins(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey", ["o_orderkey"], 4, 20, F.expr(_BYTES))
 
 
-@register("rec_11_defragment", "SELECT l_orderkey, string_agg(part, ',' ORDER BY l_linenumber, part) AS part FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey::VARCHAR AS part FROM lineitem WHERE l_linenumber <> 3 OR l_orderkey % 2 = 0) GROUP BY l_orderkey HAVING count(*) = max(l_linenumber)")
+_PARTS_SQL = "SELECT l_orderkey, l_linenumber, l_partkey::VARCHAR AS part, max(l_linenumber) OVER (PARTITION BY l_orderkey) AS n FROM lineitem QUALIFY l_linenumber <> 3 OR l_orderkey % 2 = 0"
+_PARTS_BY_ID = f"SELECT l_orderkey, count(DISTINCT l_linenumber) AS found, count(DISTINCT (l_linenumber, part)) AS parts, max(n) AS n FROM ({_PARTS_SQL}) GROUP BY l_orderkey"
+
+
+def _parts(spark, sf_dir):
+    """Lines as parts of their order; every other order has lost its third, and some have two values at one index."""
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", c("l_partkey").cast("string").alias("part"))
+    counts = lines.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("n"))
+    return lines.join(counts, "l_orderkey").filter("l_linenumber <> 3 OR l_orderkey % 2 = 0")
+
+
+@register("rec_11_defragment", f"WITH d AS ({_PARTS_SQL}), ok AS (SELECT l_orderkey FROM ({_PARTS_BY_ID}) WHERE found = parts AND found = n) SELECT l_orderkey, string_agg(part, ',' ORDER BY l_linenumber) AS part FROM (SELECT DISTINCT l_orderkey, l_linenumber, part FROM d SEMI JOIN ok USING (l_orderkey)) GROUP BY l_orderkey")
 def defragment(spark, sf_dir):
-    df = load(spark, sf_dir, "lineitem").filter("l_linenumber <> 3 OR l_orderkey % 2 = 0").select("l_orderkey", "l_linenumber", c("l_partkey").cast("string").alias("part"))
-    return records.defragment(df, "l_orderkey", "l_linenumber", "l_linenumber", "part", ",")
+    return records.defragment(_parts(spark, sf_dir), "l_orderkey", "l_linenumber", "n", "part", ",")
+
+
+@register("rec_11_defragment_failures", f"SELECT l_orderkey, CASE WHEN found < parts THEN 'two values at one index' ELSE 'parts are missing' END AS problem FROM ({_PARTS_BY_ID}) WHERE found < parts OR found < n")
+def defragment_failures(spark, sf_dir):
+    return records.defragment_failures(_parts(spark, sf_dir), "l_orderkey", "l_linenumber", "n", "part")
 
 
 def _attributes(spark, sf_dir):

@@ -6,6 +6,7 @@ import string
 
 from pyspark.sql import functions as F
 
+from millrace.operators import hl7 as messages
 from millrace.operators import text
 from millrace.plans.registry import load, register
 
@@ -49,6 +50,14 @@ def grok(spark, sf_dir):
     return text.extract_grok(_log_lines(spark, sf_dir), "line", _GROK).select("event_id", "at", "level", "who")
 
 
+@register("text_04_grok_classes", "SELECT event_id, event_type AS kind, user_id::VARCHAR AS who FROM events")
+def grok_classes(spark, sf_dir):
+    """Brackets and parentheses inside character classes are text."""
+    line = F.format_string("(%s) [%d]", "event_type", "user_id")
+    out = text.extract_grok(load(spark, sf_dir, "events").select("event_id", line.alias("line")), "line", r"^[(]%{WORD:kind}[)] [\[(]%{INT:who}[])]$")
+    return out.filter("matched").select("event_id", "kind", "who")
+
+
 @register("text_05_grok_skip_append", "WITH l AS (SELECT event_id, event_id % 64 AS s, event_id % 4 = 3 AS miss FROM events), g AS (SELECT *, sum((NOT miss)::INT) OVER (PARTITION BY s ORDER BY event_id) AS grp FROM l) SELECT f.event_id, t.n AS appended FROM g f LEFT JOIN (SELECT s, grp, count(*) AS n FROM g WHERE miss AND grp > 0 GROUP BY s, grp) t ON t.s = f.s AND t.grp = f.grp WHERE NOT f.miss")
 def grok_append(spark, sf_dir):
     lines = _log_lines(spark, sf_dir).withColumn("s", c("event_id") % 64)
@@ -69,6 +78,21 @@ def syslog_5424(spark, sf_dir):
     return out.select("event_id", "appname", "procid", "messageid", c("structured_data")["ex@1.kind"].alias("kind"), F.replace(c("structured_data")["two@2.odd"], F.lit("\\"), F.lit("")).alias("odd"), "body")
 
 
+@register("text_07_syslog_repeated", "SELECT event_id, user_id::VARCHAR AS ip, event_type AS kind FROM events")
+def syslog_repeated(spark, sf_dir):
+    """A parameter name may come again in an element, and an element's in another."""
+    line = F.expr(r"""concat('<34>1 2024-01-01T00:00:00Z host app - ID [o ip="1" kind="', event_type, '" ip="', user_id, '"][p ip="3"] body')""")
+    out = text.parse_syslog_5424(load(spark, sf_dir, "events").select("event_id", line.alias("line")), "line")
+    return out.select("event_id", c("structured_data")["o.ip"].alias("ip"), c("structured_data")["o.kind"].alias("kind"))
+
+
+@register("text_08_cef_repeated", "SELECT event_id, user_id::VARCHAR AS src, event_type AS msg FROM events")
+def cef_repeated(spark, sf_dir):
+    line = F.expr("concat('CEF:0|V|P|1|id|name|5|src=1 msg=', event_type, ' src=', user_id)")
+    out = text.parse_cef(load(spark, sf_dir, "events").select("event_id", line.alias("line")), "line")
+    return out.select("event_id", c("extension")["src"].alias("src"), c("extension")["msg"].alias("msg"))
+
+
 def _cef(spark, sf_dir):
     line = F.expr(r"concat('CEF:0|Vend\\|or|Prod|1.0|', event_type, '|A name|', user_id % 10, '|src=10.0.0.1 msg=two words cnt=', user_id)")
     return text.parse_cef(load(spark, sf_dir, "events").select("event_id", line.alias("line")), "line")
@@ -191,10 +215,10 @@ def fuzzy(spark, sf_dir):
     return text.compare_fuzzy_hash(docs, "digest", known, "known", 3).select("doc_id", "known_id", "distance")
 
 
-@register("text_22_fuzzy_hash_of_same_words", r"SELECT doc_id, CASE WHEN regexp_matches(text, '[A-Za-z0-9_]') THEN 0 END::INTEGER AS distance FROM documents")
+@register("text_22_fuzzy_hash_of_same_words", r"SELECT doc_id, CASE WHEN regexp_matches(text, '[\pL\pN_]') THEN 0 END::INTEGER AS distance FROM documents")
 def fuzzy_same(spark, sf_dir):
     """The digest does not see case or marks between words; a text without a word has none."""
-    other = F.concat(F.lit("-- "), F.regexp_replace(F.translate("text", string.ascii_lowercase, string.ascii_uppercase), r"\W+", " ; "))
+    other = F.concat(F.lit("-- "), F.regexp_replace(F.translate("text", string.ascii_lowercase, string.ascii_uppercase), r"(?U)\W+", " ; "))
     return load(spark, sf_dir, "documents").select("doc_id", text.hash_distance(text.fuzzy_hash(c("text")), text.fuzzy_hash(other)).alias("distance"))
 
 
@@ -220,10 +244,39 @@ def validate(spark, sf_dir):
     return text.validate_csv(df, "l", "a bigint, b string").withColumnRenamed("valid", "csv_ok").select("o_orderkey", "xml_ok", "csv_ok")
 
 
+@register("text_25_validate_xml", "SELECT o_orderkey, CASE o_orderkey % 6 WHEN 1 THEN 'r: unknown element c; r: no element b' WHEN 2 THEN 'r/a: not a bigint' WHEN 3 THEN 'r: no element b' WHEN 4 THEN 'r: unknown attribute k; r: more than one element a' WHEN 5 THEN 'r/n: no element x' END AS error FROM orders")
+def validate_xml_elements(spark, sf_dir):
+    """Well-formed texts that are not of the schema, by name of what is wrong."""
+    bad = F.expr("CASE o_orderkey % 6 WHEN 1 THEN '<c>1</c>' WHEN 2 THEN '<a>x</a><b>y</b>' WHEN 3 THEN '' WHEN 4 THEN '<a>2</a><b/>' WHEN 5 THEN '<b/><n><y>1</y></n>' ELSE '<b>y</b><l>1</l><l>2</l>' END")
+    body = F.when(c("o_orderkey") % 6 == 2, bad).otherwise(F.concat(F.format_string("<a>%d</a>", "o_custkey"), bad))
+    inner = F.when(c("o_orderkey") % 6 == 5, F.replace(body, F.lit("<y>1</y>"), F.lit(""))).otherwise(F.concat(body, F.lit("<n><x>1</x></n>")))
+    df = load(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.when(c("o_orderkey") % 6 == 4, '<r k="1">').otherwise("<r>"), inner, F.lit("</r>")).alias("x"))
+    return text.validate_xml(df, "x", "a bigint, b string, n struct<x:int>, l array<int>").select("o_orderkey", "error")
+
+
+_HL7 = "format_string('MSH#^*!%%#app#fac#to#there#2024##ADT^A%02d#ID%d#P#2.3\rPID#1##A%d^x*B%d^y%%z#', c_custkey % 40, c_custkey, c_custkey, c_nationkey)"
+
+
+@register("text_26_hl7_tree", "SELECT c_custkey, '#' AS sep, 'ADT' AS kind, printf('A%02d', c_custkey % 40) AS trigger, 'ID' || c_custkey AS control FROM customer WHERE c_custkey % 40 < 9")
+def hl7_tree(spark, sf_dir):
+    """Numbers of MSH, with separators of the message's own."""
+    df = load(spark, sf_dir, "customer").select("c_custkey", F.expr(_HL7).alias("m"))
+    return messages.select(df, "m", ["c_custkey"], "MSH", {"sep": "MSH-1", "kind": "MSH-9.1", "trigger": "MSH-9.2", "control": 10}, lambda at: at("MSH-9.2") < "A09").drop("segment_index")
+
+
+@register("text_26_hl7_components", "SELECT c_custkey, 'A' || c_custkey || '^x*B' || c_nationkey || '^y%z' AS whole, 'A' || c_custkey AS first, 'B' || c_nationkey AS second, 'z' AS sub, 'a|b^' || c_name AS text, NULL AS none FROM customer WHERE c_nationkey > 3")
+def hl7_components(spark, sf_dir):
+    """Repetitions, components, subcomponents and escape sequences."""
+    tail = F.replace(F.concat(F.lit("a!X7C!b!S!"), "c_name"), F.lit("#"), F.lit("!F!"))
+    df = load(spark, sf_dir, "customer").select("c_custkey", F.concat(F.expr(_HL7), tail).alias("m"))
+    wanted = {"whole": "PID-3", "first": "PID-3.1", "second": "PID-3[2].1", "sub": "PID-3[2].2.2", "text": "PID-4", "none": "PID-3[3].1"}
+    return messages.select(df, "m", ["c_custkey"], "PID", wanted, lambda at: F.substring(at("PID-3[2].1"), 2, 9).try_cast("int") > 3).drop("segment_index")
+
+
 @register("text_26_hl7", "SELECT c_custkey, 1 AS segment_index, c_name AS name FROM customer WHERE c_custkey > 10")
 def hl7(spark, sf_dir):
     df = load(spark, sf_dir, "customer").select("c_custkey", F.format_string("MSH|^~\\&|app\rPID|%d|%s|x", "c_custkey", "c_name").alias("m"))
-    return text.hl7_select(df, "m", ["c_custkey"], "PID", {"name": 2}, lambda at: at(1).try_cast("long") > 10)
+    return messages.select(df, "m", ["c_custkey"], "PID", {"name": 2}, lambda at: at(1).try_cast("long") > 10)
 
 
 @register("text_27_email", "SELECT c_custkey, 'Hello ' || c_custkey AS subject, c_name || ' <x@example.com>' AS sender FROM customer")

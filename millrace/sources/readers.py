@@ -180,7 +180,8 @@ def read_page(df: DataFrame, order: Sequence[str], size: int, number: int) -> Da
 def read_incremental(df: DataFrame, column: str, state: DataFrame | None, name: str) -> tuple[DataFrame, DataFrame]:
     """(rows above the stored maximum of (name, value), the new state of one row)."""
     kind = df.schema[column].dataType
-    saved = state.filter(F.col("name") == name).agg(F.max("value")).first()[0] if state is not None else None
+    # the largest by the column's own order, not that of texts
+    saved = state.filter(F.col("name") == name).agg(F.max(F.col("value").cast(kind)).cast("string")).first()[0] if state is not None else None
     fresh = df if saved is None else df.filter(F.col(column) > F.lit(saved).cast(kind))
     return fresh, fresh.agg(F.lit(name).alias("name"), F.coalesce(F.max(column).cast("string"), F.lit(saved)).alias("value"))
 

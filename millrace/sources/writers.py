@@ -18,7 +18,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errori
 
 
 def write_json(df: DataFrame, path: str, grouping: str = "lines", nulls: str = "never_suppress", mode: str = "errorifexists") -> None:
-    """One object a line, or one array in each file (``array``).
+    """One object a line, or one array in each file (``array``), the first of which is empty.
 
     ``nulls``: never_suppress, always_suppress, or suppress_missing: only
     fields null in every row, which stand for those missing from the data.
@@ -44,7 +44,9 @@ def write_json(df: DataFrame, path: str, grouping: str = "lines", nulls: str = "
         if before == ",":
             yield pd.DataFrame({"value": ["]"]})
 
-    df.select(F.to_json(F.struct("*"), keep).alias("value")).mapInPandas(bracketed, "value string").write.mode(mode).text(path)
+    lines = df.select(F.to_json(F.struct("*"), keep).alias("value")).mapInPandas(bracketed, "value string")
+    # the first partition is written even if it is empty, and an empty file is no JSON
+    df.sparkSession.range(0, 1, 1, 1).select(F.lit("[]").alias("value")).union(lines).write.mode(mode).text(path)
 
 
 def write_avro(df: DataFrame, path: str, schema: str | None = None, mode: str = "errorifexists") -> None:
