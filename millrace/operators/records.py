@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.bins import bin_states, merge_bins
 from millrace.scratch import written
 
+__all__ = ["bin_states", "merge_bins"]
+
 
 def query_record(df: DataFrame, sql: str, args: dict | None = None, name: str = "RECORDS") -> DataFrame:
     """SQL over one record table, named in the text as ``{name}`` in braces or by the view's name."""
@@ -91,34 +94,6 @@ def split_record(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     return n.withColumns({"fragment_index": F.floor(F.col("__n") / size).cast("long"), "row_in_fragment": (F.col("__n") % size).cast("long")}).drop("__n")
 
 
-def merge_bins(df: DataFrame, key: str, order: Sequence[str], max_rows: int, max_bytes: int, size: Column) -> DataFrame:
-    """Adds ``bin``: in order within a key, a bin closes before it would exceed either limit.
-
-    Running limits that start anew are a fold, so each key's sizes are folded
-    one after another in Arrow batches sorted by Spark: a key with many rows is
-    one task, whose memory is a batch.  Where bins need not run over a whole
-    key, a finer key (a day, a slice of ids) deals it over tasks.
-    """
-    columns = df.columns
-    sized = df.withColumn("__size", size.cast("long")).repartition(key).sortWithinPartitions(key, *order)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, bin_, rows, used = object(), 0, 0, 0
-        for frame in frames:
-            out = []
-            for k, s in zip(frame[key], frame["__size"]):
-                if k != last:
-                    last, bin_, rows, used = k, 0, 0, 0
-                elif rows + 1 > max_rows or used + s > max_bytes:
-                    bin_, rows, used = bin_ + 1, 0, 0
-                rows, used = rows + 1, used + s
-                out.append(bin_)
-            yield frame[columns].assign(bin=out)
-
-    fields = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
-    return sized.mapInPandas(run, f"{fields}, bin long")
-
-
 def _fragments(df: DataFrame, id_: str, index: str, count: str, value: str) -> DataFrame:
     """(id, p, n, problem) of every id: its parts by index, how many there should be, and what is wrong with them."""
     own = df.select(id_, F.col(index).cast("long").alias("i"), F.col(count).cast("long").alias("c"), F.col(value).alias("v"))

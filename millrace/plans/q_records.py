@@ -155,6 +155,29 @@ def merge_bins_bytes(spark, sf_dir):
     return records.merge_bins(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey", ["o_orderkey"], 4, 20, F.expr(_BYTES))
 
 
+_ONE_KEY = "1 + (c_custkey * 7) % 13"
+
+
+@register("rec_10_merge_bins_one_key", f"WITH RECURSIVE o AS (SELECT c_custkey, {_ONE_KEY} AS size, row_number() OVER (ORDER BY c_custkey) AS i FROM customer), b AS (SELECT c_custkey, i, size AS used, 1 AS n, 0 AS bin FROM o WHERE i = 1 UNION ALL SELECT o.c_custkey, o.i, CASE WHEN n = 9 OR used + size > 60 THEN size ELSE used + size END, CASE WHEN n = 9 OR used + size > 60 THEN 1 ELSE n + 1 END, CASE WHEN n = 9 OR used + size > 60 THEN bin + 1 ELSE bin END FROM b JOIN o ON o.i = b.i + 1) SELECT c_custkey, bin::BIGINT AS bin FROM b")
+def merge_bins_one_key(spark, sf_dir):
+    """All rows under one key, which is null: the fold is cut in slices."""
+    df = load(spark, sf_dir, "customer").select("c_custkey", F.lit(None).cast("double").alias("k"))
+    return records.merge_bins(df, "k", ["c_custkey"], 9, 60, F.expr(_ONE_KEY)).select("c_custkey", "bin")
+
+
+@register("rec_10_merge_bins_age", "WITH RECURSIVE o AS (SELECT event_id, user_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events), b AS (SELECT event_id, user_id, i, t AS first, 1 AS n, 0 AS bin FROM o WHERE i = 1 UNION ALL SELECT o.event_id, o.user_id, o.i, CASE WHEN n = 5 OR t - first > 259200000000 THEN t ELSE first END, CASE WHEN n = 5 OR t - first > 259200000000 THEN 1 ELSE n + 1 END, CASE WHEN n = 5 OR t - first > 259200000000 THEN bin + 1 ELSE bin END FROM b JOIN o ON o.user_id = b.user_id AND o.i = b.i + 1) SELECT event_id, bin::BIGINT AS bin FROM b")
+def merge_bins_age(spark, sf_dir):
+    """Bins of at most 5 rows, none over three days."""
+    return records.merge_bins(load(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", ["event_id"], 5, None, F.lit(1), "ts", 3 * 86400).select("event_id", "bin")
+
+
+@register("rec_10_bin_states", "WITH b AS (SELECT o_custkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 3 AS bin, o_totalprice::BIGINT AS size FROM orders), s AS (SELECT o_custkey, bin, count(*) AS n, sum(size)::BIGINT AS bytes FROM b GROUP BY ALL) SELECT o_custkey, bin, n, bytes, CASE WHEN bin < max(bin) OVER (PARTITION BY o_custkey) THEN 'closed' WHEN n >= 2 AND bytes >= 300000 THEN 'enough' ELSE 'waiting' END AS state FROM s")
+def bin_states(spark, sf_dir):
+    """Minima decide about each key's last bin."""
+    binned = records.merge_bins(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.round("o_totalprice").cast("long").alias("size")), "o_custkey", ["o_orderkey"], 3, None, c("size"))
+    return records.bin_states(binned, "o_custkey", c("size"), 2, 300_000)
+
+
 _PARTS_SQL = "SELECT l_orderkey, l_linenumber, l_partkey::VARCHAR AS part, max(l_linenumber) OVER (PARTITION BY l_orderkey) AS n FROM lineitem QUALIFY l_linenumber <> 3 OR l_orderkey % 2 = 0"
 _PARTS_BY_ID = f"SELECT l_orderkey, count(DISTINCT l_linenumber) AS found, count(DISTINCT (l_linenumber, part)) AS parts, max(n) AS n FROM ({_PARTS_SQL}) GROUP BY l_orderkey"
 
