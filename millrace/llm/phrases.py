@@ -7,18 +7,19 @@ neighbouring texts and skip one between pieces, so adjacent places are adjacent
 words of one piece.
 
 1. The relation of single words is written, in blocks of packed numbers.
-2. Words are counted for each language; a semi-join with the frequent ones leaves
-   the relation of frequent words.
+2. Words are counted in each block, then over all blocks of a language; a
+   semi-join with the frequent ones leaves the relation of frequent words.
 3. For k = 2, 3, ... the relation is merge-joined with itself by piece and
    adjacent position: phrases of k - 1 words at places p and p + 1 make one of k
    words at p.  Its groups, a pair of numbers, are counted by block and then over
    all blocks; a semi-join with the frequent groups gives the next relation.
 
 A phrase of k words is frequent only if both its parts of k - 1 words are, so no
-frequent one is lost, and a number stands for a phrase exactly, without hashing.
-Counts and joins by group are plain Spark shuffles of what each block counted
-before, so no group meets in one task: a phrase sends one row for each block.
-Relations go to a block's rows, of bounded size.  Scores are decimals of 38
+frequent one is lost.  A phrase's number is that of its place in the first block
+that has it, so it stands for the phrase exactly, without hashing.  What a block
+has counted goes to the group once: rows of a group, one for each block of about
+``BLOCK_TOKENS`` tokens that has it, are summed over a window, and those of
+frequent groups go back to their blocks, each of bounded size.  Scores are decimals of 38
 digits, exact for counts of 64 bits.
 
 Defined cases: a null text is empty and has no words, a null language is
@@ -52,17 +53,19 @@ BLOCK_TOKENS = 1 << 20
 GROUP_ROWS = 1 << 17
 #: Slices in which a language is ranked before its first ``TOP`` meet.
 RANK_SLICES = 1024
-_LOWER = {c: c + 32 for c in range(65, 91)}
+#: Bits of a place in a block, and of a block in its task, in the number of a phrase.
+PLACE_BITS, BLOCK_BITS, TASK_BITS = 29, 14, 20
+_MARKS = bytes.maketrans(b"\t" + ENDS.encode(), b" " + b"\n" * len(ENDS))
 
 
 class _Words(dict):
     """The numbers, from 1, of one language's words in a block."""
 
-    def __init__(self, lang: str, known: list[tuple[str, str]]):
-        super().__init__({"": -1, "\n": 0})
+    def __init__(self, lang: str, known: list[tuple[str, bytes]]):
+        super().__init__({b"": -1, b"\n": 0})
         self.lang, self.known = lang, known
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         self.known.append((self.lang, word))
         self[word] = number = len(self.known)
         return number
@@ -72,18 +75,16 @@ class _Block:
     """Word numbers of neighbouring texts; 0 ends a piece."""
 
     def __init__(self):
-        self.known: list[tuple[str, str]] = []
+        self.known: list[tuple[str, bytes]] = []
         self.langs: dict[str, _Words] = {}
         self.grams: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, text: str, lang: str) -> None:
-        low = text.lower() if text.isascii() else text.translate(_LOWER)
-        for end in ENDS:
-            if end in low:
-                low = low.replace(end, " \n ")
+    def add(self, text: bytes, lang: str) -> None:
+        # lower-casing of bytes is that of A-Z; every end of a piece is a word of its own
+        tokens = text.lower().translate(_MARKS).replace(b"\n", b" \n ").split(b" ")
         words = self.langs.get(lang) or self.langs.setdefault(lang, _Words(lang, self.known))
-        ids = np.fromiter(map(words.__getitem__, low.replace("\t", " ").split(" ")), np.int32)
+        ids = np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens))
         ids = ids[ids >= 0]
         self.grams += [ids, np.zeros(1, np.int32)]
         self.size += len(ids) + 1
@@ -91,7 +92,7 @@ class _Block:
     def row(self, block: int) -> pa.RecordBatch:
         grams = np.concatenate(self.grams)
         n = np.bincount(grams, minlength=len(self.known) + 1)[1:]
-        fields = {"local": pa.array(np.arange(1, len(n) + 1, dtype=np.int32)), "lang": pa.array([k[0] for k in self.known], pa.string()), "word": pa.array([k[1] for k in self.known], pa.string()), "n": pa.array(n.astype(np.int64))}
+        fields = {"local": pa.array(np.arange(1, len(n) + 1, dtype=np.int32)), "lang": pa.array([k[0] for k in self.known], pa.string()), "word": pa.array([k[1] for k in self.known], pa.binary()).cast(pa.string()), "n": pa.array(n.astype(np.int64))}
         words = pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), pa.StructArray.from_arrays(list(fields.values()), list(fields)))
         return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_packed(grams)], pa.binary()), words], ["block", "grams", "words"])
 
@@ -105,22 +106,28 @@ def _opened(raw: bytes) -> np.ndarray:
 
 
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    base, made, block = TaskContext.get().partitionId() << 33, 0, _Block()
+    task, made, block = TaskContext.get().partitionId(), 0, _Block()
     for whole in batches:
         for first in range(0, whole.num_rows, 256):
             batch = whole.slice(first, 256)
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 block.add(text, lang)
                 if block.size >= BLOCK_TOKENS:
-                    yield block.row(base + made)
+                    yield block.row(_number(task, made))
                     made, block = made + 1, _Block()
     if block.size:
-        yield block.row(base + made)
+        yield block.row(_number(task, made))
+
+
+def _number(task: int, made: int) -> int:
+    if task >> TASK_BITS or made >> BLOCK_BITS:
+        raise ValueError("more tasks, or more blocks in a task, than numbers")
+    return task << BLOCK_BITS | made
 
 
 def word_relation(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """(block, grams, words): the occurrences of all words, and each block's words with their counts."""
-    own = df.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("l"))
+    own = df.select(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("t"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("l"))
     return own.mapInArrow(_to_blocks, "block long, grams binary, words array<struct<local:int,lang:string,word:string,n:long>>")
 
 
@@ -157,7 +164,7 @@ def _adjacent(grams: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, g1, g2, n): a block's counts of pairs of phrases at adjacent places."""
+    """(block, place, g1, g2, n): a block's counts of pairs of phrases at adjacent places; ``place`` numbers the pairs."""
     for batch in batches:
         for r in range(batch.num_rows):
             ids = batch.column("ids").slice(r, 1).flatten().to_numpy()
@@ -166,8 +173,8 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block, size = batch.column("block")[r].as_py(), len(ids) + 1
             for at in range(0, len(keys), GROUP_ROWS):
                 own = keys[at : at + GROUP_ROWS]
-                columns = np.full(len(own), block, np.int64), ids[own // size - 1], ids[own % size - 1], n[at : at + GROUP_ROWS].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["block", "g1", "g2", "n"])
+                columns = np.full(len(own), block, np.int64), np.arange(at, at + len(own)), ids[own // size - 1], ids[own % size - 1], n[at : at + GROUP_ROWS].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["block", "place", "g1", "g2", "n"])
 
 
 def _keep_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +195,18 @@ def _keep_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _relation(batch.column("block")[r].as_py(), made, new[order])
 
 
+def _frequent(counted: DataFrame, keys: list[str], place: str, least: int, label: str, once: list[str]) -> DataFrame:
+    """The rows of blocks for groups counted ``least`` times or more, with the sum ``a``, the group's number ``id``, and ``first`` on one row of each; written.
+
+    Columns named in ``once`` have values on the first rows only.
+    """
+    own = F.shiftleft("block", PLACE_BITS).bitwiseOR(F.col(place).cast("long"))
+    by = Window.partitionBy(*keys)
+    summed = counted.withColumn("own", own).withColumns({"a": F.sum("n").over(by), "id": F.min("own").over(by)})
+    found = summed.filter(F.col("a") >= least).withColumn("first", F.col("own") == F.col("id")).drop("own", "n")
+    return written(found.withColumns({c: F.when(F.col("first"), F.col(c)) for c in once}), label)
+
+
 def _with_back(relation: DataFrame, back: DataFrame, fields: list[str]) -> DataFrame:
     """Each block's rows of ``back`` beside its relation; blocks without any have no frequent phrase and go."""
     return relation.join(back.groupBy("block").agg(F.collect_list(F.struct(*fields)).alias("back")), "block")
@@ -201,24 +220,22 @@ def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", leas
     """
     blocks = written(word_relation(df, text, lang), "phrases-words")
     words = blocks.select("block", F.explode("words").alias("w")).select("block", "w.*")
-    counts = written(words.groupBy("lang", "word").agg(F.sum("n").alias("a")), "phrases-counts")
-    found = counts.filter(F.col("a") >= least).select("lang", F.array("word").alias("words"), F.array("a").alias("prefixes"), F.array("a").alias("suffixes"))
-    tables = [written(found.withColumn("id", F.monotonically_increasing_id()), "phrases-1")]
-    back = words.join(tables[0].select("lang", F.col("words")[0].alias("word"), "id"), ["lang", "word"])
+    back = _frequent(words, ["lang", "word"], "local", least, "phrases-found-1", ["lang", "word", "a"])
+    found = back.filter("first").select("id", "lang", F.array("word").alias("words"), F.array("a").alias("prefixes"), F.array("a").alias("suffixes"))
+    tables = [written(found, "phrases-1")]
     relation = _with_back(blocks.select("block", "grams"), back, ["local", "id"]).mapInArrow(_keep_words, _RELATION)
     for k in range(2, longest + 1):
         relation = written(relation, f"phrases-relation-{k - 1}")
-        groups = relation.mapInArrow(_groups, "block long, g1 long, g2 long, n long")
-        whole = groups.groupBy("g1", "g2").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+        groups = relation.mapInArrow(_groups, "block long, place long, g1 long, g2 long, n long")
+        back = _frequent(groups, ["g1", "g2"], "place", least, f"phrases-found-{k}", ["a"])
         side = lambda name: tables[-1].select(F.col("id").alias(name), F.struct("lang", "words", "prefixes", "suffixes").alias(f"of_{name}"))  # noqa: E731, B023
-        found = whole.join(side("g1"), "g1").join(side("g2"), "g2").select(
-            "g1", "g2", "of_g1.lang", F.concat("of_g1.words", F.slice("of_g2.words", -1, 1)).alias("words"),
+        found = back.filter("first").select("id", "g1", "g2", "a").join(side("g1"), "g1").join(side("g2"), "g2").select(
+            "id", "of_g1.lang", F.concat("of_g1.words", F.slice("of_g2.words", -1, 1)).alias("words"),
             F.concat("of_g1.prefixes", F.array("a")).alias("prefixes"), F.concat("of_g2.suffixes", F.array("a")).alias("suffixes"),
         )
-        tables.append(written(found.withColumn("id", F.monotonically_increasing_id()), f"phrases-{k}"))
-        back = groups.select("block", "g1", "g2").join(tables[-1].select("g1", "g2", "id"), ["g1", "g2"])
+        tables.append(written(found, f"phrases-{k}"))
         relation = _with_back(relation, back, ["g1", "g2", "id"]).mapInArrow(_keep_groups, _RELATION)
-    return counts.groupBy("lang").agg(F.sum("a").alias("n")), tables
+    return words.groupBy("lang").agg(F.sum("n").alias("n")), tables
 
 
 def _weakest_cut(k: int) -> Column:
