@@ -171,10 +171,10 @@ def merge_bins_age(spark, sf_dir):
     return records.merge_bins(load(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", ["event_id"], 5, None, F.lit(1), "ts", 3 * 86400).select("event_id", "bin")
 
 
-@register("rec_10_bin_states", "WITH b AS (SELECT o_custkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 3 AS bin, o_totalprice::BIGINT AS size FROM orders), s AS (SELECT o_custkey, bin, count(*) AS n, sum(size)::BIGINT AS bytes FROM b GROUP BY ALL) SELECT o_custkey, bin, n, bytes, CASE WHEN bin < max(bin) OVER (PARTITION BY o_custkey) THEN 'closed' WHEN n >= 2 AND bytes >= 300000 THEN 'enough' ELSE 'waiting' END AS state FROM s")
+@register("rec_10_bin_states", "WITH b AS (SELECT o_custkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 3 AS bin, floor(o_totalprice)::BIGINT AS size FROM orders), s AS (SELECT o_custkey, bin, count(*) AS n, sum(size)::BIGINT AS bytes FROM b GROUP BY ALL) SELECT o_custkey, bin, n, bytes, CASE WHEN bin < max(bin) OVER (PARTITION BY o_custkey) THEN 'closed' WHEN n >= 2 AND bytes >= 300000 THEN 'enough' ELSE 'waiting' END AS state FROM s")
 def bin_states(spark, sf_dir):
     """Minima decide about each key's last bin."""
-    binned = records.merge_bins(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.round("o_totalprice").cast("long").alias("size")), "o_custkey", ["o_orderkey"], 3, None, c("size"))
+    binned = records.merge_bins(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.floor("o_totalprice").cast("long").alias("size")), "o_custkey", ["o_orderkey"], 3, None, c("size"))
     return records.bin_states(binned, "o_custkey", c("size"), 2, 300_000)
 
 
