@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.links import group_status, lineage
 from millrace.scratch import written
 
+__all__ = ["group_status", "lineage"]
+
 
 #: Rows up to which a page is the end of a sorted limit.
 TOP_ROWS = 100_000
@@ -133,27 +135,6 @@ def processor_status(groups: DataFrame, group_id: str, processors: str) -> DataF
     return groups.select(F.col(group_id).alias("group_id"), F.explode(processors).alias("__p")).select("group_id", "__p.*")
 
 
-def group_status(groups: DataFrame, group_id: str, parent_id: str, flows: Sequence[str], most_depth: int | None = None) -> DataFrame:
-    """Each group with totals over itself and all groups below it, however deep.
-
-    A cycle is an error, as are groups deeper than ``most_depth`` if that is given.
-    """
-    pairs = groups.select(F.col(group_id).alias("top"), F.col(group_id).alias("member"))
-    every, level = pairs, pairs
-    child = groups.select(F.col(group_id).alias("__c"), F.col(parent_id).alias("__p"))
-    for depth in itertools.count(1):
-        level = written(level.join(child, F.col("member") == F.col("__p")).select("top", F.col("__c").alias("member")), "groups")
-        if level.isEmpty():
-            break
-        if most_depth is not None and depth > most_depth:
-            raise RuntimeError(f"groups go deeper than {most_depth} levels")
-        if not level.filter("top = member").isEmpty():
-            raise ValueError("a group is inside itself")
-        every = every.union(level)
-    totals = every.join(groups.select(F.col(group_id).alias("member"), *flows), "member").groupBy("top").agg(*(F.sum(f).alias(f"total_{f}") for f in flows))
-    return groups.select(group_id, parent_id).join(totals, F.col(group_id) == F.col("top")).drop("top")
-
-
 def bulletins(df: DataFrame, levels: Sequence[str], since: str | None = None, until: str | None = None) -> DataFrame:
     """Log rows (ts, level, category, message, source) of some levels and a time range [since, until)."""
     out = df.filter(F.col("level").isin(*levels))
@@ -203,29 +184,6 @@ def filter_provenance(df: DataFrame, include: dict[str, object] | None = None, e
     return df
 
 
-def lineage(edges: DataFrame, start: DataFrame, parent: str = "parent", child: str = "child", most_depth: int | None = None) -> DataFrame:
-    """(item, depth) of all items reached from ``start`` through parents and children, however far.
-
-    Each step meets only the edges, and is written, so lineage and plans stay
-    short.  Edges lead both ways, so what a step finds anew is what is in
-    neither of the two steps before.  With ``most_depth``, items further away
-    are an error.
-    """
-    both = edges.select(F.col(parent).alias("u"), F.col(child).alias("v")).union(edges.select(F.col(child), F.col(parent))).filter("u <> v").distinct()
-    both = written(both, "lineage-edges")
-    seen = front = written(start.toDF("item").distinct().withColumn("depth", F.lit(0)), "lineage")
-    before = front
-    for depth in itertools.count(1):
-        step = front.join(both, F.col("item") == F.col("u")).select(F.col("v").alias("item")).distinct()
-        step = step.join(before.union(front).select("item"), "item", "left_anti")
-        before, front = front, written(step.withColumn("depth", F.lit(depth)), "lineage")
-        if front.isEmpty():
-            return seen
-        if most_depth is not None and depth > most_depth:
-            raise RuntimeError(f"items are further away than {most_depth} steps")
-        seen = seen.union(front)
-
-
 def set_operation(a: DataFrame, b: DataFrame, how: str, all_: bool = False) -> DataFrame:
     """union, intersect or except, by column name; with duplicates if ``all_``."""
     b = b.select(*a.columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import analytics, lookup
+from millrace.operators import analytics, lookup, records
 from millrace.plans.registry import load, register
 
 c = F.col
@@ -213,6 +213,15 @@ def group_status(spark, sf_dir):
     return analytics.group_status(groups, "id", "parent", ["flow"]).select("id", "parent", "total_flow")
 
 
+@register("agg_14_group_chain", "WITH g AS (SELECT o_orderkey AS id, (o_orderkey % 97)::BIGINT AS flow FROM orders), h AS (SELECT id, row_number() OVER (ORDER BY id) AS i, flow FROM g) SELECT id, sum(flow) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS total_flow FROM h")
+def group_chain(spark, sf_dir):
+    """Each order is the parent of the next: as deep as the table is long."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", (c("o_orderkey") % 97).alias("flow"))
+    at = records.numbered(orders, ["o_orderkey"], "i")
+    groups = at.join(at.select((c("i") + 1).alias("i"), c("o_orderkey").alias("parent")), "i", "left")
+    return analytics.group_status(groups, "o_orderkey", "parent", ["flow"]).select(c("o_orderkey").alias("id"), "total_flow")
+
+
 @register("agg_15_bulletins", "SELECT event_id FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'")
 def bulletins(spark, sf_dir):
     log = load(spark, sf_dir, "events").withColumn("level", F.when(c("event_type") == "error", "ERROR").otherwise("INFO"))
@@ -237,6 +246,15 @@ def lineage(spark, sf_dir):
     return analytics.lineage(edges, load(spark, sf_dir, "customer").filter("c_custkey = 5").select("c_custkey")).select("item")
 
 
+@register("agg_19_lineage_chain", "WITH h AS (SELECT o_orderkey AS item, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) SELECT item, abs(i - 5)::INTEGER AS depth FROM h UNION ALL SELECT -item, (abs(i - 5) + 1)::INTEGER FROM h WHERE i % 3 = 0")
+def lineage_chain(spark, sf_dir):
+    """A chain of all orders, from its sixth, with an item that hangs off every third."""
+    at = records.numbered(load(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], "i").select("i", c("o_orderkey").alias("child"))
+    chain = at.join(at.select((c("i") + 1).alias("i"), c("child").alias("parent")), "i").select("parent", "child")
+    edges = chain.union(at.filter("i % 3 = 0").select("child", -c("child")))
+    return analytics.lineage(edges, at.filter("i = 5").select("child"))
+
+
 @register("agg_20_set_operations", "SELECT 'union' AS kind, count(*) AS n FROM (SELECT c_nationkey FROM customer UNION SELECT s_nationkey FROM supplier) UNION ALL SELECT 'intersect', count(*) FROM (SELECT c_nationkey FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier) UNION ALL SELECT 'except', count(*) FROM (SELECT c_nationkey FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier)")
 def set_operations(spark, sf_dir):
     a, b = load(spark, sf_dir, "customer").select(c("c_nationkey").alias("k")), load(spark, sf_dir, "supplier").select(c("s_nationkey").alias("k"))
