@@ -92,15 +92,13 @@ def build_index(docs: DataFrame, known: DataFrame | None = None, text: str = "te
     ``known`` is a written vocabulary; without it all words are indexed.  The
     empty word is term -1, at the position after each text's last word.
     """
-    tokens = docs.select(*_keys(text), F.posexplode(F.concat(words(text), F.array(F.lit("")))).alias("pos", "word"))
+    # keys and words are made once for each text, before its words become rows
+    listed = docs.select(*_keys(text), F.concat(words(text), F.array(F.lit(""))).alias("words"))
+    tokens = listed.select("k1", "k2", F.posexplode("words").alias("pos", "word"))
     if known is None:
         known = written(tokens.filter("word <> ''").select("word").distinct().withColumn("term", F.monotonically_increasing_id()), "vocabulary")
     end = docs.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(-1).cast("long").alias("term"))
-    listed = known.select("word", "term").unionByName(end).select(F.col("word").alias("__w"), "term", F.xxhash64("word").alias("h"))
-    # hashes are quick to look up; then the words themselves have to agree
-    same = F.col("word").startswith(F.col("__w")) & F.col("__w").startswith(F.col("word"))
-    met = tokens.withColumn("__h", F.xxhash64("word")).join(listed, (F.col("__h") == F.col("h")) & same)
-    return written(met.select("term", "k1", "k2", "pos"), "postings"), known
+    return written(tokens.join(known.select("word", "term").unionByName(end), "word").select("term", "k1", "k2", "pos"), "postings"), known
 
 
 def text_lengths(postings: DataFrame) -> DataFrame:
