@@ -208,8 +208,11 @@ def _frequent(counted: DataFrame, keys: list[str], place: str, least: int, label
 
 
 def _with_back(relation: DataFrame, back: DataFrame, fields: list[str]) -> DataFrame:
-    """Each block's rows of ``back`` beside its relation; blocks without any have no frequent phrase and go."""
-    return relation.join(back.groupBy("block").agg(F.collect_list(F.struct(*fields)).alias("back")), "block")
+    """Each block's rows of ``back`` beside its relation; blocks without any have no frequent phrase and go.
+
+    A merge join at every size: what goes back to the blocks grows with them.
+    """
+    return relation.join(back.groupBy("block").agg(F.collect_list(F.struct(*fields)).alias("back")).hint("merge"), "block")
 
 
 def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, list[DataFrame]]:
