@@ -246,12 +246,12 @@ def lineage(spark, sf_dir):
     return analytics.lineage(edges, load(spark, sf_dir, "customer").filter("c_custkey = 5").select("c_custkey")).select("item")
 
 
-@register("agg_19_lineage_chain", "WITH h AS (SELECT o_orderkey AS item, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) SELECT item, abs(i - 5)::INTEGER AS depth FROM h UNION ALL SELECT -item, (abs(i - 5) + 1)::INTEGER FROM h WHERE i % 3 = 0")
+@register("agg_19_lineage_chain", "WITH h AS (SELECT o_orderkey AS item, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) SELECT item, abs(i - 5)::INTEGER AS depth FROM h UNION ALL SELECT -item - 1, (abs(i - 5) + 1)::INTEGER FROM h WHERE i % 3 = 0")
 def lineage_chain(spark, sf_dir):
     """A chain of all orders, from its sixth, with an item that hangs off every third."""
     at = records.numbered(load(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], "i").select("i", c("o_orderkey").alias("child"))
     chain = at.join(at.select((c("i") + 1).alias("i"), c("child").alias("parent")), "i").select("parent", "child")
-    edges = chain.union(at.filter("i % 3 = 0").select("child", -c("child")))
+    edges = chain.union(at.filter("i % 3 = 0").select("child", -c("child") - 1))
     return analytics.lineage(edges, at.filter("i = 5").select("child"))
 
 

@@ -142,12 +142,12 @@ register_columns("strfn_11_replace_null", "orders", ["o_orderkey"], {
     "no_blank": (lambda: S.replace_empty(F.expr("if(o_orderkey % 2 = 0, ' ', o_orderstatus)"), F.lit("?")), "CASE WHEN o_orderkey % 2 = 0 THEN '?' ELSE o_orderstatus END"),
     "first": (lambda: S.coalesce(status(), priority(), F.lit("-")), f"coalesce({STATUS}, {PRIORITY}, '-')"),
 })
-register_columns("strfn_12_13_pad_repeat", "nation", ["n_nationkey"], {
-    "left_pad": (lambda: S.pad_left(c("n_name"), 10), "CASE WHEN length(n_name) < 10 THEN lpad(n_name, 10, '_') ELSE n_name END"),
-    "right_pad": (lambda: S.pad_right(c("n_name"), 10, "xy"), "CASE WHEN length(n_name) < 10 THEN rpad(n_name, 10, 'xy') ELSE n_name END"),
-    "same": (lambda: S.pad_left(c("n_name"), 0), "n_name"),
-    "thrice": (lambda: S.repeat(c("n_name"), 3), "repeat(n_name, 3)"),
-    "random_ok": (lambda: F.length(S.repeat(c("n_name"), 2, 4, seed=3)).between(2 * F.length("n_name"), 4 * F.length("n_name")), "true"),
+register_columns("strfn_12_13_pad_repeat", "customer", ["c_custkey"], {
+    "left_pad": (lambda: S.pad_left(c("c_name"), 22), "CASE WHEN length(c_name) < 22 THEN lpad(c_name, 22, '_') ELSE c_name END"),
+    "right_pad": (lambda: S.pad_right(c("c_name"), 22, "xy"), "CASE WHEN length(c_name) < 22 THEN rpad(c_name, 22, 'xy') ELSE c_name END"),
+    "same": (lambda: S.pad_left(c("c_name"), 0), "c_name"),
+    "thrice": (lambda: S.repeat(c("c_name"), 3), "repeat(c_name, 3)"),
+    "random_ok": (lambda: F.length(S.repeat(c("c_name"), 2, 4, seed=3)).between(2 * F.length("c_name"), 4 * F.length("c_name")), "true"),
 })
 register_columns("strfn_14_delimited_field", "part", ["p_partkey"], {
     "second": (lambda: S.delimited_field(F.concat_ws(",", F.lit("a"), F.concat(F.lit('"'), c("p_name"), F.lit(',x"')), c("p_brand")), 2), "'\"' || p_name || ',x\"'"),
@@ -185,11 +185,15 @@ register_columns("strfn_20_hash", "customer", ["c_custkey"], {
     "s1": (lambda: S.hash_text(c("c_name"), "SHA-1"), "sha1(c_name)"),
     "s256": (lambda: S.hash_text(c("c_name"), "SHA-256"), "sha256(c_name)"),
 })
-register_columns("strfn_21_named_uuid", "nation", ["n_nationkey"], {
-    "v3": (lambda: S.uuid3(c("n_name"), "6ba7b810-9dad-11d1-80b4-00c04fd430c8"), None),
-    "v5": (lambda: S.uuid5(c("n_name")), None),
+def _uuid_sql(hash_, version):
+    return f"(SELECT h[1:8] || '-' || h[9:12] || '-{version}' || h[14:16] || '-' || substr('89ab', (('0x' || h[17])::INT & 3) + 1, 1) || h[18:20] || '-' || h[21:32] FROM (SELECT {hash_} AS h))"
+
+
+register_columns("strfn_21_named_uuid", "customer", ["c_custkey"], {
+    "v3": (lambda: S.uuid3(c("c_name"), "6ba7b810-9dad-11d1-80b4-00c04fd430c8"), _uuid_sql("md5(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(c_name))", 3)),
+    "v5": (lambda: S.uuid5(c("c_name")), _uuid_sql("sha1(unhex('00000000000000000000000000000000') || encode(c_name))", 5)),
 })
-register_columns("strfn_22_24_names", "nation", ["n_nationkey"], {
+register_columns("strfn_22_24_names", "customer", ["c_custkey"], {
     "uuid_size": (lambda: F.length(S.uuid()), "36"),
     "name": (lambda: S.field_name("/a/b"), "'b'"),
 })
@@ -219,7 +223,7 @@ register_columns("fn_04_to_number", "part", ["p_partkey"], {
     "not_one": (lambda: N.to_number(c("p_brand")), "CAST(NULL AS BIGINT)"),
     "decimal": (lambda: N.to_decimal(c("p_retailprice").cast("string")), "p_retailprice"),
 })
-register_columns("fn_05_06_07_generated", "nation", ["n_nationkey"], {
+register_columns("fn_05_06_07_generated", "customer", ["c_custkey"], {
     "random_ok": (lambda: N.random_number(5) >= 0, "true"),
     "next_ok": (lambda: N.next_int() >= 0, "true"),
     "now_ok": (lambda: N.now() > F.lit("2020-01-01").cast("timestamp"), "true"),

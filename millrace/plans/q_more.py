@@ -271,6 +271,45 @@ def tail_files(spark, sf_dir):
     return streams.run_to_end(streams.tail_files(spark, path).select("value"))
 
 
+@register("str_07_tail_growing", "SELECT c_custkey, c_name AS value FROM customer")
+def tail_growing(spark, sf_dir):
+    """Lines appended between two runs of one stream come once each; needs a mounted shared folder."""
+    from millrace.scratch import scratch_path
+    from millrace.streaming.tail import tail_growing as tail
+
+    names = load(spark, sf_dir, "customer").select("c_custkey", "c_name").repartition(4, "c_custkey")
+    folder, checkpoint, found = scratch_path(spark, "growing").removeprefix("file:"), scratch_path(spark, "tail-state"), scratch_path(spark, "tail-found")
+
+    def append(odd):
+        def write(rows):
+            import os
+
+            from pyspark import TaskContext
+
+            os.makedirs(folder, exist_ok=True)
+            with open(f"{folder}/{TaskContext.get().partitionId()}.log", "a") as log:
+                log.writelines(f"{r.c_custkey} {r.c_name}\n" for r in rows if r.c_custkey % 2 == odd)
+
+        return write
+
+    for odd in (0, 1):
+        names.foreachPartition(append(odd))
+        streams.run_to_end(tail(spark, f"{folder}/*.log"), sink=lambda df, _: df.write.mode("append").parquet(found), checkpoint=checkpoint)
+    line = F.split("value", " ", 2)
+    return spark.read.schema("file string, offset long, value string").parquet(found).select(line[0].cast("long").alias("c_custkey"), line[1].alias("value"))
+
+
+@register("str_05_stream_wait_notify", "SELECT c_custkey, CASE WHEN n >= 12 THEN 'released' ELSE 'expired' END AS outcome FROM customer LEFT JOIN (SELECT o_custkey, sum(o_orderkey % 3) AS n FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey")
+def stream_wait_notify(spark, sf_dir):
+    """Customers wait for deltas of their orders; the orders' times end the wait of the others."""
+    from millrace.streaming.waiting import wait_for_count
+
+    rows = _stream(spark, sf_dir, "customer").select(c("c_custkey").alias("signal"), "c_custkey", F.lit("2024-01-01").cast("timestamp").alias("at"))
+    signals = _stream(spark, sf_dir, "orders").select(c("o_custkey").alias("signal"), (c("o_orderkey") % 3).alias("delta"), F.lit("2024-03-01").cast("timestamp").alias("at"))
+    out = streams.run_to_end(wait_for_count(rows, signals, "signal", 12, "c_custkey", "delta", "at", "1 day", slices=2))
+    return out.select("c_custkey", "outcome")
+
+
 @register("str_09_stream_upsert", "SELECT user_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
 def stream_upsert(spark, sf_dir):
     from millrace.scratch import scratch_path

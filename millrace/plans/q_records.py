@@ -73,20 +73,21 @@ def validate_record(spark, sf_dir):
     return bad.select("o_orderkey", has("MISSING_FIELD").alias("missing"), has("INVALID_FIELD").alias("invalid"))
 
 
-@register("sch_08_schema_by_name", "SELECT n_nationkey AS id, n_name AS name, 7::BIGINT AS schema_id FROM nation")
+@register("sch_08_schema_by_name", "SELECT c_custkey AS id, c_name AS name, 7::BIGINT AS schema_id FROM customer")
 def schema_by_name(spark, sf_dir):
-    registry = spark.createDataFrame([("nation", 1, "id int"), ("nation", 2, "id int, name string")], "name string, version int, ddl string")
-    want = schema.schema_by_name(registry, "nation")
-    df = load(spark, sf_dir, "nation")
-    body = F.concat(F.unhex(F.lit("0000000007")), F.to_json(F.struct(c("n_nationkey").alias("id"), c("n_name").alias("name"))).cast("binary"))
+    registry = spark.createDataFrame([("customer", 1, "id int"), ("customer", 2, "id long, name string")], "name string, version int, ddl string")
+    want = schema.schema_by_name(registry, "customer")
+    df = load(spark, sf_dir, "customer")
+    body = F.concat(F.unhex(F.lit("0000000007")), F.to_json(F.struct(c("c_custkey").alias("id"), c("c_name").alias("name"))).cast("binary"))
     payload = df.select(body.alias("b"))
     return payload.select(F.from_json(F.expr("substring(b, 6)").cast("string"), want).alias("r"), schema.embedded_schema_id(c("b")).alias("schema_id")).select("r.*", "schema_id")
 
 
-@register("sch_09_fingerprint", "SELECT DISTINCT sha256('r_regionkey:int;r_name:string') AS fingerprint FROM region")
+@register("sch_09_fingerprint", "SELECT sha256('o_orderkey:bigint;o_orderstatus:string') AS fingerprint, count(*) AS n, count(*) FILTER (o_orderstatus IS NOT NULL) AS whole FROM orders")
 def fingerprint(spark, sf_dir):
-    df = load(spark, sf_dir, "region")
-    return df.select(schema.schema_fingerprint(df).alias("fingerprint")).distinct()
+    """Rows that carry the fingerprint of the schema that they were written with."""
+    df = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return df.withColumn("fingerprint", schema.schema_fingerprint(df)).groupBy("fingerprint").agg(F.count("*").alias("n"), F.count("o_orderstatus").alias("whole"))
 
 
 @register("sch_10_time_formats", "SELECT o_orderkey, strftime(o_orderdate, '%d.%m.%Y %H:%M') AS o_orderdate FROM orders")
@@ -125,9 +126,9 @@ def filter_validate(spark, sf_dir):
     return records.validate_by_predicate(df, c("o_custkey") > 50).select("o_orderkey", "validity")
 
 
-@register("rec_07_transform_record", "SELECT n_nationkey AS id, n_name || '!' AS name FROM nation WHERE n_nationkey % 2 = 0")
+@register("rec_07_transform_record", "SELECT c_custkey AS id, c_name || '!' AS name FROM customer WHERE c_custkey % 2 = 0")
 def transform_record(spark, sf_dir):
-    return records.transform_record(load(spark, sf_dir, "nation"), lambda r: {"id": r["n_nationkey"], "name": r["n_name"] + "!"} if r["n_nationkey"] % 2 == 0 else None, "id int, name string")
+    return records.transform_record(load(spark, sf_dir, "customer"), lambda r: {"id": r["c_custkey"], "name": r["c_name"] + "!"} if r["c_custkey"] % 2 == 0 else None, "id long, name string")
 
 
 @register("rec_08_partition_record", "SELECT o_orderkey, o_orderstatus AS status FROM orders")
@@ -228,10 +229,10 @@ def split_json(spark, sf_dir):
     return records.split_json(df, "j", "$.o.lines", "struct<l_linenumber:int,l_partkey:bigint>", ["l_orderkey"]).select("l_orderkey", "fragment_index", "element.l_partkey")
 
 
-@register("rec_16_split_xml", "SELECT n_nationkey, i::INTEGER AS fragment_index, n_name || i AS v FROM nation, (VALUES (0), (1)) t(i)")
+@register("rec_16_split_xml", "SELECT c_custkey, i::INTEGER AS fragment_index, c_name || i AS v FROM customer, (VALUES (0), (1)) t(i)")
 def split_xml(spark, sf_dir):
-    df = load(spark, sf_dir, "nation").withColumn("x", F.format_string("<r><e>%s0</e><e>%s1</e></r>", "n_name", "n_name"))
-    return records.split_xml(df, "x", "e array<string>", "e", ["n_nationkey"]).select("n_nationkey", "fragment_index", c("element").alias("v"))
+    df = load(spark, sf_dir, "customer").withColumn("x", F.format_string("<r><e>%s0</e><e>%s1</e></r>", "c_name", "c_name"))
+    return records.split_xml(df, "x", "e array<string>", "e", ["c_custkey"]).select("c_custkey", "fragment_index", c("element").alias("v"))
 
 
 @register("rec_17_sample_interval", "SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) WHERE n % 10 = 0")
@@ -266,14 +267,14 @@ def record_stats(spark, sf_dir):
     return records.record_stats(load(spark, sf_dir, "orders"), {"status": "o_orderstatus", "priority": "o_orderpriority"})
 
 
-@register("rec_19_duplicate_rows", "SELECT n_nationkey, i::INTEGER AS copy_index FROM nation, range(4) t(i)")
+@register("rec_19_duplicate_rows", "SELECT c_custkey, i::INTEGER AS copy_index FROM customer, range(4) t(i)")
 def duplicate_rows(spark, sf_dir):
-    return records.duplicate_rows(load(spark, sf_dir, "nation").select("n_nationkey"), 3)
+    return records.duplicate_rows(load(spark, sf_dir, "customer").select("c_custkey"), 3)
 
 
-@register("rec_20_flatten", "SELECT n_nationkey AS id, n_name AS \"a.name\", n_regionkey AS \"a.b.region\" FROM nation")
+@register("rec_20_flatten", "SELECT c_custkey AS id, c_name AS \"a.name\", c_nationkey AS \"a.b.region\" FROM customer")
 def flatten(spark, sf_dir):
-    df = load(spark, sf_dir, "nation").select(c("n_nationkey").alias("id"), F.struct(c("n_name").alias("name"), F.struct(c("n_regionkey").alias("region")).alias("b")).alias("a"))
+    df = load(spark, sf_dir, "customer").select(c("c_custkey").alias("id"), F.struct(c("c_name").alias("name"), F.struct(c("c_nationkey").alias("region")).alias("b")).alias("a"))
     return records.flatten(df)
 
 
@@ -282,23 +283,23 @@ def json_paths(spark, sf_dir):
     return records.evaluate_json_path(load(spark, sf_dir, "events").select("event_id", "props"), "props", {"k": "$.k", "ref": "$.ref"}).drop("props")
 
 
-@register("rec_22_xpath", "SELECT n_nationkey, n_name AS name, n_regionkey::VARCHAR AS region FROM nation")
+@register("rec_22_xpath", "SELECT c_custkey, c_name AS name, c_nationkey::VARCHAR AS region FROM customer")
 def xpath(spark, sf_dir):
-    df = load(spark, sf_dir, "nation").select("n_nationkey", F.format_string('<n region="%d"><name>%s</name></n>', "n_regionkey", "n_name").alias("x"))
+    df = load(spark, sf_dir, "customer").select("c_custkey", F.format_string('<n region="%d"><name>%s</name></n>', "c_nationkey", "c_name").alias("x"))
     return records.evaluate_xpath(df, "x", {"name": "/n/name", "region": "/n/@region"}).drop("x")
 
 
-@register("rec_23_attributes_to_text", "SELECT n_nationkey, '{\"n_name\":\"' || n_name || '\",\"n_regionkey\":' || n_regionkey || '}' AS attributes_json, n_name || ',' || n_regionkey AS attributes_csv FROM nation")
+@register("rec_23_attributes_to_text", "SELECT c_custkey, '{\"c_name\":\"' || c_name || '\",\"c_nationkey\":' || c_nationkey || '}' AS attributes_json, c_name || ',' || c_nationkey AS attributes_csv FROM customer")
 def attributes_to_text(spark, sf_dir):
-    df = load(spark, sf_dir, "nation")
-    names = ["n_name", "n_regionkey"]
-    return records.attributes_to_csv(records.attributes_to_json(df, names), names).select("n_nationkey", "attributes_json", "attributes_csv")
+    df = load(spark, sf_dir, "customer")
+    names = ["c_name", "c_nationkey"]
+    return records.attributes_to_csv(records.attributes_to_json(df, names), names).select("c_custkey", "attributes_json", "attributes_csv")
 
 
-@register("rec_24_json_to_rows", "SELECT n_nationkey, n_name FROM nation")
+@register("rec_24_json_to_rows", "SELECT c_custkey, c_name FROM customer")
 def json_to_rows(spark, sf_dir):
-    df = load(spark, sf_dir, "nation").select(F.to_json(F.struct("*")).alias("j"))
-    return records.json_to_rows(df, "j", T._parse_datatype_string("n_nationkey int, n_name string"))
+    df = load(spark, sf_dir, "customer").select(F.to_json(F.struct("*")).alias("j"))
+    return records.json_to_rows(df, "j", T._parse_datatype_string("c_custkey long, c_name string"))
 
 
 def _nested(spark, sf_dir):

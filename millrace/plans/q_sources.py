@@ -156,14 +156,14 @@ def incremental(spark, sf_dir):
     return fresh.select("event_id")
 
 
-@register("src_17_19_snk_11_catalog", "SELECT n_nationkey, n_name, CASE WHEN n_nationkey < 5 THEN 'new' END AS note FROM nation UNION ALL SELECT n_nationkey, n_name, NULL FROM nation WHERE n_nationkey < 5")
+@register("src_17_19_snk_11_catalog", "SELECT c_custkey, c_name, CASE WHEN c_custkey < 50 THEN 'new' END AS note FROM customer UNION ALL SELECT c_custkey, c_name, NULL FROM customer WHERE c_custkey < 50")
 def catalog(spark, sf_dir):
     import uuid
 
     name = f"t_{uuid.uuid4().hex}"
-    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    writers.write_table(nation.filter("n_nationkey >= 5 OR n_nationkey < 5"), name, path=scratch_path(spark, name))
-    writers.write_table(nation.filter("n_nationkey < 5").withColumn("note", F.lit("new")), name, evolve=True)
+    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    writers.write_table(customer.filter("c_custkey >= 50 OR c_custkey < 50"), name, path=scratch_path(spark, name))
+    writers.write_table(customer.filter("c_custkey < 50").withColumn("note", F.lit("new")), name, evolve=True)
     if readers.list_tables(spark).filter(c("name") == name).isEmpty():
         raise AssertionError("the table is not listed")
     return readers.read_hive(spark, f"SELECT * FROM {name}")

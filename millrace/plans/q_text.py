@@ -111,15 +111,15 @@ def cef_schema(spark, sf_dir):
     return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in found.fields[7:]], "field string, kind string")
 
 
-@register("text_09_netflow", "SELECT n_nationkey, i AS record_index, '10.0.' || n_nationkey || '.' || i AS srcaddr, (1000 + n_nationkey) AS \"dOctets\", 443::BIGINT AS dstport FROM nation, range(2) t(i)")
+@register("text_09_netflow", "SELECT c_custkey, i AS record_index, '10.0.' || c_custkey % 256 || '.' || i AS srcaddr, (1000 + c_custkey) AS \"dOctets\", 443::BIGINT AS dstport FROM customer, range(2) t(i)")
 def netflow(spark, sf_dir):
     def record(i):
-        n = F.lpad(F.hex("n_nationkey"), 2, "0")
-        octets = F.lpad(F.hex(c("n_nationkey") + 1000), 8, "0")
+        n = F.lpad(F.hex(c("c_custkey") % 256), 2, "0")
+        octets = F.lpad(F.hex(c("c_custkey") + 1000), 8, "0")
         return F.concat(F.lit("0A00"), n, F.lit(f"{i:02x}"), F.lit("00" * 8 + "00" * 4 + "00" * 4), octets, F.lit("00" * 8 + "0050" + "01BB" + "00" * 12))
 
     data = F.unhex(F.concat(F.lit("00050002" + "00" * 20), record(0), record(1)))
-    return text.parse_netflow_v5(load(spark, sf_dir, "nation").withColumn("d", data), "d").select("n_nationkey", "record_index", "srcaddr", c("dOctets"), "dstport")
+    return text.parse_netflow_v5(load(spark, sf_dir, "customer").withColumn("d", data), "d").select("c_custkey", "record_index", "srcaddr", c("dOctets"), "dstport")
 
 
 @register("text_10_windows_event", "SELECT c_custkey, c_name AS provider, (4000 + c_nationkey)::INTEGER AS event_id, 'a,' || c_mktsegment AS data FROM customer")
