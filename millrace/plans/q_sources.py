@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import functools
 
 from pyspark.sql import DataFrame
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.operators import lookup
 from millrace.plans.registry import load, register
 from millrace.scratch import scratch_path
-from millrace.sources import readers, writers
+from millrace.sources import avro, readers, writers
 
 c = F.col
 CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
@@ -229,6 +231,27 @@ def zero_rows(spark, sf_dir):
     return functools.reduce(DataFrame.union, out)
 
 
+@register("src_06_snk_03_avro", "SELECT * FROM orders")
+def avro_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "avro")
+    avro.write_avro(load(spark, sf_dir, "orders"), path)
+    return avro.read_avro(spark, path)
+
+
+@register("src_06_avro_other_schema", "SELECT o_orderkey::DOUBLE AS id, o_orderpriority AS priority, 'none' AS note, o_custkey AS key, o_orderstatus AS status FROM orders")
+def avro_other_schema(spark, sf_dir):
+    """Read by an outside schema: an alias, a wider number, a default and a nested record; fields that it does not name are passed over."""
+    path = scratch_path(spark, "avro")
+    nested = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", F.struct(c("o_custkey").alias("key"), F.array("o_orderstatus").alias("statuses")).alias("r"))
+    avro.write_avro(nested, path, codec="null")
+    fields = [
+        {"name": "id", "aliases": ["o_orderkey"], "type": ["null", "double"]}, {"name": "o_orderpriority", "type": ["null", "string"]}, {"name": "note", "type": "string", "default": "none"},
+        {"name": "r", "type": ["null", {"type": "record", "name": "r", "fields": [{"name": "key", "type": ["null", "long"]}, {"name": "statuses", "type": {"type": "array", "items": ["null", "string"]}}]}]},
+    ]
+    rows = avro.read_avro(spark, path, json.dumps({"type": "record", "name": "row", "fields": fields}))
+    return rows.select("id", c("o_orderpriority").alias("priority"), "note", "r.key", c("r.statuses")[0].alias("status"))
+
+
 @register("rec_15_convert_format", "SELECT * FROM supplier")
 def convert_format(spark, sf_dir):
     path = scratch_path(spark, "converted")

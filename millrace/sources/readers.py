@@ -86,7 +86,7 @@ def read_json_paths(spark: SparkSession, path: str, paths: dict[str, str], whole
 
 
 def read_avro(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """By the schema in the file or by another in JSON; needs the spark-avro jar."""
+    """By the schema in the file or by another in JSON, by the spark-avro jar; ``sources.avro`` reads without it."""
     reader = spark.read.format("avro")
     return _loaded(lambda: (reader.option("avroSchema", schema) if schema else reader).load(path), "Avro")
 

@@ -50,7 +50,7 @@ def write_json(df: DataFrame, path: str, grouping: str = "lines", nulls: str = "
 
 
 def write_avro(df: DataFrame, path: str, schema: str | None = None, mode: str = "errorifexists") -> None:
-    """Needs the spark-avro jar."""
+    """By the spark-avro jar; ``sources.avro`` writes without it."""
     writer = df.write.mode(mode).format("avro")
     (writer.option("avroSchema", schema) if schema else writer).save(path)
 
