@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import json
-
 import functools
+from json import dumps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -248,7 +247,7 @@ def avro_other_schema(spark, sf_dir):
         {"name": "id", "aliases": ["o_orderkey"], "type": ["null", "double"]}, {"name": "o_orderpriority", "type": ["null", "string"]}, {"name": "note", "type": "string", "default": "none"},
         {"name": "r", "type": ["null", {"type": "record", "name": "r", "fields": [{"name": "key", "type": ["null", "long"]}, {"name": "statuses", "type": {"type": "array", "items": ["null", "string"]}}]}]},
     ]
-    rows = avro.read_avro(spark, path, json.dumps({"type": "record", "name": "row", "fields": fields}))
+    rows = avro.read_avro(spark, path, dumps({"type": "record", "name": "row", "fields": fields}))
     return rows.select("id", c("o_orderpriority").alias("priority"), "note", "r.key", c("r.statuses")[0].alias("status"))
 
 

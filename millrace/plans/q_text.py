@@ -6,6 +6,7 @@ import string
 
 from pyspark.sql import functions as F
 
+from millrace.operators import dictionary
 from millrace.operators import hl7 as messages
 from millrace.operators import text
 from millrace.plans.registry import load, register
@@ -175,6 +176,15 @@ def scan_content(spark, sf_dir):
     return text.scan_content(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", ["licensed under", " ", "All rights reserved"]).drop("text")
 
 
+@register("text_17_scan_dictionary", "WITH terms AS (SELECT p_name AS term FROM part UNION SELECT unnest(string_split(text, ' ')) FROM benchmark) SELECT doc_id, term, min(strpos(text, term) - 1)::BIGINT AS first FROM documents, terms WHERE trim(term) <> '' AND length(term) > 5 AND contains(text, term) GROUP BY doc_id, term")
+def scan_dictionary_(spark, sf_dir):
+    """Names of parts and words of the benchmark, all of them in all documents; the first place of each."""
+    names = load(spark, sf_dir, "part").select(c("p_name").alias("term"))
+    terms = names.union(load(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")))).filter("length(term) > 5")
+    found = dictionary.scan_dictionary(load(spark, sf_dir, "documents"), "text", ["doc_id"], terms, "term")
+    return found.groupBy("doc_id", "term").agg(F.min("place").alias("first"))
+
+
 @register("text_18_encode", "SELECT p_partkey, base64(encode(p_name)) AS b64, lower(hex(encode(p_name))) AS hexed, p_name AS back, p_name AS back32, true AS bad FROM part")
 def encode(spark, sf_dir):
     df, n = load(spark, sf_dir, "part"), c("p_name")
