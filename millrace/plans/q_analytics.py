@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import analytics, lookup, records
+from millrace.operators import addresses, analytics, lookup, records
 from millrace.plans.registry import load, register
 
 c = F.col
@@ -82,6 +82,27 @@ def enrich_ip(spark, sf_dir):
     return lookup.enrich_ip(_ips(spark, sf_dir), "ip", _ip_ranges(spark, sf_dir), ["city"]).select("event_id", "city", "found")
 
 
+def _mixed_ips(spark, sf_dir):
+    """Addresses of both versions, some in another form, and some that are none."""
+    n, e = c("user_id") % 40, c("event_id")
+    v4 = F.format_string("10.%d.%d.%d", n, e % 256, e % 7)
+    six = F.concat(F.lit("2001:db8:"), F.lower(F.hex(n)), F.lit("::"), F.lower(F.hex(e % 65536)))
+    return load(spark, sf_dir, "events").select("event_id", F.when(e % 5 == 0, F.concat(F.lit("::ffff:"), v4)).when(e % 5 == 1, six).when(e % 5 == 2, F.upper(six)).when(e % 5 == 3, v4).otherwise(F.when(e % 2 == 0, "2001:db9::1").otherwise("10.1.2")).alias("ip"))
+
+
+def _prefixes(spark, sf_dir):
+    n = c("n_nationkey")
+    v4, v6 = F.format_string("10.%d.0.0/16", n), F.concat(F.lit("2001:DB8:"), F.hex(n), F.lit("::/48"))
+    own = load(spark, sf_dir, "nation").select(F.explode(F.array(v4, v6)).alias("cidr"), c("n_name").alias("city"))
+    whole = load(spark, sf_dir, "nation").filter("n_nationkey < 2").select(F.when(n == 0, "10.0.0.0/8").otherwise("2001:db8::/33").alias("cidr"), F.lit("wide").alias("city"))
+    return own.union(whole)
+
+
+@register("join_09_longest_prefix", "SELECT event_id, CASE WHEN event_id % 5 < 4 THEN coalesce(n_name, 'wide') END AS city, event_id % 5 < 4 AS found FROM events LEFT JOIN nation ON n_nationkey = user_id % 40")
+def longest_prefix(spark, sf_dir):
+    return addresses.lookup_prefix(_mixed_ips(spark, sf_dir), "ip", _prefixes(spark, sf_dir), "cidr", ["city"]).select("event_id", "city", "found")
+
+
 @register("join_11_anonymous_ip", "SELECT event_id, user_id % 40 < 25 AND user_id % 2 = 0 AS is_vpn FROM events")
 def anonymous_ip(spark, sf_dir):
     return lookup.anonymous_ip(_ips(spark, sf_dir), "ip", _ip_ranges(spark, sf_dir), ["is_vpn"]).select("event_id", "is_vpn")
