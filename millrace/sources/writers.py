@@ -18,7 +18,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errori
 
 
 def write_json(df: DataFrame, path: str, grouping: str = "lines", nulls: str = "never_suppress", mode: str = "errorifexists") -> None:
-    """One object a line, or one array in each file (``array``), the first of which is empty.
+    """One object a line, or one array in each file (``array``); a table without rows is an empty array.
 
     ``nulls``: never_suppress, always_suppress, or suppress_missing: only
     fields null in every row, which stand for those missing from the data.
@@ -45,8 +45,16 @@ def write_json(df: DataFrame, path: str, grouping: str = "lines", nulls: str = "
             yield pd.DataFrame({"value": ["]"]})
 
     lines = df.select(F.to_json(F.struct("*"), keep).alias("value")).mapInPandas(bracketed, "value string")
+    lines.write.mode(mode).text(path)
     # the first partition is written even if it is empty, and an empty file is no JSON
-    df.sparkSession.range(0, 1, 1, 1).select(F.lit("[]").alias("value")).union(lines).write.mode(mode).text(path)
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    parts = [f for f in store.listStatus(folder) if f.getPath().getName().startswith("part-")]
+    empty = [f for f in parts if f.getLen() == 0]
+    for f in empty:
+        store.delete(f.getPath(), False)
+    if len(empty) == len(parts):
+        df.sparkSession.range(0, 1, 1, 1).select(F.lit("[]").alias("value")).write.mode("append").text(path)
 
 
 def write_avro(df: DataFrame, path: str, schema: str | None = None, mode: str = "errorifexists") -> None:
