@@ -316,7 +316,7 @@ def tile_of(lon: Column, lat: Column, zoom: int) -> tuple[Column, Column]:
 
 
 def assign_tiles(df: DataFrame, geometry: str, zoom: int) -> DataFrame:
-    """A row for each tile that the geometry's box (WKT in degrees) touches."""
+    """A row for each tile that the geometry's box (WKT in degrees) touches; ``tiles.cover_tiles`` gives those of the geometry itself."""
     pair = F.lit(rf"({NUMBER})\s+({NUMBER})")
     xs = F.transform(F.regexp_extract_all(geometry, pair, 1), lambda v: v.cast("double"))
     ys = F.transform(F.regexp_extract_all(geometry, pair, 2), lambda v: v.cast("double"))
@@ -325,11 +325,6 @@ def assign_tiles(df: DataFrame, geometry: str, zoom: int) -> DataFrame:
     return df.withColumn("tile_x", F.explode(F.sequence(west, east))).withColumn("tile_y", F.explode(F.sequence(north, south)))
 
 
-def tile_features(df: DataFrame, geometry: str, zoom: int) -> DataFrame:
-    """(tile_x, tile_y, features): how many geometries each tile has."""
-    return assign_tiles(df, geometry, zoom).groupBy("tile_x", "tile_y").agg(F.count("*").alias("features"))
-
-
 def clip_lines(wkt: str | None, box: tuple[float, float, float, float]) -> list[str]:
     """Parts of a LINESTRING inside a box, by Liang and Barsky's test of each segment."""
     out: list[list[tuple[float, float]]] = []

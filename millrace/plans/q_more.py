@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import paths
 from millrace.operators import geo, scripts
+from millrace.operators import tiles as web_tiles
 from millrace.plans.registry import load, register
 from millrace.streaming import streams
 
@@ -160,7 +161,41 @@ def extent(spark, sf_dir):
 
 @register("geo_08_tiles", f"SELECT floor(({LON} + 180) / 360 * 16)::BIGINT AS tile_x, floor((1 - ln(tan(radians({LAT})) + 1 / cos(radians({LAT}))) / pi()) / 2 * 16)::BIGINT AS tile_y, count(*) AS features FROM customer GROUP BY ALL")
 def tiles(spark, sf_dir):
-    return geo.tile_features(_places(spark, sf_dir).select(geo.point(c("lon"), c("lat")).alias("g")), "g", 4)
+    return web_tiles.tile_features(_places(spark, sf_dir).select(geo.point(c("lon"), c("lat")).alias("g")), "g", 4)
+
+
+#: A triangle for each even customer and a line for each odd one, some degrees wide, and its corners at zoom 6.
+_SIZE = "(c_custkey % 23) / 2.0 + 0.37"
+_CORNERS = [(f"({LON}) * 0.9 + 0.013", f"({LAT}) * 0.9 + 0.017"), (f"({LON}) * 0.9 + 0.013 + {_SIZE}", f"({LAT}) * 0.9 + 0.017 + ({_SIZE}) / 3"), (f"({LON}) * 0.9 + 0.013 + ({_SIZE}) / 4", f"({LAT}) * 0.9 + 0.017 - ({_SIZE}) / 2")]
+_PROJECTED = ", ".join(f"({x} + 180) / 360 * 64 AS x{i}, (1 - asinh(tan(radians({y}))) / pi()) / 2 * 64 AS y{i}" for i, (x, y) in enumerate(_CORNERS))
+_SHAPES = f"(SELECT c_custkey, c_custkey % 2 = 0 AS solid, {_PROJECTED} FROM customer)"
+#: For each edge, how far inside of it the best corner of a tile lies (corners turn with the clock, y downwards).
+_INSIDE = " AND ".join(f"greatest((x{b} - x{a}) * (ty - y{a}), (x{b} - x{a}) * (ty + 1 - y{a})) - least((y{b} - y{a}) * (tx - x{a}), (y{b} - y{a}) * (tx + 1 - x{a})) > 1e-9" for a, b in ((0, 1), (1, 2), (2, 0)))
+_AT = lambda f, v: f"{f}((t{v} - {v}0) / ({v}1 - {v}0), (t{v} + 1 - {v}0) / ({v}1 - {v}0))"
+_CROSSES = f"least(1, {_AT('greatest', 'x')}, {_AT('greatest', 'y')}) - greatest(0, {_AT('least', 'x')}, {_AT('least', 'y')}) > 1e-9"
+_LIMIT = lambda f, v: f"floor(CASE WHEN solid THEN {f}({v}0, {v}1, {v}2) ELSE {f}({v}0, {v}1) END)::BIGINT"
+_AROUND = f"(SELECT * FROM (SELECT *, unnest(range({_LIMIT('least', 'x')}, {_LIMIT('greatest', 'x')} + 1)) AS tx FROM {_SHAPES}), LATERAL (SELECT unnest(range({_LIMIT('least', 'y')}, {_LIMIT('greatest', 'y')} + 1)) AS ty))"
+
+
+def _shapes(spark, sf_dir):
+    """WKT of these triangles and lines."""
+    corner = [F.concat_ws(" ", F.expr(f"CAST({x} AS DOUBLE)").cast("string"), F.expr(f"CAST({y} AS DOUBLE)").cast("string")) for x, y in _CORNERS]
+    triangle = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *corner, corner[0]), F.lit("))"))
+    line = F.concat(F.lit("LINESTRING ("), F.concat_ws(", ", *corner[:2]), F.lit(")"))
+    return load(spark, sf_dir, "customer").select("c_custkey", F.when(c("c_custkey") % 2 == 0, triangle).otherwise(line).alias("g"))
+
+
+@register("geo_08_tile_cover", f"SELECT c_custkey, tx AS tile_x, ty AS tile_y FROM {_AROUND} WHERE CASE WHEN solid THEN {_INSIDE} ELSE {_CROSSES} END")
+def tile_cover(spark, sf_dir):
+    """Tiles of triangles and lines, against tests of each tile of the box: separating edges, and the stretch of a line in a tile."""
+    return web_tiles.cover_tiles(_shapes(spark, sf_dir), "g", 6).select("c_custkey", "tile_x", "tile_y")
+
+
+@register("geo_08_tile_parts", f"SELECT c_custkey, CASE WHEN solid THEN 0.0 ELSE round(sqrt((x1 - x0) ** 2 + (y1 - y0) ** 2) * 16, 4) END AS length, CASE WHEN solid THEN round(abs((x1 - x0) * (y2 - y0) - (x2 - x0) * (y1 - y0)) / 2 * 256, 4) ELSE 0.0 END AS area FROM {_SHAPES}")
+def tile_parts(spark, sf_dir):
+    """Parts of the same shapes in tiles of zoom 10 add up to the shape."""
+    parts = web_tiles.clip_tiles(_shapes(spark, sf_dir), "g", 10, extent=1.0).withColumn("m", web_tiles.measures(c("part")))
+    return parts.groupBy("c_custkey").agg(F.round(F.sum("m.length"), 4).alias("length"), F.round(F.sum("m.area"), 4).alias("area"))
 
 
 # --- user code -------------------------------------------------------------
