@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.operators import lookup
 from millrace.plans.registry import load, register
 from millrace.scratch import scratch_path
-from millrace.sources import avro, readers, writers
+from millrace.sources import avro, readers, versioned, writers
 
 c = F.col
 CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
@@ -200,6 +200,22 @@ def repeated_keys(spark, sf_dir):
     return put.withColumnRenamed("v", "last").join(ignored.withColumnRenamed("v", "first"), "c_custkey").join(load(spark, sf_dir, "customer"), "c_custkey", "left_semi")
 
 
+_CHANGED = "o_orderkey % 5000 < 50"
+
+
+@register("snk_09_10_copy_on_write", f"SELECT o_orderkey, CASE WHEN {_CHANGED} THEN 0.0 ELSE o_totalprice END AS o_totalprice FROM orders UNION ALL SELECT -o_orderkey - 1, 1.0 FROM orders WHERE {_CHANGED}")
+def copy_on_write(spark, sf_dir):
+    """An upsert of runs of keys, which are about 1 % of the orders, then new orders and known ones with insert-ignore, by file."""
+    path = scratch_path(spark, "versioned")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", c("o_totalprice").cast("double").alias("o_totalprice"))
+    versioned.create_table(orders, path, ["o_orderkey"], rows_per_file=10_000)
+    changed = orders.filter(_CHANGED)
+    versioned.merge_table(spark, path, changed.withColumn("o_totalprice", F.lit(0.0)), ["o_orderkey"])
+    fresh = changed.withColumn("o_totalprice", F.lit(1.0))
+    versioned.merge_table(spark, path, fresh.union(fresh.withColumn("o_orderkey", -c("o_orderkey") - 1)), ["o_orderkey"], ignore=True)
+    return versioned.read_table(spark, path)
+
+
 @register("snk_10_insert_ignore", "SELECT c_custkey, c_acctbal FROM customer UNION ALL SELECT -c_custkey, 0.0 FROM customer WHERE c_custkey > 0")
 def insert_ignore(spark, sf_dir):
     target = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
