@@ -1,10 +1,13 @@
 import math
 import random
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
+from millrace import scratch
 from millrace.llm import lm, queries
 from pyspark.sql import functions as F
 
@@ -134,3 +137,19 @@ def test_walk_follows_failure_arcs():
     ids = dict(zip([b"a", b"b", b"c", b"", b"d", b"x"], [1, 2, 3, 0, 4, 5]))
     at_xb = machine.walk([ids[b"x"], ids[b"b"], ids[b"d"]], start, arcs) - machine.walk([ids[b"x"], ids[b"b"]], start, arcs)
     assert at_xb == pytest.approx(math.log10(0.5 * (0.5 * 1 / 3 + 0.5 * 10 ** machine.root[4])))
+
+
+def test_shuffle_files_go_with_each_step(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for f in Path(str(d)).rglob("shuffle_*.data")}
+    rows = [(i, f"w{i % 7} w{i % 5} w{i % 3}".encode(), 1) for i in range(200)]
+    blocks = scratch.written(lm.pack_blocks(spark.createDataFrame(rows, "row long, text binary, training int")), "blocks")
+    before, setting = files(), spark.conf.get(scratch.FREE_SHUFFLES)
+    totals = lm.exchange(lambda ranges: lm.first_counts(blocks, 3, ranges), 1, 1, "totals")
+    longer = lm.exchange(lambda ranges: lm.next_counts(blocks, totals.filter("block >= 0"), 3, ranges, 200, 3, 2), 1, 1, "longer")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)  # they are taken away in the background
+    assert not files() - before
+    assert spark.conf.get(scratch.FREE_SHUFFLES) == setting
+    assert longer.count() > 1
