@@ -15,12 +15,13 @@ words of one piece.
    all blocks; a semi-join with the frequent groups gives the next relation.
 
 A phrase of k words is frequent only if both its parts of k - 1 words are, so no
-frequent one is lost.  A phrase's number is that of its place in the first block
-that has it, so it stands for the phrase exactly, without hashing.  What a block
-has counted goes to the group once: rows of a group, one for each block of about
-``BLOCK_TOKENS`` tokens that has it, are summed over a window, and those of
-frequent groups go back to their blocks, each of bounded size.  Scores are decimals of 38
-digits, exact for counts of 64 bits.
+frequent one is lost.  The frequent phrases of k words are numbered from 0, so a
+pair of them is one number of 64 bits and stands for the phrase exactly; a mix of it
+only deals it out.  What a block of about ``BLOCK_TOKENS`` tokens has counted goes to
+the group once.  Words are summed over a window.  Groups of pairs are dealt in ranges,
+and a block's pairs of one range travel as one message, sorted and packed; the range
+adds up and returns, for each message, the numbers of its frequent pairs.  Scores are
+decimals of 38 digits, exact for counts of 64 bits.
 
 Defined cases: a null text is empty and has no words, a null language is
 ``und``, like the text "und".  Repeated rows count again.  Pieces never go over
@@ -40,7 +41,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm.common import written
-from millrace.llm.lm import _expanded, _pack, _unpack
+from millrace.llm.lm import _by_range, _expanded, _mix, _pack, _unpack
+from millrace.operators.records import numbered
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: A phrase inside a longer one with at least this percent of its frequency is dropped.
@@ -49,12 +51,16 @@ SCALE = 2_000_000
 #: Characters at which pieces end.
 ENDS = "\n\x0b\x0c\r.,;:!?"
 BLOCK_TOKENS = 1 << 20
-#: Rows of counts handed on at once.
+#: Tokens of text for each range of groups.
+RANGE_TOKENS = 4 << 20
+#: Rows of found phrases handed on at once.
 GROUP_ROWS = 1 << 17
 #: Slices in which a language is ranked before its first ``TOP`` meet.
 RANK_SLICES = 1024
 #: Bits of a place in a block, and of a block in its task, in the number of a phrase.
 PLACE_BITS, BLOCK_BITS, TASK_BITS = 29, 14, 20
+#: By which a pair is multiplied before it is mixed.
+_ODD = np.uint64(0x2545F4914F6CDD1D)
 _MARKS = bytes.maketrans(b"\t" + ENDS.encode(), b" " + b"\n" * len(ENDS))
 
 
@@ -131,11 +137,12 @@ def word_relation(df: DataFrame, text: str = "text", lang: str = "lang") -> Data
     return own.mapInArrow(_to_blocks, "block long, grams binary, words array<struct<local:int,lang:string,word:string,n:long>>")
 
 
-_RELATION = "block long, grams binary, ids array<long>"
+_RELATION = "block long, grams binary, ids binary"
 
 
 def _relation(block: int, grams: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_packed(grams)], pa.binary()), pa.array([ids], pa.list_(pa.int64()))], ["block", "grams", "ids"])
+    """``ids``, ascending, are the phrases' numbers over all blocks; ``grams`` has their places in it from 1, 0 for none."""
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_packed(grams)], pa.binary()), pa.array([_packed(np.diff(ids, prepend=0))], pa.binary())], ["block", "grams", "ids"])
 
 
 def _fields(column: pa.Array, r: int) -> list[np.ndarray]:
@@ -163,36 +170,92 @@ def _adjacent(grams: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return left, grams[left] * (size + 1) + grams[left + 1]
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, place, g1, g2, n): a block's counts of pairs of phrases at adjacent places; ``place`` numbers the pairs."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            ids = batch.column("ids").slice(r, 1).flatten().to_numpy()
-            _, keys = _adjacent(_opened(batch.column("grams")[r].as_py()), len(ids))
-            keys, n = np.unique(keys, return_counts=True)
-            block, size = batch.column("block")[r].as_py(), len(ids) + 1
-            for at in range(0, len(keys), GROUP_ROWS):
-                own = keys[at : at + GROUP_ROWS]
-                columns = np.full(len(own), block, np.int64), np.arange(at, at + len(own)), ids[own // size - 1], ids[own % size - 1], n[at : at + GROUP_ROWS].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["block", "place", "g1", "g2", "n"])
+def _pairs(grams: np.ndarray, ids: np.ndarray, known: int, ranges: int) -> tuple[np.ndarray, ...]:
+    """Places, the number of the distinct pair at each, the pairs' numbers in the order of their ranges, that order, and the range of each in it."""
+    places, keys = _adjacent(grams, len(ids))
+    keys, where = np.unique(keys, return_inverse=True)
+    size = len(ids) + 1
+    keys = ids[keys // size - 1] * known + ids[keys % size - 1]
+    with np.errstate(over="ignore"):
+        owner = ((_mix(keys.astype(np.uint64) * _ODD) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(owner, kind="stable")
+    return places, where, keys[order], order, owner[order]
+
+
+def _messages(known: int, ranges: int):  # noqa: ANN202
+    """(range, block, keys, counts): a block's pairs at adjacent places, ascending in each range, and their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, grams, ids in zip(*(batch.column(c).to_pylist() for c in ("block", "grams", "ids"))):
+                _, where, keys, order, owner = _pairs(_opened(grams), np.cumsum(_opened(ids)), known, ranges)
+                if len(keys):
+                    counts = np.bincount(where)[order]
+                    cuts = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(keys)]
+                    sent = [(int(owner[a]), _packed(np.diff(keys[a:b], prepend=0)), _packed(counts[a:b])) for a, b in zip(cuts[:-1], cuts[1:])]
+                    part, packed, n = zip(*sent)
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([block] * len(sent), pa.int64()), pa.array(packed, pa.binary()), pa.array(n, pa.binary())], ["range", "block", "keys", "counts"])
+
+    return run
+
+
+_COUNTED = "range int, block long, numbers binary, keys array<long>, a array<long>"
+
+
+def _add_up(least: int):  # noqa: ANN202
+    """For each message of a range, its pairs' numbers among the range's frequent ones, from 1, 0 for others; and, as block -1, these with their sums."""
 
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        blocks = group.column("block").to_pylist()
+        own = [np.cumsum(_opened(k)) for k in group.column("keys").to_pylist()]
+        every, where = np.unique(np.concatenate(own), return_inverse=True)
+        total = np.zeros(len(every), np.int64)
+        np.add.at(total, where, np.concatenate([_opened(c) for c in group.column("counts").to_pylist()]))
+        often = total >= least
+        numbers, ends = np.where(often, np.cumsum(often), 0)[where], np.cumsum([len(k) for k in own]).tolist()
+        packed = [_packed(numbers[end - len(k) : end]) for k, end in zip(own, ends)]
+        found = [[None] * len(own) + [x[often]] for x in (every, total)]
+        columns = pa.array([key[0].as_py()] * (len(own) + 1), pa.int32()), pa.array([*blocks, -1], pa.int64()), pa.array([*packed, None], pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in found)
+        return pa.Table.from_arrays(columns, ["range", "block", "numbers", "keys", "a"])
 
-def _keep_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return run
+
+
+def _found(known: int, before: dict[int, int]):  # noqa: ANN202
+    """(id, g1, g2, a) of the frequent pairs of ranges, numbered over all ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                keys, a = (batch.column(c).slice(r, 1).flatten().to_numpy() for c in ("keys", "a"))
+                ids = np.arange(len(keys)) + before[batch.column("range")[r].as_py()]
+                for at in range(0, len(keys), GROUP_ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[at : at + GROUP_ROWS]) for x in (ids, keys // known, keys % known, a)], ["id", "g1", "g2", "a"])
+
+    return run
+
+
+def _keep_groups(known: int, ranges: int, before: dict[int, int]):  # noqa: ANN202
     """The semi-join of a block's joined occurrences with the frequent groups."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            g1, g2, new = _fields(batch.column("back"), r)
-            ids = batch.column("ids").slice(r, 1).flatten().to_numpy()
-            grams = _opened(batch.column("grams")[r].as_py())
-            order = np.argsort(new)
-            known = (np.searchsorted(ids, g1[order]) + 1) * (len(ids) + 1) + np.searchsorted(ids, g2[order]) + 1
-            by_key = np.argsort(known)
-            places, keys = _adjacent(grams, len(ids))
-            spot = np.minimum(np.searchsorted(known[by_key], keys), len(known) - 1)
-            hit = known[by_key][spot] == keys
-            made = np.zeros(len(grams), np.int64)
-            made[places[hit]] = by_key[spot[hit]] + 1
-            yield _relation(batch.column("block")[r].as_py(), made, new[order])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, grams, ids, back in zip(*(batch.column(c).to_pylist() for c in ("block", "grams", "ids", "back"))):
+                grams = _opened(grams)
+                places, where, _, order, owner = _pairs(grams, np.cumsum(_opened(ids)), known, ranges)
+                back.sort(key=lambda x: x["range"])
+                numbers = np.concatenate([_opened(x["numbers"]) for x in back])
+                hit = np.flatnonzero(numbers)
+                new = numbers[hit] - 1 + np.repeat([before[x["range"]] for x in back], np.diff(np.searchsorted(owner, [x["range"] for x in back] + [ranges])))[hit]
+                by_id = np.argsort(new)
+                local = np.zeros(len(order), np.int64)
+                local[order[hit[by_id]]] = np.arange(1, len(hit) + 1)
+                made = np.zeros(len(grams), np.int64)
+                made[places] = local[where]
+                if len(hit):
+                    yield _relation(block, made, new[by_id])
+
+    return run
 
 
 def _frequent(counted: DataFrame, keys: list[str], place: str, least: int, label: str, once: list[str]) -> DataFrame:
@@ -222,22 +285,36 @@ def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", leas
     first 1, 2, ..., k words) and ``suffixes`` (of the last 1, 2, ..., k words).
     """
     blocks = written(word_relation(df, text, lang), "phrases-words")
+    ranges = max(1, -(-blocks.count() * BLOCK_TOKENS // RANGE_TOKENS))
     words = blocks.select("block", F.explode("words").alias("w")).select("block", "w.*")
     back = _frequent(words, ["lang", "word"], "local", least, "phrases-found-1", ["lang", "word", "a"])
-    found = back.filter("first").select("id", "lang", F.array("word").alias("words"), F.array("a").alias("prefixes"), F.array("a").alias("suffixes"))
-    tables = [written(found, "phrases-1")]
+    found = numbered(back.filter("first").select("id", "lang", "word", "a"), ["id"], "number")
+    found = found.select("id", "number", "lang", F.array("word").alias("words"), F.array("a").alias("prefixes"), F.array("a").alias("suffixes"))
+    tables, labels = [], written(found, "phrases-1")
+    tables.append(labels.select(F.col("number").alias("id"), "lang", "words", "prefixes", "suffixes"))
+    back = back.select("block", "local", "id").join(labels.select("id", "number"), "id").select("block", "local", F.col("number").alias("id"))
     relation = _with_back(blocks.select("block", "grams"), back, ["local", "id"]).mapInArrow(_keep_words, _RELATION)
+    known = labels.count()
     for k in range(2, longest + 1):
+        if known >= 3_000_000_000:
+            raise ValueError("more frequent phrases than pairs of them have numbers")
         relation = written(relation, f"phrases-relation-{k - 1}")
-        groups = relation.mapInArrow(_groups, "block long, place long, g1 long, g2 long, n long")
-        back = _frequent(groups, ["g1", "g2"], "place", least, f"phrases-found-{k}", ["a"])
+        messages = relation.mapInArrow(_messages(max(1, known), ranges), "range int, block long, keys binary, counts binary")
+        counted = written(_by_range(messages, ranges).groupBy("range").applyInArrow(_add_up(least), _COUNTED), f"phrases-counted-{k}")
+        # a number for each range: how many frequent pairs it has
+        before, sizes = {}, counted.filter("block < 0").select("range", F.size("keys").alias("n")).orderBy("range").collect()
+        total = 0
+        for r in sizes:
+            before[r["range"]], total = total, total + r["n"]
+        of_pair = counted.filter("block < 0").select("range", "keys", "a").mapInArrow(_found(max(1, known), before), "id long, g1 long, g2 long, a long")
         side = lambda name: tables[-1].select(F.col("id").alias(name), F.struct("lang", "words", "prefixes", "suffixes").alias(f"of_{name}"))  # noqa: E731, B023
-        found = back.filter("first").select("id", "g1", "g2", "a").join(side("g1"), "g1").join(side("g2"), "g2").select(
+        found = of_pair.join(side("g1"), "g1").join(side("g2"), "g2").select(
             "id", "of_g1.lang", F.concat("of_g1.words", F.slice("of_g2.words", -1, 1)).alias("words"),
             F.concat("of_g1.prefixes", F.array("a")).alias("prefixes"), F.concat("of_g2.suffixes", F.array("a")).alias("suffixes"),
         )
         tables.append(written(found, f"phrases-{k}"))
-        relation = _with_back(relation, back, ["g1", "g2", "id"]).mapInArrow(_keep_groups, _RELATION)
+        relation = _with_back(relation, counted.filter("block >= 0"), ["range", "numbers"]).mapInArrow(_keep_groups(max(1, known), ranges, before), _RELATION)
+        known = total
     return words.groupBy("lang").agg(F.sum("n").alias("n")), tables
 
 

@@ -62,3 +62,18 @@ def test_scores_past_64_bits(spark):
     big = 3_000_000_000_000_000_000
     df = spark.createDataFrame([([2 * big, big], [2 * big, big])], "prefixes array<long>, suffixes array<long>")
     assert tuple(df.select(phrases._weakest_cut(2).alias("c")).select("c.score", "c.l").first()) == (500_000, 2 * big)
+
+
+def test_pairs_of_a_block_travel_as_one_message_for_each_range(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "BLOCK_TOKENS", 500)
+    monkeypatch.setattr(phrases, "RANGE_TOKENS", 1000)
+    rows = texts(3, 800)
+    seen, write = {}, phrases.written
+    monkeypatch.setattr(phrases, "written", lambda df, label: seen.setdefault(label, write(df, label)))
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(9)
+    got = sorted(tuple(r) for r in phrases.collocations(df, least=5, top=2000).collect())
+    assert got == brute(rows, 5, 2000) and got
+    counted = seen["phrases-counted-2"]
+    blocks, ranges = seen["phrases-relation-1"].count(), counted.filter("block < 0").count()
+    assert ranges > 2 and counted.filter("block >= 0").count() <= blocks * ranges
+    assert counted.filter("block >= 0").groupBy("block", "range").count().filter("count > 1").count() == 0
