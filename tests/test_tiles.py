@@ -3,9 +3,12 @@
 import itertools
 import math
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from millrace.operators import tiles
+from millrace.plans import registry
 from pyspark.sql import functions as F
 
 RNG = np.random.default_rng(5)
@@ -108,6 +111,43 @@ def test_hole_of_a_whole_tile_and_odd_shapes(spark):
     assert got[7][2, 1].startswith("GEOMETRYCOLLECTION (POINT (") and ", LINESTRING (" in got[7][2, 1]
 
 
+def test_batches_are_cut_together(monkeypatch):
+    """A thousand triangles take no more cuts than one, and each has what it has alone."""
+    texts = [wkt(np.append(p := RNG.uniform(0, 16, 2) + RNG.normal(0, 1, (3, 2)), p[:1], axis=0), kind="POLYGON") for _ in range(1000)]
+    cuts, side = [], tiles._side
+    monkeypatch.setattr(tiles, "_side", lambda *a: cuts.append(1) or side(*a))
+    together = tiles.cut_all(tiles.unpack_all(tiles._worlds(pa.array(texts))), 16)
+    assert len(cuts) <= 16
+    assert len(set(zip(together.row.tolist(), together.x.tolist(), together.y.tolist()))) == len(together.row) > 1000
+    held = tiles.to_wkt(together, 1.0).to_pylist()
+    for i in range(0, 1000, 50):
+        alone = tiles.cut_all(tiles.unpack_all(tiles._worlds(pa.array(texts[i : i + 1]))), 16)
+        mine = np.flatnonzero(together.row == i)
+        assert list(zip(alone.x, alone.y, tiles.to_wkt(alone, 1.0).to_pylist())) == [(together.x[j], together.y[j], held[j]) for j in mine]
+
+
+def test_measures_of_parts_with_and_without_their_texts(spark):
+    hole = "POLYGON ((-50 -40, 60 -45, 50 70, -50 -40), (-10 -10, 20 -10, 10 20, -10 -10))"
+    texts = [hole, "POLYGON ((-90 -60, 90 -60, 90 60, -90 60, -90 -60))", f"GEOMETRYCOLLECTION ({hole}, LINESTRING (-60 10, 80 20, 80 -70), POINT (3 4))", "MULTIPOLYGON (((0 0, 9 0, 9 9, 0 0)), ((1 1, 40 1, 40 40, 1 1)))", "POINT (1 1)", "LINESTRING (-200 3, 170 -4, 170 60)", "POLYGON ((1 1, 9 9, 1 1))", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, g string")
+    place = lambda rows: {(r.id, r.tile_x, r.tile_y): (r.length, r.area) for r in rows}
+    by_text = place(tiles.clip_tiles(df, "g", 6, 10.0).withColumn("m", tiles.measures(F.col("part"))).select("id", "tile_x", "tile_y", "m.*").collect())
+    by_corners = place(tiles.measure_tiles(df, "g", 6, 10.0).collect())
+    assert set(by_text) == set(by_corners) and len({i for i, _, _ in by_text}) == 7
+    assert all(np.allclose(by_text[k], by_corners[k], rtol=1e-9, atol=1e-9) for k in by_text)
+    one_by_one = [tiles.measures_wkt(t) for t in texts]
+    assert [tuple(r.m) for r in df.select(tiles.measures(F.col("g")).alias("m")).collect()] == [(None, None) if m[0] is None else pytest.approx(m) for m in one_by_one]
+
+
+def test_shapes_of_the_queries_have_all_digits(spark, tmp_path):
+    """Customers whose shape's length or area lies at a rounding's edge."""
+    keys = "(1024), (3148), (4390), (6333)"
+    spark.sql(f"SELECT CAST(k AS BIGINT) AS c_custkey FROM VALUES {keys} t(k)").write.parquet(f"{tmp_path}/customer.parquet")
+    got = registry.queries()["geo_08_tile_parts"](spark, str(tmp_path)).collect()
+    sql = registry.oracle_sql()["geo_08_tile_parts"].replace("FROM customer", f"FROM (VALUES {keys}) t(c_custkey)")
+    assert sorted(map(tuple, got)) == sorted(duckdb.sql(sql).fetchall())
+
+
 def test_errors_empty_table_and_other_columns(spark):
     for bad in ("POINT (a b)", "hello", "POLYGON ((1 1, 2 2"):
         with pytest.raises(ValueError):
