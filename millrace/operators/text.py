@@ -18,6 +18,7 @@ from xml.etree import ElementTree
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -453,9 +454,12 @@ def _try_bytes(function: Callable[[bytes], bytes]):
 def _per_row(c: Column, function: Callable[[bytes], bytes]) -> Column:
     one = _try_bytes(function)
 
-    @F.pandas_udf("binary")
-    def run(values: pd.Series) -> pd.Series:
-        return values.map(one)
+    @F.arrow_udf("binary")
+    def run(values: pa.Array) -> pa.Array:
+        # a value that a batch repeats is taken once
+        values = values.dictionary_encode()
+        done = pa.array([one(v) for v in values.dictionary.to_pylist()], values.dictionary.type)
+        return done.take(values.indices)
 
     return run(c.cast("binary"))
 
@@ -489,13 +493,30 @@ def _deflated(value: bytes, level: int, window: int) -> bytes:
     return z.compress(value) + z.flush()
 
 
+#: Values up to this size get a dictionary of LZMA of their own size, above it that of the level.
+_SHORT = 1 << 14
+
+
+def _bzipped(value: bytes, level: int) -> bytes:
+    """A level is a block of so many 100 kB; the least is taken that holds the value (runs may grow by a quarter), which gives the same block."""
+    return bz2.compress(value, min(max(level, 1), 1 + len(value) * 5 // 4 // 99_900))
+
+
+def _lzma(value: bytes, level: int, form: int, kind: int) -> bytes:
+    """A dictionary beyond the value finds nothing more, but its tables are cleared for each value."""
+    if len(value) > _SHORT:
+        return lzma.compress(value, form, preset=level)
+    size = max(1 << (len(value) - 1).bit_length(), 1 << 12) if value else 1 << 12
+    return lzma.compress(value, form, filters=[{"id": kind, "preset": level, "dict_size": size}])
+
+
 # Ways to pack one value and to unpack it.
 _CODECS: dict[str, tuple[Callable[[bytes, int], bytes], Callable[[bytes], bytes]]] = {
     "gzip": (lambda v, level: _deflated(v, level, 31), lambda v: zlib.decompress(v, 31)),
     "deflate": (lambda v, level: _deflated(v, level, 15), zlib.decompress),
-    "bzip2": (lambda v, level: bz2.compress(v, max(level, 1)), bz2.decompress),
-    "xz": (lambda v, level: lzma.compress(v, preset=level), lzma.decompress),
-    "lzma": (lambda v, level: lzma.compress(v, lzma.FORMAT_ALONE, preset=level), lambda v: lzma.decompress(v, lzma.FORMAT_ALONE)),
+    "bzip2": (_bzipped, bz2.decompress),
+    "xz": (lambda v, level: _lzma(v, level, lzma.FORMAT_XZ, lzma.FILTER_LZMA2), lzma.decompress),
+    "lzma": (lambda v, level: _lzma(v, level, lzma.FORMAT_ALONE, lzma.FILTER_LZMA1), lambda v: lzma.decompress(v, lzma.FORMAT_ALONE)),
 }
 
 

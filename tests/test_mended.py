@@ -1,6 +1,8 @@
 """Odd inputs that once gave wrong rows, lost rows or failures."""
 
+import bz2
 import json
+import lzma
 
 import pytest
 from millrace.operators import analytics, hl7, records, text
@@ -86,3 +88,30 @@ def test_saved_maximum_is_a_number(spark):
     state = spark.createDataFrame([("t", "9"), ("t", "10")], "name string, value string")
     fresh, new = readers.read_incremental(spark.range(8, 12), "id", state, "t")
     assert [r.id for r in fresh.collect()] == [11] and new.first().value == "11"
+
+
+def test_short_values_are_packed_with_short_tables():
+    """The packed bytes of a short value say how large the tables are that packing it took."""
+    for value in (b"", b"large ring", b"ab" * 2000, b"x" * 100_000, bytes(range(256)) * 4000):
+        packed = {kind: text._codec(kind)[0](value, 6) for kind in ("bzip2", "xz", "lzma")}
+        assert all(text._codec(kind)[1](p) == value for kind, p in packed.items())
+        assert len(packed["bzip2"]) == len(bz2.compress(value, 6)) and len(packed["xz"]) == len(lzma.compress(value, preset=6))
+        short = len(value) <= 4096
+        assert (int.from_bytes(packed["lzma"][1:5], "little") == 4096) == short
+        assert (packed["bzip2"][:4] == b"BZh1") == short
+
+
+def test_values_that_repeat_in_a_batch_are_packed_once(spark, tmp_path):
+    calls = tmp_path / "calls"
+
+    def noted(value):
+        with open(calls, "ab") as out:
+            out.write(b".")
+        if value == b"2":
+            raise ValueError
+        return value * 2
+
+    df = spark.range(0, 3000, 1, 1).select("id", F.when(F.col("id") % 4 < 3, (F.col("id") % 4).cast("string")).alias("v"))
+    got = {(r.id % 4, None if r.w is None else bytes(r.w)) for r in df.select("id", text._per_row(F.col("v"), noted).alias("w")).collect()}
+    assert got == {(0, b"00"), (1, b"11"), (2, None), (3, None)} and calls.stat().st_size == 3
+    assert df.filter(F.lit(False)).select(text._per_row(F.col("v"), noted)).collect() == []
